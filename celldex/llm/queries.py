@@ -29,6 +29,20 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents"), known(spark))
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .packing import pack
+
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontamination import decontaminate
+
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("key")
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import quality
 
@@ -40,6 +54,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import licenses
+    from . import decontamination, licenses
 
-    return {"op6_license_scan": licenses.oracle()}
+    return {"op6_license_scan": licenses.oracle(), "op9_decontamination": decontamination.ORACLE}
