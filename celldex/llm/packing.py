@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import chunks, written
 
-WINDOW, END, BIN, DEPTH = 4096, 2, 64, 4
+WINDOW, END, BIN, DEPTH = 4096, 2, 8, 2
 MOST_CACHED = 1_000_000
 
 _NOT_SPACE = re.compile("[\x1c-\x1f]")

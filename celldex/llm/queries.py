@@ -17,6 +17,12 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .line_dedup import line_dedup
+
+    return line_dedup(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .language_id import language_id
 
