@@ -23,6 +23,12 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .substring_dedup import substring_dedup
+
+    return substring_dedup(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .language_id import language_id
 
