@@ -1,0 +1,28 @@
+"""Connected components of links between integer ids, as repeated joins."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import written
+
+
+def components(links: DataFrame) -> DataFrame:
+    """id, component (the least id that can be reached) of every id in links (a, b).
+
+    Labels start as ids.  In each round every id takes the least label among its neighbours', then the
+    label of its label, which halves chains; rounds end when nothing changes.  Each round is a table in
+    the shared folder, so lineage stays short and a lost executor costs one round at most.
+    """
+    both = written(links.select("a", "b").unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
+    labels = both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.col("id")).alias("component"))
+    labels = written(labels, "labels")
+    while True:
+        near = both.join(labels.select(F.col("id").alias("b"), "component"), "b").groupBy(F.col("a").alias("id")).agg(F.min("component").alias("near"))
+        step = labels.join(near, "id", "left").select("id", F.col("component").alias("was"), F.least("component", "near").alias("component"))
+        jump = labels.select(F.col("id").alias("component"), F.col("component").alias("jump"))
+        step = written(step.join(jump, "component", "left").select("id", "was", F.least("component", "jump").alias("component")), "labels")
+        labels = step.select("id", "component")
+        if step.where("was <> component").isEmpty():
+            return labels

@@ -35,6 +35,12 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(table(spark, sf_dir, "documents"))
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ngram_join import ngram_join
+
+    return ngram_join(table(spark, sf_dir, "documents"))
+
+
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .licenses import known, license_scan
 

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, written
+from .common import chunks, most_frequent, written
 
 #: Unicode white space, as the tokenizers library reads \s.
 _WS = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -74,7 +74,7 @@ def token_counts(docs: DataFrame, path: str, frequent: int = FREQUENT, limit: in
     texts = docs.select("text").where(F.length("text") > 0)
     each = texts.mapInArrow(tally, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
     counted = written(count_pieces(each, path), "pieces")
-    top = counted.orderBy(F.desc("n"), "piece").limit(frequent).select("piece", "tokens").toArrow()
+    top = most_frequent(counted, "n", frequent).select("piece", "tokens").toArrow()
     common = spark.sparkContext.broadcast(dict(zip(top["piece"].to_pylist(), top["tokens"].to_pylist(), strict=True)))
 
     def sums(batches):
