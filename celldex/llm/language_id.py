@@ -16,11 +16,11 @@ label.  A null id is never learned from and counts as not held out.  Every row g
 from __future__ import annotations
 
 import numpy as np
-import pyarrow as pa
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, in_train
+from .common import chunks, fresh, in_train
 
 WINDOW, PER_LANGUAGE, PER_DOC, BLOCK = 256, 1500, 3, 64
 WIDTHS, FILTERS, EMBED = (2, 3, 4), 16, 8
@@ -144,35 +144,33 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> ByteCNN | None:
     return ByteCNN(languages).train(windows(x)[0], np.array([at[k] for k in y]))
 
 
-def language_id(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
-    """doc_id, held_out, lang_pred, score of every row of docs (doc_id, text, lang)."""
-    held = F.coalesce(~in_train(), F.lit(False)).alias("held_out")
+def with_language(docs: DataFrame, lang_pred: str = "lang_pred", score: str = "score", per_language: int = PER_LANGUAGE) -> DataFrame:
+    """docs with the predicted language and its probability in columns of these names."""
     model = fit(docs, per_language)
     if model is None:
-        return docs.select(F.col("doc_id").cast("long"), held, F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
+        return docs.withColumns({lang_pred: F.lit("und"), score: F.lit(0.0)})
     share = docs.sparkSession.sparkContext.broadcast((model.folded(), model.languages))
 
-    def predict(batches):
-        tables, languages = share.value
-        for batch in batches:
-            rows = zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True)
-            for some in chunks(rows, size=lambda r: len(r[2] or b"")):
-                x, n, size = windows([r[2] or b"" for r in some])
-                mean = np.add.reduceat(log_probabilities(tables, x) * size[:, None], np.concatenate(([0], np.cumsum(n)[:-1])), axis=0)
-                mean /= np.maximum(np.add.reduceat(size, np.concatenate(([0], np.cumsum(n)[:-1]))), 1)[:, None]
-                q = np.exp(mean - mean.max(1, keepdims=True))
-                q /= q.sum(1, keepdims=True)
-                best, score = q.argmax(1), q.max(1).astype(float)
-                known = [r[2] is not None for r in some]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([r[0] for r in some], pa.int64()),
-                        pa.array([r[1] for r in some], pa.bool_()),
-                        pa.array([languages[b] if k else "und" for b, k in zip(best, known, strict=True)], pa.string()),
-                        pa.array([s if k else 0.0 for s, k in zip(score.tolist(), known, strict=True)], pa.float64()),
-                    ],
-                    ["doc_id", "held_out", "lang_pred", "score"],
-                )
-
-    text = F.when(F.col("text").rlike("\\p{L}"), F.col("text").cast("binary")).alias("text")
-    return docs.select(F.col("doc_id").cast("long"), held, text).mapInArrow(predict, "doc_id long, held_out boolean, lang_pred string, score double")
+    @F.pandas_udf("lang_pred string, score double")
+    def predict(text: pd.Series) -> pd.DataFrame:
+        (tables, languages), out = share.value, []
+        for some in chunks(text, size=lambda t: len(t or b"")):
+            x, n, size = windows([t or b"" for t in some])
+            first = np.concatenate(([0], np.cumsum(n)[:-1]))
+            mean = np.add.reduceat(log_probabilities(tables, x) * size[:, None], first, axis=0)
+            mean /= np.maximum(np.add.reduceat(size, first), 1)[:, None]
+            q = np.exp(mean - mean.max(1, keepdims=True))
+            q /= q.sum(1, keepdims=True)
+            out += [("und", 0.0) if t is None else (languages[b], float(s)) for t, b, s in zip(some, q.argmax(1), q.max(1), strict=True)]
+        return pd.DataFrame(out, columns=["lang_pred", "score"])
+
+    new = fresh(docs, "new")
+    text = F.when(F.col("text").rlike("\\p{L}"), F.col("text").cast("binary"))
+    out = docs.withColumn(new, predict(text)).withColumns({lang_pred: F.col(f"{new}.lang_pred"), score: F.col(f"{new}.score")})
+    return out.drop(new)
+
+
+def language_id(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
+    """doc_id, held_out, lang_pred, score of every row of docs (doc_id, text, lang)."""
+    held = F.coalesce(~in_train(), F.lit(False)).alias("held_out")
+    return with_language(docs.select("doc_id", "text", "lang"), per_language=per_language).select(F.col("doc_id").cast("long"), held, "lang_pred", "score")

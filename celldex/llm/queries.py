@@ -23,6 +23,14 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
 
 
+def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .common import written
+    from .neighbours import nearest, usable
+
+    vectors = written(usable(table(spark, sf_dir, "embeddings")), "vectors")
+    return nearest(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .substring_dedup import substring_dedup
 
