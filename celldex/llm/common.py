@@ -7,6 +7,7 @@ few numpy passes whatever the number of texts.
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Texts are handed to the kernels in pieces of about this many bytes.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 SPACES = b" \t\n\x0b\x0c\r"
 
@@ -43,6 +44,18 @@ def written(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, rows: int = 256) -> Iterator[None]:
+    """While rows are large, for what runs inside: fewer of them at once go to Python."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    was = spark.conf.get(name)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, was)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that df doesn't have."""
     have = {c.lower() for c in df.columns}
@@ -164,7 +177,7 @@ def most_frequent(rows: DataFrame, n: str, most: int) -> DataFrame:
 class Membership:
     """A set of 64-bit keys as a bitmap of capped size, for filters ahead of an exact join.
 
-    Keys in the set always pass; others pass at a few per cent, more once the cap is reached.
+    Keys in the set always pass; of others one in hundreds, more once the cap is reached.
     Only the work of the later join depends on that, never its result.
     """
 
@@ -175,7 +188,7 @@ class Membership:
 
     @classmethod
     def of(cls, keys: DataFrame, key: str, n: int) -> Membership:
-        bits = min(cls.MOST_BITS, 1 << max(10, int(12 * n).bit_length()))
+        bits = min(cls.MOST_BITS, 1 << max(10, int(32 * n).bit_length()))
         low = F.col(key).bitwiseAND(F.lit(bits - 1))
         high = F.shiftrightunsigned(F.col(key), 64 - bits.bit_length() + 1)
         rows = (

@@ -11,8 +11,8 @@ light sets, the subsets they would file, and the expected length of a list.
 
 A list holds sets of like size only: sizes are cut in bands of `BAND` steps of 100 / T, and a set in
 the last step of a band is filed in the next one too.  Lists of up to `SMALL_LIST` classes are
-compared pair by pair, after a bound on the overlap: the sum of the lesser counts in `BUCKETS` parts of
-the range of hashes.  Longer lists aren't expanded into pairs.
+compared pair by pair, after a bound on the overlap: the sum of the lesser counts in parts of the
+range of hashes, of about `PER_PART` shingles each.  Longer lists aren't expanded into pairs.
 1. Lists with two classes or more are found by a grouped minimum and maximum; a bitmap of them lets a
    second reading of the texts file only what can meet something.
 2. In each long list, every class is compared with one leader, the class of most documents.  That links
@@ -41,12 +41,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Membership, Words, chunks, mix, most_frequent, signed, written
+from .common import Membership, Words, chunks, mix, most_frequent, signed, small_batches, written
 from .graph import components
 
 SHINGLE, PERCENT, BOUNDARIES, FREQUENT = 3, 90, (9, 19, 29), 1 << 20
 SEEN_LEAST, SEEN_WITHIN = 3, 3_000_000
-SMALL_LIST, BUCKETS, BAND = 12, 32, 3
+SMALL_LIST, BAND, PER_PART, MOST_PARTS = 12, 3, 16, 1 << 14
 
 
 def sets(texts: list[bytes], shingle: int = SHINGLE) -> list[np.ndarray]:
@@ -69,6 +69,18 @@ def digest(x: np.ndarray) -> tuple[int, int]:
     return int(signed(mix(np.array([m.sum() + np.uint64(len(x))], np.uint64)))[0]), int(signed(np.array([np.bitwise_xor.reduce(mix(m)) if len(x) else 0], np.uint64))[0])
 
 
+def counts(x: np.ndarray) -> np.ndarray:
+    """How many of x are in each of equal parts of the range of hashes."""
+    bits = min(MOST_PARTS, max(32, len(x) // PER_PART)).bit_length() - 1
+    return np.bincount((x >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits).astype("<u4")
+
+
+def most_shared(a: np.ndarray, b: np.ndarray) -> int:
+    """No overlap of sets with these counts is greater."""
+    n = min(len(a), len(b))
+    return int(np.minimum(a.reshape(n, -1).sum(1), b.reshape(n, -1).sum(1)).sum())
+
+
 def least_overlap(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
@@ -139,7 +151,7 @@ def _rows(docs: DataFrame, percent: int) -> DataFrame:
                 pending += all_sets
                 size += sum(map(len, all_sets))
                 h = [digest(x) for x in all_sets]
-                cols = [[r[0] for r in some], [len(x) for x in all_sets], [a for a, _ in h], [b for _, b in h], [np.bincount((x >> np.uint64(59)).astype(np.int64), minlength=BUCKETS).astype("<u4").tobytes() for x in all_sets]]
+                cols = [[r[0] for r in some], [len(x) for x in all_sets], [a for a, _ in h], [b for _, b in h], [counts(x).tobytes() for x in all_sets]]
                 none = pa.nulls(len(some), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=False)] + [none, none], names)
                 if size > SEEN_WITHIN:
@@ -226,10 +238,12 @@ def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
     def bound(batches):
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u4").reshape(-1, BUCKETS) for i in (2, 3))
-            both = np.minimum(x, y).sum(1, dtype=np.int64)
-            ok = 100 * both >= percent * (x.sum(1, dtype=np.int64) + y.sum(1, dtype=np.int64) - both)
-            yield batch.select(["a", "b"]).filter(pa.array(ok))
+            ok = []
+            for x, y in zip(batch.column(2), batch.column(3), strict=True):
+                x, y = np.frombuffer(x.as_buffer(), "<u4"), np.frombuffer(y.as_buffer(), "<u4")
+                both = most_shared(x, y)
+                ok.append(100 * both >= percent * (int(x.sum()) + int(y.sum()) - both))
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     rows = pairs.join(classes.select(F.col("cls").alias("a"), F.col("counts").alias("x")), "a").join(classes.select(F.col("cls").alias("b"), F.col("counts").alias("y")), "b")
     return rows.select("a", "b", "x", "y").mapInArrow(bound, "a long, b long")
@@ -270,7 +284,8 @@ def ngram_join(docs: DataFrame, percent: int = PERCENT, frequent: int = FREQUENT
     met = stars.unionAll(direct)
     need = met.select(F.col("a").alias("cls")).unionAll(met.select("b")).distinct()
     items = written(_sets_of(docs, written(named.join(need, "cls").select("cls", "rep"), "need")), "items")
-    compared = written(_compared(stars, items, percent, True), "compared")
+    with small_batches(spark):
+        compared = written(_compared(stars, items, percent, True), "compared")
 
     apart = F.floor(F.col("n") * (100 - percent) / percent).cast("int")
     open_at = compared.where("not link").select("b").distinct()
@@ -284,7 +299,8 @@ def ngram_join(docs: DataFrame, percent: int = PERCENT, frequent: int = FREQUENT
     shared = F.when(F.col("xp") < 0, 0).otherwise(1 + F.least(F.col("xn") - F.col("xp"), F.col("yn") - F.col("yp")) - 1)
     pairs = x.join(y, ["b", "token"]).where((F.col("link") & (F.col("x") != F.col("y"))) | (F.col("x") < F.col("y"))).where(2 * shared >= F.col("xn") + F.col("yn") - most)
     pairs = written(pairs.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "pairs")
-    more = _compared(pairs.unionAll(direct), items, percent, False)
+    with small_batches(spark):
+        more = written(_compared(pairs.unionAll(direct), items, percent, False), "compared")
 
     links = compared.where("link").select("a", "b").unionAll(more.where("link").select("a", "b"))
     links = links.join(named.select(F.col("cls").alias("a"), F.col("rep").alias("ra")), "a").join(named.select(F.col("cls").alias("b"), F.col("rep").alias("rb")), "b")
