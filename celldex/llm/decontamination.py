@@ -65,8 +65,8 @@ class Windows:
             rows.sort()
             keys = np.array([r[0] for r in rows], np.uint64)
             self.keys[g], first = np.unique(keys, return_index=True)
-            self.led[g] = (np.append(first, len(rows)), np.array([r[1] for r in rows]), np.array([r[2] for r in rows]))
-        self.length = np.array([len(w) for w in self.words])
+            self.led[g] = (np.append(first, len(rows)), np.array([r[1] for r in rows], np.int64), np.array([r[2] for r in rows], np.int64))
+        self.length = np.array([len(w) for w in self.words], np.int64)
         self.table = np.zeros((len(self.words), WIDTH), np.uint64)
         for i, w in enumerate(self.words):
             self.table[i, : len(w)] = w

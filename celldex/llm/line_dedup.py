@@ -189,13 +189,13 @@ def _removed(candidates: DataFrame) -> DataFrame:
 def line_dedup(docs: DataFrame, fuzzy_from: int = FUZZY_FROM) -> DataFrame:
     """docs with repeated lines taken out of text, and n_lines and n_removed (lines that aren't blank)."""
     docs = docs.drop("n_lines", "n_removed")
-    key = fresh(docs, "key")
+    key, doc_at, key_at, kept_at = (fresh(docs, c) for c in ("row_key", "kept_doc", "kept_key", "kept_lines"))
     texts = docs.where("text is not null and text <> ''").select(F.col("doc_id").cast("long").alias("doc"), row_key().alias("key"), "text")
     coarse = written(_coarse(texts, fuzzy_from), "coarse")
     candidates = written(_candidates(texts, coarse, fuzzy_from), "candidates")
     removed = written(_removed(candidates), "removed")
     stay = _distinct(texts).join(removed, ["h1", "h2"], "left_anti").select("at.*")
-    kept = stay.groupBy(F.col("doc").alias("_doc"), F.col("key").alias("_key")).agg(F.collect_list(F.col("number").cast("int")).alias("_kept"))
+    kept = stay.groupBy(F.col("doc").alias(doc_at), F.col("key").alias(key_at)).agg(F.collect_list(F.col("number").cast("int")).alias(kept_at))
 
     @F.pandas_udf("text string, n_lines long, n_removed long")
     def rebuild(text: pd.Series, kept: pd.Series) -> pd.DataFrame:
@@ -211,8 +211,8 @@ def line_dedup(docs: DataFrame, fuzzy_from: int = FUZZY_FROM) -> DataFrame:
         return pd.DataFrame(out, columns=["text", "n_lines", "n_removed"])
 
     new = fresh(docs, "new")
-    out = docs.withColumn(key, row_key()).join(kept, (F.col(key) == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_doc")), "left")
-    out = out.withColumn(new, rebuild("text", "_kept"))
+    out = docs.withColumn(key, row_key()).join(kept, (F.col(key) == F.col(key_at)) & F.col("doc_id").eqNullSafe(F.col(doc_at)), "left")
+    out = out.withColumn(new, rebuild("text", kept_at))
     return out.select(*[F.col(f"{new}.text").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns], f"{new}.n_lines", f"{new}.n_removed")
 
 
