@@ -33,16 +33,17 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents, the one with the least id stays; those without an id stay."""
-    stay = ngram_join(docs).where("doc_id is null or doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(stay, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    name = fresh(docs, "stay_id")
+    stay = ngram_join(docs).where("doc_id is null or doc_id = component_id").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(stay, F.col("doc_id").eqNullSafe(F.col(name)), "left_semi")
 
 
 def benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
-    key = fresh(docs, "key")
-    hit = decontaminate(docs, table(spark, sf_dir, "benchmark")).where("contaminated").select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"))
+    key, hit_id, hit_key = (fresh(docs, c) for c in ("row_key", "hit_id", "hit_key"))
+    hit = decontaminate(docs, table(spark, sf_dir, "benchmark")).where("contaminated").select(F.col("doc_id").alias(hit_id), F.col("key").alias(hit_key))
     rows = docs.withColumn(key, row_key())
-    return rows.join(hit, (F.col(key) == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti").drop(key)
+    return rows.join(hit, (F.col(key) == F.col(hit_key)) & F.col("doc_id").eqNullSafe(F.col(hit_id)), "left_anti").drop(key)
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
