@@ -33,3 +33,32 @@ def parse_bytes(text: Column) -> Column:
 
 def tile_of(value: Column, size: float) -> Column:
     return F.floor(value / F.lit(size)).cast("long")
+
+
+#: Seconds of a unit of time.
+SECONDS = {"ms": 0.001, "s": 1.0, "m": 60.0, "h": 3600.0, "d": 86400.0}
+
+
+def parse_duration(text: Column) -> Column:
+    """Seconds of "1h 2m 3.5s" and the like; NULL where no part has a number and a known unit."""
+    pattern = r"([0-9]+(?:\.[0-9]+)?)\s*(ms|s|m|h|d)"
+    parts = lambda i: F.regexp_extract_all(text, F.lit(pattern), F.lit(i))
+    unit = F.create_map(*[F.lit(v) for kv in SECONDS.items() for v in kv])
+    each = F.zip_with(parts(1), parts(2), lambda n, u: n.cast("double") * unit[u])
+    return F.when(F.size(each) > 0, F.aggregate(each, F.lit(0.0), lambda s, v: s + v))
+
+
+def parse_percent(text: Column) -> Column:
+    """The number before a "%", or NULL where it isn't finite."""
+    v = F.trim(F.rtrim(F.trim(text), F.lit("%"))).try_cast("double")
+    return F.when(~F.isnan(v) & (F.abs(v) < float("inf")), v)
+
+
+def packed_color(r: Column, g: Column, b: Column, a: Column) -> Column:
+    """Signed 32-bit ARGB."""
+    return F.shiftleft(a.cast("int"), 24).bitwiseOR(F.shiftleft(r.cast("int"), 16)).bitwiseOR(F.shiftleft(g.cast("int"), 8)).bitwiseOR(b.cast("int"))
+
+
+def split_channels(raw: Column) -> Column:
+    """Names between "|", trimmed, without blanks."""
+    return F.filter(F.transform(F.split(raw, "[|]"), lambda x: F.trim(x)), lambda x: x != "")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -34,3 +34,79 @@ def ring_area(rings: DataFrame, ring: str) -> DataFrame:
     term = lambda i: at(2 * i) * at(2 * F.pmod(i + 1, n) + 1) - at(2 * F.pmod(i + 1, n)) * at(2 * i + 1)
     total = F.aggregate(F.sequence(F.lit(0), n - 1), F.lit(0.0), lambda s, i: s + term(i).cast("double"))
     return rings.withColumn("area", F.when(n < 3, 0.0).otherwise(F.abs(total) / 2))
+
+
+def median_filter(pixels: DataFrame, accepted, radius: int) -> DataFrame:
+    """x, y, v: the median of the accepted values within radius in x and y, where there are any.
+
+    Accepted pixels are sent to the pixels they count for, so there is one grouping and no join on ranges.
+    """
+    steps = F.sequence(F.lit(-radius), F.lit(radius))
+    near = pixels.where(accepted).select("x", "y", "v", F.explode(steps).alias("dx")).select("*", F.explode(steps).alias("dy"))
+    sent = near.select((F.col("x") + F.col("dx")).alias("x"), (F.col("y") + F.col("dy")).alias("y"), "v", F.lit(False).alias("own"))
+    both = sent.unionAll(pixels.select("x", "y", F.lit(None).cast("double").alias("v"), F.lit(True).alias("own")))
+    return both.groupBy("x", "y").agg(F.median("v").alias("v"), F.bool_or("own").alias("own")).where("own and v is not null").select("x", "y", "v")
+
+
+def flat_field(pixels: DataFrame, profile: DataFrame, tile: int, most: float) -> DataFrame:
+    """pixels with v corrected by their place in a tile, (v - dark) / flat, clipped to 0..most; no profile, no change.
+
+    profile (px, py, flat, dark) has tile * tile rows, whatever the plane's size; that bounds the broadcast.
+    """
+    if tile * tile <= 1 << 20:
+        profile = F.broadcast(profile)
+    at = (F.col("px") == F.pmod(F.col("x"), F.lit(tile))) & (F.col("py") == F.pmod(F.col("y"), F.lit(tile)))
+    new = F.least(F.greatest((F.col("v") - F.col("dark")) / F.nullif(F.col("flat"), F.lit(0.0)), F.lit(0.0)), F.lit(most))
+    return pixels.join(profile, at, "left").withColumn("v", F.coalesce(new, F.col("v"))).drop("px", "py", "flat", "dark")
+
+
+def above_mean(pixels: DataFrame, group: str) -> DataFrame:
+    """By group: how many pixels are above the group's mean, and how many there are, from counts of values."""
+    n = pixels.groupBy(group, "v").agg(F.count("*").alias("n"))
+    mean = pixels.groupBy(group).agg(F.avg("v").alias("m"))
+    return n.join(mean, group).groupBy(group).agg(F.coalesce(F.sum(F.when(F.col("v") > F.col("m"), F.col("n"))), F.lit(0)).alias("above"), F.sum("n").alias("n"))
+
+
+def percentile_scale(pixels: DataFrame, group: str, low: float, high: float) -> DataFrame:
+    """pixels with v from 0 at the group's lower percentile to 1 at its upper one; 0 where they are equal."""
+    ends = pixels.groupBy(group).agg(F.percentile("v", F.array(F.lit(low), F.lit(high))).alias("_p"))
+    lo, hi = F.col("_p")[0], F.col("_p")[1]
+    v = F.when(hi > lo, F.least(F.greatest((F.col("v") - lo) / (hi - lo), F.lit(0.0)), F.lit(1.0))).otherwise(0.0)
+    return pixels.join(ends, group).withColumn("v", v).drop("_p")
+
+
+def fov_split(spark: SparkSession, size: int, parts: int) -> DataFrame:
+    """i, size, start of near-equal parts of a length; the first ones take the remainder."""
+    each, more = divmod(size, parts)
+    i = F.col("id")
+    return spark.range(parts).select(i.alias("i"), (F.lit(each) + (i < more).cast("int")).cast("long").alias("size"), (i * each + F.least(i, F.lit(more))).cast("long").alias("start"))
+
+
+def tile_overlaps(windows: DataFrame, width: int, height: int, tile: int) -> DataFrame:
+    """id, ix, iy, x0, y0, x1, y1: what each window (id, x0, y0, x1, y1; ends excluded) has of each tile.
+
+    A window knows its tiles, so it is exploded over them and there is no join.
+    """
+    ends = {"x0": F.greatest("x0", F.lit(0)), "y0": F.greatest("y0", F.lit(0)), "x1": F.least("x1", F.lit(width)), "y1": F.least("y1", F.lit(height))}
+    w = windows.withColumns({k: v.cast("long") for k, v in ends.items()}).where("x0 < x1 and y0 < y1")
+    over = lambda a, b: F.sequence(F.floor(F.col(a) / tile), F.floor((F.col(b) - 1) / tile))
+    w = w.select("*", F.explode(over("x0", "x1")).alias("ix")).select("*", F.explode(over("y0", "y1")).alias("iy"))
+    low, high = lambda a, i: F.greatest(F.col(a), F.col(i) * tile).alias(a), lambda a, i: F.least(F.col(a), (F.col(i) + 1) * tile).alias(a)
+    return w.select("id", "ix", "iy", low("x0", "ix"), low("y0", "iy"), high("x1", "ix"), high("y1", "iy"))
+
+
+def pyramid_levels(spark: SparkSession, height: int, width: int, least: int = 64, most: int = 10) -> DataFrame:
+    """level, height, width: halved, rounding down, while the shorter side keeps `least`; `most` levels at most."""
+    at = F.col("id").cast("int")
+    half = lambda n: F.floor(F.lit(n) / F.pow(F.lit(2.0), at)).cast("int")
+    out = spark.range(most).select(at.alias("level"), half(height).alias("height"), half(width).alias("width"))
+    return out.where((F.col("level") == 0) | (F.least("height", "width") >= least))
+
+
+def mesh_displacement(points: DataFrame, key: str, mesh: DataFrame) -> DataFrame:
+    """key, dx, dy: displacements at points (x, y in mesh units), bilinear between the four nodes (i, j, dx, dy) around."""
+    corner = lambda c, e: F.when(F.col(e) == 1, F.col(c) - F.floor(c)).otherwise(1 - (F.col(c) - F.floor(c)))
+    both = F.sequence(F.lit(0), F.lit(1))
+    four = points.select(key, "x", "y", F.explode(both).alias("di")).select("*", F.explode(both).alias("dj"))
+    four = four.select(key, (corner("x", "di") * corner("y", "dj")).alias("w"), (F.floor("x") + F.col("di")).alias("i"), (F.floor("y") + F.col("dj")).alias("j"))
+    return four.join(mesh, ["i", "j"]).groupBy(key).agg(F.sum(F.col("w") * F.col("dx")).alias("dx"), F.sum(F.col("w") * F.col("dy")).alias("dy"))

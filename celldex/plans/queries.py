@@ -2,26 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import stem
 from ..operators import measure, merge, pairing, raster
 from ..sources.tables import table
 from ..streaming.groups import sized_groups
+from . import reports, spatial  # noqa: F401  (they enter theirs)
+from .registry import ALL, query
 
-ALL: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {}
-
-
-def query(sql: str):
-    def add(f):
-        ALL[f.__name__] = (f, sql)
-        return f
-
-    return add
-
+__all__ = ["ALL"]
 
 _PARTS = "".join(f", avg({v}) as {n}_mean, median({v}) as {n}_median, coalesce(sum({v}), 0.0) as {n}_sum" for n, v in (("cell", "l_quantity"), ("nucleus", "case when l_returnflag = 'R' then l_quantity end"), ("cytoplasm", "case when l_returnflag <> 'R' then l_quantity end")))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -17,3 +19,11 @@ def csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
 def write(df: DataFrame, path: str, by: list[str] | None = None) -> None:
     writer = df.write.mode("overwrite")
     (writer.partitionBy(*by) if by else writer).parquet(path)
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that all executors share, from spark.checkpoint.dir; one is set only where there is none, as in tests."""
+    if not (at := spark.conf.get("spark.checkpoint.dir", None)):
+        at = tempfile.mkdtemp(prefix="celldex-")
+        spark.conf.set("spark.checkpoint.dir", at)
+    return at.rstrip("/")
