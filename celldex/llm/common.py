@@ -8,17 +8,22 @@ few numpy passes whatever the number of texts.
 from __future__ import annotations
 
 import contextlib
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Texts are handed to the kernels in pieces of about this many bytes.
 CHUNK_BYTES = 1 << 20
 
+#: Rows of a batch for Python, in what `written` runs.
+BATCH = 2048
+
 SPACES = b" \t\n\x0b\x0c\r"
 
 
@@ -37,10 +42,14 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def written(df: DataFrame, what: str) -> DataFrame:
-    """df as a Parquet table in the shared folder, read again: lineage ends there and survives lost executors."""
+    """df as a Parquet table in the shared folder, read again: lineage ends there and survives lost executors.
+
+    Python gets batches of `BATCH` rows meanwhile, so that a partition of texts isn't one batch.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/celldex/{what}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with small_batches(spark, BATCH):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -49,13 +58,37 @@ def small_batches(spark: SparkSession, rows: int = 256) -> Iterator[None]:
     """While rows are large, for what runs inside: fewer of them at once go to Python."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     was = spark.conf.get(name)
-    spark.conf.set(name, rows)
+    spark.conf.set(name, min(rows, int(was)) if int(was) > 0 else rows)
     try:
         yield
     finally:
         spark.conf.set(name, was)
 
 
+def hand_back() -> None:
+    """Memory that this process has freed goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError):  # another C library
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+#: Caches that workers hold between tasks; tasks that don't use them empty them.
+HELD: list[dict] = []
+
+
+def lean(f: Callable, keep: bool = False) -> Callable:
+    """f for mapInArrow; a worker that waits, or runs another task, keeps nothing of what came before, but caches if asked to."""
+
+    def run(batches):
+        for cache in [] if keep else HELD:
+            cache.clear()
+        hand_back()
+        yield from f(batches)
+        hand_back()
+
+    return run
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that df doesn't have."""
     have = {c.lower() for c in df.columns}

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM, Words, chunks, row_key, signed, written
+from .common import ALNUM, Words, chunks, lean, row_key, signed, written
 
 WIDTH, SHINGLE = 10, 3
 MOST_BYTES = 16 << 20
@@ -136,7 +136,7 @@ def _count(docs: DataFrame, block: Windows) -> None:
             at = np.flatnonzero(v)
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), g)), pa.array(at), pa.array(v[at])], ["g", "at", "n"])
 
-    got = docs.select(F.col("text").cast("binary")).mapInArrow(count, "g long, at long, n long").groupBy("g", "at").agg(F.sum("n").alias("n")).toArrow()
+    got = docs.select(F.col("text").cast("binary")).mapInArrow(lean(count), "g long, at long, n long").groupBy("g", "at").agg(F.sum("n").alias("n")).toArrow()
     for g, at, n in zip(got["g"].to_pylist(), got["at"].to_pylist(), got["n"].to_pylist(), strict=True):
         block.counts[g][at] = n
 
@@ -172,7 +172,7 @@ def _hits(docs: DataFrame, block: Windows) -> DataFrame:
                 )
 
     rows = docs.select(F.col("doc_id").cast("long"), row_key().alias("key"), F.col("text").cast("binary"))
-    return rows.mapInArrow(find, "doc_id long, key long, n_words long, hits array<int>, items array<string>")
+    return rows.mapInArrow(lean(find), "doc_id long, key long, n_words long, hits array<int>, items array<string>")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, most_bytes: int = MOST_BYTES) -> DataFrame:

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, fresh, in_train
+from .common import HELD, chunks, fresh, hand_back, in_train
 
 WINDOW, PER_LANGUAGE, PER_DOC, BLOCK = 256, 1500, 3, 64
 WIDTHS, FILTERS, EMBED = (2, 3, 4), 16, 8
@@ -153,6 +153,9 @@ def with_language(docs: DataFrame, lang_pred: str = "lang_pred", score: str = "s
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(text: pd.Series) -> pd.DataFrame:
+        for cache in HELD:
+            cache.clear()
+        hand_back()
         (tables, languages), out = share.value, []
         for some in chunks(text, size=lambda t: len(t or b"")):
             x, n, size = windows([t or b"" for t in some])

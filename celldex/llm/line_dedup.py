@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Membership, _powers, chunks, fresh, mix, row_key, signed, written
+from .common import Membership, _powers, chunks, fresh, lean, mix, row_key, signed, written
 
 PARTS, FUZZY_FROM = 4, 16
 
@@ -79,7 +79,7 @@ def _coarse(texts: DataFrame, fuzzy_from: int) -> DataFrame:
                 line = np.repeat(np.array([_digest(x)[0] for x in lines], np.int64), 2 * PARTS)
                 yield pa.RecordBatch.from_arrays([pa.array(signed(key)), pa.array(line)], ["key", "line"])
 
-    rows = texts.select("text").mapInArrow(keys, "key long, line long")
+    rows = texts.select("text").mapInArrow(lean(keys), "key long, line long")
     return rows.groupBy("key").agg(F.min("line").alias("a"), F.max("line").alias("b")).where("a <> b").select("key")
 
 
@@ -98,7 +98,7 @@ def _distinct(texts: DataFrame) -> DataFrame:
                 cols = list(zip(*[(*h, *at) for h, at in first.items()], strict=True)) or [()] * 5
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["h1", "h2", "doc", "number", "key"])
 
-    rows = texts.mapInArrow(lines, "h1 long, h2 long, doc long, number long, key long")
+    rows = texts.mapInArrow(lean(lines), "h1 long, h2 long, doc long, number long, key long")
     return rows.groupBy("h1", "h2").agg(F.min(F.struct("doc", "number", "key")).alias("at"))
 
 
@@ -127,7 +127,7 @@ def _candidates(texts: DataFrame, coarse: DataFrame, fuzzy_from: int) -> DataFra
                 kinds = (*[pa.int64()] * 5, pa.string(), pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["h1", "h2", "doc", "number", "key", "line", "parts"])
 
-    rows = texts.mapInArrow(pick, "h1 long, h2 long, doc long, number long, key long, line string, parts array<long>")
+    rows = texts.mapInArrow(lean(pick), "h1 long, h2 long, doc long, number long, key long, line string, parts array<long>")
     return rows.groupBy("h1", "h2").agg(F.min(F.struct("doc", "number", "key")).alias("at"), F.min("line").alias("line"), F.min("parts").alias("parts"))
 
 
@@ -172,7 +172,7 @@ def _removed(candidates: DataFrame) -> DataFrame:
                 fixed = [pa.array([r[i] for r in some], pa.int64()).take(pa.array(np.repeat(np.arange(len(some)), n))) for i in range(5)]
                 yield pa.RecordBatch.from_arrays([pa.array(cols[0]), pa.array(cols[1]), *fixed], ["variant", "role", "h1", "h2", "doc", "number", "key"])
 
-    rows = candidates.select("h1", "h2", "at.doc", "at.number", "at.key", "line", "parts").mapInArrow(spread, "variant long, role byte, h1 long, h2 long, doc long, number long, key long")
+    rows = candidates.select("h1", "h2", "at.doc", "at.number", "at.key", "line", "parts").mapInArrow(lean(spread), "variant long, role byte, h1 long, h2 long, doc long, number long, key long")
     rows = written(rows.select("variant", "role", "h1", "h2", F.struct("doc", "number", "key").alias("at")), "variants")
     me = F.struct("at", "h1", "h2")
     of = lambda *roles: F.min(F.when(F.col("role").isin(*roles), me))

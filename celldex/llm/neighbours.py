@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import lean, written
 
 SAMPLE, GRAPH, PART, MOST_PARTS, BLOCK, QUERIES, AIM = 6000, 12, 3000, 256, 16_384, 4096, 0.96
 HIDDEN, EPOCHS = 128, 30
@@ -168,8 +168,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, sample: int = S
         return run
 
     schema = "id long, body binary, part int"
-    placed = written(vectors.select("vec_id", "vec").mapInArrow(route(1), schema), "placed")
-    asked = written(queries.select("vec_id", "vec").mapInArrow(route(visits), schema), "asked")
+    placed = written(vectors.select("vec_id", "vec").mapInArrow(lean(route(1)), schema), "placed")
+    asked = written(queries.select("vec_id", "vec").mapInArrow(lean(route(visits)), schema), "asked")
     blocks = placed.groupBy("part").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     groups = asked.groupBy("part").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("groups"))
     size = F.broadcast(written(blocks.join(groups, "part"), "parts"))  # MOST_PARTS rows at most

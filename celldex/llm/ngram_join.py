@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Membership, Words, chunks, mix, most_frequent, signed, small_batches, written
+from .common import Membership, Words, chunks, lean, mix, most_frequent, signed, small_batches, written
 from .graph import components
 
 SHINGLE, PERCENT, BOUNDARIES, FREQUENT = 3, 90, (9, 19, 29), 1 << 20
@@ -160,7 +160,7 @@ def _rows(docs: DataFrame, percent: int) -> DataFrame:
         if pending:
             yield often()
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")).mapInArrow(read, ", ".join(f"{c} {'binary' if c == 'counts' else 'long'}" for c in names))
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")).mapInArrow(lean(read), ", ".join(f"{c} {'binary' if c == 'counts' else 'long'}" for c in names))
 
 
 def _files(docs: DataFrame, filing, keep=None) -> DataFrame:
@@ -182,7 +182,7 @@ def _files(docs: DataFrame, filing, keep=None) -> DataFrame:
                     key, cls = key[ok], cls[ok]
                 yield pa.RecordBatch.from_arrays([pa.array(signed(key)), pa.array(cls)], ["key", "cls"])
 
-    return docs.where("doc_id is not null").select(F.col("text").cast("binary")).mapInArrow(file, "key long, cls long")
+    return docs.where("doc_id is not null").select(F.col("text").cast("binary")).mapInArrow(lean(file), "key long, cls long")
 
 
 def _sets_of(docs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -201,7 +201,7 @@ def _sets_of(docs: DataFrame, classes: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in some], pa.int64()), pa.array([digest(x)[0] for x in all_sets]), pa.array([x.tobytes() for x in all_sets], pa.binary())], ["rep", "cls", "items"])
 
     rows = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long"), F.xxhash64(F.col("doc_id").cast("long")).alias("at"), F.col("text").cast("binary"))
-    got = rows.mapInArrow(read, "rep long, cls long, items binary")
+    got = rows.mapInArrow(lean(read), "rep long, cls long, items binary")
     return got.join(classes.select("cls", "rep"), ["cls", "rep"], "left_semi").dropDuplicates(["cls"]).select("cls", "items")
 
 
@@ -230,7 +230,7 @@ def _compared(pairs: DataFrame, items: DataFrame, percent: int, differences: boo
             yield pa.RecordBatch.from_arrays(cols, ["a", "b", "link", "n", "apart", "diff"][: len(cols)])
 
     rows = pairs.join(items.select(F.col("cls").alias("a"), F.col("items").alias("x")), "a").join(items.select(F.col("cls").alias("b"), F.col("items").alias("y")), "b").select("a", "b", "x", "y")
-    return rows.mapInArrow(compare, "a long, b long, link boolean, n int" + ", apart int, diff array<long>" * differences)
+    return rows.mapInArrow(lean(compare), "a long, b long, link boolean, n int" + ", apart int, diff array<long>" * differences)
 
 
 def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -246,7 +246,7 @@ def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     rows = pairs.join(classes.select(F.col("cls").alias("a"), F.col("counts").alias("x")), "a").join(classes.select(F.col("cls").alias("b"), F.col("counts").alias("y")), "b")
-    return rows.select("a", "b", "x", "y").mapInArrow(bound, "a long, b long")
+    return rows.select("a", "b", "x", "y").mapInArrow(lean(bound), "a long, b long")
 
 
 def _most_apart(n: int, percent: int) -> int:

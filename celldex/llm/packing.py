@@ -16,6 +16,7 @@ Null text is empty and has the one id END.  Every row is a document of its own,
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from bisect import bisect_left, bisect_right, insort
@@ -27,14 +28,32 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import chunks, written
+from .common import HELD, chunks, lean, written
 
 WINDOW, END, BIN, DEPTH = 4096, 2, 8, 2
-MOST_CACHED = 1_000_000
+MOST_CACHED = 100_000
 
 _NOT_SPACE = re.compile("[\x1c-\x1f]")
 _WORD = re.compile("[^\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+")
 _LOADED: dict[str, Encoder] = {}
+HELD.append(_LOADED)
+
+
+class Recent:
+    """The words of late and their ids: two dictionaries of about `most` each, of which the older one goes when the newer is full."""
+
+    def __init__(self, most: int):
+        self.most, self.young, self.old = most, {}, {}
+
+    def get(self, word: str) -> bytes | None:
+        got = self.young.get(word)
+        if got is None and (got := self.old.get(word)) is not None:
+            self.young[word] = got
+        return got
+
+    def turn(self) -> None:
+        if len(self.young) > self.most:
+            self.young, self.old = {}, self.young
 
 
 class Encoder:
@@ -44,11 +63,11 @@ class Encoder:
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words: dict[str, bytes] = {}
-        self.letters: dict[str, bytes] = {}
+        self.words, self.letters = Recent(MOST_CACHED), Recent(MOST_CACHED // 2)
         self.marks = {m: self._library([m])[0] for m in ".,;:!?"}
 
     def _library(self, words: list[str]) -> list[bytes]:
@@ -58,26 +77,27 @@ class Encoder:
         """A word of ASCII letters is one pre-token, so the model alone has its ids."""
         got = self.letters.get(word)
         if got is None:
-            got = self.letters[word] = np.array([t.id for t in self.tokenizer.model.tokenize(word)], "<u4").tobytes()
+            got = self.letters.young[word] = np.array([t.id for t in self.tokenizer.model.tokenize(word)], "<u4").tobytes()
         return got
 
     def texts(self, texts: list[str]) -> list[bytes]:
         split = [t.split() if not _NOT_SPACE.search(t) else _WORD.findall(t) for t in texts]
-        if len(self.words) > MOST_CACHED:
-            self.words, self.letters = {}, {}
-        new, known = set(), self.words
-        for words in split:
-            new.update(words)
-        rest = []
-        for w in new:
-            if w in known:
+        self.words.turn()
+        self.letters.turn()
+        known, rest = {}, []
+        for w in set().union(*split):
+            got = self.words.get(w)
+            if got is not None:
+                known[w] = got
                 continue
             head, mark = (w[:-1], self.marks[w[-1]]) if w[-1] in self.marks else (w, b"")
             if head.isascii() and head.isalpha():
-                known[w] = self._letters(head.lower()) + mark
+                known[w] = self.words.young[w] = self._letters(head.lower()) + mark
             else:
                 rest.append(w)
-        known.update(zip(rest, self._library(rest), strict=True))
+        new = dict(zip(rest, self._library(rest), strict=True))
+        known |= new
+        self.words.young |= new
         return [b"".join(map(known.__getitem__, words)) for words in split]
 
 
@@ -229,7 +249,7 @@ def pieces(docs: DataFrame, path: str) -> DataFrame:
         seen = [0] * (WINDOW + 1)
         end = np.array([END], "<u4").tobytes()
         for batch in batches:
-            for some in chunks(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True), size=lambda r: len(r[1] or ""), most=4 << 20):
+            for some in chunks(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True), size=lambda r: len(r[1] or ""), most=2 << 20):
                 out = []
                 for (doc_id, _), body in zip(some, code.texts([r[1] or "" for r in some]), strict=True):
                     body += end
@@ -240,7 +260,7 @@ def pieces(docs: DataFrame, path: str) -> DataFrame:
                         seen[k] += 1
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "task", "number"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, task long, number long")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lean(cut, keep=True), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, task long, number long")
 
 
 def pack(docs: DataFrame, path: str) -> DataFrame:
@@ -268,4 +288,4 @@ def pack(docs: DataFrame, path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*cols, pa.array(run[:, 3] + number - run[:, 1]), pa.array(run[:, 4])], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
 
     ranked = cut.join(each.select("length", "task", "before"), ["length", "task"]).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", (F.col("before") + F.col("number")).alias("rank"))
-    return ranked.mapInArrow(place, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+    return ranked.mapInArrow(lean(place), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, chunks, in_train
+from .common import Words, chunks, in_train, lean
 
 BUCKETS, SAMPLE, EPOCHS, COST = 1 << 18, 12_000, 8, 1.0
 
@@ -91,7 +91,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = SAMPLE):
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(n[0, at], docs_of[0])), pa.array(np.append(n[1, at], docs_of[1]))], ["bucket", "bad", "good"])
 
     body = F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text")
-    got = known.select(body, "good").mapInArrow(count, "bucket long, bad long, good long").groupBy("bucket").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).toArrow()
+    got = known.select(body, "good").mapInArrow(lean(count), "bucket long, bad long, good long").groupBy("bucket").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).toArrow()
     at, bad, good = (got[k].to_numpy() for k in ("bucket", "bad", "good"))
     total = bad[at < 0].sum(), good[at < 0].sum()
     if not min(total):
@@ -110,7 +110,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = SAMPLE):
                 at, first = features([r[0] for r in some])
                 yield pa.RecordBatch.from_arrays([pa.array([at[a:b].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)], pa.binary()), pa.array([r[1] for r in some], pa.bool_())], ["at", "good"])
 
-    got = _labelled(docs.where(draw < share), labels).select(body, "good").mapInArrow(extract, "at binary, good boolean").toArrow()
+    got = _labelled(docs.where(draw < share), labels).select(body, "good").mapInArrow(lean(extract), "at binary, good boolean").toArrow()
     pairs = sorted(zip(got["at"].to_pylist(), got["good"].to_pylist(), strict=True))[: 2 * most]
     order = np.random.default_rng(3).permutation(len(pairs))
     rows, y = [], np.array([1.0 if pairs[i][1] else -1.0 for i in order])
@@ -147,5 +147,5 @@ def quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, most: in
                 yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in some], pa.int64()), pa.array([r[1] for r in some], pa.bool_()), pa.array(p)], ["doc_id", "held_out", "score"])
 
     body = F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text")
-    out = docs.select(F.col("doc_id").cast("long"), held, body).mapInArrow(score, "doc_id long, held_out boolean, score double")
+    out = docs.select(F.col("doc_id").cast("long"), held, body).mapInArrow(lean(score), "doc_id long, held_out boolean, score double")
     return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Membership, Words, chunks, mix, row_key, shared_dir, signed, written
+from .common import Membership, Words, chunks, lean, mix, row_key, shared_dir, signed, written
 
 WIDTH, SEED, FAN, BATCHES = 35, 8, 4, 2
 
@@ -79,7 +79,7 @@ def _fingerprints(docs: DataFrame, width: int) -> DataFrame:
                 _, _, fp, block = blocks(Words(some), width)
                 yield pa.RecordBatch.from_arrays([pa.array(signed(fp)), pa.array(signed(block))], ["fp", "block"])
 
-    rows = docs.select(F.col("text").cast("binary")).mapInArrow(emit, "fp long, block long")
+    rows = docs.select(F.col("text").cast("binary")).mapInArrow(lean(emit), "fp long, block long")
     return _combined(rows.withColumn("state", F.lit(0).cast("byte")))
 
 
@@ -153,7 +153,7 @@ def _met_blocks(docs: DataFrame, met: DataFrame, width: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([ids.take(pa.array(doc)), keys.take(pa.array(doc)), pa.array(signed(fp)), pa.array((first - words.first[doc]).astype(np.int32)), pa.array(n.astype(np.int32)), lists], ["doc_id", "key", "fp", "first", "n", "windows"])
 
     rows = docs.select(F.col("doc_id").cast("long"), row_key().alias("key"), F.col("text").cast("binary"))
-    return rows.mapInArrow(pick, "doc_id long, key long, fp long, first int, n int, windows array<long>")
+    return rows.mapInArrow(lean(pick), "doc_id long, key long, fp long, first int, n int, windows array<long>")
 
 
 def repeated(docs: DataFrame, width: int = WIDTH, batches: int = BATCHES) -> DataFrame:

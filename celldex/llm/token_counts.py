@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, most_frequent, written
+from .common import chunks, lean, most_frequent, written
 
 #: Unicode white space, as the tokenizers library reads \s.
 _WS = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -72,7 +72,7 @@ def token_counts(docs: DataFrame, path: str, frequent: int = FREQUENT, limit: in
                 yield pa.RecordBatch.from_arrays([pa.array(got.keys(), pa.string()), pa.array(got.values(), pa.int64())], ["piece", "n"])
 
     texts = docs.select("text").where(F.length("text") > 0)
-    each = texts.mapInArrow(tally, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
+    each = texts.mapInArrow(lean(tally), "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
     counted = written(count_pieces(each, path), "pieces")
     top = most_frequent(counted, "n", frequent).select("piece", "tokens").toArrow()
     common = spark.sparkContext.broadcast(dict(zip(top["piece"].to_pylist(), top["tokens"].to_pylist(), strict=True)))
@@ -95,7 +95,7 @@ def token_counts(docs: DataFrame, path: str, frequent: int = FREQUENT, limit: in
                     row += 1
                 yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip((rows, ids, size, tokens, pieces, n), (*[pa.int64()] * 4, pa.string(), pa.int64()), strict=True)], ["row", "doc_id", "n_bytes", "tokens", "piece", "n"])
 
-    parts = written(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(sums, "row long, doc_id long, n_bytes long, tokens long, piece string, n long"), "parts")
+    parts = written(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lean(sums), "row long, doc_id long, n_bytes long, tokens long, piece string, n long"), "parts")
     rare = parts.where("piece is not null").select("row", "piece", "n").join(counted.select("piece", F.col("tokens").alias("each")), "piece")
     rare = rare.groupBy("row").agg(F.sum(F.col("each") * F.col("n")).alias("more"))
     out = parts.where("piece is null").select("row", "doc_id", "n_bytes", "tokens").join(rare, "row", "left")
