@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Membership, _powers, chunks, fresh, lean, mix, row_key, signed, written
+from .common import Membership, _powers, chunks, fresh, hand_back, lean, mix, row_key, signed, written
 
 PARTS, FUZZY_FROM = 4, 16
 
@@ -199,6 +199,7 @@ def line_dedup(docs: DataFrame, fuzzy_from: int = FUZZY_FROM) -> DataFrame:
 
     @F.pandas_udf("text string, n_lines long, n_removed long")
     def rebuild(text: pd.Series, kept: pd.Series) -> pd.DataFrame:
+        hand_back()
         out = []
         for t, k in zip(text, kept, strict=True):
             if t is None:
@@ -212,7 +213,7 @@ def line_dedup(docs: DataFrame, fuzzy_from: int = FUZZY_FROM) -> DataFrame:
 
     new = fresh(docs, "new")
     out = docs.withColumn(key, row_key()).join(kept, (F.col(key) == F.col(key_at)) & F.col("doc_id").eqNullSafe(F.col(doc_at)), "left")
-    out = out.withColumn(new, rebuild("text", kept_at))
+    out = out.withColumn(new, rebuild.asNondeterministic()("text", kept_at))  # so a filter on what it gives doesn't run it twice
     return out.select(*[F.col(f"{new}.text").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns], f"{new}.n_lines", f"{new}.n_removed")
 
 
