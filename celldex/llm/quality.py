@@ -69,8 +69,9 @@ def calibrate(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, text, good of labelled rows; joined by a shuffle at every size, as labels grow with documents."""
     mean = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.avg("quality").alias("q")).where("q <> 0.5")
-    return docs.where(in_train()).select("doc_id", "text").join(mean.select("doc_id", (F.col("q") > 0.5).alias("good")), "doc_id")
+    return docs.where(in_train()).select("doc_id", "text").join(mean.select("doc_id", (F.col("q") > 0.5).alias("good")).hint("merge"), "doc_id")
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = SAMPLE):
