@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 #: Texts are handed to the kernels in pieces of about this many bytes.
 CHUNK_BYTES = 1 << 20
 
-#: Rows of a batch for Python, in what `written` runs.
-BATCH = 2048
+#: Most rows and bytes of a batch for Python, in what `written` runs; a batch ends at the first text that passes either.
+BATCH, BATCH_BYTES = 2048, 2 << 20
 
 SPACES = b" \t\n\x0b\x0c\r"
 
@@ -44,7 +44,7 @@ def shared_dir(spark: SparkSession) -> str:
 def written(df: DataFrame, what: str) -> DataFrame:
     """df as a Parquet table in the shared folder, read again: lineage ends there and survives lost executors.
 
-    Python gets batches of `BATCH` rows meanwhile, so that a partition of texts isn't one batch.
+    Python gets batches of `BATCH` rows or `BATCH_BYTES` meanwhile, so that a partition of texts isn't one batch.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/celldex/{what}-{uuid.uuid4().hex}"
@@ -53,16 +53,26 @@ def written(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def set_batches(spark: SparkSession, rows: int = BATCH, size: int = BATCH_BYTES) -> dict[str, str]:
+    """From now on a batch for Python has no more rows, and about no more bytes, than these; gives the settings as they were."""
+    was = {}
+    for name, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows), ("spark.sql.execution.arrow.maxBytesPerBatch", size)):
+        was[name] = spark.conf.get(name)
+        have = was[name].strip().lower().removesuffix("b")
+        if not have.lstrip("-").isdecimal() or not 0 < int(have) <= most:
+            spark.conf.set(name, most)
+    return was
+
+
 @contextlib.contextmanager
 def small_batches(spark: SparkSession, rows: int = 256) -> Iterator[None]:
     """While rows are large, for what runs inside: fewer of them at once go to Python."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    was = spark.conf.get(name)
-    spark.conf.set(name, min(rows, int(was)) if int(was) > 0 else rows)
+    was = set_batches(spark, rows)
     try:
         yield
     finally:
-        spark.conf.set(name, was)
+        for name, value in was.items():
+            spark.conf.set(name, value)
 
 
 def hand_back() -> None:

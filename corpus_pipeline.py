@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from celldex.llm.common import BATCH, fresh, row_key, table, written
+from celldex.llm.common import fresh, row_key, set_batches, table, written
 from celldex.llm.decontamination import decontaminate
 from celldex.llm.language_id import with_language
 from celldex.llm.line_dedup import line_dedup
@@ -17,23 +17,16 @@ from celldex.llm.ngram_join import ngram_join
 from celldex.llm.packing import pack
 
 
-def _small_batches(spark: SparkSession) -> None:
-    """Texts go to Python in batches of `BATCH` rows, also where a stage's result is written by its caller."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    was = int(spark.conf.get(name))
-    spark.conf.set(name, min(was, BATCH) if was > 0 else BATCH)
-
-
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language (null, or without a letter) go."""
-    _small_batches(spark)
+    set_batches(spark)  # also where the result is written by the caller
     name, score = fresh(docs, "lang_pred"), fresh(docs, "lang_score")
     return with_language(docs, name, score).where(F.col(name) != "und").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines go; a document of which nothing is left goes; n_chars is counted anew."""
-    _small_batches(spark)
+    set_batches(spark)  # also where the result is written by the caller
     out = line_dedup(docs.drop("n_lines", "n_removed"))
     left = out.where(F.coalesce(F.col("text") != "", F.lit(True)) | (F.col("n_removed") == 0))
     new = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
@@ -42,7 +35,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents, the one with the least id stays; those without an id stay."""
-    _small_batches(spark)
+    set_batches(spark)  # also where the result is written by the caller
     name = fresh(docs, "stay_id")
     stay = ngram_join(docs).where("doc_id is null or doc_id = component_id").select(F.col("doc_id").alias(name)).distinct()
     return docs.join(stay, F.col("doc_id").eqNullSafe(F.col(name)), "left_semi")
@@ -50,7 +43,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
-    _small_batches(spark)
+    set_batches(spark)  # also where the result is written by the caller
     key, hit_id, hit_key = (fresh(docs, c) for c in ("row_key", "hit_id", "hit_key"))
     hit = decontaminate(docs, table(spark, sf_dir, "benchmark")).where("contaminated").select(F.col("doc_id").alias(hit_id), F.col("key").alias(hit_key))
     rows = docs.withColumn(key, row_key())
