@@ -1,13 +1,15 @@
 """Jaccard join of documents' shingle sets: subsets for small sets, inverted lists for large ones.
 
-Sets are distinct shingles of 3 lower-cased words; documents with equal sets are one class, with the
-least id as its representative, and need no pairs.  Classes link if 100 |x & y| >= T |x | y|.
+Sets are distinct shingles of some lower-cased words, 5 if not told otherwise; documents with equal sets are one class, with the
+least id as its representative, and need no pairs.  Classes link if 100 |x & y| >= T |x | y|, with
+T = 80 if not told otherwise.
 
 Light sets (up to a boundary) are filed under every subset that leaves out no more than a link allows:
 two linked sets share the subset that is their intersection.  Heavy sets are filed in the inverted
 lists of their prefix: the first n - ceil(T n / 100) + 1 shingles, those of the table of most frequent
-shingles last; linked sets share one.  The boundary is the cheapest of `BOUNDARIES` by the sizes of the
-light sets, the subsets they would file, and the expected length of a list.
+shingles last; linked sets share one.  The boundary is the cheapest of the largest sizes of which a link
+allows 0 to `MOST_OUT` shingles to be left out (so a set has 106 subsets at T = 80, 436 at 90, at most), by
+the sizes of the light sets, the subsets they would file, and the expected length of a list.
 
 A list holds sets of like size only: sizes are cut in bands of `BAND` steps of 100 / T, and a set in
 the last step of a band is filed in the next one too.  Lists of up to `SMALL_LIST` classes are
@@ -19,7 +21,7 @@ range of hashes, of about `PER_PART` shingles each.  Longer lists aren't expande
    nearly all copies of a text, and gives each class x its difference D from the leader: the shingles
    it has more, then those it lacks.
 3. Classes in one list that aren't linked through the leader may still link with each other.  As
-   |x ^ y| = |Dx ^ Dy|, and |x ^ y| <= n / 9 at T = 90, they must share some of the first shingles of
+   |x ^ y| = |Dx ^ Dy|, and |x ^ y| <= n (100 - T) / T, they must share some of the first shingles of
    their differences (or have differences so small that none need be shared); those are joined, with
    a bound by position, and compared exactly.  Pairs of which both are linked to the leader are in one
    component already.  So no link between different texts is lost, for components.
@@ -44,12 +46,13 @@ from pyspark.sql import functions as F
 from .common import Membership, Words, chunks, lean, mix, most_frequent, signed, small_batches, written
 from .graph import components
 
-SHINGLE, PERCENT, BOUNDARIES, FREQUENT = 3, 90, (9, 19, 29), 1 << 20
+SHINGLE, PERCENT, FREQUENT = 5, 80, 1 << 20
+MOST_OUT, MOST_LIGHT = 2, 29
 SEEN_LEAST, SEEN_WITHIN = 3, 3_000_000
 SMALL_LIST, BAND, PER_PART, MOST_PARTS = 12, 3, 16, 1 << 14
 
 
-def sets(texts: list[bytes], shingle: int = SHINGLE) -> list[np.ndarray]:
+def sets(texts: list[bytes], shingle: int) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
     words = Words(texts, lower=True)
     at, grams = words.grams(shingle)
@@ -85,6 +88,11 @@ def least_overlap(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
+def boundaries(percent: int) -> list[int]:
+    """The largest sizes of which a link allows 0 to MOST_OUT shingles to be left out, MOST_LIGHT at most."""
+    return [min(MOST_LIGHT, -(-100 * (j + 1) // max(1, 100 - percent)) - 1) for j in range(MOST_OUT + 1)]
+
+
 def subsets(x: np.ndarray, percent: int) -> np.ndarray:
     """Hashes of the subsets of x that leave out no more than a link allows."""
     m = mix(x + np.uint64(0x1D8E4E27C47D124F))
@@ -132,7 +140,7 @@ class Filing:
         return np.concatenate(out)
 
 
-def _rows(docs: DataFrame, percent: int) -> DataFrame:
+def _rows(docs: DataFrame, shingle: int) -> DataFrame:
     """A row for each document: doc_id, n, h1, h2; and rows of shingles seen often within a task: shingle, seen."""
     names, kinds = ["doc_id", "n", "h1", "h2", "counts", "shingle", "seen"], [*[pa.int64()] * 4, pa.binary(), pa.int64(), pa.int64()]
 
@@ -147,7 +155,7 @@ def _rows(docs: DataFrame, percent: int) -> DataFrame:
 
         for batch in batches:
             for some in chunks(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True), size=lambda r: len(r[1] or b"")):
-                all_sets = sets([r[1] or b"" for r in some])
+                all_sets = sets([r[1] or b"" for r in some], shingle)
                 pending += all_sets
                 size += sum(map(len, all_sets))
                 h = [digest(x) for x in all_sets]
@@ -163,7 +171,7 @@ def _rows(docs: DataFrame, percent: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")).mapInArrow(lean(read), ", ".join(f"{c} {'binary' if c == 'counts' else 'long'}" for c in names))
 
 
-def _files(docs: DataFrame, filing, keep=None) -> DataFrame:
+def _files(docs: DataFrame, filing, shingle: int, keep=None) -> DataFrame:
     """key, cls: where each class is filed (by `keep`, a broadcast Membership, only in lists that it has)."""
 
     def file(batches):
@@ -171,7 +179,7 @@ def _files(docs: DataFrame, filing, keep=None) -> DataFrame:
         for batch in batches:
             for some in chunks(t for t in batch.column(0).to_pylist() if t):
                 keys, classes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-                for x in sets(some):
+                for x in sets(some, shingle):
                     if len(x) and (cls := digest(x)[0]) not in done:
                         done.add(cls)
                         keys.append(filing.value.keys(x))
@@ -185,7 +193,7 @@ def _files(docs: DataFrame, filing, keep=None) -> DataFrame:
     return docs.where("doc_id is not null").select(F.col("text").cast("binary")).mapInArrow(lean(file), "key long, cls long")
 
 
-def _sets_of(docs: DataFrame, classes: DataFrame) -> DataFrame:
+def _sets_of(docs: DataFrame, classes: DataFrame, shingle: int) -> DataFrame:
     """cls, items (sorted hashes, as bytes) of classes (cls, rep), read from their representatives."""
     spark = docs.sparkSession
     need = classes.select(F.xxhash64("rep").alias("at"))
@@ -197,7 +205,7 @@ def _sets_of(docs: DataFrame, classes: DataFrame) -> DataFrame:
             pick = np.flatnonzero(share.value.has(at))
             rows = batch.take(pa.array(pick))
             for some in chunks(zip(rows.column(0).to_pylist(), rows.column(2).to_pylist(), strict=True), size=lambda r: len(r[1])):
-                all_sets = sets([r[1] for r in some])
+                all_sets = sets([r[1] for r in some], shingle)
                 yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in some], pa.int64()), pa.array([digest(x)[0] for x in all_sets]), pa.array([x.tobytes() for x in all_sets], pa.binary())], ["rep", "cls", "items"])
 
     rows = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long"), F.xxhash64(F.col("doc_id").cast("long")).alias("at"), F.col("text").cast("binary"))
@@ -254,10 +262,10 @@ def _most_apart(n: int, percent: int) -> int:
     return n * (100 - percent) // percent
 
 
-def ngram_join(docs: DataFrame, percent: int = PERCENT, frequent: int = FREQUENT) -> DataFrame:
+def ngram_join(docs: DataFrame, percent: int = PERCENT, frequent: int = FREQUENT, shingle: int = SHINGLE) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of docs (doc_id, text)."""
     spark = docs.sparkSession
-    rows = written(_rows(docs, percent), "sets")
+    rows = written(_rows(docs, shingle), "sets")
     each = rows.where("n is not null").select("doc_id", "n", "h1", "h2", "counts")
     classes = written(each.where("n > 0 and doc_id is not null").groupBy("h1", "h2", "n", "counts").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "classes")
 
@@ -266,10 +274,10 @@ def ngram_join(docs: DataFrame, percent: int = PERCENT, frequent: int = FREQUENT
     value, count = top["shingle"].to_numpy().view(np.uint64), top["seen"].to_numpy()
     filing = spark.sparkContext.broadcast(Filing(value[np.lexsort((value, count))], _boundary(classes, seen, percent), percent))
 
-    live = _files(docs, filing).groupBy("key").agg(F.min("cls").alias("a"), F.max("cls").alias("b")).where("a <> b").select("key")
+    live = _files(docs, filing, shingle).groupBy("key").agg(F.min("cls").alias("a"), F.max("cls").alias("b")).where("a <> b").select("key")
     live = written(live, "lists")
     keep = spark.sparkContext.broadcast(Membership.of(live, "key", live.count()))
-    filed = written(_files(docs, filing, keep).distinct(), "filed")
+    filed = written(_files(docs, filing, shingle, keep).distinct(), "filed")
     named = classes.select(F.col("h1").alias("cls"), "rep", "copies", "n", "counts")
     ranked = filed.join(named.select("cls", "copies", "n"), "cls")
     lists = ranked.groupBy("key").agg(F.max(F.struct("copies", "cls")).alias("lead"), F.count("*").alias("size")).where("size > 1")
@@ -283,7 +291,7 @@ def ngram_join(docs: DataFrame, percent: int = PERCENT, frequent: int = FREQUENT
 
     met = stars.unionAll(direct)
     need = met.select(F.col("a").alias("cls")).unionAll(met.select("b")).distinct()
-    items = written(_sets_of(docs, written(named.join(need, "cls").select("cls", "rep"), "need")), "items")
+    items = written(_sets_of(docs, written(named.join(need, "cls").select("cls", "rep"), "need"), shingle), "items")
     with small_batches(spark):
         compared = written(_compared(stars, items, percent, True), "compared")
 
@@ -312,7 +320,7 @@ def ngram_join(docs: DataFrame, percent: int = PERCENT, frequent: int = FREQUENT
 
 def _boundary(classes: DataFrame, seen: DataFrame, percent: int) -> int:
     """The size up to which filing subsets is cheaper than scanning inverted lists."""
-    size = {r["n"]: r["count"] for r in classes.where(F.col("n") <= max(BOUNDARIES)).groupBy("n").count().collect()}
+    size = {r["n"]: r["count"] for r in classes.where(F.col("n") <= max(boundaries(percent))).groupBy("n").count().collect()}
     total = classes.agg(F.sum(F.col("n") * F.col("copies"))).head()[0] or 1
     length = 1 + (seen.agg(F.sum(F.col("seen").cast("double") * F.col("seen"))).head()[0] or 0) / total
 
@@ -323,16 +331,16 @@ def _boundary(classes: DataFrame, seen: DataFrame, percent: int) -> int:
             term = term * (n - j) // (j + 1)
         return out
 
-    cost = {t: sum(k * (light(n) if n <= t else (n - least_overlap(n, percent) + 1) * length) for n, k in size.items()) for t in BOUNDARIES}
+    cost = {t: sum(k * (light(n) if n <= t else (n - least_overlap(n, percent) + 1) * length) for n, k in size.items()) for t in boundaries(percent)}
     return min(cost, key=lambda t: (cost[t], t))
 
 
-def brute(texts: dict[int, str | None], percent: int = PERCENT) -> dict[int, tuple[int, int]]:
+def brute(texts: dict[int, str | None], percent: int = PERCENT, shingle: int = SHINGLE) -> dict[int, tuple[int, int]]:
     """n_shingles and component_id by doc_id, the plain way; for tests."""
     own: dict[int, frozenset] = {}
     for k, t in texts.items():
         w = bytes(c + 32 if 65 <= c <= 90 else c for c in (t or "").encode()).split()
-        own[k] = frozenset(tuple(w[i : i + SHINGLE]) for i in range(max(1, len(w) - SHINGLE + 1))) if w else frozenset()
+        own[k] = frozenset(tuple(w[i : i + shingle]) for i in range(max(1, len(w) - shingle + 1))) if w else frozenset()
     top = {k: k for k in own}
 
     def root(k: int) -> int:

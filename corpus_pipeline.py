@@ -34,10 +34,10 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents, the one with the least id stays; those without an id stay."""
+    """Of each group of documents linked by 80 % of their shingles of 5 words, the one with the least id stays; those without an id stay."""
     set_batches(spark)  # also where the result is written by the caller
     name = fresh(docs, "stay_id")
-    stay = ngram_join(docs).where("doc_id is null or doc_id = component_id").select(F.col("doc_id").alias(name)).distinct()
+    stay = ngram_join(docs, percent=80, shingle=5).where("doc_id is null or doc_id = component_id").select(F.col("doc_id").alias(name)).distinct()
     return docs.join(stay, F.col("doc_id").eqNullSafe(F.col(name)), "left_semi")
 
 
