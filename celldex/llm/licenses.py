@@ -5,6 +5,11 @@ every run of punctuation and white space as one space.  Its SHA-256 is looked up
 the digests of known licences by a hash join.  Whole documents are looked up, and each line of a
 document as a text of its own.  All of it is Spark SQL functions.
 
+Known are `KNOWN` and the full texts of the table known_licenses.jsonl (license, text), each also with its
+usual title lines, with the line "All rights reserved." after them, as one line a paragraph, and with lines
+broken at `WIDTHS`: as copyright lines are left out, a text has another form where a line begins with that word.
+The long ones, which have no title of their own in `TITLES`, are looked up as printed and unbroken only.
+
 Digests of known texts are broadcast up to `MOST_KNOWN` of them, joined by shuffle beyond.  Rows of
 one id are one document (their lines are taken together; so are those without an id).  Null text has
 no lines.  Empty canonical forms match nothing.
@@ -12,8 +17,12 @@ no lines.  Empty canonical forms match nothing.
 
 from __future__ import annotations
 
+import json
 import re
+import textwrap
+from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,7 +45,7 @@ SPELLINGS = {
     " per cent ": " percent ",
 }
 
-# Public licence texts and the one-line notices that stand for a licence.
+# Public licence texts and the one-line notices that stand for a licence; the SQL's table.
 KNOWN = {
     "LicenseRef-all-rights-reserved": ["All rights reserved."],
     "Apache-2.0": ["Licensed under the Apache License, Version 2.0."],
@@ -54,6 +63,19 @@ KNOWN = {
     ],
 }
 
+# What stands above a licence's text, if anything does.
+TITLES = {
+    "0BSD": ["BSD Zero Clause License", "Zero-Clause BSD", "BSD 0-Clause License", "Zero-Clause BSD License"],
+    "BSD-2-Clause": ["BSD 2-Clause License", 'BSD 2-Clause "Simplified" License', "The BSD 2-Clause License", "BSD License", "Simplified BSD License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", 'BSD 3-Clause "New" or "Revised" License', "The BSD 3-Clause License", "BSD License", "New BSD License", "The BSD License"],
+    "ISC": ["ISC License", "The ISC License", "ISC License (ISC)"],
+    "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)", "MIT"],
+    "Zlib": ["zlib License", "The zlib License", "zlib/libpng License"],
+}
+WIDTHS = range(60, 101)
+_TABLE = Path(__file__).with_name("known_licenses.jsonl")
+_BREAK = r"\n\s*\n|\n(?=\s*(?:[*-]|\d+\.)\s)"
+
 # Punctuation and white space that count as a space.
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~\t\n\x0b\f\r\xa0«»“”‘’„–—…•·¿¡"
 _COPYRIGHT = r"^[ \t]*(copyright|\(c\)|©)"
@@ -75,9 +97,33 @@ def forms(text: Column) -> Column:
     return F.transform(F.array(lines), lambda x: F.concat(F.array(F.array_join(F.filter(x, lambda y: y != ""), " ")), x))[0]
 
 
+def _layouts(text: str, widths) -> list[str]:
+    """The text as it is, unbroken and broken at some widths; those that leave out the same copyright lines once."""
+    paragraphs = [" ".join(p.split()) for p in re.split(_BREAK, text)]
+    out = {}
+    for lines in [text.split("\n"), paragraphs, *([x for p in paragraphs for x in textwrap.wrap(p, w)] for w in widths)]:
+        out.setdefault(" ".join(" ".join(x for x in lines if not re.search(_COPYRIGHT, x.lower())).split()), "\n".join(lines))
+    return list(out.values())
+
+
+def known_texts() -> list[tuple[str, str]]:
+    """license, text of all that is looked up."""
+    rows = [(k, t) for k, texts in sorted(KNOWN.items()) for t in texts]
+    rows += [(x["license"], x["text"]) for x in map(json.loads, _TABLE.read_text(encoding="utf-8").splitlines())]
+    out = []
+    for name, text in rows:
+        if "\n" not in text:
+            out.append((name, text))
+            continue
+        titles = TITLES.get(name)
+        above = [f"{t}\n{r}" for t in ["", *titles] for r in ("", "All rights reserved.\n")] if titles else [""]
+        out += [(name, a + x) for x in _layouts(text, WIDTHS if titles else ()) for a in above]
+    return out
+
+
 def known(spark: SparkSession) -> DataFrame:
-    rows = F.array(*[F.struct(F.lit(k).alias("license"), F.lit(t).alias("text")) for k, texts in sorted(KNOWN.items()) for t in texts])
-    return spark.range(1).select(F.inline(rows))
+    names, texts = zip(*known_texts(), strict=True)
+    return spark.createDataFrame(pa.table({"license": pa.array(names), "text": pa.array(texts)}))
 
 
 def license_scan(docs: DataFrame, licences: DataFrame) -> DataFrame:
