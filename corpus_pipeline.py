@@ -18,10 +18,10 @@ from celldex.llm.packing import pack
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language (null, or without a letter) go."""
+    """Documents without a letter (null too) go, and no others: neither the language nor its score decides, nor whether there are labels."""
     set_batches(spark)  # also where the result is written by the caller
     name, score = fresh(docs, "lang_pred"), fresh(docs, "lang_score")
-    return with_language(docs, name, score).where(F.col(name) != "und").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return with_language(docs, name, score).where((F.col(name) != "und") | F.col("text").rlike("\\p{L}")).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
