@@ -25,7 +25,7 @@ range of hashes, of about `PER_PART` shingles each.  Longer lists aren't expande
    their differences (or have differences so small that none need be shared); those are joined, with
    a bound by position, and compared exactly.  Pairs of which both are linked to the leader are in one
    component already.  So no link between different texts is lost, for components.
-4. Components are found over representatives.
+4. Components are found over classes, not ids: two texts of one id don't link what they link with.
 
 Classes are told apart by 128-bit digests in results and by 64 bits in lists.
 
@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Membership, Words, chunks, lean, mix, most_frequent, signed, small_batches, written
+from .common import Membership, Words, chunks, lean, mix, most_frequent, row_key, signed, small_batches, written
 from .graph import components
 
 SHINGLE, PERCENT, FREQUENT = 5, 80, 1 << 20
@@ -141,8 +141,8 @@ class Filing:
 
 
 def _rows(docs: DataFrame, shingle: int) -> DataFrame:
-    """A row for each document: doc_id, n, h1, h2; and rows of shingles seen often within a task: shingle, seen."""
-    names, kinds = ["doc_id", "n", "h1", "h2", "counts", "shingle", "seen"], [*[pa.int64()] * 4, pa.binary(), pa.int64(), pa.int64()]
+    """A row for each document: doc_id, n, h1, h2, counts, key; and rows of shingles seen often within a task: shingle, seen."""
+    names, kinds = ["doc_id", "n", "h1", "h2", "counts", "key", "shingle", "seen"], [*[pa.int64()] * 4, pa.binary(), *[pa.int64()] * 3]
 
     def read(batches):
         pending, size = [], 0
@@ -151,15 +151,15 @@ def _rows(docs: DataFrame, shingle: int) -> DataFrame:
             value, n = np.unique(np.concatenate(pending), return_counts=True)
             value, n = value[n >= SEEN_LEAST], n[n >= SEEN_LEAST]
             none = pa.nulls(len(n), pa.int64())
-            return pa.RecordBatch.from_arrays([none] * 4 + [pa.nulls(len(n), pa.binary()), pa.array(signed(value)), pa.array(n)], names)
+            return pa.RecordBatch.from_arrays([none] * 4 + [pa.nulls(len(n), pa.binary()), none, pa.array(signed(value)), pa.array(n)], names)
 
         for batch in batches:
-            for some in chunks(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True), size=lambda r: len(r[1] or b"")):
+            for some in chunks(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True), size=lambda r: len(r[1] or b"")):
                 all_sets = sets([r[1] or b"" for r in some], shingle)
                 pending += all_sets
                 size += sum(map(len, all_sets))
                 h = [digest(x) for x in all_sets]
-                cols = [[r[0] for r in some], [len(x) for x in all_sets], [a for a, _ in h], [b for _, b in h], [counts(x).tobytes() for x in all_sets]]
+                cols = [[r[0] for r in some], [len(x) for x in all_sets], [a for a, _ in h], [b for _, b in h], [counts(x).tobytes() for x in all_sets], [r[2] for r in some]]
                 none = pa.nulls(len(some), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=False)] + [none, none], names)
                 if size > SEEN_WITHIN:
@@ -168,7 +168,7 @@ def _rows(docs: DataFrame, shingle: int) -> DataFrame:
         if pending:
             yield often()
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")).mapInArrow(lean(read), ", ".join(f"{c} {'binary' if c == 'counts' else 'long'}" for c in names))
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary"), row_key()).mapInArrow(lean(read), ", ".join(f"{c} {'binary' if c == 'counts' else 'long'}" for c in names))
 
 
 def _files(docs: DataFrame, filing, shingle: int, keep=None) -> DataFrame:
@@ -263,10 +263,10 @@ def _most_apart(n: int, percent: int) -> int:
 
 
 def ngram_join(docs: DataFrame, percent: int = PERCENT, frequent: int = FREQUENT, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row of docs (doc_id, text)."""
+    """doc_id, n_shingles, component_id, key (`row_key`) of every row of docs (doc_id, text)."""
     spark = docs.sparkSession
     rows = written(_rows(docs, shingle), "sets")
-    each = rows.where("n is not null").select("doc_id", "n", "h1", "h2", "counts")
+    each = rows.where("n is not null").select("doc_id", "n", "h1", "h2", "counts", "key")
     classes = written(each.where("n > 0 and doc_id is not null").groupBy("h1", "h2", "n", "counts").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "classes")
 
     seen = written(rows.where("seen is not null").groupBy("shingle").agg(F.sum("seen").alias("seen")), "seen")
@@ -311,11 +311,12 @@ def ngram_join(docs: DataFrame, percent: int = PERCENT, frequent: int = FREQUENT
         more = written(_compared(pairs.unionAll(direct), items, percent, False), "compared")
 
     links = compared.where("link").select("a", "b").unionAll(more.where("link").select("a", "b"))
-    links = links.join(named.select(F.col("cls").alias("a"), F.col("rep").alias("ra")), "a").join(named.select(F.col("cls").alias("b"), F.col("rep").alias("rb")), "b")
-    found = components(links.select(F.col("ra").alias("a"), F.col("rb").alias("b")))
-    of_class = written(classes.join(found.withColumnRenamed("id", "rep"), "rep", "left").select("h1", "h2", F.coalesce("component", "rep").alias("component")), "components")
+    found = written(components(links).withColumnRenamed("id", "h1"), "linked")
+    least = classes.join(found, "h1").groupBy("component").agg(F.min("rep").alias("least"))
+    to = found.join(least, "component").select("h1", "least")
+    of_class = written(classes.join(to, "h1", "left").select("h1", "h2", F.coalesce("least", "rep").alias("component")), "components")
     out = each.join(of_class, ["h1", "h2"], "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"), "key")
 
 
 def _boundary(classes: DataFrame, seen: DataFrame, percent: int) -> int:

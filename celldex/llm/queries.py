@@ -46,7 +46,7 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .ngram_join import ngram_join
 
-    return ngram_join(table(spark, sf_dir, "documents"), percent=90, shingle=3)
+    return ngram_join(table(spark, sf_dir, "documents"), percent=90, shingle=3).drop("key")
 
 
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,11 +34,17 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents linked by 80 % of their shingles of 5 words, the one with the least id stays; those without an id stay."""
+    """Of each group of documents linked by 80 % of their shingles of 5 words, the one with the least id stays; those without an id stay.
+
+    Rows are judged by id and text; of those that repeat both, one stays.  Texts of one id that link with each other all stay.
+    """
     set_batches(spark)  # also where the result is written by the caller
-    name = fresh(docs, "stay_id")
-    stay = ngram_join(docs, percent=80, shingle=5).where("doc_id is null or doc_id = component_id").select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(stay, F.col("doc_id").eqNullSafe(F.col(name)), "left_semi")
+    key, stay_id, stay_key = (fresh(docs, c) for c in ("row_key", "stay_id", "stay_key"))
+    stay = ngram_join(docs, percent=80, shingle=5).where("doc_id is null or doc_id = component_id")
+    stay = written(stay.groupBy(F.col("doc_id").alias(stay_id), F.col("key").alias(stay_key)).agg(F.count("*").alias("copies")), "stay")
+    rows, one = docs.withColumn(key, row_key()), F.col(stay_id).isNull() | (F.col("copies") == 1)
+    of = lambda some: rows.join(some, (F.col(key) == F.col(stay_key)) & F.col("doc_id").eqNullSafe(F.col(stay_id)), "left_semi").drop(key)
+    return of(stay.where(one)).unionAll(of(stay.where(~one)).dropDuplicates(["doc_id", "text"]))
 
 
 def benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
