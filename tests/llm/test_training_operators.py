@@ -145,6 +145,16 @@ def test_packing_plan_wastes_little():
     for length, a, b, _, _ in runs:
         placed[length] += b - a
     assert (placed == n).all() and 1 - (n * np.arange(4096)).sum() / (4096 * total) < 0.01
+    assert packing.plan_of(n)[2] > n.sum() / 2
+
+
+def test_repeats_never_ask_for_more_than_there_is():
+    r = np.random.default_rng(1)
+    ways = packing.combinations(16, 4)
+    a = np.array([[w.count(b) for w in ways] for b in range(1, 17)], float)
+    for hist in (r.integers(0, 50, 16), np.eye(16, dtype=int)[3] * 40, np.zeros(16, int)):
+        x = packing.repeats(a, hist)
+        assert (x >= 0).all() and (a @ x <= hist).all()
 
 
 def test_language_id(spark):
