@@ -11,15 +11,17 @@ part, reach the fine round; that leaves out no pair.
 
 1. Coarse keys of all lines; a grouped minimum and maximum of line hashes finds keys of two lines.
 2. A bitmap of those keys picks candidate lines on a second reading of the texts.
-3. Variants of candidates, grouped: the earliest line of each key.  No pair inside a group is made; a
-   line only needs the earliest.  A key of a changed character joins its lines pairwise; in one of an
+3. Variants of candidates: a grouped minimum and maximum finds those of two lines, whose bitmap lets only
+   such variants be shuffled with their places.  Grouped, they give the earliest line of each key.  No
+   pair inside a group is made; a line only needs the earliest.  A key of a changed character joins its lines pairwise; in one of an
    added character the shorter line is within one edit of all others, so either side is compared with
    the earliest of the other.
 4. The edit distance of each line and the earliest it met is verified on their texts.
 5. The earliest of every distinct line stays, unless removed by 4; texts are put together again.
 
 A line is removed if an earlier line, by (doc_id, line number), equals it or is within one edit of
-it, whether or not that one stays.  Lines of fewer than `FUZZY_FROM` characters must be equal.
+it, whether or not that one stays.  The edit bound is one for lines of `FUZZY_FROM` characters or more and
+none for shorter ones, of which one edit makes another word or number; it is the same at every size of input.
 Lines are compared unchanged; lines of white space are never removed.  If every other line of a text
 is removed, its text is empty.  Null text stays null and has no lines.  Null ids come first in order.
 Rows that repeat an id and its text are one document, and stay alike.  Other columns are kept;
@@ -163,16 +165,29 @@ def variants(line: str, parts: list[int]) -> tuple[np.ndarray, np.ndarray]:
 def _removed(candidates: DataFrame) -> DataFrame:
     """h1, h2 of lines with an earlier line within one edit, verified on the texts."""
 
-    def spread(batches):
-        for batch in batches:
-            for some in chunks(zip(*(batch.column(i).to_pylist() for i in range(7)), strict=True), size=lambda r: 64 + len(r[5]), most=1 << 18):
-                got = [variants(r[5], r[6]) for r in some]
-                n = np.array([len(k) for k, _ in got])
-                cols = [np.concatenate([k for k, _ in got]).view(np.int64), np.concatenate([r for _, r in got])]
-                fixed = [pa.array([r[i] for r in some], pa.int64()).take(pa.array(np.repeat(np.arange(len(some)), n))) for i in range(5)]
-                yield pa.RecordBatch.from_arrays([pa.array(cols[0]), pa.array(cols[1]), *fixed], ["variant", "role", "h1", "h2", "doc", "number", "key"])
-
-    rows = candidates.select("h1", "h2", "at.doc", "at.number", "at.key", "line", "parts").mapInArrow(lean(spread), "variant long, role byte, h1 long, h2 long, doc long, number long, key long")
+    def spread(keep=None):
+        """Variants and lines; by `keep`, a broadcast Membership, only variants that it has, with all columns."""
+
+        def run(batches):
+            for batch in batches:
+                for some in chunks(zip(*(batch.column(i).to_pylist() for i in range(7)), strict=True), size=lambda r: 64 + len(r[5]), most=1 << 18):
+                    got = [variants(r[5], r[6]) for r in some]
+                    key, role = (np.concatenate([g[i] for g in got]) for i in (0, 1))
+                    of = np.repeat(np.arange(len(some)), [len(k) for k, _ in got])
+                    if keep is None:
+                        yield pa.RecordBatch.from_arrays([pa.array(signed(key)), pa.array([r[0] for r in some], pa.int64()).take(pa.array(of))], ["variant", "h1"])
+                        continue
+                    ok = keep.value.has(key)
+                    fixed = [pa.array([r[i] for r in some], pa.int64()).take(pa.array(of[ok])) for i in range(5)]
+                    yield pa.RecordBatch.from_arrays([pa.array(signed(key[ok])), pa.array(role[ok]), *fixed], ["variant", "role", "h1", "h2", "doc", "number", "key"])
+
+        return run
+
+    places = candidates.select("h1", "h2", "at.doc", "at.number", "at.key", "line", "parts")
+    every = places.mapInArrow(lean(spread()), "variant long, h1 long")
+    live = written(every.groupBy("variant").agg(F.min("h1").alias("low"), F.max("h1").alias("high")).where("low <> high").select("variant"), "live")
+    keep = candidates.sparkSession.sparkContext.broadcast(Membership.of(live, "variant", live.count()))
+    rows = places.mapInArrow(lean(spread(keep)), "variant long, role byte, h1 long, h2 long, doc long, number long, key long")
     rows = written(rows.select("variant", "role", "h1", "h2", F.struct("doc", "number", "key").alias("at")), "variants")
     me = F.struct("at", "h1", "h2")
     of = lambda *roles: F.min(F.when(F.col("role").isin(*roles), me))
