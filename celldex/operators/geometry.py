@@ -17,20 +17,16 @@ def _inside(pixels: DataFrame) -> DataFrame:
 def morphology(pixels: DataFrame) -> DataFrame:
     """area, centroid, bounding box, axis lengths and eccentricity by label, of the ellipse of equal second moments.
 
-    Moments come from sums of whole numbers, so they don't depend on the order of rows.
+    Second moments are folded about running means, so large coordinates neither overflow nor lose places.
     """
-    s = lambda e: F.sum(F.expr(e))
     sums = _inside(pixels).groupBy("label").agg(
-        F.count("*").alias("area"), s("x").alias("sx"), s("y").alias("sy"), s("x * x").alias("sxx"), s("y * y").alias("syy"), s("x * y").alias("sxy"),
+        F.count("*").alias("area"), F.avg("x").alias("cx"), F.avg("y").alias("cy"), F.var_pop("x").alias("cxx"), F.var_pop("y").alias("cyy"), F.covar_pop("x", "y").alias("cxy"),
         F.min("x").alias("x0"), F.min("y").alias("y0"), F.max("x").alias("x1"), F.max("y").alias("y1"),
     )
-    n = F.col("area").cast("double")
-    cov = lambda ab, a, b: (F.col("area") * F.col(ab) - F.col(a) * F.col(b)).cast("double") / (n * n)
-    sums = sums.withColumns({"cxx": cov("sxx", "sx", "sx"), "cyy": cov("syy", "sy", "sy"), "cxy": cov("sxy", "sx", "sy")})
     half, root = (F.col("cxx") + F.col("cyy")) / 2, F.sqrt(((F.col("cxx") - F.col("cyy")) / 2) * ((F.col("cxx") - F.col("cyy")) / 2) + F.col("cxy") * F.col("cxy"))
     sums = sums.withColumns({"l1": half + root, "l2": F.greatest(half - root, F.lit(0.0))})
     shape = [(4 * F.sqrt("l1")).alias("major"), (4 * F.sqrt("l2")).alias("minor"), F.when(F.col("l1") > 0, F.sqrt(1 - F.col("l2") / F.col("l1"))).otherwise(0.0).alias("eccentricity")]
-    return sums.select("label", "area", (F.col("sx") / n).alias("cx"), (F.col("sy") / n).alias("cy"), "x0", "y0", "x1", "y1", *shape)
+    return sums.select("label", "area", "cx", "cy", "x0", "y0", "x1", "y1", *shape)
 
 
 def boundary(pixels: DataFrame) -> DataFrame:

@@ -11,21 +11,23 @@ from ..sources.tables import shared_dir
 
 
 def dense_labels(rows: DataFrame, label: str) -> DataFrame:
-    """rows with label replaced, in a column of that name, by its place (from 1) among the distinct labels in order; NULL stays.
+    """rows with label replaced, in a column of that name, by its place (from 1) among the distinct labels in order; NULL and 0 stay.
 
     Distinct labels are cut in ranges, numbered within each, and ranges get offsets from their sizes, so
     no task sees all labels.  The ranges are a table, as cutting them again could give others.
     """
     spark = rows.sparkSession
     path = f"{shared_dir(spark)}/celldex/ranges-{uuid.uuid4().hex}"
-    cut = rows.where(F.col(label).isNotNull()).select(F.col(label).alias("_old")).distinct().repartitionByRange("_old")
+    cut = rows.where(F.col(label) != 0).select(F.col(label).alias("_old")).distinct().repartitionByRange("_old")
     cut.select("_old", F.spark_partition_id().alias("_range")).write.parquet(path)
     cut = spark.read.parquet(path)
     sizes = cut.groupBy("_range").agg(F.count("*").alias("n"))
     before = F.coalesce(F.sum("n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row a range
     place = F.row_number().over(Window.partitionBy("_range").orderBy("_old"))
     new = cut.withColumn("_at", place).join(F.broadcast(sizes.select("_range", before.alias("_before"))), "_range").select("_old", (F.col("_at") + F.col("_before")).alias("label"))
-    return rows.join(new, F.col(label) == F.col("_old"), "left").drop("_old")
+    out = rows.withColumnRenamed(label, "_was") if label == "label" else rows.withColumn("_was", F.col(label))
+    out = out.join(new, F.col("_was") == F.col("_old"), "left").drop("_old")
+    return out.withColumn("label", F.coalesce("label", F.when(F.col("_was") == 0, F.lit(0)))).drop("_was")
 
 
 def agreement(a: DataFrame, a_key: str, b: DataFrame, b_key: str) -> DataFrame:
@@ -35,11 +37,11 @@ def agreement(a: DataFrame, a_key: str, b: DataFrame, b_key: str) -> DataFrame:
     return by.agg(*[F.count_if(F.col("side") == v).alias(c) for c, v in (("missing", 1), ("extra", 2), ("both", 3))])
 
 
-def reference_rows(rows: DataFrame, group: str, order: list[str], row_id: str, flag: Column) -> DataFrame:
-    """rows with row_index (from 0, in order) and is_reference: the flagged row of least id; without one, none is."""
-    w = Window.partitionBy(group)
-    first = F.min(F.when(flag, F.col(row_id))).over(w)
-    return rows.withColumns({"row_index": (F.row_number().over(w.orderBy(*order)) - 1).cast("long"), "is_reference": F.coalesce(F.col(row_id) == first, F.lit(False))})
+def reference_rows(rows: DataFrame, group: str, order: list[str], flag: Column) -> DataFrame:
+    """rows with row_index (from 0, in order) and is_reference: the first flagged row in order; without one, none is."""
+    w = Window.partitionBy(group).orderBy(*order)
+    nth = F.sum(F.when(flag, 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    return rows.withColumns({"row_index": (F.row_number().over(w) - 1).cast("long"), "is_reference": F.coalesce(flag, F.lit(False)) & (nth == 1)})
 
 
 def problems(rows: DataFrame, key: list[str], rules: dict[str, Column]) -> DataFrame:

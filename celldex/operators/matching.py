@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.tables import shared_dir
-from .pairing import within
+from .pairing import mutual_nearest, within
 
 
 def _kept(df: DataFrame, what: str) -> DataFrame:
@@ -20,19 +20,19 @@ def _kept(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def components(links: DataFrame) -> DataFrame:
-    """node, component: the least node each node of links (a, b) reaches.
+def components(links: DataFrame, kept=_kept) -> DataFrame:
+    """node, component: the least node each node of links (a, b) reaches; `kept` writes a table and reads it again.
 
     Least labels spread over links, and labels take their own label's, until a round changes nothing.
     """
-    ends = _kept(links.select("a", "b").union(links.select("b", "a")).distinct(), "ends")
-    now = _kept(ends.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("component")), "labels")
+    ends = kept(links.select("a", "b").union(links.select("b", "a")).distinct(), "ends")
+    now = kept(ends.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("component")), "labels")
     changed = True
     while changed:
         seen = ends.join(now.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("least"))
         spread = now.join(seen, "node").select("node", F.col("component").alias("before"), F.least("component", "least").alias("mid"))
         up = now.select(F.col("node").alias("mid"), F.col("component").alias("top"))
-        after = _kept(spread.join(up, "mid", "left").select("node", "before", F.least("mid", "top").alias("component")), "labels")
+        after = kept(spread.join(up, "mid", "left").select("node", "before", F.least("mid", "top").alias("component")), "labels")
         changed = not after.where("before <> component").isEmpty()
         now = after.select("node", "component")
     return now
@@ -90,10 +90,10 @@ def _best(frame: pd.DataFrame) -> pd.DataFrame:
 
 
 def best_matches(a: DataFrame, b: DataFrame, radius: float, most: int = 5000) -> DataFrame:
-    """a, b, distance: one-to-one pairs of points (id, x, y) in reach, as many as can be, then nearest in sum.
+    """a, b, distance, exact: one-to-one pairs of points (id, x, y) in reach, as many as can be, then nearest in sum.
 
     Components of up to `most` points are solved exactly, each in a task; in larger ones, points that are
-    each other's nearest are paired, which needs no component in one place.
+    each other's nearest are paired, which needs no component in one place; `exact` is false for those.
     """
     pairs = _kept(within(a, b, radius), "pairs")
     nodes = components(pairs.select((F.col("a") * 2).alias("a"), (F.col("b") * 2 + 1).alias("b")))
@@ -103,4 +103,37 @@ def best_matches(a: DataFrame, b: DataFrame, radius: float, most: int = 5000) ->
     large = known.where(F.col("size") > most)
     near = lambda k, o: large.groupBy(k).agg(F.min(F.struct("d2", o)).alias("m")).select(k, F.col(f"m.{o}").alias(o), F.col("m.d2").alias("d2"))
     mutual = near("a", "b").join(near("b", "a").select("a", "b"), ["a", "b"]).select("a", "b", F.sqrt("d2").alias("distance"))
-    return small.unionByName(mutual)
+    return small.withColumn("exact", F.lit(True)).unionByName(mutual.withColumn("exact", F.lit(False)))
+
+
+def match_cells(a: DataFrame, b: DataFrame, radius: float, method: str = "lsa") -> DataFrame:
+    """Pairs of points by `best_matches` (lsa) or `mutual_nearest` (mutual_nn): a, b, distance."""
+    if method == "lsa":
+        return best_matches(a, b, radius).select("a", "b", "distance")
+    if method == "mutual_nn":
+        return mutual_nearest(a, b, radius).select("a", "b", F.sqrt("d2").alias("distance"))
+    raise ValueError(f"unknown method {method!r}")
+
+
+def matched_masks(pixels: DataFrame, group: str) -> DataFrame:
+    """group, cell, nucleus, label: cells, in order, each with the free nucleus of which it leaves out the least share.
+
+    pixels (group, cell, nucleus, interior): interior is false on a cell's own boundary.  Spark counts the
+    overlaps; a group's counts (not its pixels) are matched one after the other in a task, as each choice
+    depends on those before.
+    """
+    size = pixels.where("nucleus > 0").groupBy(group, "nucleus").agg(F.count("*").alias("size"))
+    over = pixels.where("nucleus > 0 and cell > 0 and interior").groupBy(group, "cell", "nucleus").agg(F.count("*").alias("n"))
+    left_out = over.join(size, [group, "nucleus"]).select(group, "cell", "nucleus", ((F.col("size") - F.col("n")) / F.col("size")).alias("out"))
+
+    def greedy(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        taken, rows = set(), []
+        for cell, some in frame.sort_values(["cell", "out", "nucleus"]).groupby("cell", sort=True):
+            free = next((n for n, out in zip(some["nucleus"], some["out"], strict=True) if n not in taken and out < 1), None)
+            if free is not None:
+                taken.add(free)
+                rows.append((key[0], cell, free, len(rows) + 1))
+        return pd.DataFrame(rows, columns=[group, "cell", "nucleus", "label"])
+
+    kind = pixels.schema[group].dataType.simpleString()
+    return left_out.groupBy(group).applyInPandas(greedy, f"{group} {kind}, cell long, nucleus long, label long")

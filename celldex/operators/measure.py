@@ -20,10 +20,62 @@ def compartments(pixels: DataFrame, label: str, value: str, nucleus: Column) ->
 
 
 def zscore(rows: DataFrame, group: str, value: str) -> DataFrame:
-    """Adds z; 0 where the group's sample deviation is 0 or unknown, NULL where the value is."""
-    stats = rows.groupBy(group).agg(F.avg(value).alias("_mean"), F.stddev_samp(value).alias("_sd"))
-    z = F.when(F.col(value).isNull(), None).when(F.coalesce(F.col("_sd"), F.lit(0.0)) == 0, 0.0).otherwise((F.col(value) - F.col("_mean")) / F.col("_sd"))
-    return rows.join(stats, group, "left").withColumn("z", z).drop("_mean", "_sd")
+    """Adds z, by the population's deviation; 0 where the sample's is 0 or unknown, NULL where the value is."""
+    stats = rows.groupBy(group).agg(F.avg(value).alias("_mean"), F.stddev_samp(value).alias("_sample"), F.stddev_pop(value).alias("_sd"))
+    z = F.when(F.col(value).isNull(), None).when(F.coalesce(F.col("_sample"), F.lit(0.0)) == 0, 0.0).otherwise((F.col(value) - F.col("_mean")) / F.col("_sd"))
+    return rows.join(stats, group, "left").withColumn("z", z).drop("_mean", "_sample", "_sd")
+
+
+def table_zscore(rows: DataFrame, group: str, value: str) -> DataFrame:
+    """Adds z of values as 4-byte floats; 0 wherever there is no deviation, and for missing values too."""
+    v = F.col(value).cast("float").cast("double")
+    stats = rows.groupBy(group).agg(F.avg(v).alias("_mean"), F.stddev_pop(v).alias("_sd"))
+    return rows.join(stats, group, "left").withColumn("z", F.coalesce(F.when(F.col("_sd") > 0, (v - F.col("_mean")) / F.col("_sd")), F.lit(0.0))).drop("_mean", "_sd")
+
+
+def pixel_stats(pixels: DataFrame, group: str, value: str, most: float) -> DataFrame:
+    """By group: n, least, greatest, sum, negative values and their percentage, values beyond 0.9 of the type's
+    greatest, and whether more than 0.01 % are (as wrapped negatives would be).  One grouped aggregate: tasks fold their own part.
+    """
+    v = F.col(value)
+    by = pixels.groupBy(group).agg(
+        F.count(v).alias("n"), F.min(v).alias("least"), F.max(v).alias("greatest"), F.coalesce(F.sum(v), F.lit(0.0)).alias("total"),
+        F.count_if(v < 0).alias("negative"), F.count_if(v > 0.9 * most).alias("wrapped"),
+    )
+    share = lambda c: F.coalesce(F.try_divide(100.0 * F.col(c), F.col("n")), F.lit(0.0))
+    return by.select("*", share("negative").alias("negative_pct"), (share("wrapped") > 0.01).alias("is_wrapped"))
+
+
+def long_histograms(rows: DataFrame, columns: list[str], bins: int) -> DataFrame:
+    """marker, bin, n, median: a histogram of each column over its own range, from one unpivot; NULL and NaN don't count."""
+    long = rows.unpivot([], columns, "marker", "v").where("v is not null and not isnan(v)")
+    ends = long.groupBy("marker").agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.median("v").alias("median"))
+    width = F.when(F.col("hi") > F.col("lo"), F.col("hi") - F.col("lo")).otherwise(1.0)
+    at = F.least(F.floor((F.col("v") - F.col("lo")) / width * bins), F.lit(bins - 1)).cast("long")
+    return long.join(F.broadcast(ends), "marker").groupBy("marker", at.alias("bin")).agg(F.count("*").alias("n"), F.first("median").alias("median"))
+
+
+def size_uniformity(pixels: DataFrame, label: str) -> DataFrame:
+    """cv and sd of the labels' sizes (population), from their counts; label NULL and 0 are background."""
+    size = pixels.where(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("n"))
+    return size.agg(F.try_divide(F.stddev_pop("n"), F.avg("n")).alias("cv"), F.stddev_pop("n").alias("sd"), F.count("*").alias("labels"))
+
+
+def equivalent_radius(areas: DataFrame, area: str) -> DataFrame:
+    """radius: of a circle of the median positive area; 0 without one."""
+    return areas.agg(F.coalesce(F.sqrt(F.median(F.when(F.col(area) > 0, F.col(area))) / F.pi()), F.lit(0.0)).alias("radius"))
+
+
+def quantify(pixels: DataFrame, marker: str, expanded: bool) -> DataFrame:
+    """label and a marker's measurements under their keys: its mean by its bare name, medians by compartment and,
+    if expanded, means and sums.  pixels (label, in_nucleus, value); without labelled pixels, no rows and the same columns.
+    """
+    by = compartments(pixels, "label", "value", F.col("in_nucleus"))
+    names = {"nucleus": "Nucleus", "cytoplasm": "Cytoplasm", "cell": "Cell"}
+    out = [F.col("cell_mean").alias(marker)]
+    for statistic in ("median", "mean", "sum") if expanded else ("median",):
+        out += [F.col(f"{k}_{statistic}").alias(f"{marker}: {v}: {statistic.title()}") for k, v in names.items()]
+    return by.select("label", *out)
 
 
 def nearest_rank(rows: DataFrame, group: str, value: str, percent: int) -> DataFrame:

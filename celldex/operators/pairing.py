@@ -44,3 +44,63 @@ def mutual_nearest(a: DataFrame, b: DataFrame, radius: float) -> DataFrame:
     pairs = within(a, b, radius)
     back = _nearest(pairs, "b", "a").select("a", "b")
     return _nearest(pairs, "a", "b").join(back, ["a", "b"])
+
+
+def residuals_by_slide(points: DataFrame, cells: DataFrame, radius: float, slides: list[str]) -> DataFrame:
+    """label and, for each slide, the greatest residual of its points whose nearest cell in reach that is.
+
+    points (id, slide, x, y, residual), cells (id, x, y).  The slides are declared, so no extra pass finds them.
+    """
+    near = nearest_within(points.select("id", "x", "y"), cells, radius).select(F.col("a").alias("id"), F.col("b").alias("label"))
+    by = near.join(points.select("id", "slide", "residual"), "id").groupBy("label", "slide").agg(F.max("residual").alias("r"))
+    return by.groupBy("label").pivot("slide", slides).agg(F.max("r"))
+
+
+def by_centroid(flow: DataFrame, cells: DataFrame, pixel: float, radius: float) -> DataFrame:
+    """Pairs a (of flow, in micrometres from pixel corners) and b (of cells, in pixels from their centres), each other's nearest in reach; d2 in pixels."""
+    corner = flow.select("id", (F.col("x") / pixel).alias("x"), (F.col("y") / pixel).alias("y"))
+    return mutual_nearest(corner, cells.select("id", (F.col("x") + 0.5).alias("x"), (F.col("y") + 0.5).alias("y")), radius)
+
+
+def resolve_join(flow: DataFrame, cells: DataFrame, pixel: float, radius: float, least: float) -> tuple[DataFrame, str]:
+    """a, b of flow's rows and cells, and how they were joined: by label if flow has one, else by centroid.
+
+    An error if there is neither, or if less than `least` of flow's rows find a cell.
+    """
+    if "label" in flow.columns:
+        pairs, how = flow.where("label is not null").select(F.col("id").alias("a"), F.col("label").alias("b")).join(cells.select(F.col("id").alias("b")), "b").select("a", "b"), "label"
+    elif {"x", "y"} <= set(flow.columns):
+        pairs, how = by_centroid(flow, cells, pixel, radius).select("a", "b"), "centroid"
+    else:
+        raise ValueError("no label and no centroid to join by")
+    n, found = flow.count(), pairs.count()
+    if found < least * n:
+        raise ValueError(f"{found} of {n} rows found a cell by {how}; at least {least:g} of them must")
+    return pairs, how
+
+
+def rekey_contours(contours: DataFrame, mapping: DataFrame, areas: DataFrame) -> DataFrame:
+    """label, ring: of the nuclei (nucleus, ring, at) mapped to a cell (nucleus, label) the ring of the largest area, the first of equals."""
+    rows = contours.join(mapping, "nucleus").join(areas, "nucleus")
+    return rows.groupBy("label").agg(F.max_by("ring", F.struct("area", (-F.col("at")).alias("minus"))).alias("ring"))
+
+
+def pair_inputs(stores: list[str], tables: list[str]) -> list[tuple[str, str]]:
+    """Stores with tables of whose stems theirs is part; by place in order if a table has none and there are as many of both, else an error."""
+    stem = lambda p: p.rstrip("/").rpartition("/")[2].rpartition(".")[0] or p.rpartition("/")[2]
+    if len(stores) == len(tables) == 1:
+        return [(stores[0], tables[0])]
+    found = {t: next((s for s in stores if stem(s) and stem(s) in stem(t)), None) for t in tables}
+    if all(found.values()):
+        return [(s, t) for t, s in found.items()]
+    if len(stores) != len(tables):
+        raise ValueError(f"{len(stores)} stores and {len(tables)} tables, and no store for {[t for t, s in found.items() if not s]}")
+    return list(zip(sorted(stores), sorted(tables), strict=True))
+
+
+def with_report(items: DataFrame, reports: DataFrame, path: str) -> DataFrame:
+    """items with the report of the same file name; an error where several reports have one.  Reports are few by nature (one a run)."""
+    name = F.regexp_extract(path, r"([^/]*)$", 1)
+    one = reports.groupBy(name.alias("_name")).agg(F.count("*").alias("_n"), F.first(path).alias("report"))
+    checked = one.select("_name", F.when(F.col("_n") == 1, F.col("report")).otherwise(F.raise_error(F.concat(F.lit("several reports named "), F.col("_name"))).cast("string")).alias("report"))
+    return items.withColumn("_name", name).join(checked, "_name", "left").drop("_name")

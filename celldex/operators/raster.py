@@ -82,6 +82,77 @@ def fov_split(spark: SparkSession, size: int, parts: int) -> DataFrame:
     return spark.range(parts).select(i.alias("i"), (F.lit(each) + (i < more).cast("int")).cast("long").alias("size"), (i * each + F.least(i, F.lit(more))).cast("long").alias("start"))
 
 
+def fov_counts(height: int, width: int, fov_height: int, fov_width: int) -> tuple[int, int]:
+    """How many fields of view cover a plane, down and across."""
+    if min(fov_height, fov_width) <= 0:
+        raise ValueError("a field of view must have a size")
+    return -(-height // fov_height), -(-width // fov_width)
+
+
+def fov_grid(spark: SparkSession, height: int, width: int, down: int, across: int) -> DataFrame:
+    """index (row by row), iy, ix, y0, x0, h, w of near-equal fields, and the size (pad_h, pad_w) that all are padded to."""
+    y = fov_split(spark, height, down).select(F.col("i").alias("iy"), F.col("start").alias("y0"), F.col("size").alias("h"))
+    x = fov_split(spark, width, across).select(F.col("i").alias("ix"), F.col("start").alias("x0"), F.col("size").alias("w"))
+    both = y.join(F.broadcast(x))  # down * across rows are the result
+    return both.select((F.col("iy") * across + F.col("ix")).alias("index"), "iy", "ix", "y0", "x0", "h", "w", F.lit(-(-height // down)).alias("pad_h"), F.lit(-(-width // across)).alias("pad_w"))
+
+
+def _field(length: int, parts: int, at) -> tuple:
+    """Number and start of the field that a place lies in, of near-equal parts of a length."""
+    each, more = divmod(length, parts)
+    edge = more * (each + 1)
+    i = F.when(at < edge, F.floor(at / (each + 1))).otherwise(more + F.floor((at - edge) / max(each, 1))).cast("long")
+    return i, i * each + F.least(i, F.lit(more))
+
+
+def split_fovs(pixels: DataFrame, height: int, width: int, down: int, across: int) -> DataFrame:
+    """index, y, x (in the field), v of each pixel (x, y, v): where it lies is arithmetic, so nothing is joined or shuffled."""
+    iy, y0 = _field(height, down, F.col("y"))
+    ix, x0 = _field(width, across, F.col("x"))
+    return pixels.select((iy * across + ix).alias("index"), (F.col("y") - y0).alias("y"), (F.col("x") - x0).alias("x"), "v")
+
+
+def join_fovs(fields: DataFrame, grid: DataFrame) -> DataFrame:
+    """x, y, v of fields' pixels, padding left out; the inverse of `split_fovs`.  The grid has a row a field."""
+    at = fields.join(grid.select("index", "y0", "x0", "h", "w"), "index").where("y < h and x < w")
+    return at.select((F.col("x") + F.col("x0")).alias("x"), (F.col("y") + F.col("y0")).alias("y"), "v")
+
+
+def padded_fovs(fields: DataFrame, grid: DataFrame) -> DataFrame:
+    """index, y, x, v of fields' pixels, with 0 where a field is smaller than all are padded to."""
+    rows = lambda a, b: F.explode(F.sequence(F.col(a), F.col(b) - 1))
+    right = grid.where("w < pad_w").select("index", F.explode(F.sequence(F.lit(0), F.col("pad_h") - 1)).alias("y"), "w", "pad_w").select("index", "y", rows("w", "pad_w").alias("x"))
+    below = grid.where("h < pad_h").select("index", rows("h", "pad_h").alias("y"), "w").select("index", "y", F.explode(F.sequence(F.lit(0), F.col("w") - 1)).alias("x"))
+    return fields.unionByName(right.unionByName(below).withColumn("v", F.lit(0).cast(fields.schema["v"].dataType)))
+
+
+def every_nth(pixels: DataFrame, factor: int) -> DataFrame:
+    """x, y, v of every factor-th pixel of every factor-th row; a filter that a scan can take over."""
+    return pixels.where((F.col("x") % factor == 0) & (F.col("y") % factor == 0)).select(F.floor(F.col("x") / factor).alias("x"), F.floor(F.col("y") / factor).alias("y"), "v")
+
+
+def to_bytes(pixels: DataFrame, group: str, low: float = 0.0, high: float = 1.0) -> DataFrame:
+    """pixels with v from 0 to 255 between the group's percentiles (or ends), rounded half to even; 0 where they are equal."""
+    return percentile_scale(pixels, group, low, high).withColumn("v", F.bround(F.col("v") * 255).cast("int"))
+
+
+def overlay(pixels: DataFrame) -> DataFrame:
+    """x, y, r, g, b of two planes (ref, mov; 0 to 255): red the one, green the other, yellow both."""
+    return pixels.select("x", "y", F.col("ref").cast("int").alias("r"), F.col("mov").cast("int").alias("g"), F.lit(0).alias("b"))
+
+
+def side_by_side(left: DataFrame, right: DataFrame, width: int, gap: int) -> DataFrame:
+    """x, y, v of two planes, the second to the right of the first and a gap."""
+    return left.select("x", "y", "v").unionByName(right.select((F.col("x") + width + gap).alias("x"), "y", "v"))
+
+
+def profile_problems(profile: DataFrame, tile: int, positive: bool) -> DataFrame:
+    """problem, n: pixels of an illumination profile (px, py, flat) that aren't finite, not positive, or missing from tile x tile."""
+    bad = F.coalesce(F.isnan("flat") | (F.abs("flat") == float("inf")), F.lit(True))
+    by = profile.agg(F.count_if(bad).alias("not finite"), F.count_if(~bad & (F.col("flat") <= 0) & F.lit(positive)).alias("not positive"), (F.lit(tile * tile) - F.countDistinct("px", "py")).alias("missing"))
+    return by.unpivot([], by.columns, "problem", "n").where("n <> 0")
+
+
 def tile_overlaps(windows: DataFrame, width: int, height: int, tile: int) -> DataFrame:
     """id, ix, iy, x0, y0, x1, y1: what each window (id, x0, y0, x1, y1; ends excluded) has of each tile.
 
@@ -104,9 +175,16 @@ def pyramid_levels(spark: SparkSession, height: int, width: int, least: int = 64
 
 
 def mesh_displacement(points: DataFrame, key: str, mesh: DataFrame) -> DataFrame:
-    """key, dx, dy: displacements at points (x, y in mesh units), bilinear between the four nodes (i, j, dx, dy) around."""
+    """key, dx, dy: displacements at points (x, y in mesh units), bilinear between the four nodes (i, j, dx, dy) around.
+
+    Points off the mesh get the displacement of its nearest edge.
+    """
+    ends = F.broadcast(mesh.agg(F.min("i").alias("i0"), F.max("i").alias("i1"), F.min("j").alias("j0"), F.max("j").alias("j1")))  # one row
+    inside = lambda c, e: F.least(F.greatest(F.col(c), F.col(f"{e}0").cast("double")), F.col(f"{e}1").cast("double"))
+    at = points.join(ends).select(key, inside("x", "i").alias("x"), inside("y", "j").alias("y"), "i1", "j1")
     corner = lambda c, e: F.when(F.col(e) == 1, F.col(c) - F.floor(c)).otherwise(1 - (F.col(c) - F.floor(c)))
     both = F.sequence(F.lit(0), F.lit(1))
-    four = points.select(key, "x", "y", F.explode(both).alias("di")).select("*", F.explode(both).alias("dj"))
-    four = four.select(key, (corner("x", "di") * corner("y", "dj")).alias("w"), (F.floor("x") + F.col("di")).alias("i"), (F.floor("y") + F.col("dj")).alias("j"))
+    four = at.select("*", F.explode(both).alias("di")).select("*", F.explode(both).alias("dj"))
+    node = lambda c, d, e: F.least(F.floor(c) + F.col(d), F.col(e)).cast("long")
+    four = four.select(key, (corner("x", "di") * corner("y", "dj")).alias("w"), node("x", "di", "i1").alias("i"), node("y", "dj", "j1").alias("j"))
     return four.join(mesh, ["i", "j"]).groupBy(key).agg(F.sum(F.col("w") * F.col("dx")).alias("dx"), F.sum(F.col("w") * F.col("dy")).alias("dy"))

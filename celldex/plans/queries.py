@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.scalars import stem
 from ..operators import measure, merge, pairing, raster
+from ..sources import sheets
 from ..sources.tables import table
 from ..streaming.groups import sized_groups
-from . import reports, spatial  # noqa: F401  (they enter theirs)
+from . import joins, kernels, reports, slides, spatial  # noqa: F401  (they enter theirs)
 from .registry import ALL, query
 
 __all__ = ["ALL"]
@@ -26,7 +26,7 @@ def overlap_argmax(spark, d):
     return pairing.overlap_argmax(table(spark, d, "lineitem"), "l_partkey", "l_suppkey")
 
 
-@query("with s as (select c_mktsegment, avg(c_acctbal) as m, stddev_samp(c_acctbal) as sd from customer group by 1) select c_custkey, round(case when c_acctbal is null then null when coalesce(sd, 0) = 0 then 0.0 else (c_acctbal - m) / sd end, 6) as z from customer left join s using (c_mktsegment)")
+@query("with s as (select c_mktsegment, avg(c_acctbal) as m, stddev_samp(c_acctbal) as sample, stddev_pop(c_acctbal) as sd from customer group by 1) select c_custkey, round(case when c_acctbal is null then null when coalesce(sample, 0) = 0 then 0.0 else (c_acctbal - m) / sd end, 6) as z from customer left join s using (c_mktsegment)")
 def zscore(spark, d):
     return measure.zscore(table(spark, d, "customer"), "c_mktsegment", "c_acctbal").select("c_custkey", F.round("z", 6).alias("z"))
 
@@ -126,12 +126,17 @@ def interp_percentiles(spark, d):
     return measure.interpolated(table(spark, d, "lineitem"), "l_suppkey", "l_extendedprice", {"q25": 0.25, "q50": 0.5, "q95": 0.95})
 
 
-@query("with t as (select distinct p_brand || '_' || p_type as tag from part union select distinct p_brand from part), s as (select p_brand as name, cast(count(*) as bigint) as size from part where p_brand <= 'Brand#3' group by 1) select tag, coalesce(arg_max(size, length(name)), 0) as size from t left join s on tag = name or starts_with(tag, name || '_') group by 1")
+@query(
+    "with t as (select distinct p_size as process, p_brand || '_' || p_type as tag from part union select distinct p_size, p_brand from part), s as (select p_size as process, p_brand || case when p_partkey % 2 = 0 then '' else '_' || p_type end as name, min(p_partkey) as place, cast(count(*) as bigint) as size from part where p_brand <= 'Brand#3' group by 1, 2) "
+    "select process, tag, arg_min(size, {'o': name <> tag, 'p': place}) as size from t left join s using (process) where name is null or tag = name or starts_with(tag, name || '_') group by 1, 2 "
+    "union all select process, tag, null from t where exists (select 1 from s where s.process = t.process) and not exists (select 1 from s where s.process = t.process and (tag = name or starts_with(tag, name || '_')))"
+)
 def size_prefix_join(spark, d):
-    p = table(spark, d, "part")
-    tags = p.select(F.concat_ws("_", "p_brand", "p_type").alias("tag")).union(p.select("p_brand")).distinct()
-    sizes = p.where("p_brand <= 'Brand#3'").groupBy(F.col("p_brand").alias("name")).agg(F.count("*").alias("size"))
-    return merge.prefix_join(tags, sizes, "tag", "name", "size")
+    p = table(spark, d, "part").withColumnRenamed("p_size", "process")
+    tags = p.select("process", F.concat_ws("_", "p_brand", "p_type").alias("tag")).union(p.select("process", "p_brand")).distinct()
+    name = F.concat("p_brand", F.when(F.col("p_partkey") % 2 == 0, "").otherwise(F.concat(F.lit("_"), "p_type")))
+    sizes = p.where("p_brand <= 'Brand#3'").groupBy("process", name.alias("name")).agg(F.min("p_partkey").alias("place"), F.count("*").alias("size"))
+    return merge.prefix_join(tags, sizes, "process", "tag", "name", "size", "place").select("process", "tag", "size")
 
 
 @query("select conv_id, min(turn) as turn, arg_min(role, turn) as role from conversations group by 1")
@@ -145,19 +150,17 @@ def signature_match(spark, d):
     return sig.groupBy("sig").agg(F.count("*").alias("n"), F.min("l_orderkey").alias("first_order"))
 
 
-@query(r"with s as (select page_id, regexp_replace(regexp_extract(url, '([^/]*)$', 1), '\.[^.]*$', '') as stem from pages) select page_id, case when count(*) over (partition by stem) > 1 then stem || '_' || row_number() over (partition by stem order by page_id) else stem end as identity from s")
+@query(
+    "with s as (select page_id, cast(page_id % 7 as varchar) as patient_id, split_part(regexp_extract(url, '([^/]*)$', 1), '.', 1) as stem from pages) select page_id, (case when starts_with(stem, patient_id) then stem else patient_id || '_' || stem end) || case when count(*) over (partition by patient_id, stem) > 1 then printf('_%03d', row_number() over (partition by patient_id order by page_id) - 1) else '' end as identity from s"
+)
 def identity_ids(spark, d):
-    from pyspark.sql import Window
+    rows = table(spark, d, "pages").select("page_id", (F.col("page_id") % 7).cast("string").alias("patient_id"), "url")
+    return sheets.identities(rows, "url", "page_id").select("page_id", F.col("id").alias("identity"))
 
-    w = Window.partitionBy("stem")
-    many = F.count("*").over(w) > 1
-    named = F.concat_ws("_", "stem", F.row_number().over(w.orderBy("page_id")))
-    return table(spark, d, "pages").select("page_id", stem(F.col("url")).alias("stem")).select("page_id", F.when(many, named).otherwise(F.col("stem")).alias("identity"))
 
-
-@query("with g as (select p_brand, p_retailprice, case when p_retailprice - lag(p_retailprice) over (partition by p_brand order by p_retailprice) > 2 then 1 else 0 end as s from part), r as (select p_brand, p_retailprice, sum(s) over (partition by p_brand order by p_retailprice range unbounded preceding) as island from g) select p_brand, cast(island as bigint) as island, count(*) as n, min(p_retailprice) as lo, max(p_retailprice) as hi from r group by 1, 2")
+@query("with g as (select p_brand, p_retailprice, case when p_retailprice - lag(p_retailprice) over (partition by p_brand order by p_retailprice) > 0.002 * abs(lag(p_retailprice) over (partition by p_brand order by p_retailprice)) then 1 else 0 end as s from part), r as (select p_brand, p_retailprice, sum(s) over (partition by p_brand order by p_retailprice range unbounded preceding) as island from g) select p_brand, cast(island as bigint) as island, count(*) as n, min(p_retailprice) as lo, max(p_retailprice) as hi from r group by 1, 2")
 def gaps_islands(spark, d):
-    return merge.islands(table(spark, d, "part"), "p_brand", "p_retailprice", 2.0)
+    return merge.islands(table(spark, d, "part"), "p_brand", "p_retailprice", 0.002)
 
 
 @query("with s as (select o_orderstatus, count(*) as n, round(avg(o_totalprice), 6) as mean, round(median(o_totalprice), 6) as p50 from orders group by 1), a as (select mean as m, p50 as p from s where o_orderstatus = 'F') select o_orderstatus, n, mean, p50, round(mean - m, 4) as delta_mean, round(p50 - p, 4) as delta_p50 from s left join a on true")

@@ -45,9 +45,10 @@ def top_groups(spark, d):
     return quality_control.top_groups(rows, "l_suppkey", "l_extendedprice", 8, 20, "place").drop("place")
 
 
-@query("select l_orderkey, l_linenumber, dense_rank() over (order by l_orderkey) as label from lineitem")
+@query("with r as (select case when l_orderkey % 5 = 0 then 0 else l_orderkey end as l_orderkey, l_linenumber from lineitem) select l_orderkey, l_linenumber, dense_rank() over (order by l_orderkey) - cast(exists (select 1 from r where l_orderkey = 0) as integer) as label from r")
 def dense_labels(spark, d):
-    return manifest.dense_labels(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber"), "l_orderkey")
+    rows = table(spark, d, "lineitem").select(F.when(F.col("l_orderkey") % 5 == 0, 0).otherwise(F.col("l_orderkey")).alias("l_orderkey"), "l_linenumber")
+    return manifest.dense_labels(rows, "l_orderkey")
 
 
 @query("select (select count(*) from (select c_custkey from customer except select o_custkey from orders)) as missing, (select count(*) from (select o_custkey from orders except select c_custkey from customer)) as extra, (select count(*) from (select c_custkey from customer intersect select o_custkey from orders)) as both")
@@ -55,9 +56,9 @@ def label_agreement(spark, d):
     return manifest.agreement(table(spark, d, "customer"), "c_custkey", table(spark, d, "orders"), "o_custkey")
 
 
-@query("select o_custkey, o_orderkey, cast(row_number() over (partition by o_custkey order by o_orderdate, o_orderkey) - 1 as bigint) as row_index, coalesce(o_orderkey = min(case when o_orderstatus = 'F' then o_orderkey end) over (partition by o_custkey), false) as is_reference from orders")
+@query("select o_custkey, o_orderkey, cast(row_number() over (partition by o_custkey order by o_orderdate, o_orderkey) - 1 as bigint) as row_index, o_orderstatus = 'F' and sum(case when o_orderstatus = 'F' then 1 else 0 end) over (partition by o_custkey order by o_orderdate, o_orderkey rows unbounded preceding) = 1 as is_reference from orders")
 def reference_rows(spark, d):
-    return manifest.reference_rows(table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderdate", "o_orderstatus"), "o_custkey", ["o_orderdate", "o_orderkey"], "o_orderkey", F.col("o_orderstatus") == "F").select("o_custkey", "o_orderkey", "row_index", "is_reference")
+    return manifest.reference_rows(table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderdate", "o_orderstatus"), "o_custkey", ["o_orderdate", "o_orderkey"], F.col("o_orderstatus") == "F").select("o_custkey", "o_orderkey", "row_index", "is_reference")
 
 
 @query("with s as (select c_custkey, case when c_acctbal < 0 then 'negative balance' end as e1, case when c_mktsegment is null or trim(c_mktsegment) = '' then 'blank segment' end as e2, case when c_nationkey > 20 then 'unknown nation' end as e3 from customer) select c_custkey, unnest(list_filter([e1, e2, e3], lambda x: x is not null)) as problem from s")
@@ -66,9 +67,9 @@ def validation(spark, d):
     return manifest.problems(table(spark, d, "customer"), ["c_custkey"], rules)
 
 
-@query("select part.p_partkey, cast(round(part.p_size * 1.5 * 1024) as varchar) as a, p_size * 60.0 + 30 as seconds, p_size / 2.0 as percent from part")
+@query("select part.p_partkey, cast(round(part.p_size * 1.5 * 1024) as varchar) as a, case when p_partkey % 3 = 0 then p_size else p_size * 60.0 + 30 end as seconds, p_size / 2.0 as percent from part")
 def parsed_trace(spark, d):
-    p = table(spark, d, "part").select("p_partkey", F.concat(F.col("p_size") * 1.5, F.lit(" KB")).alias("mem"), F.concat(F.col("p_size"), F.lit("m 30s")).alias("time"), F.concat(F.col("p_size") / 2, F.lit(" %")).alias("cpu"))
+    p = table(spark, d, "part").select("p_partkey", F.concat(F.col("p_size") * 1.5, F.lit(" KB")).alias("mem"), F.concat(F.col("p_size"), F.when(F.col("p_partkey") % 3 == 0, "").otherwise("m 30s")).alias("time"), F.concat(F.col("p_size") / 2, F.lit(" %")).alias("cpu"))
     return p.select("p_partkey", F.round(scalars.parse_bytes(F.col("mem"))).cast("long").cast("string").alias("a"), scalars.parse_duration(F.col("time")).alias("seconds"), scalars.parse_percent(F.col("cpu")).alias("percent"))
 
 

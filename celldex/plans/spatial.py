@@ -77,12 +77,12 @@ def pyramid_levels(spark, d):
 
 
 @query(
-    "with p as (select vec_id, least(greatest(embedding[1] * 10 + 5, 0), 9.999)::double as x, least(greatest(embedding[2] * 10 + 5, 0), 9.999)::double as y from embeddings), m as (select i, j, sin(i * 0.5) * 3 as dx, cos(j * 0.5) * 2 as dy from range(11) a(i), range(11) b(j)), "
-    "c as (select vec_id, (case when di = 1 then x - floor(x) else 1 - (x - floor(x)) end) * (case when dj = 1 then y - floor(y) else 1 - (y - floor(y)) end) as w, dx, dy from p, range(2) a(di), range(2) b(dj), m where m.i = cast(floor(x) as bigint) + di and m.j = cast(floor(y) as bigint) + dj) select vec_id, round(sum(w * dx), 5) as dx, round(sum(w * dy), 5) as dy from c group by 1"
+    "with p as (select vec_id, least(greatest((embedding[1]::double * 40 + 5), 0), 10) as x, least(greatest((embedding[2]::double * 40 + 5), 0), 10) as y from embeddings), m as (select i, j, sin(i * 0.5) * 3 as dx, cos(j * 0.5) * 2 as dy from range(11) a(i), range(11) b(j)), "
+    "c as (select vec_id, (case when di = 1 then x - floor(x) else 1 - (x - floor(x)) end) * (case when dj = 1 then y - floor(y) else 1 - (y - floor(y)) end) as w, dx, dy from p, range(2) a(di), range(2) b(dj), m where m.i = least(cast(floor(x) as bigint) + di, 10) and m.j = least(cast(floor(y) as bigint) + dj, 10)) select vec_id, round(sum(w * dx), 5) as dx, round(sum(w * dy), 5) as dy from c group by 1"
 )
 def mesh_displacement(spark, d):
-    inside = lambda i: F.least(F.greatest(F.get("embedding", F.lit(i)) * F.lit(10).cast("float") + F.lit(5).cast("float"), F.lit(0.0)), F.lit(9.999)).cast("double")
-    points = table(spark, d, "embeddings").select("vec_id", inside(0).alias("x"), inside(1).alias("y"))
+    at = lambda i: F.get("embedding", F.lit(i)).cast("double") * 40 + 5
+    points = table(spark, d, "embeddings").select("vec_id", at(0).alias("x"), at(1).alias("y"))
     node = spark.range(121).select(F.floor(F.col("id") / 11).alias("i"), (F.col("id") % 11).alias("j"))
     return raster.mesh_displacement(points, "vec_id", node.select("i", "j", (F.sin(F.col("i") * 0.5) * 3).alias("dx"), (F.cos(F.col("j") * 0.5) * 2).alias("dy"))).select("vec_id", F.round("dx", 5).alias("dx"), F.round("dy", 5).alias("dy"))
 

@@ -22,8 +22,10 @@ def write(df: DataFrame, path: str, by: list[str] | None = None) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share, from spark.checkpoint.dir; one is set only where there is none, as in tests."""
+    """The folder that all executors share, spark.checkpoint.dir; on a local master one is set where there is none, else that is an error."""
     if not (at := spark.conf.get("spark.checkpoint.dir", None)):
+        if not spark.conf.get("spark.master").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         at = tempfile.mkdtemp(prefix="celldex-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
