@@ -1,41 +1,54 @@
 """Approximate nearest neighbours by learned partitions, for the largest inner product.
 
-1. Fit, on the driver, from a bounded sample (`SAMPLE` vectors drawn by a hash of the id): its graph of
-   nearest neighbours is cut into balanced parts, by halving along main directions and then moving
-   nodes to the part of most of their neighbours while sizes allow.  A small network learns, from a
-   vector, the shares of its neighbours in each part.
-2. Every vector is indexed in its most probable part.  A query visits its most probable parts, as many
-   as give the recall `AIM` on the sample's own search; all their vectors are compared exactly.
+1. Fit, from a bounded sample (`SAMPLE` vectors drawn by a hash of the id): its graph of nearest
+   neighbours is cut into balanced parts, by halving along main directions and then moving nodes to the
+   part of most of their neighbours while sizes allow.  A small network learns, from a vector, the shares
+   of its neighbours in each part.  There are as many parts as keep them near `PART` vectors.  Up to
+   `MOST_PARTS` are fitted on the driver; if it takes more, each part is cut again the same way, from a
+   sample of its own vectors, in a task of its own.  So parts stay of one size up to PART * MOST_PARTS ** 2
+   (43 million) vectors, and grow beyond; a third level isn't built.
+2. Every vector is indexed in its most probable part.  Queries visit their most probable parts; all
+   vectors there are compared exactly.  How many parts is what gives a recall of `AIM` to `HELD` queries
+   that were compared with every vector, and of which none was learned from.
 3. Parts are split into blocks of at most about `BLOCK` vectors, and their queries into blocks of
    `QUERIES`, by a hash of the id, so a part of a third of all vectors is many small groups.  Each
    group gives its queries' best `k`; a window over the few lists of a query ranks them.
+4. Queries that found less than k, with more to be found, visit all parts.
 
 Vectors that are null, zero, hold null or non-finite components, have no id, or aren't as long as most
 take no part.  Rows that repeat an id are one vector, the least.  Ties go to the smaller id.  Queries
-with no other vector give no rows.  Scores are sums of products in double precision.
+with no other vector give no rows.  Scores are sums of products in double precision.  Other columns are
+not read.
 """
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import lean, written
 
-SAMPLE, GRAPH, PART, MOST_PARTS, BLOCK, QUERIES, AIM = 6000, 12, 3000, 256, 16_384, 4096, 0.96
-HIDDEN, EPOCHS = 128, 30
+SAMPLE, GRAPH, PART, MOST_PARTS, BLOCK, QUERIES, AIM, HELD = 6000, 12, 3000, 120, 16_384, 4096, 0.95, 256
+HIDDEN, EPOCHS, SALT = 128, 30, 77
 
 
 def usable(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
-    """vec_id and vec (array of doubles) of the vectors that take part."""
+    """vec_id and vec (array of doubles) of the vectors that take part; only rows of repeated ids are shuffled."""
     x = F.transform(F.col(embedding), lambda v: v.cast("double"))
     rows = vectors.where(F.col(vec_id).isNotNull() & F.col(embedding).isNotNull()).select(F.col(vec_id).cast("long").alias("vec_id"), x.alias("vec"))
     finite = F.forall("vec", lambda v: v.isNotNull() & (F.abs(v) < float("inf")))
     rows = rows.where(F.coalesce(finite, F.lit(False)) & F.exists("vec", lambda v: v != 0))
     size = rows.groupBy(F.size("vec").alias("size")).count().orderBy(F.desc("count"), "size").head()
-    return rows.where(F.size("vec") == (size["size"] if size else 0)).groupBy("vec_id").agg(F.min("vec").alias("vec"))
+    rows = rows.where(F.size("vec") == (size["size"] if size else 0))
+    again = rows.groupBy("vec_id").agg(F.count("*").alias("n")).where("n > 1").select("vec_id")
+    if again.isEmpty():
+        return rows
+    return rows.join(again, "vec_id", "left_anti").unionByName(rows.join(again, "vec_id", "left_semi").groupBy("vec_id").agg(F.min("vec").alias("vec")))
 
 
 def neighbour_graph(x: np.ndarray, k: int) -> np.ndarray:
@@ -117,62 +130,133 @@ class Router:
         return self
 
 
-def fit(x: np.ndarray, parts: int, k: int) -> tuple[Router, int]:
-    """The router, and how many parts a query must visit for a recall of AIM."""
+def fit(x: np.ndarray, parts: int) -> Router:
+    """A router to about `parts` balanced parts of the graph of x."""
     x = np.unique(x, axis=0)
-    parts = min(parts, len(x))
+    parts = max(1, min(parts, len(x) // 50 or 1, MOST_PARTS))
+    if parts == 1:
+        return Router(x.shape[1], 1)
     graph = neighbour_graph(x, GRAPH)
     part = balanced_parts(x, graph, parts)
     target = np.zeros((len(x), parts))
     np.add.at(target, (np.arange(len(x)), part), 1.0)
     np.add.at(target, (np.repeat(np.arange(len(x)), graph.shape[1]), part[graph.ravel()]), 1.0)
-    router = Router(x.shape[1], parts).train(x, target / target.sum(1, keepdims=True))
-    odds = router(x)
-    own, order = odds.argmax(1), np.argsort(-odds, axis=1)
-    place = np.argsort(order, axis=1)  # of each part among a query's
-    near = neighbour_graph(x, k)
-    if not near.size:
-        return router, parts
-    at = np.take_along_axis(place, own[near], 1)
-    recall = np.array([(at < m).mean() for m in range(1, parts + 1)])
-    enough = np.flatnonzero(recall >= AIM)
-    return router, int(enough[0]) + 1 if len(enough) else parts
-
-
-def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, sample: int = SAMPLE) -> DataFrame:
-    """query_id, rank, vec_id, score: each query's k nearest found; both sides are (vec_id, vec) as `usable` gives them."""
+    return Router(x.shape[1], parts).train(x, target / target.sum(1, keepdims=True))
+
+
+def _log_shares(z: np.ndarray) -> np.ndarray:
+    z = z - z.max(1, keepdims=True)
+    return z - np.log(np.exp(z).sum(1, keepdims=True))
+
+
+class Tree:
+    """Routers: the root's to parts, and each part's to its leaves; a part without one is a leaf."""
+
+    def __init__(self, root: Router, inner: dict[int, Router]):
+        self.root, self.inner = root, inner
+        sizes = [len(inner[p].p[3]) if p in inner else 1 for p in range(len(root.p[3]))]
+        self.first = np.concatenate(([0], np.cumsum(sizes)))  # of each part's leaves
+        self.leaves = int(self.first[-1])
+
+    def place(self, x: np.ndarray) -> np.ndarray:
+        """The leaf of each vector: its most probable part's most probable one."""
+        part = self.root(x).argmax(1)
+        leaf = self.first[part]
+        for p in np.intersect1d(part, list(self.inner)):
+            mine = part == p
+            leaf[mine] += self.inner[p](x[mine]).argmax(1)
+        return leaf
+
+    def order(self, x: np.ndarray) -> np.ndarray:
+        """All leaves by falling probability, for each vector."""
+        outer = _log_shares(self.root(x))
+        odds = np.repeat(outer, np.diff(self.first), axis=1)
+        for p, router in self.inner.items():
+            odds[:, self.first[p] : self.first[p + 1]] += _log_shares(router(x))
+        return np.argsort(-odds, axis=1, kind="stable")
+
+
+def _draw(share: float | Column, salt: int = 0) -> Column:
+    """Whether a hash of the id falls in a share of its range."""
+    return F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.lit(1 << 20)) / float(1 << 20) < share
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return flat.flatten().to_numpy(zero_copy_only=False).reshape(len(flat), -1)
+
+
+def grow(vectors: DataFrame, n: int, part: int = PART, sample: int = SAMPLE) -> Tree:
+    """The tree of routers for n vectors (vec_id, vec) in leaves of about `part`."""
     spark = vectors.sparkSession
-    n = vectors.count()
-    draw = F.pmod(F.xxhash64("vec_id"), F.lit(1 << 20)) / float(1 << 20)
-    got = vectors.where(draw < min(1.0, sample / max(1, n))).orderBy("vec_id").limit(2 * sample).toArrow() if n else None
-    if got is None or not len(got):
-        got = vectors.limit(1).toArrow()
-    if not len(got):
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    x = np.array(got["vec"].to_pylist())
-    router, visits = fit(x, max(1, min(MOST_PARTS, -(-n // PART), len(x) // 50 or 1)), k)
-    share = spark.sparkContext.broadcast(router)
+    train = vectors.where(~_draw(min(0.5, HELD / max(1, n)), SALT)) if n > 4 * HELD else vectors
+    got = train.where(_draw(min(1.0, sample / n))).orderBy("vec_id").limit(2 * sample).toArrow()
+    got = got if len(got) else vectors.limit(1).toArrow()
+    leaves = -(-n // part)
+    root = fit(_matrix(got["vec"]), leaves if leaves <= MOST_PARTS else max(2, min(MOST_PARTS, int(np.ceil(np.sqrt(leaves))))))
+    if leaves <= MOST_PARTS or len(root.p[3]) < 2:
+        return Tree(root, {})
+    share = spark.sparkContext.broadcast(root)
 
-    def route(how_many: int):
-        def run(batches):
-            for batch in batches:
-                if len(batch):
-                    flat = batch.column(1).flatten().to_numpy(zero_copy_only=False)
-                    x = flat.reshape(len(batch), -1)
-                    odds = share.value(x)
-                    top = np.argsort(-odds, axis=1, kind="stable")[:, :how_many]
-                    row = np.repeat(np.arange(len(batch)), top.shape[1])
-                    body = pa.array([v.tobytes() for v in np.ascontiguousarray(x)], pa.binary())
-                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), body.take(pa.array(row)), pa.array(top.ravel().astype(np.int32))], ["id", "body", "part"])
+    def split(batches):
+        for batch in batches:
+            if len(batch):
+                yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(share.value(_matrix(batch.column(1))).argmax(1).astype(np.int32))], ["vec_id", "vec", "part"])
 
-        return run
+    placed = written(train.select("vec_id", "vec").mapInArrow(lean(split), "vec_id long, vec array<double>, part int"), "split")
+    sizes = F.broadcast(placed.groupBy("part").agg(F.count("*").alias("size")))  # MOST_PARTS rows at most
+    some = placed.join(sizes, "part").where((F.col("size") > 2 * part) & _draw(sample / F.col("size"), 1))
 
-    schema = "id long, body binary, part int"
-    placed = written(vectors.select("vec_id", "vec").mapInArrow(lean(route(1)), schema), "placed")
-    asked = written(queries.select("vec_id", "vec").mapInArrow(lean(route(visits)), schema), "asked")
+    def one(key: tuple, rows: pa.Table) -> pa.Table:
+        x = _matrix(rows["vec"])[np.argsort(rows["vec_id"].to_numpy())][: 2 * sample]
+        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "model": [pickle.dumps(fit(x, -(-rows["size"][0].as_py() // part)))]})
+
+    models = some.groupBy("part").applyInArrow(one, "part int, model binary").collect()
+    return Tree(root, {r["part"]: m for r in models if len((m := pickle.loads(r["model"])).p[3]) > 1})
+
+
+def exact(vectors: DataFrame, queries: pa.Table, k: int) -> DataFrame:
+    """query_id, vec_id, score: the k nearest among all vectors of a bounded number of queries; each batch gives its best k."""
+    share = vectors.sparkSession.sparkContext.broadcast((queries["vec_id"].to_numpy(), _matrix(queries["vec"])))
+
+    def run(batches):
+        ids, q = share.value
+        for batch in batches:
+            if len(batch):
+                names = batch.column(0).to_numpy()
+                s = q @ _matrix(batch.column(1)).T
+                s[ids[:, None] == names] = -np.inf
+                top = np.argpartition(-s, min(k, s.shape[1]) - 1, axis=1)[:, :k]
+                score = np.take_along_axis(s, top, 1).ravel()
+                ok = np.isfinite(score)
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, top.shape[1])[ok]), pa.array(names[top.ravel()][ok]), pa.array(score[ok])], ["query_id", "vec_id", "score"])
+
+    found = vectors.select("vec_id", "vec").mapInArrow(lean(run), "query_id long, vec_id long, score double")
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    return found.withColumn("rank", rank).where(F.col("rank") <= k).drop("rank")
+
+
+def visits(vectors: DataFrame, tree: Tree, n: int, k: int, aim: float = AIM) -> int:
+    """How many leaves a query must visit for a recall of `aim`, by held-out queries and all vectors."""
+    held = vectors.where(_draw(min(0.5, HELD / max(1, n)), SALT)).orderBy("vec_id").limit(2 * HELD).toArrow()
+    if tree.leaves == 1 or not len(held):
+        return tree.leaves
+    near = written(exact(vectors, held, k), "near")
+    where = near.join(vectors.select("vec_id", "vec"), "vec_id").select("query_id", "vec").toArrow()  # HELD * k rows
+    if not len(where):
+        return tree.leaves
+    row = np.searchsorted(held["vec_id"].to_numpy(), where["query_id"].to_numpy())
+    place = np.argsort(tree.order(_matrix(held["vec"])), axis=1)  # of each leaf among a query's
+    at = place[row, tree.place(_matrix(where["vec"]))]
+    recall = np.searchsorted(np.sort(at), np.arange(tree.leaves), side="right") / len(at)
+    return int(np.argmax(recall >= min(aim, recall[-1]))) + 1
+
+
+def search(placed: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """query_id, vec_id, score: the k best of each query (id, body, part) in each of its parts' blocks of vectors (id, body, part)."""
     blocks = placed.groupBy("part").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     groups = asked.groupBy("part").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("groups"))
-    size = F.broadcast(written(blocks.join(groups, "part"), "parts"))  # MOST_PARTS rows at most
+    size = F.broadcast(written(blocks.join(groups, "part"), "parts"))  # MOST_PARTS ** 2 rows at most
     cell = lambda mine, count: F.pmod(F.xxhash64(mine), F.col(count)).cast("int")
     left = asked.join(size, "part").select("id", "body", "part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), cell("id", "groups").alias("group"))
     right = placed.join(size, "part").select("id", "body", "part", cell("id", "blocks").alias("block"), F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("group"))
@@ -197,6 +281,52 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, sample: int = S
         return pa.table({"query_id": np.concatenate(out[0]), "vec_id": np.concatenate(out[1]), "score": np.concatenate(out[2])})
 
     at = ["part", "block", "group"]
-    found = left.groupBy(*at).cogroup(right.groupBy(*at)).applyInArrow(compare, "query_id long, vec_id long, score double")
+    return left.groupBy(*at).cogroup(right.groupBy(*at)).applyInArrow(compare, "query_id long, vec_id long, score double")
+
+
+def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, sample: int = SAMPLE, part: int = PART, scanned: Callable[[float], None] | None = None) -> DataFrame:
+    """query_id, rank, vec_id, score: each query's k nearest found; both sides are (vec_id, vec) as `usable` gives them.
+
+    `scanned` is told the mean share of all vectors that queries are compared with; that takes another pass over small tables.
+    """
+    spark = vectors.sparkSession
+    n = vectors.count()
+    if not n:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    tree = grow(vectors, n, part, sample)
+    many = visits(vectors, tree, n, k)
+    share = spark.sparkContext.broadcast(tree)
+
+    def route(how_many: int):
+        """The vector's own leaf (0), or its first leaves."""
+
+        def run(batches):
+            tree = share.value
+            for batch in batches:
+                step = max(1, (1 << 21) // max(1, tree.leaves))
+                for at in range(0, len(batch), step):
+                    some = batch.slice(at, step)
+                    x = np.ascontiguousarray(_matrix(some.column(1)))
+                    top = tree.order(x)[:, :how_many] if how_many else tree.place(x)[:, None]
+                    row = pa.array(np.repeat(np.arange(len(some)), top.shape[1]))
+                    body = pa.array([v.tobytes() for v in x], pa.binary())
+                    yield pa.RecordBatch.from_arrays([some.column(0).take(row), body.take(row), pa.array(top.ravel().astype(np.int32))], ["id", "body", "part"])
+
+        return lean(run)
+
+    schema = "id long, body binary, part int"
+    placed = written(vectors.select("vec_id", "vec").mapInArrow(route(0), schema), "placed")
+    asked = written(queries.select("vec_id", "vec").mapInArrow(route(many), schema), "asked")
+    found = search(placed, asked, k)
+    if many < tree.leaves:
+        found = written(found, "found")
+        short = found.groupBy("query_id").agg(F.count("*").alias("n")).where(F.col("n") >= min(k, n - 1)).select(F.col("query_id").alias("vec_id"))
+        rest = written(queries.select("vec_id", "vec").join(short, "vec_id", "left_anti"), "rest")
+        if not rest.isEmpty():
+            every = written(rest.mapInArrow(route(tree.leaves), schema), "every")
+            found = found.join(rest.select(F.col("vec_id").alias("query_id")), "query_id", "left_anti").unionByName(search(placed, every, k))
+    if scanned:
+        sizes = placed.groupBy("part").agg(F.count("*").alias("size"))
+        scanned((asked.join(sizes, "part").agg(F.sum("size")).head()[0] or 0) / (n * max(1, queries.count())))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

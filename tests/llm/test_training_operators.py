@@ -209,6 +209,37 @@ def test_neighbours(spark):
     assert neighbours.nearest(v.limit(0), v.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("most_parts", [120, 6])
+def test_neighbours_route_to_few_of_many_parts(spark, monkeypatch, most_parts):
+    """Clustered vectors in 30 leaves, at one level and at two: a recall of 0.9 by comparing with less than 0.3 of all."""
+    monkeypatch.setattr(neighbours, "MOST_PARTS", most_parts)
+    r = np.random.default_rng(2)
+    centre = r.normal(size=(60, 24))
+    x = centre[r.integers(0, 60, 4500)] + 0.35 * r.normal(size=(4500, 24))
+    v = neighbours.usable(spark.createDataFrame([(i, a.tolist(), "x") for i, a in enumerate(x)], "vec_id long, embedding array<float>, part string").repartition(3)).cache()
+    share, got = [], {}
+    for a in neighbours.nearest(v, v.where("vec_id % 20 = 0"), part=150, scanned=share.append).collect():
+        got.setdefault(a["query_id"], []).append(a["vec_id"])
+    tree = neighbours.grow(v, 4500, 150)
+    assert tree.leaves >= 20 and bool(tree.inner) == (most_parts == 6)
+    x = x.astype(np.float32).astype(float)
+    s = x[::20] @ x.T
+    s[np.arange(225), np.arange(0, 4500, 20)] = -np.inf
+    best = np.argsort(-s, axis=1)[:, :20]
+    assert all(len(got[q]) == 20 for q in range(0, 4500, 20))
+    assert np.mean([len(set(best[i]) & set(got[q])) / 20 for i, q in enumerate(range(0, 4500, 20))]) >= 0.9
+    assert share[0] < 0.3
+
+
+def test_neighbours_with_few_in_their_parts_visit_all(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "visits", lambda *_: 1)
+    r = np.random.default_rng(3)
+    rows = [(i, a.tolist()) for i, a in enumerate(r.normal(size=(240, 6)))]
+    v = neighbours.usable(spark.createDataFrame([*rows, *rows[:9]], "vec_id long, embedding array<float>")).cache()
+    n = neighbours.nearest(v, v.where("vec_id % 20 = 0"), k=100, part=20).groupBy("query_id").count().collect()
+    assert v.count() == 240 and len(n) == 12 and all(x["count"] == 100 for x in n)
+
+
 def test_pipeline(spark, tmp_path, corpus):
     import corpus_pipeline
 
