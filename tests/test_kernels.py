@@ -35,7 +35,7 @@ def test_contours(spark):
     px = [(1, x, y) for x in range(10, 16) for y in range(20, 24)] + [(2, 0, 0), (0, 5, 5), (None, 6, 6)]
     got = {r["label"]: [(p["x"], p["y"]) for p in r["ring"]] for r in shapes.contours(spark.createDataFrame([*px, px[0]], "label long, x long, y long"), tolerance=0.3).collect()}
     assert got[1][0] == got[1][-1] and min(x for x, _ in got[1]) == 10.0 and max(x for x, _ in got[1]) == 16.0 and max(y for _, y in got[1]) == 24.0
-    assert set(got) == {1}
+    assert set(got) == {1, 2} and shapes.contours(spark.createDataFrame(px, "label long, x long, y long")).where("label = 2").isEmpty()
 
 
 def test_pair_overlap(spark):
