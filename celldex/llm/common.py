@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
-import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -18,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.tables import shared_dir, table  # noqa: F401  (the operators take them from here)
+
 #: Texts are handed to the kernels in pieces of about this many bytes.
 CHUNK_BYTES = 1 << 20
 
@@ -27,20 +28,6 @@ BATCH, BATCH_BYTES = 2048, 2 << 20
 SPACES = b" \t\n\x0b\x0c\r"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One input table, by a path that any of Spark's file systems may serve."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a temporary one where it is unset."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        at = tempfile.mkdtemp(prefix="celldex-")
-        spark.conf.set("spark.checkpoint.dir", at)
-    return at.rstrip("/")
-
-
 def written(df: DataFrame, what: str) -> DataFrame:
     """df as a Parquet table in the shared folder, read again: lineage ends there and survives lost executors.
 
@@ -138,8 +125,8 @@ def _class_table(keep) -> np.ndarray:
 PLAIN = _class_table(lambda i: i not in SPACES)
 ALNUM = _class_table(lambda i: 0x30 <= i <= 0x39 or 0x61 <= i <= 0x7A or i >= 0x80)
 _LOWER = np.array([i + 32 if 65 <= i <= 90 else i for i in range(256)], dtype=np.uint8)
-_BYTE = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
-_BASES = {"byte": 0x9E3779B97F4A7C15, "word": 0xD6E8FEB86659FD93}
+_BYTE, _BYTE_2 = np.random.default_rng(7).integers(1, 1 << 63, (2, 256), dtype=np.uint64) | np.uint64(1)
+_BASES = {"byte": 0x9E3779B97F4A7C15, "word": 0xD6E8FEB86659FD93, "byte 2": 0xC2B2AE3D27D4EB4F, "word 2": 0x9FB21C651E98DF25}
 _POWERS: dict[str, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -177,9 +164,12 @@ def _spans(values: np.ndarray, kind: str, start: np.ndarray, end: np.ndarray) ->
 
 
 class Words:
-    """Words of a batch of texts: `hash` of each, `first[i]:first[i+1]` are those of text i."""
+    """Words of a batch of texts: `hash` of each, `first[i]:first[i+1]` are those of text i.
+
+    If asked for, `other` has a second hash of each, independent of the first.
+    """
 
-    def __init__(self, texts: list[bytes], kind: np.ndarray = PLAIN, lower: bool = False):
+    def __init__(self, texts: list[bytes], kind: np.ndarray = PLAIN, lower: bool = False, two: bool = False):
         buf = np.frombuffer(b"\n".join(texts) + b"\n", dtype=np.uint8)
         if lower:
             buf = _LOWER[buf]
@@ -189,6 +179,7 @@ class Words:
         np.cumsum([len(t) + 1 for t in texts], out=begin[1:])
         self.first = np.searchsorted(start, begin)
         self.hash = _spans(_BYTE[buf], "byte", start, end) if len(start) else np.zeros(0, np.uint64)
+        self.other = _spans(_BYTE_2[buf], "byte 2", start, end) if two and len(start) else np.zeros(0, np.uint64)
         self.end = np.repeat(self.first[1:], np.diff(self.first))  # of each word's text, in words
 
     def grams(self, n: int, start: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -201,6 +192,10 @@ class Words:
     def spans(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return _spans(self.hash, "word", start, end)
 
+    def others(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """`spans` by the second hashes."""
+        return _spans(self.other, "word 2", start, end)
+
 
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)

@@ -73,6 +73,22 @@ def test_index_compacts(spark, corpus):
     assert a.exceptAll(b).count() == 0
 
 
+def test_new_batches_against_a_kept_index(spark, corpus, tmp_path):
+    """Three batches, each in a log opened anew: every text loses what repeats in it or in those before."""
+    r = random.Random(8)
+    texts = [(i, t) for i, t in corpus if t]
+    r.shuffle(texts)
+    cut = [texts[:25], texts[25:50], texts[50:]]
+    for i, batch in enumerate(cut):
+        log = substring_dedup.Log(spark, fan=1, folder=str(tmp_path / "index"))
+        assert len(log.runs) == min(i, 1)
+        before = [x for b in cut[:i] for x in b]
+        got = {x["doc_id"]: (x["n_words"], x["n_removed"], x["kept_sha256"]) for x in substring_dedup.new_batch(log, docs(spark, batch), docs(spark, before)).collect()}
+        want = substring_dedup.brute([t for _, t in batch + before])[: len(batch)]
+        assert [got[k] for k, _ in batch] == want
+        log.drop()
+
+
 @pytest.mark.parametrize("small_list", [12, 1])
 def test_ngram_join(spark, corpus, small_list, monkeypatch):
     monkeypatch.setattr(ngram_join, "SMALL_LIST", small_list)
