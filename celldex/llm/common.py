@@ -126,7 +126,7 @@ PLAIN = _class_table(lambda i: i not in SPACES)
 ALNUM = _class_table(lambda i: 0x30 <= i <= 0x39 or 0x61 <= i <= 0x7A or i >= 0x80)
 _LOWER = np.array([i + 32 if 65 <= i <= 90 else i for i in range(256)], dtype=np.uint8)
 _BYTE, _BYTE_2 = np.random.default_rng(7).integers(1, 1 << 63, (2, 256), dtype=np.uint64) | np.uint64(1)
-_BASES = {"byte": 0x9E3779B97F4A7C15, "word": 0xD6E8FEB86659FD93, "byte 2": 0xC2B2AE3D27D4EB4F, "word 2": 0x9FB21C651E98DF25}
+_BASES = {"byte": 0x9E3779B97F4A7C15, "word": 0xD6E8FEB86659FD93}
 _POWERS: dict[str, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -166,7 +166,7 @@ def _spans(values: np.ndarray, kind: str, start: np.ndarray, end: np.ndarray) ->
 class Words:
     """Words of a batch of texts: `hash` of each, `first[i]:first[i+1]` are those of text i.
 
-    If asked for, `other` has a second hash of each, independent of the first.
+    If asked for, `other` has a second hash of each, by other random values of bytes.
     """
 
     def __init__(self, texts: list[bytes], kind: np.ndarray = PLAIN, lower: bool = False, two: bool = False):
@@ -179,7 +179,7 @@ class Words:
         np.cumsum([len(t) + 1 for t in texts], out=begin[1:])
         self.first = np.searchsorted(start, begin)
         self.hash = _spans(_BYTE[buf], "byte", start, end) if len(start) else np.zeros(0, np.uint64)
-        self.other = _spans(_BYTE_2[buf], "byte 2", start, end) if two and len(start) else np.zeros(0, np.uint64)
+        self.other = _spans(_BYTE_2[buf], "byte", start, end) if two and len(start) else np.zeros(0, np.uint64)
         self.end = np.repeat(self.first[1:], np.diff(self.first))  # of each word's text, in words
 
     def grams(self, n: int, start: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -194,7 +194,7 @@ class Words:
 
     def others(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """`spans` by the second hashes."""
-        return _spans(self.other, "word 2", start, end)
+        return _spans(self.other, "word", start, end)
 
 
 def signed(x: np.ndarray) -> np.ndarray:

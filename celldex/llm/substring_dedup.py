@@ -20,8 +20,8 @@ and a third reading finds where they are; an exact join confirms them too.  Cove
 out of each text.  `new_batch` does the same for a batch against a kept log: of the documents before, only
 windows of state 2 are read again.
 
-Fingerprints and the hashes of blocks and windows come from two independent hashes of each word, so
-windows are told apart by 128 bits, of 8 of their words and of all 35; words aren't compared byte by byte.
+Fingerprints, and the hashes of blocks and windows, come from two hashes of each word, by independent
+random values of bytes, so windows are told apart by 128 bits, of 8 of their words and of all 35; words aren't compared byte by byte.
 
 Windows of both copies are removed, the first one's too, as the input is judged, not what is left.
 Null text has no words.  Rows that repeat an id and a text repeat each other's windows.  Every row
@@ -47,8 +47,8 @@ WIDTH, SEED, FAN, BATCHES = 35, 8, 4, 6
 
 
 def blocks(words: Words, width: int = WIDTH, seed: int = SEED) -> tuple[np.ndarray, ...]:
-    """First and last window of each block, its fingerprint, and the other hash of all its words and their places."""
-    none = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    """First and last window of each block, its fingerprint, and where its minimizer begins."""
+    none = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
     n, reach = len(words.hash), width - seed + 1
     at = np.arange(n)
     window = at[at + width <= words.end]
@@ -71,9 +71,13 @@ def blocks(words: Words, width: int = WIDTH, seed: int = SEED) -> tuple[np.ndarr
     edge = np.flatnonzero(np.concatenate(([True], (chosen[1:] != chosen[:-1]) | (window[1:] != window[:-1] + 1))))
     first, last = window[edge], window[np.append(edge[1:], len(window)) - 1]
     seed_at = chosen[edge]
-    body = words.others(first, last + width)
+    return first, last, full[seed_at], seed_at
+
+
+def block_hashes(words: Words, first: np.ndarray, last: np.ndarray, seed_at: np.ndarray, width: int) -> np.ndarray:
+    """Of all the words of each block, by their second hashes, and their places about the minimizer."""
     shape = ((seed_at - first) << 32 | (last - first)).astype(np.uint64)
-    return first, last, full[seed_at], mix(body ^ mix(shape + np.uint64(1)))
+    return mix(words.others(first, last + width) ^ mix(shape + np.uint64(1)))
 
 
 def _fingerprints(docs: DataFrame, width: int) -> DataFrame:
@@ -82,7 +86,9 @@ def _fingerprints(docs: DataFrame, width: int) -> DataFrame:
     def emit(batches):
         for batch in batches:
             for some in chunks((t for t in batch.column(0).to_pylist() if t)):
-                _, _, fp, block = blocks(Words(some, two=True), width)
+                words = Words(some, two=True)
+                first, last, fp, seed_at = blocks(words, width)
+                block = block_hashes(words, first, last, seed_at, width)
                 yield pa.RecordBatch.from_arrays([pa.array(signed(fp)), pa.array(signed(block))], ["fp", "block"])
 
     rows = docs.select(F.col("text").cast("binary")).mapInArrow(lean(emit), "fp long, block long")
@@ -180,7 +186,7 @@ def _met_blocks(docs: DataFrame, met, width: int) -> DataFrame:
     def pick(batches):
         for batch in batches:
             for some in chunks(zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True), size=lambda r: len(r[2])):
-                words = Words([r[2] for r in some], two=True)
+                words = Words([r[2] for r in some])
                 first, last, fp, _ = blocks(words, width)
                 ok = met.value.has(fp)
                 first, last, fp = first[ok], last[ok], fp[ok]
