@@ -22,9 +22,12 @@ range of hashes, of about `PER_PART` shingles each.  Longer lists aren't expande
    it has more, then those it lacks.
 3. Classes in one list that aren't linked through the leader may still link with each other.  As
    |x ^ y| = |Dx ^ Dy|, and |x ^ y| <= n (100 - T) / T, they must share some of the first shingles of
-   their differences (or have differences so small that none need be shared); those are joined, with
-   a bound by position, and compared exactly.  Pairs of which both are linked to the leader are in one
-   component already.  So no link between different texts is lost, for components.
+   their differences (or have differences so small that none need be shared).  Pairs of which both are
+   linked to the leader are in one component already.  Classes that share such a shingle, up to
+   `SMALL_GROUP` of them, are joined pairwise, with a bound by position, and compared exactly.  More
+   of them are a long list of its own, with a leader among those not linked yet, and go through 2 and 3
+   again, `DEEP` times at most; whatever is still long then is joined pairwise after all.  So no link
+   between different texts is lost, for components.
 4. Components are found over classes, not ids: two texts of one id don't link what they link with.
 
 Classes are told apart by 128-bit digests in results and by 64 bits in lists.
@@ -36,6 +39,7 @@ and no component, and link nothing.  Rows that repeat an id each get the compone
 from __future__ import annotations
 
 import math
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -43,13 +47,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.matching import components
 from .common import Membership, Words, chunks, lean, mix, most_frequent, row_key, signed, small_batches, written
-from .graph import components
 
 SHINGLE, PERCENT, FREQUENT = 5, 80, 1 << 20
 MOST_OUT, MOST_LIGHT = 2, 29
 SEEN_LEAST, SEEN_WITHIN = 3, 3_000_000
 SMALL_LIST, BAND, PER_PART, MOST_PARTS = 12, 3, 16, 1 << 14
+SMALL_GROUP, DEEP = 64, 4
 
 
 def sets(texts: list[bytes], shingle: int) -> list[np.ndarray]:
@@ -292,26 +297,25 @@ def ngram_join(docs: DataFrame, percent: int = PERCENT, frequent: int = FREQUENT
     met = stars.unionAll(direct)
     need = met.select(F.col("a").alias("cls")).unionAll(met.select("b")).distinct()
     items = written(_sets_of(docs, written(named.join(need, "cls").select("cls", "rep"), "need"), shingle), "items")
+    links, pairs = [], [direct]
+    for depth in range(DEEP):
+        with small_batches(spark):
+            compared = written(_compared(stars, items, percent, True), "compared")
+        links.append(compared.where("link").select("a", "b"))
+        tokens = _differences(compared, percent)
+        groups = tokens.groupBy("b", "token").agg(F.count("*").alias("size"), F.max(F.struct(~F.col("link"), "a")).alias("lead")).where("size > 1 and lead.col1")
+        tokens = written(tokens.join(groups.select("b", "token", "size", F.col("lead.a").alias("next")), ["b", "token"]), "differences")
+        few = tokens if depth == DEEP - 1 else tokens.where(F.col("size") <= SMALL_GROUP)
+        pairs.append(written(_sharing(few), "pairs"))
+        stars = written(tokens.where((F.col("size") > SMALL_GROUP) & (F.col("a") != F.col("next"))).select("a", F.col("next").alias("b")).distinct(), "stars")
+        if stars.isEmpty():
+            break
     with small_batches(spark):
-        compared = written(_compared(stars, items, percent, True), "compared")
+        more = written(_compared(reduce(DataFrame.unionAll, pairs).distinct(), items, percent, False), "compared")
 
-    apart = F.floor(F.col("n") * (100 - percent) / percent).cast("int")
-    open_at = compared.where("not link").select("b").distinct()
-    near = compared.join(open_at, "b").withColumn("most", apart)
-    # The mark 0 stands for differences that are small enough to share nothing.
-    small = F.when(F.col("apart") <= F.col("most"), F.array(F.lit(0).cast("long"))).otherwise(F.array().cast("array<long>"))
-    tokens = written(near.select("a", "b", "link", "apart", "most", F.posexplode(F.concat(small, "diff")).alias("at", "token"), F.size(small).alias("shift")), "differences")
-    x = tokens.where("not link").select("b", "token", F.col("a").alias("x"), F.col("apart").alias("xn"), F.col("most").alias("xm"), (F.col("at") - F.col("shift")).alias("xp"))
-    y = tokens.select("b", "token", F.col("a").alias("y"), "link", F.col("apart").alias("yn"), F.col("most").alias("ym"), (F.col("at") - F.col("shift")).alias("yp"))
-    most = F.least("xm", "ym")
-    shared = F.when(F.col("xp") < 0, 0).otherwise(1 + F.least(F.col("xn") - F.col("xp"), F.col("yn") - F.col("yp")) - 1)
-    pairs = x.join(y, ["b", "token"]).where((F.col("link") & (F.col("x") != F.col("y"))) | (F.col("x") < F.col("y"))).where(2 * shared >= F.col("xn") + F.col("yn") - most)
-    pairs = written(pairs.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "pairs")
-    with small_batches(spark):
-        more = written(_compared(pairs.unionAll(direct), items, percent, False), "compared")
-
-    links = compared.where("link").select("a", "b").unionAll(more.where("link").select("a", "b"))
-    found = written(components(links).withColumnRenamed("id", "h1"), "linked")
+    links = [*links, more.where("link").select("a", "b")]
+    links = reduce(DataFrame.unionAll, links)
+    found = written(components(links, written).withColumnRenamed("node", "h1"), "linked")
     least = classes.join(found, "h1").groupBy("component").agg(F.min("rep").alias("least"))
     to = found.join(least, "component").select("h1", "least")
     of_class = written(classes.join(to, "h1", "left").select("h1", "h2", F.coalesce("least", "rep").alias("component")), "components")
@@ -319,6 +323,26 @@ def ngram_join(docs: DataFrame, percent: int = PERCENT, frequent: int = FREQUENT
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"), "key")
 
 
+def _differences(compared: DataFrame, percent: int) -> DataFrame:
+    """b, token, a, link, apart, most, at: the first shingles of differences from leaders of which a class isn't linked.
+
+    The mark 0, at -1, stands for differences that are small enough to share nothing.
+    """
+    open_at = compared.where("not link").select("b").distinct()
+    near = compared.join(open_at, "b").withColumn("most", F.floor(F.col("n") * (100 - percent) / percent).cast("int"))
+    small = F.when(F.col("apart") <= F.col("most"), F.array(F.lit(0).cast("long"))).otherwise(F.array().cast("array<long>"))
+    return near.select("a", "b", "link", "apart", "most", F.posexplode(F.concat(small, "diff")).alias("at", "token"), F.size(small).alias("shift")).select("b", "token", "a", "link", "apart", "most", (F.col("at") - F.col("shift")).alias("at"))
+
+
+def _sharing(tokens: DataFrame) -> DataFrame:
+    """a, b: classes of one leader that share one of the first shingles of their differences, at places that leave room for a link, not both linked to it."""
+    x = tokens.where("not link").select("b", "token", F.col("a").alias("x"), F.col("apart").alias("xn"), F.col("most").alias("xm"), F.col("at").alias("xp"))
+    y = tokens.select("b", "token", F.col("a").alias("y"), "link", F.col("apart").alias("yn"), F.col("most").alias("ym"), F.col("at").alias("yp"))
+    shared = F.when(F.col("xp") < 0, 0).otherwise(F.least(F.col("xn") - F.col("xp"), F.col("yn") - F.col("yp")))
+    pairs = x.join(y, ["b", "token"]).where((F.col("link") & (F.col("x") != F.col("y"))) | (F.col("x") < F.col("y"))).where(2 * shared >= F.col("xn") + F.col("yn") - F.least("xm", "ym"))
+    return pairs.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
+
+
 def _boundary(classes: DataFrame, seen: DataFrame, percent: int) -> int:
     """The size up to which filing subsets is cheaper than scanning inverted lists."""
     size = {r["n"]: r["count"] for r in classes.where(F.col("n") <= max(boundaries(percent))).groupBy("n").count().collect()}

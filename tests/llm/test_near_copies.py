@@ -42,6 +42,27 @@ def test_both_measures(spark, texts, percent, shingle, small_list, out, monkeypa
     assert got == ngram_join.brute(dict(texts), percent, shingle)
 
 
+@pytest.mark.parametrize("deep", [1, 2, 4])
+def test_groups_that_share_differences_lose_no_link(spark, deep, monkeypatch):
+    """Variants of one text far from the leader of their lists: long groups go by leaders of their own."""
+    for name, value in (("SMALL_LIST", 1), ("SMALL_GROUP", 3), ("DEEP", deep)):
+        monkeypatch.setattr(ngram_join, name, value)
+    r = random.Random(5)
+    first = [f"w{i}" for i in range(60)]
+    out = [" ".join(first)] * 5
+    for start in (12, 25):
+        other = first[:start] + [f"v{start}_{i}" for i in range(60 - start)]
+        for _ in range(25):
+            w = list(other)
+            for _ in range(r.randrange(0, 4)):
+                w[r.randrange(len(w))] = f"y{r.randrange(5)}"
+            out.append(" ".join(w))
+    texts = list(enumerate(out))
+    for percent, shingle in ((80, 5), (60, 2)):
+        got = {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in ngram_join.ngram_join(docs(spark, texts), percent=percent, shingle=shingle).collect()}
+        assert got == ngram_join.brute(dict(texts), percent, shingle)
+
+
 def test_boundaries_hold_subsets_few():
     assert ngram_join.boundaries(90) == [9, 19, 29] and ngram_join.boundaries(80) == [4, 9, 14]
     for percent in (50, 75, 80, 90, 95, 99, 100):
