@@ -10,9 +10,9 @@ usual title lines, with the line "All rights reserved." after them, as one line
 broken at `WIDTHS`: as copyright lines are left out, a text has another form where a line begins with that word.
 The long ones, which have no title of their own in `TITLES`, are looked up as printed and unbroken only.
 
-Digests of known texts are broadcast up to `MOST_KNOWN` of them, joined by shuffle beyond.  Rows of
-one id are one document (their lines are taken together; so are those without an id).  Null text has
-no lines.  Empty canonical forms match nothing.
+Digests of known texts are broadcast up to `MOST_KNOWN` of them, joined by shuffle beyond.  Every row is
+a document of its own, repeated ids and null ids too; a task puts a row's lines together again by its
+place in the scan, before anything is shuffled.  Null text has no lines.  Empty canonical forms match nothing.
 """
 
 from __future__ import annotations
@@ -132,14 +132,14 @@ def license_scan(docs: DataFrame, licences: DataFrame) -> DataFrame:
     at = at.select(F.sha2("form", 256).alias("digest"), "found")
     if at.limit(MOST_KNOWN + 1).count() <= MOST_KNOWN:
         at = F.broadcast(at)
-    rows = docs.select("doc_id", F.posexplode_outer(forms(F.col("text"))).alias("at", "form"))
-    rows = rows.select("doc_id", (F.col("at") == 0).alias("whole"), F.sha2("form", 256).alias("digest")).join(at, "digest", "left")
+    rows = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row")).select("row", "doc_id", F.posexplode_outer(forms(F.col("text"))).alias("at", "form"))
+    rows = rows.select("row", "doc_id", (F.col("at") == 0).alias("whole"), F.sha2("form", 256).alias("digest")).join(at, "digest", "left")
     named = lambda on: F.when(F.col("whole") == on, F.col("found"))
-    return rows.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
+    return rows.groupBy("row", F.col("doc_id").cast("long").alias("doc_id")).agg(
         F.min(named(True)).alias("license"),
         F.count(named(False)).alias("n_lines"),
         F.array_join(F.sort_array(F.collect_set(named(False))), ",").alias("licenses"),
-    )
+    ).drop("row")
 
 
 def oracle() -> str:
