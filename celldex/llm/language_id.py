@@ -5,7 +5,9 @@ byte embeddings, max pooling over the window, a rectifier and a softmax layer gi
 probabilities; a document's are their mean, weighted by the windows' bytes, over all its windows.
 
 Training is numpy (Adam, gradients by hand) on the driver, over a bounded sample of labelled rows:
-about `PER_LANGUAGE` documents of each language (drawn by a hash of the id), `PER_DOC` windows each.
+about `PER_LANGUAGE` documents of each language (drawn by a hash of the id), `PER_DOC` windows each; fewer
+of each where there are so many languages that it would be more than `MOST_SAMPLED` documents, but every
+language is learned.
 For prediction, embeddings and filters are folded into tables over byte pairs, so a convolution is a
 few row lookups; tasks handle blocks of `BLOCK` windows whatever the texts' lengths.
 
@@ -24,7 +26,7 @@ from .common import HELD, chunks, fresh, hand_back, in_train
 
 WINDOW, PER_LANGUAGE, PER_DOC, BLOCK = 256, 1500, 3, 64
 WIDTHS, FILTERS, EMBED = (2, 3, 4), 16, 8
-MOST_LANGUAGES = 200
+MOST_SAMPLED = 300_000
 
 
 def windows(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -116,16 +118,17 @@ def log_probabilities(tables: dict[str, np.ndarray], x: np.ndarray) -> np.ndarra
 def sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> tuple[list[bytes], list[str]]:
     """A bounded, hash-drawn sample of the rows that may be learned from: windows and their languages."""
     rows = docs.where(in_train() & F.col("lang").isNotNull() & F.col("text").rlike("\\p{L}"))
-    n = {r["lang"]: r["n"] for r in docs.where(in_train() & F.col("lang").isNotNull()).groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()}
+    n = {r["lang"]: r["n"] for r in docs.where(in_train() & F.col("lang").isNotNull()).groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not n:
         return [], []
-    share = F.create_map(*[F.lit(v) for k in sorted(n) for v in (k, min(1.0, per_language / n[k]))])
+    per_language = max(1, min(per_language, MOST_SAMPLED // len(n)))
+    rates = docs.sparkSession.createDataFrame([(k, min(1.0, per_language / v)) for k, v in sorted(n.items())], "lang string, rate double")  # a row a language
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / float(1 << 20)
     body = F.col("text").cast("binary")
     room = F.greatest(F.octet_length("text") - WINDOW, F.lit(0))
     step = F.floor(room / (PER_DOC - 1)).cast("int")
     cut = F.array_distinct(F.array(*[F.substring(body, step * i + 1, F.lit(WINDOW)) for i in range(PER_DOC)]))
-    got = rows.where(draw < share[F.col("lang")]).select("doc_id", "lang", cut.alias("cut")).toArrow()
+    got = rows.select("doc_id", "lang", "text").join(F.broadcast(rates), "lang").where(draw < F.col("rate")).select("doc_id", "lang", cut.alias("cut")).toArrow()
     x, y, per = [], [], {}
     for lang, cuts in sorted(zip(got["lang"].to_pylist(), got["cut"].to_pylist(), strict=True)):
         if (k := per.get(lang, 0)) < 2 * per_language:  # the draw is of about per_language
