@@ -61,8 +61,10 @@ def simplified(line: np.ndarray, tolerance: float) -> np.ndarray:
     return line[keep]
 
 
-def contours(pixels: DataFrame, tolerance: float = 1.0, places: int = 2) -> DataFrame:
-    """label, ring of labels (NULL and 0 are background): the longest outline, from pixel corners, closed, simplified and rounded.
+def contours(pixels: DataFrame, tolerance: float = 1.0, places: int = 2, corner: float = 0.5) -> DataFrame:
+    """label, ring of labels (NULL and 0 are background): the longest outline, closed, simplified and rounded.
+
+    Coordinates are from pixel corners; with corner 0, from pixel centres.
 
     Rings that keep less than 4 points are left out.  A task gets one label's pixels, so its box, at a time.
     """
@@ -72,7 +74,7 @@ def contours(pixels: DataFrame, tolerance: float = 1.0, places: int = 2) -> Data
         low = at.min(0)
         mask = np.zeros(at.max(0) - low + 1, bool)
         mask[tuple((at - low).T)] = True
-        ring = simplified(outline(mask) + 0.5, tolerance) + low[::-1]
+        ring = simplified(outline(mask) + corner, tolerance) + low[::-1]
         if len(ring) >= 4:
             yield pd.DataFrame({"label": [key[0]], "ring": [[{"x": round(float(x), places), "y": round(float(y), places)} for x, y in ring]]})
 
@@ -81,6 +83,13 @@ def contours(pixels: DataFrame, tolerance: float = 1.0, places: int = 2) -> Data
     return rows.groupBy("label").applyInPandas(trace, f"label {kind}, ring array<struct<x: double, y: double>>")
 
 
+def mask_features(pixels: DataFrame, tolerance: float = 1.0) -> DataFrame:
+    """label, feature (GeoJSON text) of labels' outlines from pixel centres, as registration takes them."""
+    ring = contours(pixels, tolerance, corner=0.0)
+    shape = F.struct(F.lit("Polygon").alias("type"), F.array(F.transform("ring", lambda p: F.array(p["x"], p["y"]))).alias("coordinates"))
+    return ring.select("label", F.to_json(F.struct(F.lit("Feature").alias("type"), F.col("label").cast("string").alias("id"), shape.alias("geometry"))).alias("feature"))
+
+
 def polygons(features: DataFrame, geometry: str, feature: str) -> DataFrame:
     """feature, part, hole, ring of GeoJSON geometries (text): Polygon and MultiPolygon, rings of 3 points or more.
 

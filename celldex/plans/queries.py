@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from ..operators import measure, merge, pairing, raster
 from ..sources import sheets
 from ..sources.tables import table
-from ..streaming.groups import sized_groups
-from . import joins, kernels, reports, slides, spatial  # noqa: F401  (they enter theirs)
+from ..streaming.groups import groups_and_rest, sized_groups
+from . import assembled, joins, kernels, reports, slides, spatial  # noqa: F401  (they enter theirs)
 from .registry import ALL, query
 
 __all__ = ["ALL"]
@@ -71,6 +71,11 @@ def sized_group(spark, d):
     return sized_groups(table(spark, d, "conversations"), "conv_id", "turn", 3)
 
 
+@query("select conv_id, array_to_string((list_sort(list(turn)))[1:4], ',') as items, count(turn) >= 4 as complete from conversations group by 1")
+def flushed_groups(spark, d):
+    return groups_and_rest(table(spark, d, "conversations"), "conv_id", "turn", 4)
+
+
 @query("select c_custkey, c_name from customer where not exists (select 1 from orders where o_custkey = c_custkey and o_totalprice > 200000)")
 def orphan_anti_join(spark, d):
     big = table(spark, d, "orders").where("o_totalprice > 200000")

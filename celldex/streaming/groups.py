@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -15,6 +15,32 @@ def sized_groups(rows: DataFrame, key: str, item: str, size: int) -> DataFrame:
     return got.where(F.size("items") >= size).select(key, F.array_join(F.slice("items", 1, size), ",").alias("items"))
 
 
+def groups_and_rest(rows: DataFrame, key: str, item: str, size: int) -> DataFrame:
+    """All groups, their first `size` items in order, and whether they are complete; the last flush of what waited for more."""
+    got = rows.groupBy(key).agg(F.sort_array(F.collect_list(item)).alias("items"))
+    return got.select(key, F.array_join(F.slice("items", 1, size), ",").alias("items"), (F.size("items") >= size).alias("complete"))
+
+
+def complete_groups(rows: DataFrame, key: str, item: str, size: int) -> DataFrame:
+    """`sized_groups`; an error if a group isn't complete, as one that isn't must not go on."""
+    short = rows.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") < size).orderBy(key).limit(3).collect()
+    if short:
+        raise ValueError("incomplete groups: " + ", ".join(f"{r[key]} ({r['n']} of {size})" for r in short))
+    return sized_groups(rows, key, item, size)
+
+
+def counted(rows: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """rows, and what counts them as they pass (`rows` in its `get`), with no pass of its own."""
+    seen = Observation(name)
+    return rows.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+
+
+def conserved(seen: Observation, expected: int) -> None:
+    """An error unless as many rows have passed as a manifest promised."""
+    if (n := seen.get["rows"]) != expected:
+        raise ValueError(f"{n} rows passed, {expected} were expected")
+
+
 def stream_sized_groups(rows: DataFrame, key: str, item: str, size: int) -> DataFrame:
     """The same over a stream: a group leaves, in arrival order, with its size-th item; later items are dropped."""
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from celldex.functions import scalars
 from celldex.operators import matching, measure, merge, pairing, registration, seg_quality, shapes
-from celldex.streaming.groups import stream_sized_groups
+from celldex.streaming.groups import complete_groups, conserved, counted, stream_sized_groups
 
 
 def test_outline_of_shapes():
@@ -199,3 +199,24 @@ def test_stream_sized_groups(spark, tmp_path):
     q.awaitTermination(120)
     got = {r["k"]: r["items"] for r in spark.table("sized").collect()}
     assert set(got) == {1, 2} and all(len(v.split(",")) == 2 for v in got.values())
+
+
+def test_groups_that_must_be_complete(spark):
+    rows = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "k long, item string")
+    with pytest.raises(ValueError, match=r"2 \(1 of 2\)"):
+        complete_groups(rows, "k", "item", 2)
+    assert [r["items"] for r in complete_groups(rows.where("k = 1"), "k", "item", 2).collect()] == ["a,b"]
+
+
+def test_rows_are_conserved(spark):
+    rows, seen = counted(spark.range(10), "passing")
+    assert rows.where("id > 3").count() == 6
+    conserved(seen, 10)
+    with pytest.raises(ValueError, match="10 rows passed, 11"):
+        conserved(seen, 11)
+
+
+def test_mask_features_are_from_pixel_centres(spark):
+    px = spark.createDataFrame([(1, x, y) for x in range(4) for y in range(4)], "label long, x long, y long")
+    ring = json.loads(shapes.mask_features(px, 0.3).head()["feature"])["geometry"]["coordinates"][0]
+    assert min(x for x, _ in ring) == -0.5 and max(y for _, y in ring) == 3.5 and ring[0] == ring[-1]

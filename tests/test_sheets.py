@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from celldex.operators import assemble
 from celldex.sources import sheets, tables
 
 SHEET = '﻿patient_id, path_to_file ,is_reference,channels\n P1 ,"a, ""b"".ome.tif",TRUE,DAPI|CD3\n\nP1,b.tif,false,dapi | CD8\n,,,\nP2,c.tif,true,"CELLTOX|DAPI"\n'
@@ -102,3 +103,28 @@ def test_a_cluster_needs_a_shared_folder():
     session.conf = session
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         tables.shared_dir(session)
+
+
+def test_columns_of_merged_tables(spark):
+    df = spark.createDataFrame([(1, 2.0, 9.0, 0.1, 0.2, 0.3, "x", "+")], "label long, x double, area double, CD8 double, DAPI double, CD3 double, note string, a_sign string").withColumn("b_sign", F.lit(" "))
+    assert assemble.marker_columns(df) == ["CD8", "DAPI", "CD3"]
+    assert assemble.ordered_columns(df.select("label", "x", "area", "CD8", "DAPI", "CD3"), "P1", ["dapi"]).columns == ["fov", "cell_size", "label", "x", "area", "DAPI", "CD3", "CD8"]
+    assert assemble.gated_columns(df) == ["a_sign"] and assemble.gated_columns(df.select("label")) == []
+
+
+def test_assembled_errors(spark):
+    with pytest.raises(ValueError, match="need compartments"):
+        assemble.compartment_mode(False, True, False)
+    with pytest.raises(ValueError, match="embedded masks"):
+        assemble.compartment_mode(True, False, True)
+    assert assemble.compartment_mode(True, True, True)["masks"]
+    files = spark.createDataFrame([("/a/P1_DAPI_CD3.tif",), ("/a/P1_dapi.tif",), ("/a/P1_CD3_DAPI.txt",)], "path string")
+    assert assemble.reference_file(files, ["dapi", "cd3"], [".tif"]) == "/a/P1_DAPI_CD3.tif"
+    with pytest.raises(ValueError, match="expected one"):
+        assemble.reference_file(files, ["DAPI"], [".tif", ".txt"])
+    shapes = spark.createDataFrame([("A", 5, 5), ("B", 5, 6)], "channel string, height int, width int")
+    with pytest.raises(ValueError, match="2 shapes"):
+        assemble.channel_files(shapes)
+    assert assemble.channel_files(shapes.limit(1)).count() == 1 and assemble.usable_slides(shapes, 6).count() == 0
+    with pytest.raises(ValueError, match="unknown kind"):
+        assemble.of_kind(shapes, "x", ["y"])
