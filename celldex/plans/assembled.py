@@ -48,7 +48,7 @@ def preflight_sizes(spark, d):
     return assemble.preflight(slides, "0.5", 0.1).withColumnRenamed("path", "p_partkey")
 
 
-@query("select stage, n, n as n_scored, iou as iou_mean, d as d_p50, iou - 0.75 as delta, d - 1.0 as delta_d from (values ('native', 0.25, 3.0), ('rigid', 0.75, 1.0)) s(stage, iou, d), (select count(*) as n from part where p_partkey <= 100) t")
+@query("select stage, n, n as n_scored, iou as iou_mean, d as d_p50, iou - 0.75e0 as delta, d - 1e0 as delta_d from (values ('native', 0.25e0, 3e0), ('rigid', 0.75e0, 1e0)) s(stage, iou, d), (select count(*) as n from part where p_partkey <= 100) t")
 def stage_scores(spark, d):
     x, y = (F.col("p_partkey") * 50).cast("double"), (F.col("p_size") * 10).cast("double")
     p = table(spark, d, "part").where("p_partkey <= 100")

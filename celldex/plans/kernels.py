@@ -117,7 +117,7 @@ def _controls(spark, d):
 _CTRL = "c as (select vec_id % 20 as ix, vec_id // 20 as iy, embedding[1]::double * 10 as dx, embedding[2]::double * 10 as dy, case when vec_id % 11 = 0 then 'nan'::double when vec_id % 7 <> 0 then abs(embedding[3]::double) end as error from embeddings where vec_id < 400), w as (select *, sqrt(dx * dx + dy * dy) as tre, case when sqrt(dx * dx + dy * dy) >= 3 then 'disp' when error is not null and not (error <= 0.25) then 'error' end as why from c)"
 
 
-@query(f"with {_CTRL}, g as (select ix, iy, why is null as ok, case when why is null and tre >= 1 then dx else 0 end as dx, case when why is null and tre >= 1 then dy else 0 end as dy from w), m as (select a.ix, a.iy, median(b.dx) as dx, median(b.dy) as dy from g a join g b on abs(a.ix - b.ix) <= 1 and abs(a.iy - b.iy) <= 1 and b.ok group by 1, 2) select g.ix, g.iy, g.ix * 100.0 as cx, g.iy * 100.0 as cy, round(case when ok then m.dx else 0 end, 6) as dx, round(case when ok then m.dy else 0 end, 6) as dy from g left join m using (ix, iy)")
+@query(f"with {_CTRL}, g as (select ix, iy, why is null as ok, case when why is null and tre >= 1 then dx else 0 end as dx, case when why is null and tre >= 1 then dy else 0 end as dy from w), m as (select a.ix, a.iy, median(b.dx) as dx, median(b.dy) as dy from g a join g b on abs(a.ix - b.ix) <= 1 and abs(a.iy - b.iy) <= 1 and b.ok group by 1, 2) select g.ix, g.iy, g.ix * 100e0 as cx, g.iy * 100e0 as cy, round(case when ok then m.dx else 0 end, 6) as dx, round(case when ok then m.dy else 0 end, 6) as dy from g left join m using (ix, iy)")
 def control_grid(spark, d):
     return registration.control_grid(_controls(spark, d), 1.0, 0.25, 3.0).withColumns({c: F.round(c, 6) for c in ("dx", "dy")})
 
@@ -139,14 +139,14 @@ def tile_residuals(spark, d):
     return registration.tile_residuals(_tiles(spark, d)).select("tile", F.abs(F.round("dx")).alias("dx"), F.abs(F.round("dy")).alias("dy"))
 
 
-@query("select k as tile, case when k = 0 then 0.25 else 0.0 end as fraction from range(3) t(k)")
+@query("select k as tile, case when k = 0 then 0.25e0 else 0e0 end as fraction from range(3) t(k)")
 def foreground_share(spark, d):
     px = spark.range(3000).select((F.col("id") % 3).alias("tile"), F.floor(F.col("id") / 3).alias("i"))
     v = F.when((F.col("tile") == 0) & (F.col("i") < 250), 100.0 + F.col("i") % 5).when(F.col("tile") == 1, F.col("i").cast("double")).when(F.col("tile") == 2, 7.0).otherwise(F.col("i") % 7)
     return registration.foreground(px.select("tile", v.alias("v")), "tile", "v").withColumn("fraction", F.round("fraction", 6))
 
 
-@query("select s_nationkey as slide, 0.8 as cosine, 0.6 as sine, 6.0 as ox, -10.0 as oy, count_if(s_suppkey % 5 > 0)::bigint as inliers from supplier group by 1 having count_if(s_suppkey % 5 > 0) >= 4 and count_if(s_suppkey % 5 = 0) <= 1")
+@query("select s_nationkey as slide, 0.8e0 as cosine, 0.6e0 as sine, 6e0 as ox, -10e0 as oy, count_if(s_suppkey % 5 > 0)::bigint as inliers from supplier group by 1 having count_if(s_suppkey % 5 > 0) >= 4 and count_if(s_suppkey % 5 = 0) <= 1")
 def slide_transforms(spark, d):
     x, y = F.col("s_acctbal") / 10, ((F.col("s_suppkey") * 37) % 211).cast("double")
     off = F.when(F.col("s_suppkey") % 5 == 0, 500.0).otherwise(0.0)

@@ -67,7 +67,7 @@ def validation(spark, d):
     return manifest.problems(table(spark, d, "customer"), ["c_custkey"], rules)
 
 
-@query("select part.p_partkey, cast(round(part.p_size * 1.5 * 1024) as varchar) as a, case when p_partkey % 3 = 0 then p_size else p_size * 60.0 + 30 end as seconds, p_size / 2.0 as percent from part")
+@query("select part.p_partkey, cast(round(part.p_size * 1.5 * 1024) as varchar) as a, case when p_partkey % 3 = 0 then p_size else p_size * 60e0 + 30 end as seconds, p_size / 2e0 as percent from part")
 def parsed_trace(spark, d):
     p = table(spark, d, "part").select("p_partkey", F.concat(F.col("p_size") * 1.5, F.lit(" KB")).alias("mem"), F.concat(F.col("p_size"), F.when(F.col("p_partkey") % 3 == 0, "").otherwise("m 30s")).alias("time"), F.concat(F.col("p_size") / 2, F.lit(" %")).alias("cpu"))
     return p.select("p_partkey", F.round(scalars.parse_bytes(F.col("mem"))).cast("long").cast("string").alias("a"), scalars.parse_duration(F.col("time")).alias("seconds"), scalars.parse_percent(F.col("cpu")).alias("percent"))
