@@ -78,17 +78,49 @@ def quantify(pixels: DataFrame, marker: str, expanded: bool) -> DataFrame:
     return by.select("label", *out)
 
 
+BINS = 4096
+
+
+def at_ranks(rows: DataFrame, group: str, value: str, ranks: dict[str, Column]) -> DataFrame:
+    """group, n and for each name the value at a rank (from 0, of `n`, the group's values) among the group's, in order.
+
+    No task sees a group: values are counted, their counts binned, and only bins that hold a rank are sorted.
+    NULL and NaN don't count; a group without other values has NULLs.
+    """
+    g, v = F.struct(group).alias("g"), F.when(~F.isnan(F.col(value).cast("double")), F.col(value))
+    counts = rows.groupBy(g, v.alias("v")).agg(F.count(v).alias("k"))
+    ends = counts.groupBy("g").agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("k").alias("n"))
+    width = F.when(F.col("hi") > F.col("lo"), (F.col("hi") - F.col("lo")).cast("double")).otherwise(1.0)
+    cells = counts.where("k > 0").join(ends, "g").select("g", "v", "k", "n", F.least(F.floor((F.col("v") - F.col("lo")) / width * BINS), F.lit(BINS - 1)).alias("bin"))
+    bins = cells.groupBy("g", "bin").agg(F.sum("k").alias("size"), F.first("n").alias("n"))
+    before = F.coalesce(F.sum("size").over(Window.partitionBy("g").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # BINS rows a group
+    wanted = F.array(*[F.struct(F.lit(k).alias("name"), r.cast("long").alias("rank")) for k, r in ranks.items()])
+    bins = bins.select("g", "bin", "size", before.alias("before"), wanted.alias("wanted"))
+    bins = bins.withColumn("wanted", F.filter("wanted", lambda w: (w["rank"] >= F.col("before")) & (w["rank"] < F.col("before") + F.col("size")))).where(F.size("wanted") > 0)
+    upto = F.col("before") + F.sum("k").over(Window.partitionBy("g", "bin").orderBy("v"))
+    found = cells.join(bins.select("g", "bin", "before", "wanted"), ["g", "bin"]).select("g", "v", "k", upto.alias("upto"), "wanted")
+    found = found.select("g", "v", "k", "upto", F.explode("wanted").alias("w")).where((F.col("w.rank") < F.col("upto")) & (F.col("w.rank") >= F.col("upto") - F.col("k")))
+    each = found.groupBy("g").agg(*[F.max(F.when(F.col("w.name") == k, F.col("v"))).alias(k) for k in ranks])
+    return ends.select("g", "n").join(each, "g", "left").select(F.col(f"g.{group}").alias(group), "n", *ranks)
+
+
+def quantiles(rows: DataFrame, group: str, value: str, shares: dict[str, float]) -> DataFrame:
+    """group and linearly interpolated percentiles, for groups of any size."""
+    place = {k: (F.col("n") - 1) * F.lit(q) for k, q in shares.items()}
+    ranks = {f"{k}_{e}": f(p) for k, p in place.items() for e, f in (("low", F.floor), ("high", F.ceil))}
+    got = at_ranks(rows, group, value, ranks)
+    part = lambda k: F.col(f"{k}_low") + (F.col(f"{k}_high") - F.col(f"{k}_low")) * (place[k] - F.floor(place[k]))
+    return got.select(group, *[part(k).cast("double").alias(k) for k in shares])
+
+
 def nearest_rank(rows: DataFrame, group: str, value: str, percent: int) -> DataFrame:
-    """The value at rank ceil(n * percent / 100), from counts of values, so a hot group is summed before it is sorted."""
-    n = rows.where(F.col(value).isNotNull()).groupBy(group, value).agg(F.count("*").alias("n"))
-    w = Window.partitionBy(group)
-    upto = F.sum("n").over(w.orderBy(value))
-    rank = F.ceil(F.sum("n").over(w) * percent / 100)
-    return n.select(group, value, upto.alias("upto"), rank.alias("rank")).where("upto >= rank").groupBy(group).agg(F.min(value).alias(f"p{percent}"))
+    """The value at rank ceil(n * percent / 100) of each group that has a value, for groups of any size."""
+    rank = F.greatest(F.ceil(F.col("n") * percent / 100), F.lit(1)) - 1
+    return at_ranks(rows, group, value, {f"p{percent}": rank}).where("n > 0").drop("n")
 
 
 def interpolated(rows: DataFrame, group: str, value: str, shares: dict[str, float]) -> DataFrame:
-    """Linearly interpolated percentiles, to 6 places."""
+    """Linearly interpolated percentiles, to 6 places; a task holds a group's different values (`quantiles` doesn't)."""
     return rows.groupBy(group).agg(*[F.round(F.percentile(value, F.lit(q)), 6).alias(k) for k, q in shares.items()])
 
 
@@ -101,7 +133,8 @@ def histogram(rows: DataFrame, value: str, bins: int) -> DataFrame:
 
 def stage_delta(rows: DataFrame, stage: str, value: str, anchor: str) -> DataFrame:
     """Mean and median of each stage, and how far they are from the anchor stage's."""
-    by = rows.groupBy(stage).agg(F.count("*").alias("n"), F.round(F.avg(value), 6).alias("mean"), F.round(F.percentile(value, F.lit(0.5)), 6).alias("p50"))
+    by = rows.groupBy(stage).agg(F.count("*").alias("n"), F.round(F.avg(value), 6).alias("mean"))
+    by = by.join(quantiles(rows, stage, value, {"p50": 0.5}).withColumn("p50", F.round("p50", 6)), stage)
     base = by.where(F.col(stage) == anchor).select(F.col("mean").alias("_m"), F.col("p50").alias("_p"))
     delta = [F.round(F.col("mean") - F.col("_m"), 4).alias("delta_mean"), F.round(F.col("p50") - F.col("_p"), 4).alias("delta_p50")]
     return by.join(F.broadcast(base), how="left").select(stage, "n", "mean", "p50", *delta)

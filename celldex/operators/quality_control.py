@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .measure import quantiles
+
 
 def finite(value: Column) -> Column:
     return value.isNotNull() & ~F.isnan(value) & (F.abs(value) < float("inf"))
@@ -18,20 +20,20 @@ def stage_summary(pairs: DataFrame, stage: str, iou: str, distance: str, area_a:
     v, d = F.when(finite(F.col(iou)), F.col(iou)), F.when(finite(F.col(distance)), F.col(distance))
     both = F.when(v.isNotNull(), F.col(area_a) + F.col(area_b))
     dice = 2 * v / (1 + v)
-    shares = F.percentile(d, F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9))).alias("_p")
     by = pairs.groupBy(stage).agg(
         F.count("*").alias("n"), F.count(v).alias("n_scored"), F.avg(v).alias("iou_mean"), F.avg((v >= threshold).cast("double")).alias("share_good"),
-        F.try_divide(F.sum(dice * both), F.sum(both)).alias("dice"), F.avg(d).alias("d_mean"), F.max(d).alias("d_max"), shares,
+        F.try_divide(F.sum(dice * both), F.sum(both)).alias("dice"), F.avg(d).alias("d_mean"), F.max(d).alias("d_max"),
     )
-    return by.select("*", *[F.col("_p")[i].alias(f"d_p{q}") for i, q in enumerate((10, 50, 90))]).drop("_p")
+    return by.join(quantiles(pairs.select(stage, d.alias("d")), stage, "d", {f"d_p{q}": q / 100 for q in (10, 50, 90)}), stage)
 
 
 def tile_report(tiles: DataFrame, slide: str, accepted: Column, error: str) -> DataFrame:
     """By slide: accepted and rejected tiles, and the spread of the accepted ones' errors (NULL where there is none)."""
     e = F.when(F.coalesce(accepted, F.lit(False)) & finite(F.col(error)), F.col(error))
     ok = F.coalesce(accepted, F.lit(False))
-    by = tiles.groupBy(slide).agg(F.count_if(ok).alias("n_accepted"), F.count_if(~ok).alias("n_rejected"), F.avg(e).alias("mean"), F.percentile(e, F.array(F.lit(0.5), F.lit(0.9))).alias("_p"), F.max(e).alias("worst"))
-    return by.select(slide, "n_accepted", "n_rejected", "mean", F.col("_p")[0].alias("p50"), F.col("_p")[1].alias("p90"), "worst")
+    by = tiles.groupBy(slide).agg(F.count_if(ok).alias("n_accepted"), F.count_if(~ok).alias("n_rejected"), F.avg(e).alias("mean"), F.max(e).alias("worst"))
+    both = by.join(quantiles(tiles.select(slide, e.alias("e")), slide, "e", {"p50": 0.5, "p90": 0.9}), slide)
+    return both.select(slide, "n_accepted", "n_rejected", "mean", "p50", "p90", "worst")
 
 
 def otsu(rows: DataFrame, group: str, value: str, bins: int) -> DataFrame:

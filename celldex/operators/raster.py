@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .measure import quantiles
+
 
 def tile_grid(spark: SparkSession, width: int, height: int, tile: int, overlap: int) -> DataFrame:
     """ix, iy, x0, y0, x1, y1 of tiles of a plane, each grown by overlap on every side and clipped."""
@@ -69,10 +71,10 @@ def above_mean(pixels: DataFrame, group: str) -> DataFrame:
 
 def percentile_scale(pixels: DataFrame, group: str, low: float, high: float) -> DataFrame:
     """pixels with v from 0 at the group's lower percentile to 1 at its upper one; 0 where they are equal."""
-    ends = pixels.groupBy(group).agg(F.percentile("v", F.array(F.lit(low), F.lit(high))).alias("_p"))
-    lo, hi = F.col("_p")[0], F.col("_p")[1]
+    ends = quantiles(pixels, group, "v", {"_lo": low, "_hi": high})
+    lo, hi = F.col("_lo"), F.col("_hi")
     v = F.when(hi > lo, F.least(F.greatest((F.col("v") - lo) / (hi - lo), F.lit(0.0)), F.lit(1.0))).otherwise(0.0)
-    return pixels.join(ends, group).withColumn("v", v).drop("_p")
+    return pixels.join(ends, group).withColumn("v", v).drop("_lo", "_hi")
 
 
 def fov_split(spark: SparkSession, size: int, parts: int) -> DataFrame:

@@ -220,3 +220,17 @@ def test_mask_features_are_from_pixel_centres(spark):
     px = spark.createDataFrame([(1, x, y) for x in range(4) for y in range(4)], "label long, x long, y long")
     ring = json.loads(shapes.mask_features(px, 0.3).head()["feature"])["geometry"]["coordinates"][0]
     assert min(x for x, _ in ring) == -0.5 and max(y for _, y in ring) == 3.5 and ring[0] == ring[-1]
+
+
+def test_quantiles_are_exact_whatever_the_group(spark):
+    r = np.random.default_rng(3)
+    groups = {"hot": r.normal(size=5000).round(2), "one": np.array([7.0]), "same": np.full(9, 3.0), "far": np.array([-1e300, 0.0, 1e300, 5.0])}
+    rows = [(k, float(v)) for k, values in groups.items() for v in values] + [("hot", None), ("hot", float("nan")), ("none", None), (None, 1.0), (None, 2.0)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(5)
+    shares = {"a": 0.0, "b": 0.25, "c": 0.5, "d": 0.998, "e": 1.0}
+    got = {x["g"]: x for x in measure.quantiles(df, "g", "v", shares).collect()}
+    for k, values in groups.items():
+        assert [got[k][s] for s in shares] == pytest.approx(np.percentile(values, [100 * q for q in shares.values()]), rel=1e-9)
+    assert got[None]["c"] == 1.5 and got["none"]["c"] is None
+    near = {x["g"]: x["p90"] for x in measure.nearest_rank(df, "g", "v", 90).collect()}
+    assert near["hot"] == np.sort(groups["hot"])[4499] and near["one"] == 7.0 and "none" not in near
