@@ -6,8 +6,8 @@ probabilities; a document's are their mean, weighted by the windows' bytes, over
 
 Training is numpy (Adam, gradients by hand) on the driver, over a bounded sample of labelled rows:
 about `PER_LANGUAGE` documents of each language (drawn by a hash of the id), `PER_DOC` windows each; fewer
-of each where there are so many languages that it would be more than `MOST_SAMPLED` documents, but every
-language is learned.
+of each where there are so many languages that it would be more than `MOST_SAMPLED` documents, but about
+`LEAST_SAMPLED` of each at least, or all it has; so no language is left out.
 For prediction, embeddings and filters are folded into tables over byte pairs, so a convolution is a
 few row lookups; tasks handle blocks of `BLOCK` windows whatever the texts' lengths.
 
@@ -26,7 +26,7 @@ from .common import HELD, chunks, fresh, hand_back, in_train
 
 WINDOW, PER_LANGUAGE, PER_DOC, BLOCK = 256, 1500, 3, 64
 WIDTHS, FILTERS, EMBED = (2, 3, 4), 16, 8
-MOST_SAMPLED = 300_000
+LEAST_SAMPLED, MOST_SAMPLED = 20, 300_000
 
 
 def windows(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -121,7 +121,7 @@ def sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> tuple[list[byte
     n = {r["lang"]: r["n"] for r in docs.where(in_train() & F.col("lang").isNotNull()).groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not n:
         return [], []
-    per_language = max(1, min(per_language, MOST_SAMPLED // len(n)))
+    per_language = max(LEAST_SAMPLED, min(per_language, MOST_SAMPLED // len(n)))
     rates = docs.sparkSession.createDataFrame([(k, min(1.0, per_language / v)) for k, v in sorted(n.items())], "lang string, rate double")  # a row a language
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / float(1 << 20)
     body = F.col("text").cast("binary")
