@@ -38,6 +38,13 @@ def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return (key % BUCKETS).astype(np.int32), np.searchsorted(key, np.arange(len(texts) + 1) * BUCKETS)
 
 
+def text_sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of each text's values, the same for a text wherever it stands."""
+    out = np.add.reduceat(np.append(values, 0.0), first[:-1])
+    out[first[1:] == first[:-1]] = 0.0
+    return out
+
+
 def coordinate_descent(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, cost: np.ndarray, width: int, epochs: int = EPOCHS, seed: int = 0) -> tuple[np.ndarray, float]:
     """Weights and bias that minimise half their squared norm and the hinge losses times `cost`, by the dual."""
     w, bias, alpha = np.zeros(width), 0.0, np.zeros(len(rows))
@@ -142,7 +149,7 @@ def quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, most: in
         for batch in batches:
             for some in chunks(zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True), size=lambda r: len(r[2])):
                 at, first = features([r[2] for r in some])
-                sums = [np.diff(np.concatenate(([0.0], np.cumsum(t[at])))[first]) for t in (weight, square)]
+                sums = [text_sums(t[at], first) for t in (weight, square)]
                 margin = sums[0] / np.sqrt(np.maximum(sums[1], 1e-24)) + bias
                 p = 1 / (1 + np.exp(-np.clip(slope * margin + offset, -700, 700)))
                 yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in some], pa.int64()), pa.array([r[1] for r in some], pa.bool_()), pa.array(p)], ["doc_id", "held_out", "score"])
