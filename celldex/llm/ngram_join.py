@@ -17,9 +17,9 @@ compared pair by pair, after a bound on the overlap: the sum of the lesser count
 range of hashes, of about `PER_PART` shingles each.  Longer lists aren't expanded into pairs.
 1. Lists with two classes or more are found by a grouped minimum and maximum; a bitmap of them lets a
    second reading of the texts file only what can meet something.
-2. In each long list, every class is compared with one leader, the class of most documents.  That links
-   nearly all copies of a text, and gives each class x its difference D from the leader: the shingles
-   it has more, then those it lacks.
+2. In each long list, every class is compared with one leader, the class that meets most classes in all
+   its lists, so one near the middle of its group.  That links nearly all copies of a text, and gives
+   each class x its difference D from the leader: the shingles it has more, then those it lacks.
 3. Classes in one list that aren't linked through the leader may still link with each other.  As
    |x ^ y| = |Dx ^ Dy|, and |x ^ y| <= n (100 - T) / T, they must share some of the first shingles of
    their differences (or have differences so small that none need be shared); those are joined, with
@@ -280,7 +280,9 @@ def ngram_join(docs: DataFrame, percent: int = PERCENT, frequent: int = FREQUENT
     filed = written(_files(docs, filing, shingle, keep).distinct(), "filed")
     named = classes.select(F.col("h1").alias("cls"), "rep", "copies", "n", "counts")
     ranked = filed.join(named.select("cls", "copies", "n"), "cls")
-    lists = ranked.groupBy("key").agg(F.max(F.struct("copies", "cls")).alias("lead"), F.count("*").alias("size")).where("size > 1")
+    sized = ranked.join(ranked.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "key")
+    central = sized.groupBy("cls").agg(F.sum("size").alias("met"))
+    lists = sized.join(central, "cls").groupBy("key").agg(F.max(F.struct("met", "copies", "cls")).alias("lead"), F.count("*").alias("size"))
     ranked = written(ranked.join(lists.select("key", F.col("lead.cls").alias("b"), "size"), "key"), "ranked")
     stars = written(ranked.where((F.col("size") > SMALL_LIST) & (F.col("cls") != F.col("b"))).select(F.col("cls").alias("a"), "b").distinct(), "stars")
     short = ranked.where(F.col("size") <= SMALL_LIST)
