@@ -75,11 +75,36 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .token_alignment import token_alignment
+
+    return token_alignment(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .hard_negatives import hard_negatives
+
+    return hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+def op13_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .url_rules import url_filter
+
+    return url_filter(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import decontamination, licenses
-
-    return {"op6_license_scan": licenses.oracle(), "op9_decontamination": decontamination.ORACLE}
+    from . import decontamination, hard_negatives, licenses, url_rules
+
+    return {
+        "op6_license_scan": licenses.oracle(),
+        "op9_decontamination": decontamination.ORACLE,
+        "op12_hard_negatives": hard_negatives.ORACLE,
+        "op13_url_filters": url_rules.ORACLE,
+    }
