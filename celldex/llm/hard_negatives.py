@@ -4,8 +4,8 @@
    centre (centres from a bounded sample) into blocks of at most about `BLOCK`; a hot label or cell is many
    blocks.  Each block is one row: its vectors in the order of a balanced tree, halved by label and then
    along the axis of greatest spread, with the nodes' centres, radii and labels.
-2. Anchors are taken `CHUNK` at a time, so their number doesn't matter.  A chunk's tree, made the same way,
-   and each anchor's bounds are broadcast (a bounded size).  Every task walks the chunk's tree and each of
+2. Anchors are taken `CHUNK` at a time, so their number doesn't matter.  A chunk's tree, made the same way
+   with leaves of `FEW`, and each anchor's bounds are broadcast (a bounded size).  Every task walks the chunk's tree and each of
    its blocks' trees together.  The inner products of a pair of nodes lie in centre . centre +- (|a| rb +
    |b| ra + ra rb); where that interval, or the labels, leave nothing for any anchor of the node, all of
    its anchors are dropped for all of the other node at once.  Pairs of leaves are scored exactly.
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from .common import lean, written
 
-BLOCK, LEAF, CHUNK, SAMPLE, MOST_CELLS, MOST_LABELS = 4096, 64, 16_384, 4096, 256, 64
+BLOCK, LEAF, CHUNK, FEW, SAMPLE, MOST_CELLS, MOST_LABELS = 4096, 64, 16_384, 8, 4096, 256, 64
 
 #: Hits that are held before they are cut to the best, and scores worked out at once.
 HITS, SCORES = 1 << 21, 1 << 22
@@ -171,10 +171,11 @@ class Walk:
         """Leaves of the block, each with the anchors' leaves that it must be scored with."""
         a, b = self.anchors.tree, block.tree
         bar, top = self.spans()
+        middles = a.centre @ b.centre.T
         i, j = np.zeros((2, 1), np.int64)
         leaves: list[tuple[np.ndarray, np.ndarray]] = []
         while len(i):
-            mid = np.einsum("ij,ij->i", a.centre[i], b.centre[j])
+            mid = middles[i, j]
             off = a.length[i] * b.radius[j] + b.length[j] * a.radius[i] + a.radius[i] * b.radius[j] + 1e-9 * (1 + np.abs(mid))
             ok = (mid + off >= bar[i]) & (mid - off <= top[i]) & (a.size[i] > 0) & (b.size[j] > 0)
             if self.same:
@@ -299,7 +300,7 @@ def mine(rows: DataFrame, anchors: Column, k: int = 5, per: int = 3, low: int =
         got = mine_.where(F.col("chunk") == c).toArrow()
         if not len(got):
             continue
-        side = Side(got, width)
+        side = Side(got, width, FEW)
         said: list = []
         walk = _seeded(Walk(side, True, k, np.full((len(got), 1), least), np.full((len(got), 1), most)), seeds)
         positives = written(_run(blocks, walk, said if scored else None), "positives")

@@ -176,7 +176,7 @@ def test_trees_drop_most_pairs_of_clusters(spark):
     share = {}
     got = hard_negatives.hard_negatives(vectors(spark, rows), scored=share.__setitem__)
     assert sorted(map(tuple, got.collect())) == brute(relabelled(rows))
-    assert share["positives"] < 0.2 and share["negatives"] < 0.5, share
+    assert share["positives"] < 0.2 and share["negatives"] < 0.8, share
 
 
 def test_tree_and_intervals():
