@@ -29,8 +29,8 @@ def morphology(pixels: DataFrame) -> DataFrame:
     return sums.select("label", "area", "cx", "cy", "x0", "y0", "x1", "y1", *shape)
 
 
-def boundary(pixels: DataFrame) -> DataFrame:
-    """label, x, y of the pixels that have a side without their label beyond it.
+def boundary(pixels: DataFrame, height: int | None = None, width: int | None = None) -> DataFrame:
+    """label, x, y of the pixels that have a side without their label beyond it; with the plane's size, its edge is no such side.
 
     Every pixel votes for itself and its four neighbours, so one grouping finds them and no join is needed.
     """
@@ -38,7 +38,30 @@ def boundary(pixels: DataFrame) -> DataFrame:
     votes = _inside(pixels).distinct().select("label", "x", "y", F.explode(steps).alias("d"))
     at = votes.groupBy("label", (F.col("x") + F.col("d.dx")).alias("x"), (F.col("y") + F.col("d.dy")).alias("y"))
     own = (F.col("d.dx") == 0) & (F.col("d.dy") == 0)
-    return at.agg(F.bool_or(own).alias("own"), F.count("*").alias("votes")).where("own and votes < 5").select("label", "x", "y")
+    beyond = [(F.col(c) == k).cast("int") for c, n in (("y", height), ("x", width)) if n is not None for k in (0, n - 1)]
+    return at.agg(F.bool_or(own).alias("own"), F.count("*").alias("votes")).where(F.col("own") & (F.col("votes") < 5 - sum(beyond, F.lit(0)))).select("label", "x", "y")
+
+
+#: What a border pixel adds to a perimeter, by the code of its neighbourhood (itself 1, border pixels beside it 2, at its corners 10).
+PERIMETER = {1.0: (5, 7, 15, 17, 25, 27), 2**0.5: (21, 33), (1 + 2**0.5) / 2: (13, 23)}
+
+
+def border_codes(pixels: DataFrame) -> DataFrame:
+    """label, x, y, code of labels' border pixels, by votes of those around each."""
+    steps = [(dx, dy, 1 if dx == dy == 0 else 10 if dx and dy else 2) for dx in (-1, 0, 1) for dy in (-1, 0, 1)]
+    near = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"), F.lit(w).alias("w")) for dx, dy, w in steps])
+    votes = boundary(pixels).select("label", "x", "y", F.explode(near).alias("d"))
+    by = votes.groupBy("label", (F.col("x") + F.col("d.dx")).alias("x"), (F.col("y") + F.col("d.dy")).alias("y"))
+    return by.agg(F.sum("d.w").cast("int").alias("code"), F.bool_or(F.col("d.w") == 1).alias("own")).where("own").drop("own")
+
+
+def perimeter(pixels: DataFrame) -> DataFrame:
+    """label, perimeter: summed over codes of border pixels, of which each label has a bounded number; so tasks fold their own counts."""
+    weight = F.lit(0.0)
+    for w, codes in PERIMETER.items():
+        weight = F.when(F.col("code").isin(*codes), w).otherwise(weight)
+    n = border_codes(pixels).groupBy("label", "code").agg(F.count("*").alias("n"))
+    return n.groupBy("label").agg(F.sum(F.col("n") * weight).alias("perimeter"))
 
 
 def hull(points: np.ndarray) -> np.ndarray:
@@ -55,8 +78,24 @@ def hull(points: np.ndarray) -> np.ndarray:
     return np.array(chain(points) + chain(points[::-1])) if len(points) > 1 else points
 
 
+def lattice_points(corners: np.ndarray) -> int:
+    """Whole points within a convex polygon or on it; corners (x, y) are doubled, so halves are whole and nothing is rounded."""
+    first, last = -(-int(corners[:, 1].min()) // 2), int(corners[:, 1].max()) // 2
+    left, right = np.full(last - first + 1, np.iinfo(np.int64).max), np.full(last - first + 1, np.iinfo(np.int64).min)
+    for (x0, y0), (x1, y1) in zip(corners, np.roll(corners, -1, axis=0), strict=True):
+        if y0 == y1:
+            continue
+        if y0 > y1:
+            x0, y0, x1, y1 = x1, y1, x0, y0
+        y = np.arange(-(-y0 // 2), y1 // 2 + 1)
+        at, den = x0 * (y1 - y0) + (x1 - x0) * (2 * y - y0), 2 * (y1 - y0)
+        left[y - first] = np.minimum(left[y - first], -(-at // den))
+        right[y - first] = np.maximum(right[y - first], at // den)
+    return int(np.maximum(right - left + 1, 0)[left <= right].sum())
+
+
 def convex_area(pixels: DataFrame) -> DataFrame:
-    """label, area, convex_area and solidity (their quotient): of the hull of the pixels' squares.
+    """label, area, convex_area (pixels whose centre is in the hull of the middles of the pixels' sides) and solidity (their quotient).
 
     Only the ends of a label's rows can be corners, so a task gets two of them a row of the label, not its pixels.
     """
@@ -65,16 +104,15 @@ def convex_area(pixels: DataFrame) -> DataFrame:
     def measure(key: tuple, frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ends, area = np.zeros((0, 2), np.int64), 0
         for f in frames:
-            low, high, y = (f[c].to_numpy() for c in ("low", "high", "y"))
+            low, high, y = (2 * f[c].to_numpy() for c in ("low", "high", "y"))
             area += int(f["n"].sum())
-            corners = [np.stack((x, y + d), 1) for x in (low, high + 1) for d in (0, 1)]
-            ends = hull(np.unique(np.concatenate([ends, *corners]), axis=0))
-        nxt = np.roll(ends, -1, axis=0)
-        whole = float(np.abs((ends[:, 0] * nxt[:, 1] - nxt[:, 0] * ends[:, 1]).sum())) / 2
+            middles = [np.stack((x + dx, y + dy), 1) for x, side in ((low, -1), (high, 1)) for dx, dy in ((side, 0), (0, -1), (0, 1))]
+            ends = hull(np.unique(np.concatenate([ends, *middles]), axis=0))
+        whole = lattice_points(ends)
         yield pd.DataFrame({"label": [key[0]], "area": [area], "convex_area": [whole], "solidity": [area / whole]})
 
     kind = pixels.schema["label"].dataType.simpleString()
-    return rows.groupBy("label").applyInPandas(measure, f"label {kind}, area long, convex_area double, solidity double")
+    return rows.groupBy("label").applyInPandas(measure, f"label {kind}, area long, convex_area long, solidity double")
 
 
 def ring_centroids(rings: DataFrame, feature: str, ring: str) -> DataFrame:

@@ -6,7 +6,7 @@ import uuid
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.tables import shared_dir
@@ -107,33 +107,67 @@ def best_matches(a: DataFrame, b: DataFrame, radius: float, most: int = 5000) ->
 
 
 def match_cells(a: DataFrame, b: DataFrame, radius: float, method: str = "lsa") -> DataFrame:
-    """Pairs of points by `best_matches` (lsa) or `mutual_nearest` (mutual_nn): a, b, distance."""
+    """Pairs of points by `best_matches` (lsa) or `mutual_nearest` (mutual_nn): a, b, distance, exact (whether pairs are those of an assignment)."""
     if method == "lsa":
-        return best_matches(a, b, radius).select("a", "b", "distance")
+        return best_matches(a, b, radius)
     if method == "mutual_nn":
-        return mutual_nearest(a, b, radius).select("a", "b", F.sqrt("d2").alias("distance"))
+        return mutual_nearest(a, b, radius).select("a", "b", F.sqrt("d2").alias("distance"), F.lit(False).alias("exact"))
     raise ValueError(f"unknown method {method!r}")
 
 
+def greedy_pairs(candidates: DataFrame, group: str) -> DataFrame:
+    """group, cell, nucleus: cells, in order, each with the free nucleus of least `out`, the least of equals.
+
+    candidates (group, cell, nucleus, out).  A cell is decided once no earlier one that is undecided could take
+    its best nucleus; all such cells are decided at once, and their nuclei are gone.  That is what one pass in
+    order gives, but a group is spread over tasks, and rounds are as many as the longest chain of such waits.
+    """
+    now, found = _kept(candidates.select(group, "cell", "nucleus", "out"), "candidates"), []
+    while not now.isEmpty():
+        best = now.groupBy(group, "cell").agg(F.min(F.struct("out", "nucleus")).alias("b")).select(group, "cell", F.col("b.nucleus").alias("nucleus"))
+        first = now.groupBy(group, "nucleus").agg(F.min("cell").alias("cell"))
+        found.append(_kept(best.join(first, [group, "cell", "nucleus"]), "decided"))
+        left = now.join(found[-1].select(group, "cell"), [group, "cell"], "left_anti").join(found[-1].select(group, "nucleus"), [group, "nucleus"], "left_anti")
+        now = _kept(left, "candidates")
+    out = now.select(group, "cell", "nucleus")
+    for some in found:
+        out = out.unionByName(some)
+    return out
+
+
+def numbered(rows: DataFrame, group: str, order: list[str], name: str) -> DataFrame:
+    """rows with their place (from 1) in their group's order; ranges are numbered within, so no task sees a group."""
+    cut = _kept(rows.repartitionByRange(group, *order).withColumn("_range", F.spark_partition_id()), "ranges")
+    sizes = cut.groupBy(group, "_range").agg(F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row a range
+    place = F.row_number().over(Window.partitionBy(group, "_range").orderBy(*order))
+    starts = sizes.select(F.col(group).alias("_g"), F.col("_range").alias("_r"), before.alias("_before"))
+    out = cut.withColumn("_place", place).join(F.broadcast(starts), F.col(group).eqNullSafe(F.col("_g")) & (F.col("_range") == F.col("_r")))
+    return out.withColumn(name, F.col("_place") + F.col("_before")).drop("_range", "_place", "_g", "_r", "_before")
+
+
 def matched_masks(pixels: DataFrame, group: str) -> DataFrame:
-    """group, cell, nucleus, label: cells, in order, each with the free nucleus of which it leaves out the least share.
+    """group, cell, nucleus, label: cells, in order, each with the free nucleus of which it leaves out the least share; labels count the pairs.
 
-    pixels (group, cell, nucleus, interior): interior is false on a cell's own boundary.  Spark counts the
-    overlaps; a group's counts (not its pixels) are matched one after the other in a task, as each choice
-    depends on those before.
+    pixels (group, cell, nucleus, interior): interior is false on a cell's own boundary.
     """
     size = pixels.where("nucleus > 0").groupBy(group, "nucleus").agg(F.count("*").alias("size"))
     over = pixels.where("nucleus > 0 and cell > 0 and interior").groupBy(group, "cell", "nucleus").agg(F.count("*").alias("n"))
     left_out = over.join(size, [group, "nucleus"]).select(group, "cell", "nucleus", ((F.col("size") - F.col("n")) / F.col("size")).alias("out"))
+    pairs = greedy_pairs(left_out.where("out < 1"), group)
+    return numbered(pairs.select(group, F.col("cell").cast("long"), F.col("nucleus").cast("long")), group, ["cell"], "label")
+
 
-    def greedy(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        taken, rows = set(), []
-        for cell, some in frame.sort_values(["cell", "out", "nucleus"]).groupby("cell", sort=True):
-            free = next((n for n, out in zip(some["nucleus"], some["out"], strict=True) if n not in taken and out < 1), None)
-            if free is not None:
-                taken.add(free)
-                rows.append((key[0], cell, free, len(rows) + 1))
-        return pd.DataFrame(rows, columns=[group, "cell", "nucleus", "label"])
-
-    kind = pixels.schema[group].dataType.simpleString()
-    return left_out.groupBy(group).applyInPandas(greedy, f"{group} {kind}, cell long, nucleus long, label long")
+def painted_masks(pixels: DataFrame, matches: DataFrame, group: str) -> DataFrame:
+    """pixels with cell_matched, nucleus_matched and cell_outside (the cell less its nucleus): labels of `matched_masks`, 0 for none.
+
+    A nucleus is painted within the interior of the cell it belongs to.  Background isn't joined, so it is no hot key.
+    """
+    of = lambda c, name: matches.select(group, c, F.col("label").alias(name))
+    zero = F.lit(0).cast("long")
+    cells = pixels.where("cell > 0").join(of("cell", "cell_matched"), [group, "cell"], "left").unionByName(pixels.where("not coalesce(cell > 0, false)").withColumn("cell_matched", zero))
+    both = cells.where("nucleus > 0 and interior and cell_matched > 0").join(of("nucleus", "_n"), [group, "nucleus"], "left")
+    rest = cells.where("not coalesce(nucleus > 0 and interior and cell_matched > 0, false)").withColumn("_n", zero)
+    out = both.unionByName(rest).withColumn("cell_matched", F.coalesce("cell_matched", zero))
+    out = out.withColumn("nucleus_matched", F.when(F.col("_n") == F.col("cell_matched"), F.col("cell_matched")).otherwise(zero)).drop("_n")
+    return out.withColumn("cell_outside", F.col("cell_matched") - F.col("nucleus_matched"))

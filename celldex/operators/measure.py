@@ -49,7 +49,7 @@ def pixel_stats(pixels: DataFrame, group: str, value: str, most: float) -> DataF
 def long_histograms(rows: DataFrame, columns: list[str], bins: int) -> DataFrame:
     """marker, bin, n, median: a histogram of each column over its own range, from one unpivot; NULL and NaN don't count."""
     long = rows.unpivot([], columns, "marker", "v").where("v is not null and not isnan(v)")
-    ends = long.groupBy("marker").agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.median("v").alias("median"))
+    ends = long.groupBy("marker").agg(F.min("v").alias("lo"), F.max("v").alias("hi")).join(quantiles(long, "marker", "v", {"median": 0.5}), "marker")
     width = F.when(F.col("hi") > F.col("lo"), F.col("hi") - F.col("lo")).otherwise(1.0)
     at = F.least(F.floor((F.col("v") - F.col("lo")) / width * bins), F.lit(bins - 1)).cast("long")
     return long.join(F.broadcast(ends), "marker").groupBy("marker", at.alias("bin")).agg(F.count("*").alias("n"), F.first("median").alias("median"))
@@ -63,7 +63,8 @@ def size_uniformity(pixels: DataFrame, label: str) -> DataFrame:
 
 def equivalent_radius(areas: DataFrame, area: str) -> DataFrame:
     """radius: of a circle of the median positive area; 0 without one."""
-    return areas.agg(F.coalesce(F.sqrt(F.median(F.when(F.col(area) > 0, F.col(area))) / F.pi()), F.lit(0.0)).alias("radius"))
+    rows = areas.select(F.lit(0).alias("_all"), F.when(F.col(area) > 0, F.col(area)).alias("_area"))
+    return quantiles(rows, "_all", "_area", {"m": 0.5}).agg(F.coalesce(F.sqrt(F.max("m") / F.pi()), F.lit(0.0)).alias("radius"))
 
 
 def quantify(pixels: DataFrame, marker: str, expanded: bool) -> DataFrame:
@@ -78,30 +79,48 @@ def quantify(pixels: DataFrame, marker: str, expanded: bool) -> DataFrame:
     return by.select("label", *out)
 
 
-BINS = 4096
+BINS = 1 << 16
+
+
+def _scale(v: Column) -> Column:
+    """A bin that never falls as v rises: by sign and sixteenths of a doubling; no two doubles are in more than some 70,000 bins."""
+    x = v.cast("double")
+    size = F.floor((F.log2(F.abs(x)) + 1100) * 16).cast("long")
+    return F.when(x == 0, 0).when(F.abs(x) == float("inf"), F.signum(x) * 100_000).otherwise(F.signum(x) * size).cast("long")
 
 
 def at_ranks(rows: DataFrame, group: str, value: str, ranks: dict[str, Column]) -> DataFrame:
     """group, n and for each name the value at a rank (from 0, of `n`, the group's values) among the group's, in order.
 
-    No task sees a group: values are counted, their counts binned, and only bins that hold a rank are sorted.
+    Ranks are found by leading digits: counts of different values are binned by size, and twice more evenly over
+    the values that the bin of a rank really holds, whatever lies outside it.  What is sorted in the end is one
+    bin, of which doubles fill some 65,000 at most, so no task sees a group, nor a far value spoils the bins.
     NULL and NaN don't count; a group without other values has NULLs.
     """
     g, v = F.struct(group).alias("g"), F.when(~F.isnan(F.col(value).cast("double")), F.col(value))
     counts = rows.groupBy(g, v.alias("v")).agg(F.count(v).alias("k"))
-    ends = counts.groupBy("g").agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("k").alias("n"))
-    width = F.when(F.col("hi") > F.col("lo"), (F.col("hi") - F.col("lo")).cast("double")).otherwise(1.0)
-    cells = counts.where("k > 0").join(ends, "g").select("g", "v", "k", "n", F.least(F.floor((F.col("v") - F.col("lo")) / width * BINS), F.lit(BINS - 1)).alias("bin"))
-    bins = cells.groupBy("g", "bin").agg(F.sum("k").alias("size"), F.first("n").alias("n"))
-    before = F.coalesce(F.sum("size").over(Window.partitionBy("g").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # BINS rows a group
-    wanted = F.array(*[F.struct(F.lit(k).alias("name"), r.cast("long").alias("rank")) for k, r in ranks.items()])
-    bins = bins.select("g", "bin", "size", before.alias("before"), wanted.alias("wanted"))
-    bins = bins.withColumn("wanted", F.filter("wanted", lambda w: (w["rank"] >= F.col("before")) & (w["rank"] < F.col("before") + F.col("size")))).where(F.size("wanted") > 0)
-    upto = F.col("before") + F.sum("k").over(Window.partitionBy("g", "bin").orderBy("v"))
-    found = cells.join(bins.select("g", "bin", "before", "wanted"), ["g", "bin"]).select("g", "v", "k", upto.alias("upto"), "wanted")
-    found = found.select("g", "v", "k", "upto", F.explode("wanted").alias("w")).where((F.col("w.rank") < F.col("upto")) & (F.col("w.rank") >= F.col("upto") - F.col("k")))
-    each = found.groupBy("g").agg(*[F.max(F.when(F.col("w.name") == k, F.col("v"))).alias(k) for k in ranks])
-    return ends.select("g", "n").join(each, "g", "left").select(F.col(f"g.{group}").alias(group), "n", *ranks)
+    totals = counts.groupBy("g").agg(F.sum("k").alias("n"))
+    wanted = F.explode(F.array(*[F.struct(F.lit(k).alias("name"), r.cast("long").alias("rank")) for k, r in ranks.items()])).alias("w")
+    asked = totals.where("n > 0").select("g", wanted).groupBy("g", F.col("w.rank").alias("rank")).agg(F.collect_set("w.name").alias("names"))
+    cells = counts.where("k > 0").withColumns({"path": F.lit(0).cast("long"), "bin": _scale(F.col("v"))})
+    asked = asked.withColumn("path", F.lit(0).cast("long"))  # the rank within what the path has left
+    for step in range(3):
+        if step:
+            ends = cells.groupBy("g", "path").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
+            width = (F.col("hi") - F.col("lo")).cast("double")
+            even = F.when((width > 0) & (width < float("inf")), F.least(F.floor((F.col("v") - F.col("lo")) / width * BINS), F.lit(BINS - 1))).otherwise(0)
+            cells = cells.join(ends, ["g", "path"]).withColumn("bin", even.cast("long")).drop("lo", "hi")
+        sizes = cells.groupBy("g", "path", "bin").agg(F.sum("k").alias("size"))
+        upto = F.sum("size").over(Window.partitionBy("g", "path").orderBy("bin"))  # bins of a path
+        sizes = sizes.withColumn("upto", upto)
+        hit = asked.join(sizes, ["g", "path"]).where((F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("size")))
+        new = F.xxhash64("path", "bin", F.lit(step))
+        asked = hit.select("g", (F.col("rank") - F.col("upto") + F.col("size")).alias("rank"), "names", new.alias("path"))
+        cells = cells.join(hit.select("g", "path", "bin").distinct(), ["g", "path", "bin"], "left_semi").select("g", "v", "k", new.alias("path"), "bin")
+    upto = F.sum("k").over(Window.partitionBy("g", "path").orderBy("v"))
+    found = asked.join(cells.withColumn("upto", upto), ["g", "path"]).where((F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("k")))
+    each = found.groupBy("g").agg(*[F.max(F.when(F.array_contains("names", k), F.col("v"))).alias(k) for k in ranks])
+    return totals.join(each, "g", "left").select(F.col(f"g.{group}").alias(group), "n", *ranks)
 
 
 def quantiles(rows: DataFrame, group: str, value: str, shares: dict[str, float]) -> DataFrame:

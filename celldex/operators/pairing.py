@@ -57,26 +57,46 @@ def residuals_by_slide(points: DataFrame, cells: DataFrame, radius: float, slide
 
 
 def by_centroid(flow: DataFrame, cells: DataFrame, pixel: float, radius: float) -> DataFrame:
-    """Pairs a (of flow, in micrometres from pixel corners) and b (of cells, in pixels from their centres), each other's nearest in reach; d2 in pixels."""
-    corner = flow.select("id", (F.col("x") / pixel).alias("x"), (F.col("y") / pixel).alias("y"))
-    return mutual_nearest(corner, cells.select("id", (F.col("x") + 0.5).alias("x"), (F.col("y") + 0.5).alias("y")), radius)
+    """Pairs a (of flow, in micrometres) and b (of cells, in pixels), each other's nearest in reach; d2 in pixels.  Both count from pixel corners."""
+    return mutual_nearest(flow.select("id", (F.col("x") / pixel).alias("x"), (F.col("y") / pixel).alias("y")), cells, radius)
 
 
-def resolve_join(flow: DataFrame, cells: DataFrame, pixel: float, radius: float, least: float) -> tuple[DataFrame, str]:
-    """a, b of flow's rows and cells, and how they were joined: by label if flow has one, else by centroid.
+def by_label(flow: DataFrame, cells: DataFrame) -> DataFrame:
+    """Pairs a (of flow) and b (of cells) of equal label; of flow's rows with one label the last (greatest id) counts."""
+    last = flow.where("label is not null").groupBy(F.col("label").alias("b")).agg(F.max("id").alias("a"))
+    return last.join(cells.select(F.col("id").alias("b")).distinct(), "b").select("a", "b")
 
-    An error if there is neither, or if less than `least` of flow's rows find a cell.
+
+def resolve_join(flow: DataFrame, cells: DataFrame, pixel: float, radius: float, least: float) -> DataFrame:
+    """b, a of every cell (a: its row of flow, NULL without one), and of all: method, matched, cells, match_fraction.
+
+    By label if flow has one, else by centroid, else an error.  An error, when it runs, if less than `least` of
+    the cells find a row.  The totals are one row beside the cells; nothing runs while the plan is built.
     """
     if "label" in flow.columns:
-        pairs, how = flow.where("label is not null").select(F.col("id").alias("a"), F.col("label").alias("b")).join(cells.select(F.col("id").alias("b")), "b").select("a", "b"), "label"
+        pairs, how = by_label(flow, cells), "label"
     elif {"x", "y"} <= set(flow.columns):
         pairs, how = by_centroid(flow, cells, pixel, radius).select("a", "b"), "centroid"
     else:
         raise ValueError("no label and no centroid to join by")
-    n, found = flow.count(), pairs.count()
-    if found < least * n:
-        raise ValueError(f"{found} of {n} rows found a cell by {how}; at least {least:g} of them must")
-    return pairs, how
+    rows = cells.select(F.col("id").alias("b")).join(pairs, "b", "left")
+    n, found = F.count("*"), F.count("a")
+    few = F.raise_error(F.concat(found, F.lit(" of "), n, F.lit(f" cells found a row by {how}; at least {least:g} of them must"))).cast("long")
+    totals = rows.agg(F.when(found < least * n, few).otherwise(found).alias("matched"), n.alias("cells"))
+    totals = totals.select(F.lit(how).alias("method"), "matched", "cells", (F.col("matched") / F.greatest("cells", F.lit(1))).alias("match_fraction"))
+    return rows.join(F.broadcast(totals)).where("matched >= 0")
+
+
+def annotated(joined: DataFrame, flow: DataFrame, phenotype: str, flags: list[str], gates: list[str], sign: str = "+") -> DataFrame:
+    """joined (`resolve_join`) with what its rows of flow say: the phenotype ("unclassified" where it is blank or there is no row), flags
+    (false where unknown), matched_row, and positive: the names of gates that hold the sign.
+    """
+    blank = F.trim(F.coalesce(F.col(phenotype).cast("string"), F.lit(""))) == ""
+    positive = F.filter(F.array(*[F.when(F.trim(F.coalesce(F.col(f"`{g}`").cast("string"), F.lit(""))) == sign, F.lit(g)) for g in gates]) if gates else F.array().cast("array<string>"), lambda g: g.isNotNull())
+    said = flow.select(F.col("id").alias("a"), F.when(~blank, F.col(phenotype)).alias("phenotype"), *[F.coalesce(F.col(f).cast("boolean"), F.lit(False)).alias(f) for f in flags], positive.alias("positive"))
+    out = joined.join(said, "a", "left")
+    full = {f: F.coalesce(f, F.lit(False)) for f in flags} | {"phenotype": F.coalesce("phenotype", F.lit("unclassified")), "positive": F.coalesce("positive", F.array().cast("array<string>"))}
+    return out.withColumns(full | {"matched_row": F.col("a").isNotNull()})
 
 
 def rekey_contours(contours: DataFrame, mapping: DataFrame, areas: DataFrame) -> DataFrame:

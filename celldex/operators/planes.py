@@ -73,9 +73,10 @@ def packed(pixels: DataFrame, height: int, width: int, tile: int = TILE, layers:
         rows = rows.filter(rows["y"].is_valid())
         y, x = (rows[c].to_numpy() for c in ("y", "x"))
         for i in range(out.depth):
-            v = rows[f"v{i}"].fill_null(0).to_numpy()
+            ok = rows[f"v{i}"].is_valid().to_numpy()
+            v = rows[f"v{i}"].drop_null().to_numpy()
             order = np.argsort(v, kind="stable")
-            a[i, y[order], x[order]] = v[order]
+            a[i, y[ok][order], x[ok][order]] = v[order]
         return _tile(key, a)
 
     tiles = real.unionByName(every, allowMissingColumns=True).groupBy(*KEYS).applyInArrow(pack, "plane long, ty int, tx int, body binary")

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .measure import quantiles
 from .raster import median_filter
 
 SEPARATION = 4.0
@@ -261,10 +262,12 @@ def interior_correlation(pixels: DataFrame, group: str, inner: float = 0.15) ->
 
 def feature_residuals(matches: DataFrame, key: str, distance: str, outlier: float = 50.0) -> DataFrame:
     """key, p50, p90, n of matches' distances up to `outlier`; of all of them where none is that short."""
-    near = F.when(F.col(distance) <= outlier, F.col(distance))
-    by = matches.where(F.col(distance).isNotNull()).groupBy(key).agg(F.count(near).alias("k"), F.count("*").alias("m"), *[F.percentile(c, F.array(F.lit(0.5), F.lit(0.9))).alias(n) for n, c in (("near", near), ("far", F.col(distance)))])
-    p = F.when(F.col("k") > 0, F.col("near")).otherwise(F.col("far"))
-    return by.select(key, p[0].alias("p50"), p[1].alias("p90"), F.when(F.col("k") > 0, F.col("k")).otherwise(F.col("m")).alias("n"))
+    rows = matches.where(F.col(distance).isNotNull()).select(F.col(key).alias("_key"), F.col(distance).alias("_d"))
+    by = rows.groupBy("_key").agg(F.count_if(F.col("_d") <= outlier).alias("_k"))
+    used = rows.join(by, rows["_key"].eqNullSafe(by["_key"])).drop(by["_key"]).where((F.col("_k") == 0) | (F.col("_d") <= outlier))
+    n = used.groupBy("_key").agg(F.count("*").alias("n"))
+    p = quantiles(used, "_key", "_d", {"p50": 0.5, "p90": 0.9})
+    return p.join(n, p["_key"].eqNullSafe(n["_key"])).select(p["_key"].alias(key), "p50", "p90", "n")
 
 
 def on_canvas(ref: DataFrame, mov: DataFrame) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .matching import numbered
+from .measure import quantiles
 from .quality_control import finite
 
 GIB, HOUR = 1 << 30, 3600.0
@@ -45,10 +47,9 @@ def headroom(rollup: DataFrame) -> DataFrame:
 
 def stride_sample(rows: DataFrame, group: str, order: list[str], most: int) -> DataFrame:
     """Of each group every k-th row in order, k the least whole number that leaves `most` rows or fewer."""
-    w = Window.partitionBy(group)
-    step = F.ceil(F.count("*").over(w) / most)
-    picked = rows.withColumns({"_step": step, "_at": F.row_number().over(w.orderBy(*order)) - 1})
-    return picked.where(F.pmod(F.col("_at"), F.greatest(F.col("_step"), F.lit(1))) == 0).drop("_step", "_at")
+    step = rows.groupBy(F.col(group).alias("_key")).agg(F.ceil(F.count("*") / most).alias("_step"))
+    at = numbered(rows, group, order, "_at")
+    return at.join(step, F.col(group).eqNullSafe(F.col("_key"))).where((F.col("_at") - 1) % F.col("_step") == 0).drop("_key", "_step", "_at")
 
 
 #: Stages in order, and which summary and column has each one's residual.
@@ -95,9 +96,15 @@ def tile_counts(docs: DataFrame) -> DataFrame:
 def residual_summary(rows: DataFrame, slide: str, value: str) -> DataFrame:
     """By slide: rows, those whose residual isn't a finite number, and the median of the others."""
     v = F.col(value).try_cast("double")
-    return rows.groupBy(slide).agg(F.count("*").alias("n"), F.count_if(~F.coalesce(finite(v), F.lit(False))).alias("n_dropped"), F.median(F.when(finite(v), v)).alias("p50"))
+    by = rows.groupBy(slide).agg(F.count("*").alias("n"), F.count_if(~F.coalesce(finite(v), F.lit(False))).alias("n_dropped"))
+    middle = quantiles(rows.select(F.col(slide).alias("_slide"), F.when(finite(v), v).alias("_v")), "_slide", "_v", {"p50": 0.5})
+    return by.join(middle, F.col(slide).eqNullSafe(F.col("_slide")), "left").select(slide, "n", "n_dropped", "p50")
 
 
 def stage_distributions(rows: DataFrame, stage: str, slide: str, pairs: str, value: str) -> DataFrame:
     """By stage: slides, least and median pairs, and the median value."""
-    return rows.groupBy(stage).agg(F.countDistinct(slide).alias("slides"), F.min(pairs).alias("least_pairs"), F.median(pairs).alias("median_pairs"), F.median(value).alias("p50"))
+    out = rows.groupBy(stage).agg(F.countDistinct(slide).alias("slides"), F.min(pairs).alias("least_pairs"))
+    for column, name in ((pairs, "median_pairs"), (value, "p50")):
+        middle = quantiles(rows.select(F.col(stage).alias("_stage"), F.col(column).alias("_v")), "_stage", "_v", {name: 0.5})
+        out = out.join(middle, F.col(stage).eqNullSafe(F.col("_stage")), "left").drop("_stage")
+    return out

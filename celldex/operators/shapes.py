@@ -1,4 +1,4 @@
-"""Outlines of labelled pixels and polygons: contours, feature collections, overlaps of pairs, label growth."""
+"""Outlines of labelled pixels and polygons: contours, feature collections, overlaps of pairs."""
 
 from __future__ import annotations
 
@@ -160,20 +160,6 @@ def pair_overlap(pairs: DataFrame, a: DataFrame, b: DataFrame, scale: int = 2, m
     return rows.withColumns(full).select("a", "b", *full).mapInArrow(score, f"a {ka}, b {kb}, iou double")
 
 
-def grown(pixels: DataFrame, reach: int) -> DataFrame:
-    """x, y, label: every labelled pixel, and every other of the plane with the nearest label at most `reach` away, the least of equals.
-
-    pixels has all of the plane, label 0 or NULL for background.  Labels are sent to the background around
-    them, so it is one grouping, whatever the tiles.
-    """
-    steps = [(dx, dy, dx * dx + dy * dy) for dx in range(-reach, reach + 1) for dy in range(-reach, reach + 1) if dx * dx + dy * dy <= reach * reach]
-    near = F.explode(F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"), F.lit(d).alias("d")) for dx, dy, d in steps])).alias("s")
-    own = F.coalesce(F.col("label"), F.lit(0)) != 0
-    sent = pixels.where(own).select("x", "y", "label", near).select((F.col("x") + F.col("s.dx")).alias("x"), (F.col("y") + F.col("s.dy")).alias("y"), F.struct("s.d", "label").alias("c"), F.lit(False).alias("here"))
-    here = pixels.select("x", "y", F.lit(None).cast(sent.schema["c"].dataType).alias("c"), F.lit(True).alias("here"))
-    return sent.unionAll(here).groupBy("x", "y").agg(F.min("c").alias("c"), F.bool_or("here").alias("here")).where("here").select("x", "y", F.coalesce("c.label", F.lit(0)).alias("label"))
-
-
 def feature_text(cells: DataFrame, rings: DataFrame, label: str, cx: str, cy: str, properties: Column) -> DataFrame:
     """label, feature (GeoJSON text): a polygon where the label has a ring (label, ring), else a point; none where the centroid is missing or NaN."""
     rows = cells.where(F.col(cx).isNotNull() & F.col(cy).isNotNull() & ~F.isnan(cx) & ~F.isnan(cy)).join(rings.select(label, "ring"), label, "left")

@@ -21,7 +21,7 @@ def attach_first(spark, d):
     return merge.attach_all_or_fail(table(spark, d, "customer").select(F.col("c_custkey").alias("label"), "c_name"), right, "label", "o_orderkey")
 
 
-_A = "a as (select c_custkey as a, c_acctbal / 0.5 as x, c_nationkey * 10 / 0.5 as y from customer), b as (select s_suppkey as b, s_acctbal / 0.5 + 0.5 as x, s_nationkey * 10 / 0.5 + 0.5 as y from supplier), p as (select a, b, (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) as d2 from a, b where (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= 1600), na as (select a, arg_min(b, {'d': d2, 'b': b}) as b, min(d2) as d2 from p group by 1), nb as (select b, arg_min(a, {'d': d2, 'a': a}) as a from p group by 1)"
+_A = "a as (select c_custkey as a, c_acctbal / 0.5 as x, c_nationkey * 10 / 0.5 as y from customer), b as (select s_suppkey as b, s_acctbal / 0.5 as x, s_nationkey * 10 / 0.5 as y from supplier), p as (select a, b, (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) as d2 from a, b where (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= 1600), na as (select a, arg_min(b, {'d': d2, 'b': b}) as b, min(d2) as d2 from p group by 1), nb as (select b, arg_min(a, {'d': d2, 'a': a}) as a from p group by 1)"
 
 
 def _cells(spark, d):
@@ -30,9 +30,34 @@ def _cells(spark, d):
     return a, b
 
 
-@query(f"with {_A} select a, b from na join nb using (a, b)")
+@query(f"with {_A}, j as (select b, a from na join nb using (a, b)) select b.b, j.a, 'centroid' as method, (select count(*) from j) as matched, (select count(*) from b) as cells, (select count(*) from j) / (select count(*)::double from b) as match_fraction from b left join j using (b)")
 def centroid_join(spark, d):
-    return pairing.resolve_join(*_cells(spark, d), pixel=0.5, radius=40.0, least=0.0)[0]
+    return pairing.resolve_join(*_cells(spark, d), pixel=0.5, radius=40.0, least=0.0)
+
+
+_LABELS = "f as (select o_orderkey as id, case when o_orderkey % 7 > 0 then o_custkey end as label, case when o_orderkey % 5 = 0 then ' ' else o_orderpriority end as phenotype, o_orderstatus = 'F' as outlier, case when o_orderkey % 3 = 0 then '+' when o_orderkey % 3 = 1 then '-' end as \"CD3_sign\", case when o_orderkey % 2 = 0 then ' + ' end as \"CD8_sign\" from orders), l as (select label as b, max(id) as a from f where label is not null group by 1), j as (select c_custkey as b, a from customer left join l on b = c_custkey)"
+
+
+def _labelled(spark, d):
+    k = F.col("o_orderkey")
+    flow = table(spark, d, "orders").select(
+        k.alias("id"), F.when(k % 7 > 0, F.col("o_custkey")).alias("label"), F.when(k % 5 == 0, " ").otherwise(F.col("o_orderpriority")).alias("phenotype"), (F.col("o_orderstatus") == "F").alias("outlier"),
+        F.when(k % 3 == 0, "+").when(k % 3 == 1, "-").alias("CD3_sign"), F.when(k % 2 == 0, " + ").alias("CD8_sign"),
+    )
+    cells = table(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
+    return flow, pairing.resolve_join(flow, cells, 0.5, 40.0, 0.1)
+
+
+@query(f"with {_LABELS} select b, a, 'label' as method, (select count(a) from j) as matched, (select count(*) from j) as cells, (select count(a) / count(*)::double from j) as match_fraction from j")
+def label_join(spark, d):
+    return _labelled(spark, d)[1]
+
+
+@query(f"""with {_LABELS} select b, a, coalesce(case when trim(phenotype) <> '' then phenotype end, 'unclassified') as phenotype, coalesce(outlier, false) as outlier, array_to_string(list_filter([case when trim("CD3_sign") = '+' then 'CD3_sign' end, case when trim("CD8_sign") = '+' then 'CD8_sign' end], lambda x: x is not null), '|') as positive, a is not null as matched_row from j left join f on f.id = a""")
+def annotated_cells(spark, d):
+    flow, joined = _labelled(spark, d)
+    out = pairing.annotated(joined, flow, "phenotype", ["outlier"], ["CD3_sign", "CD8_sign"])
+    return out.select("b", "a", "phenotype", "outlier", F.array_join("positive", "|").alias("positive"), "matched_row")
 
 
 @query(f"with {_A.replace('/ 0.5 + 0.5', '').replace('/ 0.5', '').replace('1600', '900')}, r as (select b as label, a % 3 as slide, max(c_acctbal) as r from na join customer on c_custkey = a group by 1, 2) select label, max(r) filter (slide = 0) as s0, max(r) filter (slide = 1) as s1, max(r) filter (slide = 2) as s2 from r group by 1")
@@ -48,10 +73,27 @@ def rekeyed_rings(spark, d):
     return pairing.rekey_contours(s.select("nucleus", F.col("s_name").alias("ring"), F.col("nucleus").alias("at")), s.select("nucleus", F.col("s_nationkey").alias("label")), s.select("nucleus", F.col("s_acctbal").alias("area")))
 
 
-@query(None)
+_MASKS = (
+    "recursive px as (select l_orderkey, l_linenumber, l_orderkey % 3 as slide, l_partkey % 40 as cell, l_suppkey % 30 as nucleus, l_linenumber < 6 as interior from lineitem), size as (select slide, nucleus, count(*) as size from px where nucleus > 0 group by 1, 2), over as (select slide, cell, nucleus, count(*) as n from px where nucleus > 0 and cell > 0 and interior group by 1, 2, 3), "
+    "cand as (select slide, cell, list(nucleus order by (size - n) / size::double, nucleus) as ns, row_number() over (partition by slide order by cell) as i from over join size using (slide, nucleus) where n > 0 group by 1, 2), "
+    "r as (select slide, 0::bigint as i, []::bigint[] as taken, 0::bigint as cell, null::bigint as nucleus from (select distinct slide from cand) union all select c.slide, c.i, case when c.p is null then c.taken else list_append(c.taken, c.p) end, c.cell, c.p from (select n.slide, n.i, r.taken, n.cell, list_filter(n.ns, lambda x: not list_contains(r.taken, x))[1] as p from r join cand n on n.slide = r.slide and n.i = r.i + 1) c), "
+    "m as (select slide, cell, nucleus, row_number() over (partition by slide order by cell) as label from r where nucleus is not null)"
+)
+
+
+def _mask_pixels(spark, d):
+    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_orderkey") % 3).alias("slide"), (F.col("l_partkey") % 40).alias("cell"), (F.col("l_suppkey") % 30).alias("nucleus"), (F.col("l_linenumber") < 6).alias("interior"))
+
+
+@query(f"with {_MASKS} select slide, cell, nucleus, label from m")
 def matched_masks(spark, d):
-    px = table(spark, d, "lineitem").select((F.col("l_orderkey") % 3).alias("slide"), (F.col("l_partkey") % 40).alias("cell"), (F.col("l_suppkey") % 30).alias("nucleus"), (F.col("l_linenumber") < 6).alias("interior"))
-    return matching.matched_masks(px, "slide")
+    return matching.matched_masks(_mask_pixels(spark, d), "slide")
+
+
+@query(f"with {_MASKS}, p as (select px.*, coalesce(a.label, 0) as c, case when px.interior and b.label = a.label then a.label else 0 end as n from px left join m a on a.slide = px.slide and a.cell = px.cell left join m b on b.slide = px.slide and b.nucleus = px.nucleus) select l_orderkey, l_linenumber, c as cell_matched, n as nucleus_matched, c - n as cell_outside from p")
+def painted_masks(spark, d):
+    px = _mask_pixels(spark, d)
+    return matching.painted_masks(px, matching.matched_masks(px, "slide"), "slide").select("l_orderkey", "l_linenumber", "cell_matched", "nucleus_matched", "cell_outside")
 
 
 @query("select o_orderkey, o_custkey, c_name, n_name, r_name from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey where o_orderstatus = 'F'")
@@ -62,9 +104,9 @@ def joined_assets(spark, d):
     return merge.join_all([merge.join_all([o, c], ["o_custkey"]), place], ["nation"]).select("o_orderkey", "o_custkey", "c_name", "n_name", "r_name")
 
 
-@query("with m as (select l_orderkey, array_to_string(list_sort(list(distinct lower(l_returnflag))), '|') as sig from lineitem group by 1) select a.l_orderkey as a, b.o_orderkey as b from m a join orders b on b.o_orderkey = a.l_orderkey and a.sig = lower(b.o_orderstatus)")
+@query("with m as (select l_orderkey, array_to_string(list_sort(list(distinct lower(l_linestatus))), '|') as sig from lineitem group by 1) select a.l_orderkey as a, b.o_orderkey as b from m a join orders b on b.o_orderkey = a.l_orderkey and a.sig = lower(b.o_orderstatus)")
 def combined_keys(spark, d):
-    m = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("a")).agg(F.array_join(F.array_sort(F.collect_set(F.lower("l_returnflag"))), "|").alias("sig"))
+    m = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("a")).agg(F.array_join(F.array_sort(F.collect_set(F.lower("l_linestatus"))), "|").alias("sig"))
     o = table(spark, d, "orders").select(F.col("o_orderkey").alias("b"), F.lower("o_orderstatus").alias("sig"))
     return merge.join_all([m.withColumn("key", F.col("a")), o.withColumn("key", F.col("b"))], ["key", "sig"]).select("a", "b")
 

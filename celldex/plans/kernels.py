@@ -79,12 +79,6 @@ def parsed_polygons(spark, d):
     return shapes.polygons(features, "geometry", "feature").select("feature", "part", "hole", F.size("ring").alias("n"))
 
 
-@query(f"with {_PX}, l as (select x, y, case when v > 150 then x * 1000 + y end as label from px), s as (select l.x + dx as x, l.y + dy as y, dx * dx + dy * dy as d, label from l, range(-2, 3) a(dx), range(-2, 3) b(dy) where label is not null and dx * dx + dy * dy <= 4) select x, y, coalesce(arg_min(s.label, {{'d': d, 'l': s.label}}), 0) as label from l left join s using (x, y) group by 1, 2")
-def grown_labels(spark, d):
-    px = _pixels(spark, d).select("x", "y", F.when(F.col("v") > 150, F.col("x") * 1000 + F.col("y")).otherwise(0).alias("label"))
-    return shapes.grown(px, 2)
-
-
 @query(None)
 def contours(spark, d):
     px = _pixels(spark, d).select((F.floor(F.col("x") / 10) * 100 + F.floor(F.col("y") / 10) + 1).alias("label"), "x", "y", "v")

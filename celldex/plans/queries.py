@@ -8,7 +8,7 @@ from ..operators import measure, merge, pairing, raster
 from ..sources import sheets
 from ..sources.tables import table
 from ..streaming.groups import groups_and_rest, sized_groups
-from . import assembled, joins, kernels, reports, slides, spatial  # noqa: F401  (they enter theirs)
+from . import assembled, joins, kernels, reports, slides, spatial, tiled  # noqa: F401  (they enter theirs)
 from .registry import ALL, query
 
 __all__ = ["ALL"]

@@ -27,9 +27,22 @@ def morphology(spark, d):
     return geometry.morphology(px).withColumns({c: F.round(c, p) for c, p in (("cx", 4), ("cy", 4), ("major", 3), ("minor", 3), ("eccentricity", 4))})
 
 
-@query(_PX + " select label, x, y from px p where (select count(*) from px q where q.label = p.label and abs(q.x - p.x) + abs(q.y - p.y) = 1) < 4".replace("(select count(*) from px q where q.label = p.label and abs(q.x - p.x) + abs(q.y - p.y) = 1)", "(select count(*) from (values (1, 0), (-1, 0), (0, 1), (0, -1)) s(dx, dy) join px q on q.label = p.label and q.x = p.x + dx and q.y = p.y + dy)"))
+def _height(spark, d) -> int:
+    """Rows of the plane of events: one number of one aggregate."""
+    return _pixels(spark, d).agg(F.max("y")).head()[0] + 1
+
+
+_BORDER = _PX + ", own as (select p.label, p.x, p.y from px p where (select count(*) from (values (1, 0), (-1, 0), (0, 1), (0, -1)) s(dx, dy) join px q on q.label = p.label and q.x = p.x + dx and q.y = p.y + dy) < 4 - %s)"
+
+
+@query(_BORDER.replace("%s", "(p.x = 0)::integer - (p.x = 99)::integer - (p.y = 0)::integer - (p.y = (select max(y) from px))::integer") + " select * from own")
 def inner_boundary(spark, d):
-    return geometry.boundary(_pixels(spark, d))
+    return geometry.boundary(_pixels(spark, d), _height(spark, d), 100)
+
+
+@query(_BORDER.replace("%s", "0") + ", c as (select a.label, a.x, a.y, sum(case when a.x = b.x and a.y = b.y then 1 when a.x = b.x or a.y = b.y then 2 else 10 end)::integer as code from own a join own b on b.label = a.label and abs(a.x - b.x) <= 1 and abs(a.y - b.y) <= 1 group by 1, 2, 3) select label, round(sum(case when code in (5, 7, 15, 17, 25, 27) then 1 when code in (21, 33) then sqrt(2) when code in (13, 23) then (1 + sqrt(2)) / 2 else 0 end), 6) as perimeter from c group by 1")
+def perimeter(spark, d):
+    return geometry.perimeter(_pixels(spark, d)).withColumn("perimeter", F.round("perimeter", 6))
 
 
 @query(None)

@@ -5,20 +5,23 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 
 def sized_groups(rows: DataFrame, key: str, item: str, size: int) -> DataFrame:
     """Groups that have `size` items or more: their first `size`, in order."""
-    got = rows.groupBy(key).agg(F.sort_array(F.collect_list(item)).alias("items"))
-    return got.where(F.size("items") >= size).select(key, F.array_join(F.slice("items", 1, size), ",").alias("items"))
+    return groups_and_rest(rows, key, item, size).where("complete").drop("complete")
 
 
 def groups_and_rest(rows: DataFrame, key: str, item: str, size: int) -> DataFrame:
-    """All groups, their first `size` items in order, and whether they are complete; the last flush of what waited for more."""
-    got = rows.groupBy(key).agg(F.sort_array(F.collect_list(item)).alias("items"))
-    return got.select(key, F.array_join(F.slice("items", 1, size), ",").alias("items"), (F.size("items") >= size).alias("complete"))
+    """All groups, their first `size` items in order, and whether they are complete; the last flush of what waited for more.
+
+    Tasks keep `size` rows a group before anything is shuffled, so a group of any size is small when it is put together.
+    """
+    rank = F.row_number().over(Window.partitionBy(key).orderBy(F.col(item).asc_nulls_last()))
+    got = rows.select(key, item).withColumn("_rank", rank).where(F.col("_rank") <= size).groupBy(key).agg(F.sort_array(F.collect_list(item)).alias("items"))
+    return got.select(key, F.array_join("items", ",").alias("items"), (F.size("items") >= size).alias("complete"))
 
 
 def complete_groups(rows: DataFrame, key: str, item: str, size: int) -> DataFrame:

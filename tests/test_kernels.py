@@ -126,12 +126,16 @@ def test_matched_masks(spark):
 def test_resolve_join(spark):
     flow = spark.createDataFrame([(1, 10.25, 20.25), (2, 500.0, 500.0)], "id long, x double, y double")
     cells = spark.createDataFrame([(7, 20.0, 40.0), (8, 0.0, 0.0)], "id long, x double, y double")
-    pairs, how = pairing.resolve_join(flow, cells, 0.5, 3.0, 0.5)
-    assert how == "centroid" and [(r["a"], r["b"]) for r in pairs.collect()] == [(1, 7)]
-    with pytest.raises(ValueError, match="1 of 2"):
-        pairing.resolve_join(flow, cells, 0.5, 3.0, 0.9)
-    pairs, how = pairing.resolve_join(flow.withColumn("label", F.lit(8)), cells, 0.5, 3.0, 0.9)
-    assert how == "label" and pairs.count() == 2
+    got = pairing.resolve_join(flow, cells, 0.5, 3.0, 0.5).collect()
+    assert sorted((r["b"], r["a"], r["method"], r["matched"], r["cells"], r["match_fraction"]) for r in got) == [(7, 1, "centroid", 1, 2, 0.5), (8, None, "centroid", 1, 2, 0.5)]
+    exact = cells.where("id = 7").withColumn("x", F.lit(20.5)).withColumn("y", F.lit(40.5))  # corners on both sides: no half pixel between them
+    assert pairing.by_centroid(flow, exact, 0.5, 0.01).select("d2").head()[0] == 0.0
+    with pytest.raises(Exception, match="1 of 2 cells"):
+        pairing.resolve_join(flow, cells, 0.5, 3.0, 0.9).collect()
+    with pytest.raises(Exception, match="1 of 3 cells"):  # two rows of one label are one match
+        pairing.resolve_join(flow.withColumn("label", F.lit(8)), cells.union(cells.limit(1).selectExpr("9L", "0D", "0D")), 0.5, 3.0, 0.9).collect()
+    last = pairing.resolve_join(flow.withColumn("label", F.lit(8)), cells, 0.5, 3.0, 0.5).where("a is not null").collect()
+    assert [(r["a"], r["b"], r["method"]) for r in last] == [(2, 8, "label")]
     with pytest.raises(ValueError, match="no label"):
         pairing.resolve_join(flow.select("id"), cells, 0.5, 3.0, 0.5)
 
