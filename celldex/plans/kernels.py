@@ -193,8 +193,37 @@ def quality_score(spark, d):
     return table(spark, d, "customer").select("c_custkey", F.round(score, 6).alias("score"))
 
 
-@query(None)
+_CELLS = (
+    "c as (select p_partkey as label, p_size::double as a, p_retailprice as b, (p_size - avg(p_size) over ()) / stddev_pop(p_size) over () as a_z, (p_retailprice - avg(p_retailprice) over ()) / stddev_pop(p_retailprice) over () as b_z from part), "
+    "l as (select k, case when k = 1 then 0 else label % k end as cluster, c.* from c, range(1, 11) r(k)), "
+    "t as (select k::integer as k, cluster::integer as cluster, count(*) as n, case when count(*) = 1 then 0 else (stddev_pop(a) / avg(a) + stddev_pop(b) / avg(b)) / 2 end as cv, var_pop(a_z) as p, var_pop(b_z) as q, covar_pop(a_z, b_z) as r from l group by 1, 2), "
+    "u as (select k, cluster, n, cv, case when n = 1 then 1 else ((p + q) / 2 + sqrt((p - q) * (p - q) / 4 + r * r)) / (p + q) end as fraction from t)"
+)
+
+
+def _clustered(spark, d):
+    p = table(spark, d, "part").select(F.col("p_partkey").alias("label"), F.col("p_size").cast("double").alias("a"), F.col("p_retailprice").alias("b"))
+    s = p.agg(*[f(c).alias(f"{c}_{n}") for c in "ab" for n, f in (("m", F.avg), ("s", F.stddev_pop))])
+    return p.join(s).select("label", "a", "b", *[((F.col(c) - F.col(f"{c}_m")) / F.col(f"{c}_s")).alias(f"{c}_z") for c in "ab"], F.lit(0).alias("k1"), *[(F.col("label") % k).cast("int").alias(f"k{k}") for k in range(2, 11)])
+
+
+@query(f"with {_CELLS} select k, cluster, n, round(cv, 6) as cv, round(fraction, 6) as fraction from u")
+def cluster_terms(spark, d):
+    return seg_quality.cluster_terms(_clustered(spark, d), ["a", "b"]).withColumns({c: F.round(c, 6) for c in ("cv", "fraction")})
+
+
+@query(f"with {_CELLS}, x as (select l.k, l.label, m.cluster as other, l.cluster, avg(sqrt((l.a_z - m.a_z) ** 2 + (l.b_z - m.b_z) ** 2)) * count(*) as total, count(*) as size from l join l m using (k) group by 1, 2, 3, 4), s as (select k, label, max(case when other = cluster then total / nullif(size - 1, 0) end) as near, min(case when other <> cluster then total / size end) as far from x group by 1, 2), w as (select k, avg(case when k = 1 then 1 when near is null then 0 else (far - near) / greatest(near, far) end) as silhouette from s group by 1), v as (select k, sum(cv * n) / sum(n) as cv, sum(fraction * n) / sum(n) as fraction from u group by 1) select v.k, round(cv, 6) as cv, round(fraction, 6) as fraction, round(silhouette, 6) as silhouette from v join w using (k)")
 def cell_uniformity(spark, d):
-    cells = table(spark, d, "part").select(F.col("p_size").cast("double").alias("a"), F.col("p_retailprice").alias("b"))
-    got = seg_quality.cell_uniformity(cells, ["a", "b"], 3)
-    return spark.createDataFrame([tuple(round(got[k], 6) for k in ("cv", "fraction", "silhouette"))], "cv double, fraction double, silhouette double")
+    return seg_quality.uniformity(_clustered(spark, d), ["a", "b"]).withColumns({c: F.round(c, 6) for c in ("cv", "fraction", "silhouette")})
+
+
+@query(None)
+def segmentation_row(spark, d):
+    """Tests hold it against a plain version, but for the clusters that k-means finds."""
+    k = F.col("event_id")
+    px = table(spark, d, "events").select(
+        (k % 100).alias("x"), F.floor(k / 100).alias("y"), (F.floor((k % 100) / 6) * 1000 + F.floor(k / 600) + 1).alias("cell"), F.when((k % 6).isin(2, 3) & (F.floor(k / 100) % 6).isin(2, 3), F.floor((k % 100) / 6) * 1000 + F.floor(k / 600) + 1).otherwise(0).alias("nucleus"),
+        (~((k % 100 % 6).isin(0, 5) | (F.floor(k / 100) % 6).isin(0, 5))).alias("interior"), (F.col("value") > 20).alias("foreground"), F.col("value").alias("a"), F.col("user_id").cast("double").alias("b"),
+    )
+    out = seg_quality.evaluation(px, ["a", "b"], 0.25)
+    return out.select(*[F.round(c, 6).alias(c) for c in seg_quality.MEASURES])

@@ -174,23 +174,85 @@ def test_errors_of_scalars(spark):
     assert (got["a"], got["b"], got["d"], got["e"], got["f"]) == ("n/a", "n/a", None, 7.0, "b") and got["c"].endswith(" px")
 
 
-def test_first_component_share(spark):
+def test_moments_merge():
     r = np.random.default_rng(0)
-    x = r.normal(size=(200, 3)) @ np.diag([3.0, 1.0, 0.5])
+    x = r.normal(1e6, 1, (50, 3))
+    got = seg_quality.Moments.of(x[:1]) + seg_quality.Moments.of(x[1:20]) + seg_quality.Moments.of(x[20:])
+    assert got.n == 50 and got.mean == pytest.approx(x.mean(0)) and got.spread == pytest.approx(np.cov(x.T) * 49, abs=1e-3)
     values = np.linalg.eigvalsh(np.cov(x.T))
-    df = spark.createDataFrame(x.tolist(), "a double, b double, c double")
-    assert seg_quality.first_component_share(df, ["a", "b", "c"]) == pytest.approx(values[-1] / values.sum())
-    assert seg_quality.first_component_share(df.limit(1), ["a"]) == 1.0
-
-
-def test_cell_uniformity(spark):
+    assert got.first_share() == pytest.approx(values[-1] / values.sum(), abs=1e-6)
+
+
+def plain_uniformity(raw, z, cluster):
+    cvs, firsts = [], []
+    for c in np.unique(cluster):
+        m, n = raw[cluster == c], (cluster == c).sum()
+        v = [0.0 if m[:, i].min() == m[:, i].max() else m[:, i].std() / m[:, i].mean() for i in range(m.shape[1])]
+        e = np.linalg.eigvalsh(np.cov(z[cluster == c].T)) if n > 1 else [1.0]
+        cvs.append(np.mean(v) * n)
+        firsts.append((e[-1] / sum(e)) * n)
+    away = np.sqrt(((z[:, None] - z[None]) ** 2).sum(2))
+    s = []
+    for i, c in enumerate(cluster):
+        mine = (cluster == c) & (np.arange(len(z)) != i)
+        if len(np.unique(cluster)) == 1:
+            s.append(1.0)
+        elif not mine.any():
+            s.append(0.0)
+        else:
+            a, b = away[i, mine].mean(), min(away[i, cluster == o].mean() for o in np.unique(cluster) if o != c)
+            s.append((b - a) / max(a, b))
+    return sum(cvs) / len(z), sum(firsts) / len(z), np.mean(s)
+
+
+def test_uniformity(spark):
     r = np.random.default_rng(1)
-    rows = [(float(a + c * 50), float(b + c * 20)) for c in (1, 2) for a, b in r.normal(size=(40, 2))]
-    df = spark.createDataFrame(rows, "a double, b double")
-    one, two = (seg_quality.cell_uniformity(df, ["a", "b"], k) for k in (1, 2))
-    x = np.array(rows)
-    assert one["silhouette"] == 1.0 and one["cv"] == pytest.approx((x.std(0) / x.mean(0)).mean())
-    assert two["silhouette"] > 0.9 and two["cv"] == pytest.approx(np.mean([(x[i].std(0) / x[i].mean(0)).mean() for i in (slice(0, 40), slice(40, 80))]))
+    raw = np.concatenate([r.normal((50, 20), 1, (40, 2)), r.normal((100, 40), 1, (41, 2)), [[300.0, 7.0]]])
+    z = (raw - raw.mean(0)) / raw.std(0)
+    rows = [(i, *map(float, a), *map(float, b), 0, *[i % k for k in range(2, 10)], min(i // 40, 2)) for i, (a, b) in enumerate(zip(raw, z, strict=True))]
+    cells = spark.createDataFrame(rows, "label long, a double, b double, a_z double, b_z double, " + ", ".join(f"k{k} int" for k in range(1, 11))).repartition(5)
+    got = {r["k"]: (r["cv"], r["fraction"], r["silhouette"]) for r in seg_quality.uniformity(cells, ["a", "b"]).collect()}
+    for k in range(1, 11):
+        assert got[k] == pytest.approx(plain_uniformity(raw, z, np.array([row[4 + k] for row in rows])), abs=1e-9)
+    found = seg_quality.kmeans(cells.select("label", "a_z", "b_z"), ["a_z", "b_z"]).collect()
+    assert {r["k1"] for r in found} == {0} and all(len({r[f"k{k}"] for r in found}) <= k for k in range(2, 11))
+
+
+def test_evaluation(spark):
+    r = np.random.default_rng(5)
+    y, x = np.indices((24, 30))
+    cell, nucleus = np.where((y % 8 < 7) & (x % 10 < 9), y // 8 * 3 + x // 10 + 1, 0), np.where((abs(y % 8 - 3) < 2) & (abs(x % 10 - 4) < 3) & (x < 20), y // 8 * 3 + x // 10 + 1, 0)
+    edge = np.pad(cell, 1, mode="edge")
+    inner = np.all([edge[1 + dy : 25 + dy, 1 + dx : 31 + dx] == cell for dy, dx in ((0, 1), (1, 0), (0, -1), (-1, 0))], axis=0)
+    a, b = r.gamma(2, 3, cell.shape), r.gamma(3, 2, cell.shape)
+    fg = a > 3
+    rows = [(int(u), int(v), int(cell[v, u]), int(nucleus[v, u]), bool(inner[v, u]), bool(fg[v, u]), float(a[v, u]), float(b[v, u])) for v in range(24) for u in range(30)]
+    px = spark.createDataFrame(rows, "x long, y long, cell long, nucleus long, interior boolean, foreground boolean, a double, b double").repartition(3)
+    by = lambda cells: cells.select("*", F.lit(0).alias("k1"), *[(F.col("label") % k).cast("int").alias(f"k{k}") for k in range(2, 11)])
+    got = seg_quality.evaluation(px, ["a", "b"], 0.25, by).head().asDict()
+    assert list(got) == seg_quality.MEASURES
+
+    kept = sorted(set(cell[(nucleus > 0) & (cell == nucleus) & inner]))  # each cell has its own nucleus, in columns 0 and 1
+    number = {c: i + 1 for i, c in enumerate(kept)}
+    matched = np.vectorize(lambda c: number.get(c, 0))(cell)
+    inside = np.where((nucleus == cell) & inner & (nucleus > 0), matched, 0)
+    on, raw, z = matched > 0, np.stack((a, b), -1), np.stack([(c - c.mean(0)) / c.std(0) for c in (a, b)], -1)
+    assert got["cells_per_100um2"] == pytest.approx(len(kept) / (24 * 30 * 0.25) * 100)
+    assert (got["foreground_fraction"], got["background_left"], got["mask_fraction"]) == pytest.approx(((fg & on).sum() / fg.sum(), 1 - (~fg & on).sum() / (~fg).sum(), (fg & on).sum() / on.sum()))
+    sizes = np.bincount(matched.ravel())[1:]
+    assert got["size_evenness"] == (pytest.approx(1 / (np.log(sizes.std()) + 1)) if sizes.std() else None)
+    m = len(kept) + 1
+    assert got["matched_fraction"] == pytest.approx(m / (10 + 7 - m))
+    rest = fg & ~on
+    assert got["foreground_evenness"] == pytest.approx(1 / (np.mean([c[rest].std() / c.mean() for c in (a, b)]) + 1))
+    e = np.linalg.eigvalsh(np.cov(z[rest].T))
+    assert got["foreground_first_share"] == pytest.approx(e[-1] / e.sum())
+    for name, mask in (("nucleus", inside), ("outside", matched - inside)):
+        labels = [c for c in np.unique(mask) if c]
+        f, g = (np.array([v[mask == c].mean(0) for c in labels]) for v in (raw, z))
+        each = np.array([plain_uniformity(f, g, np.zeros(len(labels)) if k == 1 else np.array(labels) % k) for k in range(1, 11)])
+        want = 1 / (each[:, 0].mean() + 1), each[:, 1].mean(), each[:, 2].mean()
+        assert (got[f"{name}_evenness"], got[f"{name}_first_share"], got[f"{name}_silhouette"]) == pytest.approx(want)
 
 
 def test_stream_sized_groups(spark, tmp_path):
