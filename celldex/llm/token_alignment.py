@@ -27,6 +27,8 @@ import json
 import re
 import uuid
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,15 +39,16 @@ from pyspark.sql import functions as F
 
 from .common import HELD, chunks, lean, shared_dir, written
 
-#: Keys that a task sums at once, and words of at most LONGEST characters that a worker remembers.
-MOST_KEYS, MOST_WORDS, LONGEST = 2_000_000, 100_000, 40
+#: Keys that a task sums at once, and words that a worker remembers, of LONGEST characters on average.
+MOST_KEYS, MOST_WORDS, LONGEST = 2_000_000, 60_000, 40
 
 #: A space and what follows it, up to a space behind a character that isn't white space.
 _WORD = re.compile(r" (?:[^ ]+|(?<=\s) )*")
 
 _LOADED: dict[tuple[str, str], Pair] = {}
-_KNOWN: dict[str, tuple | None] = {}
-HELD += [_LOADED, _KNOWN]
+_KNOWN: dict[str, int] = {}  # rows of words in the table
+_TABLE: dict[str, Aligned] = {}
+HELD += [_LOADED, _KNOWN, _TABLE]
 
 
 def _byte_level() -> dict[str, int]:
@@ -66,7 +69,10 @@ class Pair:
         self.a.encode_special_tokens = True
         self.b = b = SentencePieceProcessor(model_file=b_path)
         byte = _byte_level()
-        self.a_bytes = {i: bytes(byte[c] for c in t) if all(c in byte for c in t) else t.encode() for t, i in self.a.get_vocab().items()}
+        vocabulary = self.a.get_vocab()
+        self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
+        for t, i in vocabulary.items():
+            self.a_bytes[i] = bytes(byte[c] for c in t) if all(c in byte for c in t) else t.encode()
         pieces = [b.id_to_piece(i) for i in range(b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         pre = json.loads(self.a.to_str())
@@ -75,37 +81,67 @@ class Pair:
         same = [b.encode(x) for x in ("a  b", "a", "b", " b")]  # a leading space is added, and spaces are kept
         self.by_word = bool(by_word and not crossing and same[0] == same[1] + same[3] and b.id_to_piece(same[1][0]).startswith("▁"))
         self.blank = b.encode("a ")[len(same[1]) :]  # of a last space
+        self.a_size, self.b_size = (np.array([len(x) for x in of], np.int64) for of in (self.a_bytes, self.b_bytes))
+        self.ids = max(len(self.a_size), len(self.b_size))
+        self.shown = [f"{i}{c}" for c in ",|;" for i in range(self.ids)]
 
     def words(self, text: str) -> list[str]:
         return _WORD.findall(" " + text) if self.by_word else [" " + text]
 
-    def align(self, words: list[str]) -> Iterator[tuple | None]:
-        """Of each word: numbers of A tokens, B tokens and groups, the groups as text, the link keys; None where bytes differ."""
-        of_a = [x.ids for x in self.a.encode_batch_fast(words, add_special_tokens=False)]
-        of_b = self.b.encode([w[1:] for w in words], num_threads=1)
-        for word, a, b in zip(words, of_a, of_b, strict=True):
-            b = b or self.blank
-            a_bytes, b_bytes = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-            whole = word.encode()
-            yield groups(a, [len(x) for x in a_bytes], b, [len(x) for x in b_bytes]) if b"".join(a_bytes) == whole == b"".join(b_bytes) else None
-
-
-def groups(a: list[int], a_size: list[int], b: list[int], b_size: list[int]) -> tuple:
-    """n_a, n_b, n_groups, `a1,a2|b1;a3|b2,b3`, keys of the links."""
-    shown, keys, i, j, n, m = [], [], 0, 0, 0, 0
-    x = y = 0
-    while i < len(a) or j < len(b):
-        if x <= y and i < len(a):
-            x += a_size[i]
-            i += 1
-        else:
-            y += b_size[j]
-            j += 1
-        if x == y and i > n and j > m:
-            shown.append(f"{','.join(map(str, a[n:i]))}|{','.join(map(str, b[m:j]))}")
-            keys.append(b[j - 1] << 32 | a[i - 1])
-            n, m = i, j
-    return len(a), len(b), len(keys), ";".join(shown), keys
+    def align(self, words: list[str]) -> Aligned:
+        """Words that end in no white space are encoded together, as one text, and cut apart again."""
+        fine = [i for i, w in enumerate(words) if "▁" not in w]  # that bytes differ there is certain
+        joined = [i for i in fine if self.by_word and not words[i][-1].isspace()]
+        parts: list[tuple[list[int], Aligned]] = []
+        for some in chunks(joined, size=lambda i: len(words[i]), most=1 << 16):
+            parts += [(some, got)] if (got := self.cut([words[i] for i in some])) else [([i], one) for i in some if (one := self.cut([words[i]]))]
+        parts += [([i], one) for i in sorted({*fine}.difference(joined)) if (one := self.cut([words[i]]))]
+        out = Aligned(np.full((len(words), 3), -1, np.int64), np.zeros(len(words), np.int64), np.concatenate([np.zeros(0, np.int64), *(x.keys for _, x in parts)]), [""] * len(words))
+        at = 0
+        for some, x in parts:
+            out.size[some], out.first[some] = x.size, x.first + at
+            at += len(x.keys)
+            for i, text in zip(some, x.shown, strict=True):
+                out.shown[i] = text
+        return out
+
+    def cut(self, words: list[str]) -> Aligned | None:
+        """Both encodings of words put together, word by word; None where their bytes aren't the text's or tokens go over words."""
+        text = "".join(words)
+        a, b = self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.b.encode(text[1:]) or self.blank
+        if not b"".join(map(self.a_bytes.__getitem__, a)) == text.encode() == b"".join(map(self.b_bytes.__getitem__, b)):
+            return None
+        a, b = np.array(a, np.int64), np.array(b, np.int64)
+        a_end, b_end = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
+        ends = np.cumsum([len(w) if w.isascii() else len(w.encode()) for w in words])
+        both = a_end[b_end[np.minimum(np.searchsorted(b_end, a_end), len(b_end) - 1)] == a_end]
+        i, j = np.searchsorted(a_end, both), np.searchsorted(b_end, both)
+        k = np.searchsorted(both, ends)
+        if len(both) == 0 or (both[np.minimum(k, len(both) - 1)] != ends).any():
+            return None
+        # a group is its A tokens, then its B tokens; each with the mark that follows it
+        rank = np.concatenate((2 * np.searchsorted(both, a_end), 2 * np.searchsorted(both, b_end) + 1))
+        shown = np.concatenate((a, b))
+        shown[i] += self.ids
+        shown[len(a) + j] += 2 * self.ids
+        parts = list(map(self.shown.__getitem__, shown[np.argsort(rank, kind="stable")].tolist()))
+        stops = np.stack((i[k] + 1, j[k] + 1, k + 1))
+        begin = np.concatenate((np.zeros((3, 1), np.int64), stops[:, :-1]), axis=1)
+        at = (begin[0] + begin[1]).tolist()
+        return Aligned((stops - begin).T, begin[2], b[j] << 32 | a[i], ["".join(parts[p:q])[:-1] for p, q in zip(at, [*at[1:], len(parts)], strict=True)])
+
+
+@dataclass
+class Aligned:
+    """Of each word: numbers of A tokens, B tokens and groups (-1 where bytes differ), where its link keys begin, and its groups as text."""
+
+    size: np.ndarray
+    first: np.ndarray
+    keys: np.ndarray
+    shown: list[str]
+
+    def __add__(self, more: Aligned) -> Aligned:
+        return Aligned(np.concatenate((self.size, more.size)), np.concatenate((self.first, more.first + len(self.keys))), np.concatenate((self.keys, more.keys)), self.shown + more.shown)
 
 
 def _pair(a_path: str, b_path: str) -> Pair:
@@ -114,18 +150,18 @@ def _pair(a_path: str, b_path: str) -> Pair:
     return _LOADED[a_path, b_path]
 
 
-def _aligned(pair: Pair, words: list[str]) -> list[tuple | None]:
-    """`align` of distinct words, those met before from memory."""
-    out = [_KNOWN.get(w, 0) for w in words]
-    new = [i for i, x in enumerate(out) if x == 0]
-    for some in chunks(new, size=lambda i: len(words[i]), most=1 << 20):
-        for i, got in zip(some, pair.align([words[i] for i in some]), strict=True):
-            out[i] = got
-            if len(words[i]) <= LONGEST:
-                if len(_KNOWN) >= MOST_WORDS:
-                    _KNOWN.clear()
-                _KNOWN[words[i]] = got
-    return out
+def _aligned(pair: Pair, words: list[str]) -> tuple[np.ndarray, Aligned]:
+    """`align` of distinct words (and their rows in it), those met before from memory; the first MOST_WORDS words are remembered."""
+    row = np.fromiter((_KNOWN.get(w, -1) for w in words), np.int64, len(words))
+    new = np.flatnonzero(row < 0)
+    fresh = [words[i] for i in new.tolist()]
+    have, got = _TABLE.get("words"), pair.align(fresh)
+    row[new] = np.arange(len(new)) + (len(have.shown) if have else 0)
+    table = have + got if have else got
+    if len(table.shown) <= MOST_WORDS and sum(map(len, fresh)) <= LONGEST * max(1, len(fresh)):
+        _TABLE["words"] = table
+        _KNOWN.update(zip(fresh, row[new].tolist(), strict=True))
+    return row, table
 
 
 def _spread(first: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -142,20 +178,19 @@ def align(docs: DataFrame, a_path: str, b_path: str, with_groups: bool = False)
         pair = _pair(a_path, b_path)
         for batch in batches:
             for rows in chunks(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True), size=lambda r: len(r[1] or ""), most=4 << 20):
-                at: dict[str, int] = {}
-                docs = [np.fromiter((at.setdefault(w, len(at)) for w in (pair.words(text) if text else ())), np.int64) for _, text in rows]
-                known = _aligned(pair, list(at))
-                bad = np.array([x is None for x in known], bool)
-                sizes = np.array([x[:3] if x else (0, 0, 0) for x in known], np.int64).reshape(-1, 3)
-                shown = [x[3] if x else "" for x in known]
-                keys = np.array([k for x in known if x for k in x[4]], np.int64)
-                first = np.cumsum(sizes[:, 2]) - sizes[:, 2]
+                each = [pair.words(text) if text else [] for _, text in rows]
+                words = list(dict.fromkeys(chain.from_iterable(each)))
+                row, known = _aligned(pair, words)
+                at = dict(zip(words, row.tolist(), strict=True))
+                docs = [np.fromiter(map(at.__getitem__, words), np.int64, len(words)) for words in each]
+                del each, words, at
+                bad, size, first, keys, shown = known.size[:, 0] < 0, known.size, known.first, known.keys, known.shown
                 out: list[list] = [[] for _ in range(5)]
                 for words in docs:
                     words = words[:0] if bad[words].any() else words
                     text = ";".join([shown[i] for i in words.tolist()])
-                    mine = np.unique(keys[_spread(first[words], sizes[words, 2])], return_counts=True)
-                    for to, x in zip(out, (sizes[words].sum(0), hashlib.sha256(text.encode()).hexdigest() if text else "", *mine, text), strict=True):
+                    mine = np.unique(keys[_spread(first[words], size[words, 2])], return_counts=True)
+                    for to, x in zip(out, (size[words].sum(0), hashlib.sha256(text.encode()).hexdigest() if text else "", *mine, text), strict=True):
                         to.append(x)
                 totals = np.array(out[0], np.int64).reshape(-1, 3)
                 ends = pa.array(np.concatenate(([0], np.cumsum([len(x) for x in out[2]]))), pa.int32())
