@@ -10,6 +10,8 @@ from pyspark.sql.types import NumericType
 
 from ..functions.scalars import is_nuclear
 from .geometry import ring_centroids
+from .matching import _kept, match_cells
+from .measure import equivalent_radius
 from .quality_control import stage_summary
 from .shapes import pair_overlap
 
@@ -144,7 +146,41 @@ def scored_stages(pairs: DataFrame, ref: DataFrame, moving: DataFrame, stages: D
     each = pairs.select("a", "b").join(here, "a").join(there, "b").select("stage", "a", "b", "area_a", "area_b", F.hypot(F.col("ax") - F.col("cx"), F.col("ay") - F.col("cy")).alias("distance"))
     name = lambda s: F.concat_ws(":", s, F.col("feature"))
     iou = pair_overlap(each.select("a", F.concat_ws(":", "stage", "b").alias("b")), ref, staged(moving, stages).select(name("stage").alias("feature"), "hole", "ring"))
-    scored = each.withColumn("key", F.concat_ws(":", "stage", "b")).join(iou.select("a", F.col("b").alias("key"), "iou"), ["a", "key"])
+    scored = _kept(each.withColumn("key", F.concat_ws(":", "stage", "b")).join(iou.select("a", F.col("b").alias("key"), "iou"), ["a", "key"]), "scored")
     by = keep(stage_summary(scored, "stage", "iou", "distance", "area_a", "area_b", threshold))
     base = by.where(F.col("stage") == anchor).select(F.col("iou_mean").alias("_i"), F.col("d_p50").alias("_d"))
     return by.join(F.broadcast(base), how="left").withColumns({"delta_iou": F.col("iou_mean") - F.col("_i"), "delta_d_p50": F.col("d_p50") - F.col("_d")}).drop("_i", "_d")
+
+
+def paired_stages(ref: DataFrame, moving: DataFrame, stages: DataFrame, anchor: str, factor: float = 1.5, radius: float | None = None, method: str = "lsa", threshold: float = 0.5) -> tuple[DataFrame, DataFrame, Callable[[], DataFrame]]:
+    """Pairs found once, at the anchor stage, and what becomes of them at every stage: (matching, residuals, scores).
+
+    ref and moving: rings (feature, hole, ring); stages (stage, m).  Pairs are `match_cells` of centroids within a
+    radius: `factor` times that of a circle of the median area of both sides, if none is given.
+    matching, one row: pairs, features and those left alone on each side, the radius, how many pairs aren't of an exact assignment.
+    residuals: stage, a, b, distance of each pair.  scores, when called: `scored_stages`.
+    """
+    here = _kept(ring_centroids(ref, "feature", "ring").select(F.col("feature").alias("id"), "area", F.col("cx").alias("x"), F.col("cy").alias("y")), "reference")
+    there = _kept(geometry_at(moving, stages).select("stage", F.col("feature").alias("id"), "area", F.col("cx").alias("x"), F.col("cy").alias("y")), "moving")
+    held = there.where(F.col("stage") == anchor)
+    if radius is None:
+        radius = factor * equivalent_radius(here.select("area").unionAll(held.select("area")), "area").head()["radius"]
+    pairs = _kept(match_cells(here, held, radius, method), "pairs")
+    n = pairs.agg(F.count("*").alias("n_pairs"), F.count_if(~F.col("exact")).alias("n_inexact"))
+    sides = here.agg(F.count("*").alias("n_ref")).join(held.agg(F.count("*").alias("n_moving")))
+    matching = n.join(sides).select(
+        F.lit(anchor).alias("stage"), F.lit(float(radius)).alias("radius"), "n_pairs", "n_inexact", "n_ref", "n_moving", (F.col("n_ref") - F.col("n_pairs")).alias("unmatched_ref"), (F.col("n_moving") - F.col("n_pairs")).alias("unmatched_moving"),
+        (F.col("n_pairs") / F.greatest(F.least("n_ref", "n_moving"), F.lit(1))).alias("pair_fraction"),
+    )
+    both = pairs.select("a", "b").join(here.select(F.col("id").alias("a"), F.col("x").alias("ax"), F.col("y").alias("ay")), "a").join(there.select("stage", F.col("id").alias("b"), "x", "y"), "b")
+    residuals = both.select("stage", "a", "b", F.hypot(F.col("ax") - F.col("x"), F.col("ay") - F.col("y")).alias("distance"))
+    return matching, residuals, lambda: scored_stages(pairs, ref, moving, stages, anchor, threshold)
+
+
+def stage_plan(checkpoint: bool, micro: bool) -> tuple[list[str], bool]:
+    """The stages that a run can tell apart, in order, and whether the non-rigid one can be: without a checkpoint only the last field is
+    known, and without micro registration there is no fourth.
+    """
+    if not checkpoint:
+        return ["native", "rigid", "micro"], False
+    return ["native", "rigid", "non_rigid", *(["micro"] if micro else [])], True

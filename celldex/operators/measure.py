@@ -92,9 +92,9 @@ def _scale(v: Column) -> Column:
 def at_ranks(rows: DataFrame, group: str, value: str, ranks: dict[str, Column]) -> DataFrame:
     """group, n and for each name the value at a rank (from 0, of `n`, the group's values) among the group's, in order.
 
-    Ranks are found by leading digits: counts of different values are binned by size, and twice more evenly over
-    the values that the bin of a rank really holds, whatever lies outside it.  What is sorted in the end is one
-    bin, of which doubles fill some 65,000 at most, so no task sees a group, nor a far value spoils the bins.
+    Ranks are found by leading digits: counts of different values are binned by size, and again evenly over the
+    values that the bin of a rank really holds, whatever lies outside it, so a far value spoils no bins.  What is
+    sorted in the end is one of 65,536 bins of values within a sixteenth of a doubling, and no task sees a group.
     NULL and NaN don't count; a group without other values has NULLs.
     """
     g, v = F.struct(group).alias("g"), F.when(~F.isnan(F.col(value).cast("double")), F.col(value))
@@ -104,7 +104,7 @@ def at_ranks(rows: DataFrame, group: str, value: str, ranks: dict[str, Column])
     asked = totals.where("n > 0").select("g", wanted).groupBy("g", F.col("w.rank").alias("rank")).agg(F.collect_set("w.name").alias("names"))
     cells = counts.where("k > 0").withColumns({"path": F.lit(0).cast("long"), "bin": _scale(F.col("v"))})
     asked = asked.withColumn("path", F.lit(0).cast("long"))  # the rank within what the path has left
-    for step in range(3):
+    for step in range(2):
         if step:
             ends = cells.groupBy("g", "path").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
             width = (F.col("hi") - F.col("lo")).cast("double")

@@ -184,7 +184,7 @@ def uniformity(cells: DataFrame, channels: list[str], ks: range = KS) -> DataFra
 def foreground_terms(pixels: DataFrame, channels: list[str], where: Column, column: str = "x") -> DataFrame:
     """cv (`channel_uniformity`) and fraction (of the first principal component of z-scores within columns) of the pixels where `where` holds."""
     each = pixel_features(pixels, where, channels, column)
-    fraction = cluster_terms(each.withColumn("k1", F.lit(0)), channels, range(1, 2)).select("fraction")
+    fraction = cluster_terms(each.withColumn("k1", F.lit(0)), channels, range(1, 2)).agg(F.max("fraction").alias("fraction"))  # NULL without such pixels
     return channel_uniformity(pixels, channels, where).join(fraction)
 
 

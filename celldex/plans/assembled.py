@@ -48,14 +48,29 @@ def preflight_sizes(spark, d):
     return assemble.preflight(slides, "0.5", 0.1).withColumnRenamed("path", "p_partkey")
 
 
-@query("select stage, n, n as n_scored, iou as iou_mean, d as d_p50, iou - 0.75e0 as delta, d - 1e0 as delta_d from (values ('native', 0.25e0, 3e0), ('rigid', 0.75e0, 1e0)) s(stage, iou, d), (select count(*) as n from part where p_partkey <= 100) t")
-def stage_scores(spark, d):
-    x, y = (F.col("p_partkey") * 50).cast("double"), (F.col("p_size") * 10).cast("double")
-    p = table(spark, d, "part").where("p_partkey <= 100")
-    square = lambda dx: F.array(*[F.struct((x + dx + a).alias("x"), (y + b).alias("y")) for a, b in ((0, 0), (5, 0), (5, 5), (0, 5))])
-    rings = lambda dx: p.select(F.col("p_partkey").alias("feature"), F.lit(False).alias("hole"), square(dx).alias("ring"))
+_STAGED = "b as (select p_partkey as k, p_partkey % 3 as s from part where p_partkey % 10 <> 0), e as (select stage, k, off + s as d, ((greatest(5 - off - s, 0) * 2 + 1) * 10)::double as common from b, (values ('native', 3), ('rigid', 1)) t(stage, off)), o as (select stage, k, d, common / (220 - common) as iou from e)"
+
+
+def _staged(spark, d):
+    """Boxes of 5 pixels, the same moved by 3 to 5 (a tenth isn't there), and stages: as they are, and moved back by 2."""
+    p, k = table(spark, d, "part"), F.col("p_partkey")
+    ring = lambda dx: F.array(*[F.struct((k * 50 + dx + a).cast("double").alias("x"), (F.col("p_size") * 10 + b).cast("double").alias("y")) for a, b in ((0, 0), (5, 0), (5, 5), (0, 5))])
+    of = lambda rows, dx: rows.select(k.alias("feature"), F.lit(False).alias("hole"), ring(dx).alias("ring"))
     stages = spark.createDataFrame([("native", [1.0, 0.0, 0.0, 0.0, 1.0, 0.0, 0.0, 0.0, 1.0]), ("rigid", [1.0, 0.0, -2.0, 0.0, 1.0, 0.0, 0.0, 0.0, 1.0])], "stage string, m array<double>")
-    pairs = p.select(F.col("p_partkey").alias("a"), F.col("p_partkey").alias("b"))
-    out = assemble.scored_stages(pairs, rings(0), rings(3), stages, "rigid")
-    near = lambda c: F.round(F.col(c) * 4) / 4
-    return out.select("stage", "n", "n_scored", near("iou_mean").alias("iou_mean"), F.round("d_p50", 6).alias("d_p50"), near("delta_iou").alias("delta"), F.round("delta_d_p50", 6).alias("delta_d"))
+    return assemble.paired_stages(of(p, F.lit(0)), of(p.where(k % 10 != 0), 3 + k % 3), stages, "rigid")
+
+
+@query("select 'rigid' as stage, round(1.5e0 * sqrt(25 / pi()), 6) as radius, (select count(*) from part where p_partkey % 10 <> 0) as n_pairs, 0::bigint as n_inexact, count(*) as n_ref, count_if(p_partkey % 10 <> 0)::bigint as n_moving, count_if(p_partkey % 10 = 0)::bigint as unmatched_ref, 0::bigint as unmatched_moving, 1e0 as pair_fraction from part")
+def stage_matching(spark, d):
+    return _staged(spark, d)[0].withColumn("radius", F.round("radius", 6))
+
+
+@query(f"with {_STAGED} select stage, k as a, k as b, d::double as distance from o")
+def stage_residuals(spark, d):
+    return _staged(spark, d)[1].withColumn("distance", F.round("distance", 6))
+
+
+@query(f"with {_STAGED}, s as (select stage, count(*) as n, count(iou) as n_scored, avg(iou) as iou_mean, avg((iou >= 0.5)::integer) as share_good, median(d)::double as d_p50 from o group by 1) select s.stage, s.n, s.n_scored, round(s.iou_mean, 6) as iou_mean, round(s.share_good, 6) as share_good, s.d_p50, round(s.iou_mean - r.iou_mean, 6) as delta, s.d_p50 - r.d_p50 as delta_d from s, s r where r.stage = 'rigid'")
+def stage_scores(spark, d):
+    out = _staged(spark, d)[2]()
+    return out.select("stage", "n", "n_scored", F.round("iou_mean", 6).alias("iou_mean"), F.round("share_good", 6).alias("share_good"), F.round("d_p50", 6).alias("d_p50"), F.round("delta_iou", 6).alias("delta"), F.round("delta_d_p50", 6).alias("delta_d"))

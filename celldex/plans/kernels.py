@@ -222,8 +222,8 @@ def segmentation_row(spark, d):
     """Tests hold it against a plain version, but for the clusters that k-means finds."""
     k = F.col("event_id")
     px = table(spark, d, "events").select(
-        (k % 100).alias("x"), F.floor(k / 100).alias("y"), (F.floor((k % 100) / 6) * 1000 + F.floor(k / 600) + 1).alias("cell"), F.when((k % 6).isin(2, 3) & (F.floor(k / 100) % 6).isin(2, 3), F.floor((k % 100) / 6) * 1000 + F.floor(k / 600) + 1).otherwise(0).alias("nucleus"),
-        (~((k % 100 % 6).isin(0, 5) | (F.floor(k / 100) % 6).isin(0, 5))).alias("interior"), (F.col("value") > 20).alias("foreground"), F.col("value").alias("a"), F.col("user_id").cast("double").alias("b"),
+        (k % 100).alias("x"), F.floor(k / 100).alias("y"), F.when(k % 100 % 6 < 5, F.floor((k % 100) / 6) * 1000 + F.floor(k / 600) + 1).otherwise(0).alias("cell"), F.when((k % 6).isin(2, 3) & (F.floor(k / 100) % 6).isin(2, 3), F.floor((k % 100) / 6) * 1000 + F.floor(k / 600) + 1).otherwise(0).alias("nucleus"),
+        (~((k % 100 % 6).isin(0, 4) | (F.floor(k / 100) % 6).isin(0, 5))).alias("interior"), (F.col("value") > 20).alias("foreground"), F.col("value").alias("a"), F.col("user_id").cast("double").alias("b"),
     )
     out = seg_quality.evaluation(px, ["a", "b"], 0.25)
     return out.select(*[F.round(c, 6).alias(c) for c in seg_quality.MEASURES])

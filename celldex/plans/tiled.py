@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from ..operators import planes
+from ..operators import planes, registration, tile_registration
 from ..sources.tables import table
 from .registry import query
 
@@ -63,3 +64,49 @@ def closed_areas(spark, d):
     """Tests hold it against a plain version."""
     px = _plane(spark, d).select("plane", "x", "y", F.when(F.col("v") > 120, 2).when(F.col("v") > 40, 1).otherwise(0).alias("v"))
     return planes.unpacked(planes.area_closing(planes.packed(px, _height(spark, d), WIDTH, TILE), 30)).select("x", "y", "v")
+
+
+def _layers(spark, d) -> planes.Planes:
+    return planes.packed(_plane(spark, d), _height(spark, d), WIDTH, TILE, ["v", "u"], "<f8")
+
+
+#: A turn and stretch of a few pixels over the plane, and a mesh that bends by two pixels.
+_TURN = np.array([[1.004, 0.006, 3.3], [-0.006, 1.004, -2.4], [0, 0, 1]])
+
+
+def _bend(height: int) -> registration.Mesh:
+    xs, ys = np.linspace(0, WIDTH - 1, 4), np.linspace(0, height - 1, max(2, height // 32))
+    return registration.Mesh(xs, ys, np.stack([np.broadcast_to(1.2 * np.sin(xs / 60), (len(ys), 4)), np.broadcast_to(1.2 * np.cos(ys / 60)[:, None], (len(ys), 4))], -1))
+
+
+@query(f"with {_PX} select ix::integer as ix, iy::integer as iy, true as near from range(4) a(ix) cross join (select unnest(range((h + 31) // 32)) as iy from h) b")
+def registered(spark, d):
+    """The plane of events, moved by a known transform and mesh, brought back: rows are tiles of the reference and whether they are within half a pixel."""
+    height = _height(spark, d)
+    reference, bend = _layers(spark, d), _bend(_height(spark, d))
+    known = {0: (_TURN, bend)}
+    found = tile_registration.register(reference, tile_registration.warped_planes(reference, known, height, WIDTH), halo=16, gate=0.1)
+    m, mesh = found.moves[0]
+    at = found.steps["mesh"].select("ix", "iy", "cx", "cy").toPandas().sort_values(["iy", "ix"])  # a row a tile
+    q = at[["cx", "cy"]].to_numpy()
+    away = np.hypot(*(registration.source(_TURN, bend, registration.source(m, mesh, q), 20) - q).T)
+    return spark.createDataFrame([(int(ix), int(iy), bool(a < 0.5)) for ix, iy, a in zip(at["ix"], at["iy"], away, strict=True)], "ix int, iy int, near boolean")
+
+
+_SHIFT = np.array([[1.0, 0, -2.0], [0, 1, -1.0], [0, 0, 1]])
+
+
+@query(f"with {_PX}, t as (select x, y, least(x + 2.25, 99) as sx, least(y + 1, (select max(y) from px)) as sy from range(100) a(x) cross join (select unnest(range(h)) as y from h) b) select t.x, t.y, round(coalesce(a.v, 0) * (1 - (sx - floor(sx))) + coalesce(b.v, 0) * (sx - floor(sx)), 6) as v, round(coalesce(a.u, 0) * (1 - (sx - floor(sx))) + coalesce(b.u, 0) * (sx - floor(sx)), 6) as u from t left join px a on a.x = floor(sx) and a.y = sy left join px b on b.x = least(floor(sx) + 1, 99) and b.y = sy")
+def warped_channels(spark, d):
+    mesh = registration.Mesh([0.0, 50.0], [0.0], np.tile([-0.25, 0.0], (1, 2, 1)))
+    out = tile_registration.warped_planes(_layers(spark, d), {0: (_SHIFT, mesh)}, _height(spark, d), WIDTH)
+    return planes.unpacked(out, ["v", "u"]).select("x", "y", F.round("v", 6).alias("v"), F.round("u", 6).alias("u"))
+
+
+@query(f"with {_PX} select 0::bigint as plane, 7e0 as dx, -4e0 as dy from px limit 1")
+def coarse_anchor(spark, d):
+    """The plane of events and the same moved by whole pixels; what is found is rounded to them."""
+    height = _height(spark, d)
+    reference = _layers(spark, d)
+    moving = planes.packed(_plane(spark, d).withColumns({"x": F.col("x") - 7, "y": F.col("y") + 4}), height, WIDTH, TILE, ["v"], "<f8")
+    return tile_registration.coarse_anchor(reference, moving, max(height, WIDTH)).select("plane", F.round("dx").alias("dx"), F.round("dy").alias("dy"))

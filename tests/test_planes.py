@@ -165,3 +165,47 @@ def test_grown(spark, reach, tile):
     spots = [(y, x, a[y, x]) for y, x in zip(*np.nonzero(a), strict=True)]
     want = np.array([[min((((y - py) ** 2 + (x - px) ** 2, v) for py, px, v in spots if (y - py) ** 2 + (x - px) ** 2 <= reach * reach), default=(0, 0))[1] for x in range(41)] for y in range(30)])
     assert (got == want).all()
+
+
+def test_registration_finds_a_known_transform_and_mesh(spark):
+    from celldex.operators import registration, tile_registration
+
+    r = np.random.default_rng(11)
+    rows = [(p, x, y, float(v), float(2 * v)) for p in (0, 3) for (y, x), v in np.ndenumerate(r.gamma(2, 50, (120, 150)))]
+    reference = planes.packed(spark.createDataFrame(rows, "plane long, x long, y long, v double, w double"), 120, 150, 40, ["v", "w"], "<f8")
+    turn = np.array([[1.004, 0.006, 4.3], [-0.006, 1.004, -3.4], [0, 0, 1]])
+    bend = registration.Mesh([0.0, 75.0, 149.0], [0.0, 119.0], np.array([[(0, 0), (0.8, 0.4), (1.5, 0.5)], [(0.2, 0), (1.0, 0.6), (1.4, 0.8)]]))
+    known = {0: (turn, bend), 3: (np.array([[1.0, 0, -6.0], [0, 1, 5.0], [0, 0, 1]]), None)}
+    moving = tile_registration.warped_planes(reference, known, 120, 150)
+    found = tile_registration.register(reference, moving, halo=16, gate=0.1)
+    q = np.array([(x, y) for x in range(20, 140, 30) for y in range(20, 110, 30)], float)
+    for plane, (m, mesh) in known.items():
+        back = registration.source(m, mesh, registration.source(*found.moves[plane], q), 20)
+        assert np.hypot(*(back - q).T).max() < 0.5, plane
+    report = {(x["plane"], x["step"]): x["tre_mean"] for x in found.report().collect()}
+    assert len(report) == 6 and report[0, "mesh"] < report[0, "anchor"] and report[3, "mesh"] < 0.1
+    got = planes.unpacked(found.planes, ["v", "w"]).where("plane = 3 and x between 10 and 130 and y between 10 and 100").collect()
+    want = {(x, y): v for p, x, y, v, _ in rows if p == 3}
+    assert all(abs(g["v"] - want[g["x"], g["y"]]) < 30 and abs(g["w"] - 2 * g["v"]) < 1e-6 for g in got)
+
+
+def test_warped_planes_are_those_of_pixels(spark):
+    from celldex.operators import registration, tile_registration
+
+    r = np.random.default_rng(2)
+    a = r.random((30, 41))
+    rows = [(0, x, y, float(v)) for (y, x), v in np.ndenumerate(a)]
+    px = spark.createDataFrame(rows, "plane long, x long, y long, v double")
+    m = np.array([[0.9, 0.2, 3.0], [-0.2, 1.1, 2.0], [0, 0, 1]])
+    mesh = registration.Mesh([0.0, 30.0], [0.0, 20.0], r.normal(0, 2, (2, 2, 2)))
+    got = {(x["x"], x["y"]): x["v"] for x in planes.unpacked(tile_registration.warped_planes(planes.packed(px, 30, 41, 8, kind="<f8"), {0: (m, mesh)}, 26, 37)).collect()}
+    want = {(x["x"], x["y"]): x["v"] for x in registration.warped(px.drop("plane"), m, mesh, 26, 37, (30, 41)).collect()}
+    assert got.keys() == want.keys() and max(abs(got[k] - want[k]) for k in want) < 1e-9
+
+
+def test_stage_plan():
+    from celldex.operators.assemble import stage_plan
+
+    assert stage_plan(False, True) == (["native", "rigid", "micro"], False)
+    assert stage_plan(True, False) == (["native", "rigid", "non_rigid"], True)
+    assert stage_plan(True, True) == (["native", "rigid", "non_rigid", "micro"], True)
