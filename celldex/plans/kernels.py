@@ -18,11 +18,6 @@ _PX = "px as (select event_type as label, event_id % 100 as x, event_id // 100 a
 _FOVS = "y as (select iy, 14 * iy + least(iy, 3) as y0, 14 + cast(iy < 3 as integer) as h from range(7) t(iy)), x as (select ix, 20 * ix as x0, 20 as w from range(5) t(ix)), g as (select iy * 5 + ix as index, iy, ix, y0, x0, h, w, 15 as pad_h, 20 as pad_w from y, x)"
 
 
-@query(f"with {_FOVS} select * from g")
-def fov_grid(spark, d):
-    return raster.fov_grid(spark, 101, 100, 7, 5)
-
-
 @query(f"with {_PX}, {_FOVS} select index, px.y - y0 as y, px.x - x0 as x, v from px join g on px.y >= y0 and px.y < y0 + h and px.x >= x0 and px.x < x0 + w")
 def fov_pixels(spark, d):
     return raster.split_fovs(_pixels(spark, d), 101, 100, 7, 5)
@@ -121,23 +116,25 @@ def gate_counts(spark, d):
     return registration.gate_counts(_controls(spark, d), 0.25, 3.0)
 
 
-def _tiles(spark, d):
-    """Tiles of 24 x 24 pixels of a made-up plane, moved by the tile's number."""
-    px = spark.range(3 * 24 * 24).select(F.floor(F.col("id") / 576).alias("tile"), (F.col("id") % 24).alias("x"), (F.floor(F.col("id") / 24) % 24).alias("y"))
-    plane = lambda dx: F.exp(-(F.pow(F.col("x") - 11 + dx, 2) + F.pow(F.col("y") - 12, 2)) / 3) + F.exp(-(F.pow(F.col("x") - 6 + dx, 2) + F.pow(F.col("y") - 7, 2)) / 2)
-    return px.select("tile", "x", "y", plane(F.lit(0)).alias("ref"), plane(F.col("tile")).alias("mov"))
-
-
-@query("select tile, tile::double as dx, 0.0::double as dy from range(3) t(tile)")
+@query("with t as (select event_id // 1024 as tile, count(*) as n from events group by 1) select tile, (tile % 4)::double as dx, 0e0 as dy from t where n = 1024")
 def tile_residuals(spark, d):
-    return registration.tile_residuals(_tiles(spark, d)).select("tile", F.abs(F.round("dx")).alias("dx"), F.abs(F.round("dy")).alias("dy"))
+    """Tiles of 32 x 32 events, and the same turned round by the tile's number of columns: what brings them back."""
+    k = F.col("event_id")
+    e = table(spark, d, "events").select(F.floor(k / 1024).alias("tile"), (k % 32).alias("x"), F.floor(k % 1024 / 32).alias("y"), F.col("value").alias("v"))
+    full = e.groupBy("tile").agg(F.count("*").alias("n")).where("n = 1024").select("tile")
+    moved = e.select("tile", F.pmod(F.col("x") - F.col("tile") % 4, F.lit(32)).alias("x"), "y", F.col("v").alias("mov"))
+    tiles = e.withColumnRenamed("v", "ref").join(moved, ["tile", "x", "y"]).join(full, "tile", "left_semi")
+    return registration.tile_residuals(tiles).select("tile", F.round("dx").alias("dx"), F.round("dy").alias("dy"))
 
 
-@query("select k as tile, case when k = 0 then 0.25e0 else 0e0 end as fraction from range(3) t(k)")
+@query("with t as (select event_id // 1000 as tile, count_if(event_id % 1000 < 250) / count(*)::double as fraction, count(*) as n from events group by 1) select tile, round(case when tile % 2 = 0 then fraction else 0 end, 6) as fraction from t where n = 1000")
 def foreground_share(spark, d):
-    px = spark.range(3000).select((F.col("id") % 3).alias("tile"), F.floor(F.col("id") / 3).alias("i"))
-    v = F.when((F.col("tile") == 0) & (F.col("i") < 250), 100.0 + F.col("i") % 5).when(F.col("tile") == 1, F.col("i").cast("double")).when(F.col("tile") == 2, 7.0).otherwise(F.col("i") % 7)
-    return registration.foreground(px.select("tile", v.alias("v")), "tile", "v").withColumn("fraction", F.round("fraction", 6))
+    """Tiles of 1000 events: even ones with a quarter far brighter than the rest, odd ones all alike."""
+    k = F.col("event_id")
+    e = table(spark, d, "events").select(F.floor(k / 1000).alias("tile"), (k % 1000).alias("i"))
+    v = F.when(F.col("tile") % 2 == 1, 7.0).when(F.col("i") < 250, 1000.0 + F.col("i") % 5).otherwise(F.col("i") % 7)
+    full = e.groupBy("tile").agg(F.count("*").alias("n")).where("n = 1000").select("tile")
+    return registration.foreground(e.select("tile", v.alias("v")).join(full, "tile", "left_semi"), "tile", "v").withColumn("fraction", F.round("fraction", 6))
 
 
 @query("select s_nationkey as slide, 0.8e0 as cosine, 0.6e0 as sine, 6e0 as ox, -10e0 as oy, count_if(s_suppkey % 5 > 0)::bigint as inliers from supplier group by 1 having count_if(s_suppkey % 5 > 0) >= 4 and count_if(s_suppkey % 5 = 0) <= 1")

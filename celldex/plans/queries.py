@@ -8,7 +8,7 @@ from ..operators import measure, merge, pairing, raster
 from ..sources import sheets
 from ..sources.tables import table
 from ..streaming.groups import groups_and_rest, sized_groups
-from . import assembled, joins, kernels, reports, slides, spatial, tiled  # noqa: F401  (they enter theirs)
+from . import assembled, joins, kernels, laterals, reports, slides, spatial, tiled  # noqa: F401  (they enter theirs)
 from .registry import ALL, query
 
 __all__ = ["ALL"]
@@ -173,11 +173,6 @@ def stage_delta(spark, d):
     return measure.stage_delta(table(spark, d, "orders"), "o_orderstatus", "o_totalprice", "F")
 
 
-@query("select ix, iy, greatest(ix * 256 - 16, 0) as x0, greatest(iy * 256 - 16, 0) as y0, least((ix + 1) * 256 + 16, 2000) as x1, least((iy + 1) * 256 + 16, 1500) as y1 from range(8) a(ix), range(6) b(iy)")
-def tile_grid(spark, d):
-    return raster.tile_grid(spark, 2000, 1500, 256, 16)
-
-
 @query("select event_id % 100 // 4 as bx, event_id // 100 // 4 as by, round(avg(value), 6) as mean, count(*) as n from events group by 1, 2")
 def block_mean(spark, d):
     px = table(spark, d, "events").select((F.col("event_id") % 100).alias("x"), F.floor(F.col("event_id") / 100).alias("y"), F.col("value").alias("v"))

@@ -72,11 +72,6 @@ def percentile_normalise(spark, d):
     return raster.percentile_scale(_pixels(spark, d), "label", 0.01, 0.998).select("x", "y", F.round("v", 6).alias("v"))
 
 
-@query("with s as (select i, 1003 // 7 + case when i < 1003 % 7 then 1 else 0 end as size from range(7) t(i)) select cast(i as bigint) as i, cast(size as bigint) as size, cast(coalesce(sum(size) over (order by i rows between unbounded preceding and 1 preceding), 0) as bigint) as start from s")
-def fov_split(spark, d):
-    return raster.fov_split(spark, 1003, 7)
-
-
 @query("with t as (select ix, iy, ix * 256 as x0, iy * 256 as y0, least(ix * 256 + 256, 2000) as x1, least(iy * 256 + 256, 1500) as y1 from range(8) a(ix), range(6) b(iy)), w as (select p_partkey as id, p_partkey % 1900 as x0, p_size * 20 as y0, p_partkey % 1900 + 300 as x1, p_size * 20 + 100 as y1 from part) select id, ix, iy, cast(greatest(t.x0, w.x0) as bigint) as x0, cast(greatest(t.y0, w.y0) as bigint) as y0, cast(least(t.x1, w.x1) as bigint) as x1, cast(least(t.y1, w.y1) as bigint) as y1 from w join t on t.x0 < w.x1 and w.x0 < t.x1 and t.y0 < w.y1 and w.y0 < t.y1")
 def fov_overlap(spark, d):
     x, y = F.col("p_partkey") % 1900, (F.col("p_size") * 20).cast("long")
@@ -84,11 +79,6 @@ def fov_overlap(spark, d):
     return raster.tile_overlaps(windows, 2000, 1500, 256)
 
 
-@query("with recursive l(i, h, w) as (select 0, 5000, 3001 union all select i + 1, h // 2, w // 2 from l where least(h // 2, w // 2) >= 64 and i < 9) select i as level, h as height, w as width from l")
-def pyramid_levels(spark, d):
-    return raster.pyramid_levels(spark, 5000, 3001)
-
-
 @query(
     "with p as (select vec_id, least(greatest((embedding[1]::double * 40 + 5), 0), 10) as x, least(greatest((embedding[2]::double * 40 + 5), 0), 10) as y from embeddings), m as (select i, j, sin(i * 0.5) * 3 as dx, cos(j * 0.5) * 2 as dy from range(11) a(i), range(11) b(j)), "
     "c as (select vec_id, (case when di = 1 then x - floor(x) else 1 - (x - floor(x)) end) * (case when dj = 1 then y - floor(y) else 1 - (y - floor(y)) end) as w, dx, dy from p, range(2) a(di), range(2) b(dj), m where m.i = least(cast(floor(x) as bigint) + di, 10) and m.j = least(cast(floor(y) as bigint) + dj, 10)) select vec_id, round(sum(w * dx), 5) as dx, round(sum(w * dy), 5) as dy from c group by 1"
