@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 
 def nan_to_null(value: Column) -> Column:
@@ -214,6 +218,63 @@ def channel_color(index: Column) -> Column:
     return F.struct(pick(v, q, p, p, t, v).alias("r"), pick(t, v, v, q, p, p).alias("g"), pick(p, p, t, v, v, q).alias("b"))
 
 
+#: Colours of known markers, by name.
+MARKER_COLORS = {
+    "DAPI": (0, 0, 255),
+    "CD45": (0, 255, 0),
+    "CD3": (255, 255, 0),
+    "CD8": (255, 0, 255),
+    "CD4": (0, 255, 255),
+    "CD14": (255, 128, 0),
+    "CD163": (255, 0, 128),
+    "FOXP3": (128, 255, 0),
+    "PANCK": (255, 0, 0),
+    "VIMENTIN": (128, 0, 255),
+    "SMA": (0, 128, 255),
+    "GZMB": (255, 128, 128),
+    "PD1": (128, 255, 128),
+    "PDL1": (255, 200, 100),
+    "L1CAM": (100, 200, 255),
+    "PAX2": (200, 100, 255),
+    "CD74": (255, 255, 128),
+    "Segmentation": (255, 255, 255),
+}
+
+
+def marker_color(name: Column, index: Column) -> Column:
+    """r, g, b of a known marker, whatever the case of its name, else of the channel's place."""
+    known = F.create_map(*[x for k, v in MARKER_COLORS.items() for x in (F.lit(k.upper()), F.struct(*[F.lit(c).alias(n) for c, n in zip(v, "rgb", strict=True)]))])
+    return F.coalesce(F.try_element_at(known, F.upper(name)), channel_color(index))
+
+
+def checkpoint_path(outdir: Column, step: Column) -> Column:
+    """outdir/csv/step.csv."""
+    return F.concat(F.rtrim(outdir, F.lit("/")), F.lit("/csv/"), step, F.lit(".csv"))
+
+
+def _clean(value: object) -> object:
+    if isinstance(value, dict):
+        return {k: _clean(v) for k, v in value.items()}
+    if isinstance(value, list):
+        return [_clean(v) for v in value]
+    return float("nan") if value is None else value
+
+
+def clean_document(text: Column) -> Column:
+    """JSON text with nulls as NaN; NULL where it isn't JSON."""
+
+    def one(t: str | None) -> str | None:
+        try:
+            return json.dumps(_clean(json.loads(t)))
+        except (TypeError, ValueError):
+            return None
+
+    def column(texts: pd.Series) -> pd.Series:
+        return texts.map(one)
+
+    return F.pandas_udf(column, StringType())(text)
+
+
 def channel_names(names: Column, n: Column) -> Column:
     """The names, or channel_0, channel_1, ... where there aren't n of them."""
     return F.when(F.size(names) == n, names).otherwise(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.concat(F.lit("channel_"), i.cast("string"))))

@@ -115,6 +115,11 @@ def convex_area(pixels: DataFrame) -> DataFrame:
     return rows.groupBy("label").applyInPandas(measure, f"label {kind}, area long, convex_area long, solidity double")
 
 
+def described(pixels: DataFrame) -> DataFrame:
+    """`morphology` with perimeter, convex_area and solidity, by label."""
+    return morphology(pixels).join(perimeter(pixels), "label").join(convex_area(pixels).select("label", "convex_area", "solidity"), "label")
+
+
 def ring_centroids(rings: DataFrame, feature: str, ring: str) -> DataFrame:
     """area, cx, cy by feature, from rings of structs x, y; holes (rings the other way round) subtract.
 

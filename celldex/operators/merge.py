@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -122,3 +122,22 @@ def flat_metrics(docs: DataFrame, key: str, metrics: str) -> DataFrame:
 def unconsumed(known: DataFrame, consumed: DataFrame) -> DataFrame:
     """Distinct rows of known that consumed lacks; empty if all is well."""
     return known.subtract(consumed.select(*known.columns))
+
+
+def marker_tables(spark: SparkSession, files: list[str] | None = None, folder: str | None = None, key: str = "label") -> list[tuple[str, DataFrame]]:
+    """Name and table (the key as a long, the rest as doubles) of the CSV files named, or else of a folder's *_quant.csv by name; an error without any."""
+    if not files:
+        listed = spark.read.format("binaryFile").option("pathGlobFilter", "*_quant.csv").load(folder).select("path").orderBy("path").collect() if folder else []
+        files = [r["path"] for r in listed]  # a name a marker
+    if not files:
+        raise ValueError("no tables of markers")
+    out = []
+    for f in files:
+        names = spark.read.option("header", True).csv(f).columns
+        out.append((f, spark.read.schema(", ".join(f"`{c}` {'long' if c == key else 'double'}" for c in names)).option("header", True).csv(f)))
+    return out
+
+
+def merged_markers(base: DataFrame, tables: list[tuple[str, DataFrame]], key: str = "label", protected: tuple[str, ...] = ()) -> DataFrame:
+    """base with the columns of each table, later ones over earlier ones and base's, but for those protected (`merge_last_wins`)."""
+    return merge_last_wins(base, [t for _, t in tables], key, protected=protected)

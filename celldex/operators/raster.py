@@ -8,15 +8,6 @@ from pyspark.sql import functions as F
 from .measure import quantiles
 
 
-def tile_grid(spark: SparkSession, width: int, height: int, tile: int, overlap: int) -> DataFrame:
-    """ix, iy, x0, y0, x1, y1 of tiles of a plane, each grown by overlap on every side and clipped."""
-    nx, ny = -(-width // tile), -(-height // tile)
-    at = spark.range(nx * ny).select((F.col("id") % nx).alias("ix"), F.floor(F.col("id") / nx).alias("iy"))
-    low = lambda i: F.greatest(F.col(i) * tile - overlap, F.lit(0).cast("long"))
-    high = lambda i, most: F.least((F.col(i) + 1) * tile + overlap, F.lit(most).cast("long"))
-    return at.select("ix", "iy", low("ix").alias("x0"), low("iy").alias("y0"), high("ix", width).alias("x1"), high("iy", height).alias("y1"))
-
-
 def block_mean(pixels: DataFrame, factor: int, x: str = "x", y: str = "y", value: str = "v") -> DataFrame:
     """Mean of each factor by factor block, to 6 places."""
     cell = lambda c: F.floor(F.col(c) / factor).cast("long")
@@ -107,6 +98,31 @@ def _field(length: int, parts: int, at) -> tuple:
     return i, i * each + F.least(i, F.lit(more))
 
 
+def correctable(channels: list[str], markers: list[str], skip_nuclear: bool = True) -> list[str]:
+    """The channels that are corrected: all, or those whose name holds no nuclear marker."""
+    return [c for c in channels if not (skip_nuclear and any(m.strip().upper() in c.strip().upper() for m in markers))]
+
+
+def corrected_channels(pixels: DataFrame, profiles: DataFrame, channels: list[str], tile: int, most: float) -> DataFrame:
+    """pixels (channel, x, y, v) with those of `channels` corrected by their channel's profile (channel, px, py, flat, dark) as `flat_field`
+    does; other channels, and pixels without a profile, pass as they are.  Profiles have tile * tile rows a channel.
+    """
+    at = F.pmod(F.col("x"), F.lit(tile)).alias("px"), F.pmod(F.col("y"), F.lit(tile)).alias("py")
+    mine = pixels.where(F.col("channel").isin(channels)).select("*", *at).join(profiles, ["channel", "px", "py"], "left")
+    v = F.col("v").cast("double")
+    fixed = F.least(F.greatest((v - F.col("dark")) / F.col("flat"), F.lit(0.0)), F.lit(float(most)))
+    rest = pixels.where(~F.col("channel").isin(channels) | F.col("channel").isNull()).select("channel", "x", "y", v.alias("v"))
+    return mine.select("channel", "x", "y", F.coalesce(fixed, v).alias("v")).unionByName(rest)
+
+
+def fields_for_profiles(height: int, width: int, fov_height: int, fov_width: int) -> tuple[int, int]:
+    """`fov_counts`; an error where there is one field only, as a profile is estimated over several."""
+    down, across = fov_counts(height, width, fov_height, fov_width)
+    if down * across < 2:
+        raise ValueError(f"one field of {fov_height} x {fov_width} covers the plane of {height} x {width}; make fields of {max(1, min(height, width) // 2)} or less")
+    return down, across
+
+
 def split_fovs(pixels: DataFrame, height: int, width: int, down: int, across: int) -> DataFrame:
     """index, y, x (in the field), v of each pixel (x, y, v): where it lies is arithmetic, so nothing is joined or shuffled."""
     iy, y0 = _field(height, down, F.col("y"))
@@ -168,14 +184,6 @@ def tile_overlaps(windows: DataFrame, width: int, height: int, tile: int) -> Dat
     return w.select("id", "ix", "iy", low("x0", "ix"), low("y0", "iy"), high("x1", "ix"), high("y1", "iy"))
 
 
-def pyramid_levels(spark: SparkSession, height: int, width: int, least: int = 64, most: int = 10) -> DataFrame:
-    """level, height, width: halved, rounding down, while the shorter side keeps `least`; `most` levels at most."""
-    at = F.col("id").cast("int")
-    half = lambda n: F.floor(F.lit(n) / F.pow(F.lit(2.0), at)).cast("int")
-    out = spark.range(most).select(at.alias("level"), half(height).alias("height"), half(width).alias("width"))
-    return out.where((F.col("level") == 0) | (F.least("height", "width") >= least))
-
-
 def mesh_displacement(points: DataFrame, key: str, mesh: DataFrame) -> DataFrame:
     """key, dx, dy: displacements at points (x, y in mesh units), bilinear between the four nodes (i, j, dx, dy) around.
 

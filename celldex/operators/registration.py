@@ -270,6 +270,37 @@ def feature_residuals(matches: DataFrame, key: str, distance: str, outlier: floa
     return p.join(n, p["_key"].eqNullSafe(n["_key"])).select(p["_key"].alias(key), "p50", "p90", "n")
 
 
+def before_after(matches: DataFrame, pixels: DataFrame, key: str, outlier: float = 50.0, inner: float = 0.15) -> DataFrame:
+    """key, and of both states: matches' median and 90th percentile of residuals (`feature_residuals`), their number, and the correlation of
+    the planes' inner part; improvement: by how much the median fell.
+
+    matches (key, state: before or after, distance), pixels (key, state, x, y, a: reference, b: moving).
+    """
+    both = F.struct(F.col(key), F.col("state")).alias("both")
+    found = feature_residuals(matches.select(both, "distance"), "both", "distance", outlier).select(F.col("both")[key].alias(key), F.col("both.state").alias("state"), "p50", "p90", "n")
+    alike = interior_correlation(pixels.select(both, "x", "y", "a", "b"), "both", inner).select(F.col("both")[key].alias(key), F.col("both.state").alias("state"), "correlation")
+    rows = found.join(alike, [key, "state"], "full")
+    of = lambda c, s: F.max(F.when(F.col("state") == s, F.col(c))).alias(f"{c}_{s}")
+    by = rows.groupBy(key).agg(*[of(c, s) for s in ("before", "after") for c in ("p50", "p90", "n", "correlation")])
+    return by.withColumn("improvement", F.col("p50_before") - F.col("p50_after"))
+
+
+def mesh_margin(mesh: Mesh | None) -> int:
+    """How far beyond a tile's own window its source may lie: the mesh's longest shift along an axis, and four pixels."""
+    return 4 + (int(np.ceil(np.abs(mesh.shifts).max(initial=0.0))) if mesh else 0)
+
+
+def moving_entry(slides: DataFrame, name: str | None = None) -> DataFrame:
+    """The row of a manifest's slides (slide, is_reference, ..) that is warped: the one of that name, else the first by name that isn't the
+    reference; an error without one.
+    """
+    rank = F.when(F.col("slide") == F.lit(name), 0).otherwise(1)
+    got = slides.where((F.col("slide") == F.lit(name)) | ~F.col("is_reference") if name else ~F.col("is_reference")).orderBy(rank, "slide").limit(1)
+    if got.isEmpty():
+        raise ValueError("no moving slide")
+    return got
+
+
 def on_canvas(ref: DataFrame, mov: DataFrame) -> DataFrame:
     """x, y, ref, mov: mov cut and filled with 0 to the pixels of ref."""
     return ref.select("x", "y", F.col("v").alias("ref")).join(mov.select("x", "y", F.col("v").alias("mov")), ["x", "y"], "left").withColumn("mov", F.coalesce("mov", F.lit(0).cast("double")))

@@ -108,3 +108,31 @@ def stage_distributions(rows: DataFrame, stage: str, slide: str, pairs: str, val
         middle = quantiles(rows.select(F.col(stage).alias("_stage"), F.col(column).alias("_v")), "_stage", "_v", {name: 0.5})
         out = out.join(middle, F.col(stage).eqNullSafe(F.col("_stage")), "left").drop("_stage")
     return out
+
+
+def match_counts(docs: DataFrame) -> DataFrame:
+    """slide, n_pairs of quality documents (JSON text) that name their moving slide and have a number of matched pairs; of several the greatest file's (file, text)."""
+    n = F.get_json_object("text", "$.matching.n_pairs").try_cast("double")
+    slide = F.get_json_object("text", "$.moving")
+    rows = docs.select("file", slide.alias("slide"), F.floor(n).cast("long").alias("n_pairs")).where("slide <> '' and n_pairs is not null")
+    return rows.groupBy("slide").agg(F.max_by("n_pairs", "file").alias("n_pairs"))
+
+
+def intrinsic_residuals(summaries: DataFrame, docs: DataFrame) -> DataFrame:
+    """slide, which (final or premicro), rigid_D, non_rigid_D, as `reconcile` takes them, from both kinds of source.
+
+    summaries (file, from, filename, rigid_D, non_rigid_D: texts): rows of tables, `premicro` where the file's name ends in
+    _summary_premicro.csv; the slide is `from`, else `filename`.  docs (file, text): JSON of tiled runs, whose coarse residual is the
+    rigid one and whose median after refinement the non-rigid one.  A slide in both is merged; documents count over tables, later
+    files over earlier ones.
+    """
+    num = lambda c: F.nullif(F.trim(c), F.lit("")).try_cast("double")
+    slide = F.coalesce(F.nullif("from", F.lit("")), F.nullif("filename", F.lit("")))
+    which = F.when(F.endswith("file", F.lit("_summary_premicro.csv")), "premicro").otherwise("final")
+    tables = summaries.select(F.lit(0).alias("kind"), "file", slide.alias("slide"), which.alias("which"), num(F.col("rigid_D")).alias("rigid_D"), num(F.col("non_rigid_D")).alias("non_rigid_D"))
+    part = lambda p: F.get_json_object("text", p).try_cast("double")
+    name = F.coalesce(F.get_json_object("text", "$.moving"), F.regexp_extract("file", r"([^/]*)$", 1))
+    tiled = docs.select(F.lit(1).alias("kind"), "file", name.alias("slide"), F.lit("final").alias("which"), part("$.coarse_tre_px").alias("rigid_D"), part("$.residual_after_px.p50").alias("non_rigid_D"))
+    rows = tables.unionByName(tiled).where("slide is not null")
+    last = lambda c: F.max(F.when(F.col(c).isNotNull(), F.struct("kind", "file", c)))[c].alias(c)
+    return rows.groupBy("slide", "which").agg(last("rigid_D"), last("non_rigid_D"))

@@ -205,6 +205,23 @@ def report_tiles(spark, d):
     return resources.tile_counts(docs.withColumns({"n_accepted": F.when(F.col("moving") % 2 == 0, F.lit(7).cast("long")), "n_rejected": F.lit(None).cast("long")}))
 
 
+@query("select cast(user_id as varchar) as slide, arg_max(event_id % 1000, printf('%08d', event_id)) as n_pairs from events where event_id % 4 < 2 group by 1")
+def match_counts(spark, d):
+    k = F.col("event_id")
+    text = F.when(k % 4 == 0, F.format_string('{"moving":"%d","matching":{"n_pairs":%d}}', "user_id", k % 1000)).when(k % 4 == 1, F.format_string('{"moving":"%d","matching":{"n_pairs":"%d.5"}}', "user_id", k % 1000)).when(k % 4 == 2, F.format_string('{"moving":"%d"}', "user_id"))
+    return resources.match_counts(table(spark, d, "events").select(F.format_string("%08d", k).alias("file"), text.alias("text")))
+
+
+@query(
+    "with t as (select cast(s_suppkey as varchar) as slide, case when s_suppkey % 2 = 0 then 'premicro' else 'final' end as which, s_acctbal as r, s_nationkey * 1e0 as n from supplier), j as (select cast(c_custkey as varchar) as slide, 'final' as which, c_acctbal as r, c_nationkey * 1e0 as n from customer where c_custkey % 3 = 0) "
+    "select slide, which, coalesce(j.r, t.r) as \"rigid_D\", coalesce(j.n, t.n) as \"non_rigid_D\" from t full join j using (slide, which)"
+)
+def intrinsic_residuals(spark, d):
+    s = table(spark, d, "supplier").select(F.concat(F.lit("/in/"), "s_suppkey", F.when(F.col("s_suppkey") % 2 == 0, "_summary_premicro.csv").otherwise("_summary.csv")).alias("file"), F.when(F.col("s_suppkey") % 5 > 0, F.col("s_suppkey").cast("string")).alias("from"), F.col("s_suppkey").cast("string").alias("filename"), F.col("s_acctbal").cast("string").alias("rigid_D"), F.col("s_nationkey").cast("string").alias("non_rigid_D"))
+    c = table(spark, d, "customer").where("c_custkey % 3 = 0").select(F.concat(F.lit("/in/"), "c_custkey", F.lit("_tre.json")).alias("file"), F.to_json(F.struct(F.col("c_custkey").cast("string").alias("moving"), F.col("c_acctbal").alias("coarse_tre_px"), F.struct(F.col("c_nationkey").alias("p50")).alias("residual_after_px"))).alias("text"))
+    return resources.intrinsic_residuals(s, c)
+
+
 @query("select event_type, count(*) as n, count_if(event_id % 9 = 0)::bigint as n_dropped, median(value) filter (event_id % 9 <> 0) as p50 from events group by 1")
 def residual_summary(spark, d):
     rows = table(spark, d, "events").select("event_type", F.when(F.col("event_id") % 18 == 0, "nan").when(F.col("event_id") % 9 == 0, "?").otherwise(F.col("value").cast("string")).alias("r"))

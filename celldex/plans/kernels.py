@@ -80,14 +80,31 @@ def contours(spark, d):
     return shapes.contours(px.where("v > 20"))
 
 
-@query(None)
+_EDGE = "case when (y{0} <= y) <> (y{1} <= y) then x{0} + (y - y{0}) * (x{1} - x{0}) / (y{1} - y{0}) end"
+_ROWS = ", ".join(f"greatest(0, ceil(least({c})))::bigint as lo{s}, floor(greatest({c}))::bigint as hi{s}" for s, c in ((s, ", ".join(_EDGE.format(f"{s}{i}", f"{s}{i % 3 + 1}") for i in (1, 2, 3))) for s in "ab"))
+_AT = ", ".join(f"({c}{s}{i} - o{c}) * 2 as {c}{s}{i}" for c in "xy" for s in "ab" for i in (1, 2, 3))
+_TRIANGLES = (
+    "t as (select vec_id as f, embedding[1]::double * 20 as x1, embedding[2]::double * 20 as y1, embedding[3]::double * 20 as x2, embedding[4]::double * 20 as y2, embedding[5]::double * 20 as x3, embedding[6]::double * 20 as y3 from embeddings), "
+    "p as (select a.f as a, " + ", ".join(f"{s}.{c}{i} as {c}{s}{i}" for s in "ab" for c in "xy" for i in (1, 2, 3)) + " from t a join t b on b.f = a.f + 1), "
+    "w as (select *, least(xa1, xa2, xa3, xb1, xb2, xb3) - 0.5e0 as ox, least(ya1, ya2, ya3, yb1, yb2, yb3) - 0.5e0 as oy, ceil((greatest(ya1, ya2, ya3, yb1, yb2, yb3) - least(ya1, ya2, ya3, yb1, yb2, yb3)) * 2)::bigint + 2 as h from p), "
+    f"g as (select a, h, {_AT} from w), r as (select *, unnest(range(h)) as y from g), c as (select a, {_ROWS} from r), "
+    "n as (select a, greatest(coalesce(hia - loa + 1, 0), 0) as m, greatest(coalesce(hib - lob + 1, 0), 0) as n, case when hia is null or hib is null then 0 else greatest(least(hia, hib) - greatest(loa, lob) + 1, 0) end as i from c)"
+)
+
+
+@query(f"with {_TRIANGLES}, o as (select a, sum(i)::double as i, sum(m + n)::double as s from n group by 1) select vec_id as a, vec_id + 1 as b, round(case when s - i > 0 then i / (s - i) end, 6) as iou from embeddings left join o on a = vec_id")
 def pair_overlap(spark, d):
     at = lambda i: F.struct((F.get("embedding", F.lit(i)).cast("double") * 20).alias("x"), (F.get("embedding", F.lit(i + 1)).cast("double") * 20).alias("y"))
     rings = table(spark, d, "embeddings").select(F.col("vec_id").alias("feature"), F.lit(False).alias("hole"), F.array(at(0), at(2), at(4)).alias("ring"))
     return shapes.pair_overlap(rings.select(F.col("feature").alias("a"), (F.col("feature") + 1).alias("b")), rings, rings).withColumn("iou", F.round("iou", 6))
 
 
-@query(None)
+_POLYGON = "'[[[' || cx || ',' || cy || '],[' || (cx + 4) || ',' || cy || '],[' || (cx + 4) || ',' || (cy + 4) || '],[' || cx || ',' || cy || ']]]'"
+
+
+@query(
+    f"""with c as (select c_custkey as label, c_acctbal as cx, c_nationkey * 10e0 as cy from customer), k as (select *, unnest(['detection', 'annotation']) as kind from c) select label, '{{"type":"Feature","id":"' || label || '","geometry":' || case when label % 2 = 0 then '{{"type":"Polygon","coordinates":' || {_POLYGON} || '}}' else '{{"type":"Point","coordinates":[' || cx || ',' || cy || ']}}' end || ',"properties":{{"objectType":"' || kind || '"}}}}' as feature from k"""
+)
 def combined_features(spark, d):
     c = table(spark, d, "customer").select(F.col("c_custkey").alias("label"), F.col("c_acctbal").alias("cx"), (F.col("c_nationkey") * 10.0).alias("cy"))
     ring = F.array(*[F.struct((F.col("cx") + a).alias("x"), (F.col("cy") + b).alias("y")) for a, b in ((0, 0), (4, 0), (4, 4), (0, 0))])
@@ -96,6 +113,28 @@ def combined_features(spark, d):
     return nuclei.unionByName(cells)
 
 
+@query(
+    "with e as (select event_type as slide, case when event_id % 2 = 0 then 'before' else 'after' end as state, value * case when event_id % 2 = 0 then 2 else 1 end as d, event_id // 2 % 100 as x, event_id // 200 as y, value as a, value + case when event_id % 2 = 0 then user_id else 0 end as b from events), "
+    "w as (select slide, state, d from e where d <= 50), r as (select slide, state, quantile_cont(d, 0.5) as p50, quantile_cont(d, 0.9) as p90, count(*) as n from w group by 1, 2), "
+    "z as (select slide, state, max(x) + 1 as w, max(y) + 1 as h from e group by 1, 2), c as (select slide, state, corr(a, b) as correlation from e join z using (slide, state) where x >= floor(w * 0.15) and x < w - floor(w * 0.15) and y >= floor(h * 0.15) and y < h - floor(h * 0.15) group by 1, 2), "
+    "j as (select * from r join c using (slide, state)) select slide, "
+    + ", ".join(f"round(max({c}) filter (state = '{s}'), 6) as {c}_{s}" for s in ("before", "after") for c in ("p50", "p90", "correlation")) + ", " + ", ".join(f"max(n) filter (state = '{s}') as n_{s}" for s in ("before", "after"))
+    + ", round(max(p50) filter (state = 'before') - max(p50) filter (state = 'after'), 6) as improvement from j group by 1"
+)
+def registration_benchmark(spark, d):
+    k = F.col("event_id")
+    e = table(spark, d, "events").select(F.col("event_type").alias("slide"), F.when(k % 2 == 0, "before").otherwise("after").alias("state"), (F.col("value") * F.when(k % 2 == 0, 2).otherwise(1)).alias("distance"), (F.floor(k / 2) % 100).alias("x"), F.floor(k / 200).alias("y"), F.col("value").alias("a"), (F.col("value") + F.when(k % 2 == 0, F.col("user_id")).otherwise(0)).alias("b"))
+    out = registration.before_after(e, e, "slide")
+    return out.withColumns({c: F.round(c, 6) for c in out.columns if c != "slide" and not c.startswith("n_")})
+
+
+@query("with px as (select event_id % 100 as x, event_id // 100 as y, value as v, event_type as channel from events), f as (select channel, x % 10 as px, y % 10 as py, avg(v) / 100 as flat, min(v) as dark from px group by 1, 2, 3) select channel, x, y, round(case when channel in ('click', 'view') then coalesce(least(greatest((v - dark) / flat, 0), 255), v) else v end, 4) as v from px left join f using (channel) where px = x % 10 and py = y % 10")
+def corrected_channels(spark, d):
+    px = table(spark, d, "events").select(F.col("event_type").alias("channel"), (F.col("event_id") % 100).alias("x"), F.floor(F.col("event_id") / 100).alias("y"), F.col("value").alias("v"))
+    profiles = px.groupBy("channel", (F.col("x") % 10).alias("px"), (F.col("y") % 10).alias("py")).agg((F.avg("v") / 100).alias("flat"), F.min("v").alias("dark"))
+    return raster.corrected_channels(px, profiles, raster.correctable(["click", "view"], ["DAPI"]), 10, 255.0).withColumn("v", F.round("v", 4))
+
+
 def _controls(spark, d):
     e = table(spark, d, "embeddings").where("vec_id < 400")
     v = lambda i: F.get("embedding", F.lit(i)).cast("double")

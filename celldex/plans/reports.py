@@ -80,7 +80,25 @@ def wide_markers(spark, d):
     return out.select("label", F.round("AUTOMOBILE", 4).alias("automobile"), F.round("FURNITURE", 4).alias("furniture"))
 
 
-@query(None)
+_NAMED = "'{\"name\":\"%s\",\"value\":' || cast(%s as varchar) || '}'"
+_MEASURED = " || ',' || ".join(_NAMED % (n, v) for n, v in (("label", "c_custkey::double"), ("Centroid X µm", "round_even((c_acctbal + 0.5) * 0.5e0, 3)"), ("Centroid Y µm", "round_even((c_nationkey * 10e0 + 0.5) * 0.5e0, 3)"), ("CD3", "round_even(c_acctbal, 4)")))
+
+
+@query(f"""select c_custkey as label, '{{"type":"Feature","id":"' || c_custkey || '","geometry":{{"type":"Point","coordinates":[' || cast(c_acctbal as varchar) || ',' || cast(c_nationkey * 10e0 as varchar) || ']}},"properties":{{"objectType":"detection","measurements":[' || {_MEASURED} || ']}}}}' as feature from customer""")
 def geojson_features(spark, d):
     c = table(spark, d, "customer").select(F.col("c_custkey").alias("label"), F.col("c_acctbal").alias("cx"), (F.col("c_nationkey") * 10.0).alias("cy"), F.col("c_acctbal").alias("CD3"), F.lit(None).cast("double").alias("CD8"))
     return export.features(c, "label", "cx", "cy", ["CD3", "CD8"], 0.5)
+
+
+_SHAPED = ", ".join(f"{{'name': '{n}', 'value': {v}}}" for n, v in (("label", "p_partkey::double"), ("Centroid X µm", "round_even((p_size + 0.5) * 0.5e0, 3)"), ("Centroid Y µm", "round_even((p_size * 2 + 0.5) * 0.5e0, 3)"), ("CD3", "round_even(p_retailprice, 4)"), ("Area µm²", "round_even(p_size * 0.25e0, 3)"), ("Eccentricity", "0.5e0"), ("Perimeter µm", "case when p_partkey % 3 > 0 then p_size * 0.5e0 end"), ("Solidity", "0.75e0"), ("Convex Area µm²", "p_size * 0.5e0"), ("Major Axis Length µm", "p_size * 0.25e0"), ("Minor Axis Length µm", "p_size * 0.125e0")))
+
+
+@query(f"with m as (select p_partkey, unnest([{_SHAPED}]) as m from part) select p_partkey, m.name as name, m.value as value from m where m.value is not null")
+def cell_measurements(spark, d):
+    n = F.col("p_size")
+    c = table(spark, d, "part").select(
+        "p_partkey", n.alias("x"), (n * 2).alias("y"), F.col("p_retailprice").alias("CD3"), n.alias("area"), F.lit(0.5).alias("eccentricity"), F.when(F.col("p_partkey") % 3 > 0, n.cast("double")).otherwise(float("nan")).alias("perimeter"),
+        F.lit(0.75).alias("solidity"), (n * 2).alias("convex_area"), (n * 0.5).alias("axis_major_length"), (n * 0.25).alias("axis_minor_length"),
+    )
+    m = export.measurements(F.col("p_partkey"), F.col("x"), F.col("y"), ["CD3"], 0.5, ["area", *export.SHAPES])
+    return c.select("p_partkey", F.inline(m))

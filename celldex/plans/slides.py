@@ -145,6 +145,32 @@ def channel_colors(spark, d):
     return table(spark, d, "part").select("p_partkey", c["r"].alias("r"), c["g"].alias("g"), c["b"].alias("b"), F.array_join(names, "|").alias("names"))
 
 
+_KNOWN = ", ".join(f"('{k.upper()}', {r}, {g}, {b})" for k, (r, g, b) in scalars.MARKER_COLORS.items())
+
+
+@query(
+    f"with k(name, r, g, b) as (values {_KNOWN}), c as (select p_partkey, ['DAPI', 'cd45', 'CD3', 'CD1', 'Foxp3', 'segmentation', 'X'][p_partkey % 7 + 1] as marker, p_partkey % 40 as i from part), h as (select *, (i * 0.618033988749895e0) % 1.0e0 * 6 as h, 0.7e0 + (i % 3) * 0.1e0 as s, 0.85e0 + (i % 2) * 0.1e0 as v from c), x as (select *, floor(h)::integer as f, v * (1 - s) as p, v * (1 - s * (h - floor(h))) as q, v * (1 - s * (1 - (h - floor(h)))) as t from h) "
+    "select p_partkey, coalesce(k.r, floor(([v, q, p, p, t, v])[f + 1] * 255)::integer) as r, coalesce(k.g, floor(([t, v, v, q, p, p])[f + 1] * 255)::integer) as g, coalesce(k.b, floor(([p, p, t, v, v, q])[f + 1] * 255)::integer) as b from x left join k on k.name = upper(marker)"
+)
+def marker_colors(spark, d):
+    k = F.col("p_partkey")
+    name = F.element_at(F.array(*[F.lit(n) for n in ("DAPI", "cd45", "CD3", "CD1", "Foxp3", "segmentation", "X")]), (k % 7 + 1).cast("int"))
+    return table(spark, d, "part").select(k, F.inline(F.array(scalars.marker_color(name, k % 40))))
+
+
+@query("""select event_id, case when event_id % 3 = 0 then '{"k": NaN, "v": [' || user_id || ', NaN]}' when event_id % 3 = 1 then '{"a": {"b": NaN}}' end as clean, '/out/csv/' || event_type || '.csv' as checkpoint from events""")
+def cleaned_documents(spark, d):
+    k = F.col("event_id")
+    text = F.when(k % 3 == 0, F.format_string('{"k":null,"v":[%d,null]}', "user_id")).when(k % 3 == 1, '{"a":{"b":null}}').otherwise("not one")
+    return table(spark, d, "events").select("event_id", scalars.clean_document(text).alias("clean"), scalars.checkpoint_path(F.lit("/out/"), F.col("event_type")).alias("checkpoint"))
+
+
+@query("select o_orderpriority as process, o_orderstatus as tool, cast(year(o_orderdate::date) as varchar) as version from orders group by all")
+def unique_versions(spark, d):
+    o = table(spark, d, "orders")
+    return o.select(F.col("o_orderpriority").alias("process"), F.col("o_orderstatus").alias("tool"), F.year(F.col("o_orderdate").cast("date")).cast("string").alias("version")).distinct()
+
+
 @query(
     "with p as (select p_partkey, p_partkey + 100 as h, p_size * 37 + 50 as w from part) select p_partkey, case when h * w <= 9000 then 1 else (select min(f) from range(1, 200) t(f) where ceil(h / f::double) * ceil(w / f::double) <= 9000)::integer end as blocks, greatest(ceil(greatest(h, w) / 512.0), 1)::integer as decimation, cast(greatest(floor(greatest(floor(65536 / (w * 4)), 3) / 3) * 3, 3) as bigint) as band from p"
 )

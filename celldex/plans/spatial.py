@@ -45,7 +45,17 @@ def perimeter(spark, d):
     return geometry.perimeter(_pixels(spark, d)).withColumn("perimeter", F.round("perimeter", 6))
 
 
-@query(None)
+# Doubled, so that halves are whole, and moved by 2000, so that quotients round one way.
+_HULL = (
+    _PX + ", rows as (select label, y, min(x) as low, max(x) as high, count(distinct x) as n from px where label is not null group by 1, 2), "
+    "r as (select label, 2 * high + 1 + 2000 as x, 2 * y as y from rows union all select label, 2 * high + 2000, 2 * y + unnest([-1, 1]) from rows), l as (select label, 2 * low - 1 + 2000 as x, 2 * y as y from rows union all select label, 2 * low + 2000, 2 * y + unnest([-1, 1]) from rows), "
+    "ys as (select label, unnest(range(min(y), max(y) + 1)) as y from rows group by 1), "
+    "hi as (select ys.label, ys.y, max(case when u.y = v.y then u.x // 2 else (u.x * (v.y - 2 * ys.y) + v.x * (2 * ys.y - u.y)) // (2 * (v.y - u.y)) end) as x from ys join r u on u.label = ys.label and u.y <= 2 * ys.y join r v on v.label = ys.label and v.y >= 2 * ys.y group by 1, 2), "
+    "lo as (select ys.label, ys.y, min(case when u.y = v.y then (u.x + 1) // 2 else (u.x * (v.y - 2 * ys.y) + v.x * (2 * ys.y - u.y) + 2 * (v.y - u.y) - 1) // (2 * (v.y - u.y)) end) as x from ys join l u on u.label = ys.label and u.y <= 2 * ys.y join l v on v.label = ys.label and v.y >= 2 * ys.y group by 1, 2)"
+)
+
+
+@query(_HULL + " select label, a.area, c.convex_area, a.area / c.convex_area::double as solidity from (select label, sum(n)::bigint as area from rows group by 1) a join (select label, sum(hi.x - lo.x + 1)::bigint as convex_area from hi join lo using (label, y) group by 1) c using (label)")
 def convex_area(spark, d):
     return geometry.convex_area(_pixels(spark, d))
 
