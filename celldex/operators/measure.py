@@ -9,14 +9,17 @@ from pyspark.sql import functions as F
 def compartments(pixels: DataFrame, label: str, value: str, nucleus: Column) -> DataFrame:
     """Mean, exact median and sum of value by label, for the cell, its nucleus and the rest of it.
 
-    An empty compartment has NULL mean and median, and sum 0.  Label NULL is background and left out.
+    An empty compartment has NULL mean and median, and sum 0.  Label NULL is background and left out.  Labels are
+    cells: a task holds and sorts the values of one at a time, which is quicker than counting different ones.
     """
     inside = {"cell": F.lit(True), "nucleus": nucleus, "cytoplasm": ~nucleus}
-    out = []
+    out, shown = [], [F.col("label")]
     for name, where in inside.items():
-        v = F.when(where, F.col(value))
-        out += [F.avg(v).alias(f"{name}_mean"), F.median(v).alias(f"{name}_median"), F.coalesce(F.sum(v), F.lit(0.0)).alias(f"{name}_sum")]
-    return pixels.where(F.col(label).isNotNull()).groupBy(F.col(label).alias("label")).agg(*out)
+        v, each = F.when(where, F.col(value)), F.col(f"_{name}")
+        out += [F.avg(v).alias(f"{name}_mean"), F.coalesce(F.sum(v), F.lit(0.0)).alias(f"{name}_sum"), F.sort_array(F.collect_list(v)).alias(f"_{name}")]
+        low, high = (F.get(each, F.floor((F.size(each) - k) / 2).cast("int")).cast("double") for k in (1, 0))
+        shown += [F.col(f"{name}_mean"), ((low + high) / 2).alias(f"{name}_median"), F.col(f"{name}_sum")]
+    return pixels.where(F.col(label).isNotNull()).groupBy(F.col(label).alias("label")).agg(*out).select(*shown)
 
 
 def zscore(rows: DataFrame, group: str, value: str) -> DataFrame:

@@ -15,18 +15,24 @@ def _pixels(spark, d):
 
 
 _PX = "px as (select event_type as label, event_id % 100 as x, event_id // 100 as y, value as v from events)"
-_FOVS = "y as (select iy, 14 * iy + least(iy, 3) as y0, 14 + cast(iy < 3 as integer) as h from range(7) t(iy)), x as (select ix, 20 * ix as x0, 20 as w from range(5) t(ix)), g as (select iy * 5 + ix as index, iy, ix, y0, x0, h, w, 15 as pad_h, 20 as pad_w from y, x)"
+_FOVS = "z as (select max(event_id) // 100 + 1 as z from events), y as (select iy, z // 7 * iy + least(iy, z % 7) as y0, z // 7 + cast(iy < z % 7 as integer) as h from z, range(7) t(iy)), x as (select ix, 20 * ix as x0, 20 as w from range(5) t(ix)), g as (select iy * 5 + ix as index, iy, ix, y0, x0, h, w from y, x)"
+
+
+def _height(spark, d) -> int:
+    """Rows of the plane of events: one number of one aggregate."""
+    return table(spark, d, "events").agg(F.max("event_id")).head()[0] // 100 + 1
 
 
 @query(f"with {_PX}, {_FOVS} select index, px.y - y0 as y, px.x - x0 as x, v from px join g on px.y >= y0 and px.y < y0 + h and px.x >= x0 and px.x < x0 + w")
 def fov_pixels(spark, d):
-    return raster.split_fovs(_pixels(spark, d), 101, 100, 7, 5)
+    return raster.split_fovs(_pixels(spark, d), _height(spark, d), 100, 7, 5)
 
 
-@query(f"with {_PX} select x, y, v from px where y < 101")
+@query(f"with {_PX} select x, y, v from px")
 def fov_round_trip(spark, d):
-    fields = raster.split_fovs(_pixels(spark, d).where("y < 101"), 101, 100, 7, 5)
-    grid = raster.fov_grid(spark, 101, 100, 7, 5)
+    height = _height(spark, d)
+    fields = raster.split_fovs(_pixels(spark, d), height, 100, 7, 5)
+    grid = raster.fov_grid(spark, height, 100, 7, 5)
     return raster.join_fovs(raster.padded_fovs(fields, grid), grid)
 
 
@@ -136,13 +142,13 @@ def corrected_channels(spark, d):
 
 
 def _controls(spark, d):
-    e = table(spark, d, "embeddings").where("vec_id < 400")
+    e = table(spark, d, "embeddings")
     v = lambda i: F.get("embedding", F.lit(i)).cast("double")
     error = F.when(F.col("vec_id") % 11 == 0, F.lit(float("nan"))).when(F.col("vec_id") % 7 != 0, F.abs(v(2)))
     return e.select((F.col("vec_id") % 20).alias("ix"), F.floor(F.col("vec_id") / 20).alias("iy"), (F.col("vec_id") % 20 * 100.0).alias("cx"), (F.floor(F.col("vec_id") / 20) * 100.0).alias("cy"), (v(0) * 10).alias("dx"), (v(1) * 10).alias("dy"), F.hypot(v(0) * 10, v(1) * 10).alias("tre"), error.alias("error"))
 
 
-_CTRL = "c as (select vec_id % 20 as ix, vec_id // 20 as iy, embedding[1]::double * 10 as dx, embedding[2]::double * 10 as dy, case when vec_id % 11 = 0 then 'nan'::double when vec_id % 7 <> 0 then abs(embedding[3]::double) end as error from embeddings where vec_id < 400), w as (select *, sqrt(dx * dx + dy * dy) as tre, case when sqrt(dx * dx + dy * dy) >= 3 then 'disp' when error is not null and not (error <= 0.25) then 'error' end as why from c)"
+_CTRL = "c as (select vec_id % 20 as ix, vec_id // 20 as iy, embedding[1]::double * 10 as dx, embedding[2]::double * 10 as dy, case when vec_id % 11 = 0 then 'nan'::double when vec_id % 7 <> 0 then abs(embedding[3]::double) end as error from embeddings), w as (select *, sqrt(dx * dx + dy * dy) as tre, case when sqrt(dx * dx + dy * dy) >= 3 then 'disp' when error is not null and not (error <= 0.25) then 'error' end as why from c)"
 
 
 @query(f"with {_CTRL}, g as (select ix, iy, why is null as ok, case when why is null and tre >= 1 then dx else 0 end as dx, case when why is null and tre >= 1 then dy else 0 end as dy from w), m as (select a.ix, a.iy, median(b.dx) as dx, median(b.dy) as dy from g a join g b on abs(a.ix - b.ix) <= 1 and abs(a.iy - b.iy) <= 1 and b.ok group by 1, 2) select g.ix, g.iy, g.ix * 100e0 as cx, g.iy * 100e0 as cy, round(case when ok then m.dx else 0 end, 6) as dx, round(case when ok then m.dy else 0 end, 6) as dy from g left join m using (ix, iy)")
