@@ -20,7 +20,9 @@ range of hashes, of about `PER_PART` shingles each.  Longer lists aren't expande
 2. In each long list, every class is compared with one leader, the class that meets most classes in all
    its lists, so one near the middle of its group.  That links nearly all copies of a text, and gives
    each class x its difference D from the leader: the shingles it has more, then those it lacks.
-3. Classes in one list that aren't linked through the leader may still link with each other.  As
+3. Classes in one list that aren't linked through the leader may still link with each other.  Where a
+   leader has no more such classes than a difference has shingles to be looked up, each of them is paired
+   with all the leader's classes, which is cheaper, and pairs go by the bound on the overlap.  Else, as
    |x ^ y| = |Dx ^ Dy|, and |x ^ y| <= n (100 - T) / T, they must share some of the first shingles of
    their differences (or have differences so small that none need be shared); those are joined, with
    a bound by position, and compared exactly.  Pairs of which both are linked to the leader are in one
@@ -298,8 +300,13 @@ def ngram_join(docs: DataFrame, percent: int = PERCENT, frequent: int = FREQUENT
         compared = written(_compared(stars, items, percent, True), "compared")
 
     apart = F.floor(F.col("n") * (100 - percent) / percent).cast("int")
-    open_at = compared.where("not link").select("b").distinct()
-    near = compared.join(open_at, "b").withColumn("most", apart)
+    open_at = compared.groupBy("b").agg(F.count_if(~F.col("link")).alias("open"), F.max(apart).alias("reach")).where("open > 0")
+    near = written(compared.join(open_at, "b").withColumn("most", apart), "near")
+    few = near.where("open <= reach + 1")
+    other = few.select("b", F.col("a").alias("y"), "link")
+    few = few.where("not link").select("b", F.col("a").alias("x")).join(other, "b").where((F.col("link") & (F.col("x") != F.col("y"))) | (F.col("x") < F.col("y")))
+    few = written(_bounded(few.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), named, percent), "few")
+    near = near.where("open > reach + 1")
     # The mark 0 stands for differences that are small enough to share nothing.
     small = F.when(F.col("apart") <= F.col("most"), F.array(F.lit(0).cast("long"))).otherwise(F.array().cast("array<long>"))
     tokens = written(near.select("a", "b", "link", "apart", "most", F.posexplode(F.concat(small, "diff")).alias("at", "token"), F.size(small).alias("shift")), "differences")
@@ -310,7 +317,7 @@ def ngram_join(docs: DataFrame, percent: int = PERCENT, frequent: int = FREQUENT
     pairs = x.join(y, ["b", "token"]).where((F.col("link") & (F.col("x") != F.col("y"))) | (F.col("x") < F.col("y"))).where(2 * shared >= F.col("xn") + F.col("yn") - most)
     pairs = written(pairs.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "pairs")
     with small_batches(spark):
-        more = written(_compared(pairs.unionAll(direct), items, percent, False), "compared")
+        more = written(_compared(pairs.unionAll(direct).unionAll(few).distinct(), items, percent, False), "compared")
 
     links = compared.where("link").select("a", "b").unionAll(more.where("link").select("a", "b"))
     found = written(components(links, written).withColumnRenamed("node", "h1"), "linked")
