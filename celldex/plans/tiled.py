@@ -74,18 +74,18 @@ def _layers(spark, d) -> planes.Planes:
 _TURN = np.array([[1.004, 0.006, 3.3], [-0.006, 1.004, -2.4], [0, 0, 1]])
 
 
-def _bend(height: int) -> registration.Mesh:
-    xs, ys = np.linspace(0, WIDTH - 1, 4), np.linspace(0, height - 1, max(2, height // 32))
-    return registration.Mesh(xs, ys, np.stack([np.broadcast_to(1.2 * np.sin(xs / 60), (len(ys), 4)), np.broadcast_to(1.2 * np.cos(ys / 60)[:, None], (len(ys), 4))], -1))
+def _bend(side: int) -> registration.Mesh:
+    at = np.linspace(0, side - 1, max(2, side // 32))
+    return registration.Mesh(at, at, np.stack(np.broadcast_arrays(1.2 * np.sin(at / side / 0.6)[None], 1.2 * np.cos(at / side / 0.6)[:, None]), -1))
 
 
-@query(f"with {_PX} select ix::integer as ix, iy::integer as iy, true as near from range(4) a(ix) cross join (select unnest(range((h + 31) // 32)) as iy from h) b")
+@query("with s as (select ceil(sqrt(max(event_id) + 1))::bigint as side from events), t as (select unnest(range((side + 31) // 32)) as i from s) select a.i::integer as ix, b.i::integer as iy, true as near from t a, t b")
 def registered(spark, d):
-    """The plane of events, moved by a known transform and mesh, brought back: rows are tiles of the reference and whether they are within half a pixel."""
-    height = _height(spark, d)
-    reference, bend = _layers(spark, d), _bend(_height(spark, d))
-    known = {0: (_TURN, bend)}
-    found = tile_registration.register(reference, tile_registration.warped_planes(reference, known, height, WIDTH), halo=16, gate=0.1)
+    """Events as a square plane, moved by a known transform and mesh, brought back: rows are tiles of the reference and whether they are within half a pixel."""
+    side = int(np.ceil(np.sqrt(table(spark, d, "events").agg(F.max("event_id")).head()[0] + 1)))
+    square = table(spark, d, "events").select(F.lit(0).alias("plane"), (F.col("event_id") % side).alias("x"), F.floor(F.col("event_id") / side).alias("y"), F.col("value").alias("v"))
+    reference, bend = planes.packed(square, side, side, TILE, kind="<f8"), _bend(side)
+    found = tile_registration.register(reference, tile_registration.warped_planes(reference, {0: (_TURN, bend)}, side, side), halo=16, gate=0.1)
     m, mesh = found.moves[0]
     at = found.steps["mesh"].select("ix", "iy", "cx", "cy").toPandas().sort_values(["iy", "ix"])  # a row a tile
     q = at[["cx", "cy"]].to_numpy()

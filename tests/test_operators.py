@@ -62,7 +62,7 @@ def test_features(spark):
     rows = spark.createDataFrame([(7, 2.0, 4.0, 1.23456, float("nan"))], "label long, cx double, cy double, A double, B double")
     got = json.loads(export.features(rows, "label", "cx", "cy", ["A", "B"], 0.5).head()["feature"])
     assert got["geometry"] == {"type": "Point", "coordinates": [2.0, 4.0]} and got["id"] == "7"
-    assert {m["name"]: m["value"] for m in got["properties"]["measurements"]} == {"Label": 7.0, "Centroid X µm": 1.0, "Centroid Y µm": 2.0, "A": 1.2346}
+    assert {m["name"]: m["value"] for m in got["properties"]["measurements"]} == {"label": 7.0, "Centroid X µm": 1.25, "Centroid Y µm": 2.25, "A": 1.2346}
 
 
 def test_pair_by_signature(spark):
