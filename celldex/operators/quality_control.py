@@ -27,8 +27,15 @@ def stage_summary(pairs: DataFrame, stage: str, iou: str, distance: str, area_a:
     return by.join(quantiles(pairs.select(stage, d.alias("d")), stage, "d", {f"d_p{q}": q / 100 for q in (10, 50, 90)}), stage)
 
 
-def tile_report(tiles: DataFrame, slide: str, accepted: Column, error: str) -> DataFrame:
-    """By slide: accepted and rejected tiles, and the spread of the accepted ones' errors (NULL where there is none)."""
+def tile_report(tiles: DataFrame, slide: str, accepted: Column, error: str, shifted: Column | None = None) -> DataFrame:
+    """By slide: accepted and rejected tiles, and the spread of the accepted ones' errors (NULL where there is none).
+
+    With `shifted` (whether a tile's node of the mesh moves anything): mesh_refined, whether any accepted tile's does.
+    """
+    if shifted is not None:
+        out = tile_report(tiles, slide, accepted, error)
+        mesh = tiles.groupBy(F.col(slide).alias("_slide")).agg(F.coalesce(F.bool_or(F.coalesce(accepted & shifted, F.lit(False))), F.lit(False)).alias("mesh_refined"))
+        return out.join(mesh, F.col(slide).eqNullSafe(F.col("_slide"))).drop("_slide")
     e = F.when(F.coalesce(accepted, F.lit(False)) & finite(F.col(error)), F.col(error))
     ok = F.coalesce(accepted, F.lit(False))
     by = tiles.groupBy(slide).agg(F.count_if(ok).alias("n_accepted"), F.count_if(~ok).alias("n_rejected"), F.avg(e).alias("mean"), F.max(e).alias("worst"))

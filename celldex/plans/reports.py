@@ -23,6 +23,21 @@ def tile_report(spark, d):
     return quality_control.tile_report(table(spark, d, "lineitem"), "l_linenumber", F.col("l_tax") < 0.04, "l_quantity").withColumn("mean", F.round("mean", 6))
 
 
+@query("select l_suppkey, count_if(l_tax < 0.04)::bigint as n_accepted, count_if(not l_tax < 0.04)::bigint as n_rejected, coalesce(bool_or(l_tax < 0.04 and l_discount = 0.1 and l_quantity > 30), false) as mesh_refined, quantile_cont(l_quantity, 0.9) filter (l_tax < 0.04) as p90 from lineitem group by 1")
+def mesh_report(spark, d):
+    moved = (F.col("l_discount") == 0.1) & (F.col("l_quantity") > 30)
+    return quality_control.tile_report(table(spark, d, "lineitem"), "l_suppkey", F.col("l_tax") < 0.04, "l_quantity", moved).select("l_suppkey", "n_accepted", "n_rejected", "mesh_refined", "p90")
+
+
+@query("with s as (select o_custkey as slide, array_to_string(list_sort([lower(x) for x in list(distinct o_orderpriority)]), '|') as sig from orders group by 1), u as (select sig, min(slide) as slide from s group by 1 having count(*) = 1) select 's' || slide as slide, 'f' || slide as file from u")
+def paired_by_signature(spark, d):
+    s = table(spark, d, "orders").groupBy("o_custkey").agg(F.collect_set("o_orderpriority").alias("channels"))
+    one = s.groupBy(manifest.signature(F.col("channels")).alias("sig")).agg(F.count("*").alias("n"), F.min("o_custkey").alias("o_custkey")).where("n = 1").select("o_custkey")
+    some = s.join(one, "o_custkey")
+    named = lambda p: some.select(F.concat(F.lit(p), "o_custkey").alias("name"), "channels")
+    return manifest.pair_by_signature(named("s"), named("f"))
+
+
 @query("with h as (select l_returnflag as g, cast(l_quantity as bigint) as bin, count(*) as n from lineitem group by 1, 2), w as (select g, bin, sum(n) over (partition by g order by bin) as low, sum(n * bin) over (partition by g order by bin) as ls, sum(n) over (partition by g) as al, sum(n * bin) over (partition by g) as s from h), v as (select g, bin, (al - low)::double / al::double as share, round(coalesce(low::double * (al - low)::double * power(ls::double / low::double - (s - ls)::double / nullif(al - low, 0)::double, 2), 0), 3) as score from w) select g as l_returnflag, arg_max(bin, {'s': score, 'm': -bin}) as cut, round(arg_max(share, {'s': score, 'm': -bin}), 6) as share from v group by 1")
 def otsu_cut(spark, d):
     return quality_control.otsu(table(spark, d, "lineitem"), "l_returnflag", "l_quantity", 64).withColumn("share", F.round("share", 6))

@@ -40,6 +40,46 @@ def unknown_columns(df: DataFrame, known: list[str]) -> list[str]:
     return [c for c in df.columns if c not in known and c != "row"]
 
 
+def tagged_sheets(spark: SparkSession, path: str, suffix: str, separator: str = ",") -> DataFrame:
+    """`sheet` of many files of one header, such as a plan for each slide, with `source`: the file's name less the suffix, and the row within it."""
+    df = spark.read.options(header=True, sep=separator, quote='"', escape='"', ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True).csv(path)
+    name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]*)$", 1)
+    cells = [F.trim(F.col(f"`{c}`")).alias(c.lstrip("\ufeff").strip()) for c in df.columns]
+    rows = df.select(F.regexp_replace(name, F.lit(suffix.replace(".", r"\.") + "$"), F.lit("")).alias("source"), *cells, F.monotonically_increasing_id().alias("_id"))
+    rows = rows.where(F.concat_ws("", *[F.col(f"`{c}`") for c in rows.columns[1:-1]]) != "")
+    return rows.withColumn("row", F.row_number().over(Window.partitionBy("source").orderBy("_id")).cast("long")).drop("_id")  # a file is a sheet
+
+
+def keyed_documents(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """key, text of JSON documents, one a file: by their field of that name, else the file's name less its ending; unreadable ones are left out.
+
+    Of several of one key, the last file's.
+    """
+    name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]*)$", 1)
+    raw = spark.read.text(path, wholetext=True).select(name.alias("file"), F.col("value").alias("text"))
+    known = raw.where(F.get_json_object("text", "$").isNotNull())
+    of = F.coalesce(F.nullif(F.get_json_object("text", f"$.{key}"), F.lit("")), F.regexp_replace("file", r"\.[^.]*$", ""))
+    return known.groupBy(of.alias("key")).agg(F.max_by("text", "file").alias("text"))
+
+
+def texts(spark: SparkSession, path: str) -> DataFrame:
+    """name, text of files, as they are."""
+    return spark.read.text(path, wholetext=True).select(F.regexp_extract(F.col("_metadata.file_path"), r"([^/]*)$", 1).alias("name"), F.col("value").alias("text"))
+
+
+def write_size_log(parts: DataFrame, path: str) -> None:
+    """Size logs put together as one CSV table with the log's header; rows are a line a file of a run, so they fit one part."""
+    with_columns(parts, SIZE_LOG).select(*SIZE_LOG).orderBy("process", "sample_id", "filename").coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+
+
+def write_summary(summary: DataFrame, path: str) -> None:
+    """One row as one JSON document; an error unless there is one row."""
+    rows = summary.limit(2).count()
+    if rows != 1:
+        raise ValueError("a summary is one row")
+    summary.coalesce(1).write.mode("overwrite").option("ignoreNullFields", False).json(path)
+
+
 def with_columns(df: DataFrame, required: list[str]) -> DataFrame:
     """df; an error that names the required columns it lacks."""
     lacks = [c for c in required if c not in df.columns]

@@ -118,3 +118,25 @@ def test_documents_and_colours(spark):
     assert got == ['{"a": NaN, "b": [NaN, 1, {"c": NaN}]}', None, None]
     names = spark.createDataFrame([("cd4", 0), ("CD45", 1), ("CD1", 0)], "n string, i int")
     assert [tuple(x["c"]) for x in names.select(scalars.marker_color(F.col("n"), F.col("i")).alias("c")).collect()][:2] == [(0, 255, 255), (0, 255, 0)]
+
+
+def test_sheets_of_many_files_and_writers(spark, tmp_path):
+    from celldex.sources import sheets
+
+    for name, text in (("s1_plan.csv", "ix,iy\n0,0\n\n 1 ,0\n"), ("s2_plan.csv", "ix,iy\n5,6\n")):
+        (tmp_path / name).write_text(text)
+    got = sheets.tagged_sheets(spark, str(tmp_path / "*_plan.csv"), "_plan.csv").collect()
+    assert sorted((r["source"], r["row"], r["ix"], r["iy"]) for r in got) == [("s1", 1, "0", "0"), ("s1", 2, "1", "0"), ("s2", 1, "5", "6")]
+    docs = tmp_path / "docs"
+    docs.mkdir()
+    for name, text in (("a.json", '{"moving":"m1","v":1}'), ("b.json", '{"moving":"m1","v":2}'), ("c.json", '{"v":3}'), ("d.json", "{broken")):
+        (docs / name).write_text(text)
+    assert {r["key"]: json.loads(r["text"])["v"] for r in sheets.keyed_documents(spark, str(docs), "moving").collect()} == {"m1": 2, "c": 3}
+    assert {r["name"] for r in sheets.texts(spark, str(docs)).collect()} == {"a.json", "b.json", "c.json", "d.json"}
+    log = spark.createDataFrame([("p", "s", "b", 2), ("p", "s", "a", 1)], "process string, sample_id string, filename string, bytes long")
+    sheets.write_size_log(log.repartition(2), str(tmp_path / "log"))
+    assert next((tmp_path / "log").glob("part-*.csv")).read_text().split() == ["process,sample_id,filename,bytes", "p,s,a,1", "p,s,b,2"]
+    sheets.write_summary(log.agg(F.sum("bytes").alias("bytes"), F.lit(None).cast("string").alias("note")), str(tmp_path / "sum"))
+    assert json.loads(next((tmp_path / "sum").glob("part-*.json")).read_text()) == {"bytes": 3, "note": None}
+    with pytest.raises(ValueError, match="one row"):
+        sheets.write_summary(log, str(tmp_path / "no"))
