@@ -2,9 +2,24 @@
 
 from __future__ import annotations
 
+import math
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.tables import shared_dir
+
+#: Places that the cells of the first round of `nearest_within` should hold at most, and its most rounds.
+FEW, MOST_ROUNDS = 8, 16
+
+
+def _kept(df: DataFrame, what: str) -> DataFrame:
+    """df as a table in the shared folder: lineage ends there."""
+    path = f"{shared_dir(df.sparkSession)}/celldex/{what}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
 
 def overlap_argmax(rows: DataFrame, key: str, other: str) -> DataFrame:
     """Each key's other label of most rows, the smallest of equals, and how many rows."""
@@ -13,14 +28,19 @@ def overlap_argmax(rows: DataFrame, key: str, other: str) -> DataFrame:
     return n.groupBy(key).agg(best.alias("best")).select(key, (-F.col("best.minus")).alias(other), F.col("best.n").alias("n"))
 
 
+def real(points: DataFrame) -> DataFrame:
+    """The points (x, y) that have both coordinates."""
+    return points.where("x is not null and y is not null and not isnan(x) and not isnan(y)")
+
+
 def within(a: DataFrame, b: DataFrame, radius: float) -> DataFrame:
     """Pairs of points (id, x, y) at most radius apart, by an equi-join of grid cells: a, b, d2.
 
     Each point of b is in its own cell; each of a looks into the nine around its own.  Points with a
-    NULL or NaN coordinate pair with nothing, and a radius of 0 or less pairs nothing.
+    NULL or NaN coordinate pair with nothing, and a radius of 0 or less pairs nothing.  All pairs are rows:
+    where points are dense they are many times the points.
     """
-    real = lambda df: df.where("x is not null and y is not null and not isnan(x) and not isnan(y)")
-    cell = lambda c: F.floor(F.col(c) / F.lit(max(radius, 1e-300))).cast("long")
+    cell = lambda c: F.floor(F.col(c) / F.lit(max(radius, 1e-300) * (1 + 1e-6))).cast("long")
     near = F.sequence(F.lit(-1), F.lit(1))
     left = real(a).select(F.col("id").alias("a"), F.col("x").alias("ax"), F.col("y").alias("ay"), cell("x").alias("cx"), cell("y").alias("cy"))
     left = left.withColumn("dx", F.explode(near)).withColumn("dy", F.explode(near)).withColumns({"cx": F.col("cx") + F.col("dx"), "cy": F.col("cy") + F.col("dy")})
@@ -35,15 +55,34 @@ def _nearest(pairs: DataFrame, key: str, other: str) -> DataFrame:
 
 
 def nearest_within(a: DataFrame, b: DataFrame, radius: float) -> DataFrame:
-    """Each point of a that has one in reach: its nearest of b, by distance and then id."""
-    return _nearest(within(a, b, radius), "a", "b")
+    """Each point of a that has one in reach: its nearest of b, by distance and then id.
+
+    Points of b in one place are one, that of the least id.  Where many are within the radius, a shorter reach is tried first:
+    whoever finds one there has found the nearest, and only the others look twice as far.  So pairs grow with the points, not
+    with their density.  How many rounds that takes is read from the fullest cell of b.
+    """
+    if not radius > 0:
+        return _nearest(within(a, b, radius), "a", "b")
+    places = real(b).groupBy("x", "y").agg(F.min("id").alias("id"))
+    at = [F.floor(F.col(c) / radius).alias(f"c{c}") for c in "xy"]
+    fullest = places.groupBy(*at).count().agg(F.max("count")).head()[0] or 0
+    rounds = min(MOST_ROUNDS, max(0, math.ceil(math.log2(max(fullest, 1) / FEW))))
+    left, found = real(a).select("id", "x", "y"), None
+    if rounds:
+        left, places = _kept(left, "left"), _kept(places, "places")
+    for k in range(rounds, -1, -1):
+        near = _nearest(within(left, places, radius / 2**k), "a", "b")
+        if k:
+            near = _kept(near, "near")
+            left = _kept(left.join(near.select(F.col("a").alias("id")), "id", "left_anti"), "left")
+        found = near if found is None else found.unionByName(near)
+    return found
 
 
 def mutual_nearest(a: DataFrame, b: DataFrame, radius: float) -> DataFrame:
     """Pairs of which each is the other's nearest in reach."""
-    pairs = within(a, b, radius)
-    back = _nearest(pairs, "b", "a").select("a", "b")
-    return _nearest(pairs, "a", "b").join(back, ["a", "b"])
+    back = nearest_within(b, a, radius).select(F.col("b").alias("a"), F.col("a").alias("b"))
+    return nearest_within(a, b, radius).join(back, ["a", "b"])
 
 
 def residuals_by_slide(points: DataFrame, cells: DataFrame, radius: float, slides: list[str]) -> DataFrame:
@@ -71,7 +110,7 @@ def resolve_join(flow: DataFrame, cells: DataFrame, pixel: float, radius: float,
     """b, a of every cell (a: its row of flow, NULL without one), and of all: method, matched, cells, match_fraction.
 
     By label if flow has one, else by centroid, else an error.  An error, when it runs, if less than `least` of
-    the cells find a row.  The totals are one row beside the cells; nothing runs while the plan is built.
+    the cells find a row.  The totals are one row beside the cells.
     """
     if "label" in flow.columns:
         pairs, how = by_label(flow, cells), "label"
