@@ -111,9 +111,7 @@ _PAIRS = "a as (select c_custkey as a, c_acctbal as x, cast(c_nationkey * 10 as
 
 @query(f"with recursive {_PAIRS}, e as (select a, b from p union select b, a from p), r(node, reach) as (select a, a from e union select r.node, e.b from r join e on e.a = r.reach) select node, min(reach) as component from r group by 1")
 def spatial_components(spark, d):
-    from ..operators.pairing import within
-
-    return matching.components(within(*_points(spark, d), 30.0).select((F.col("a") * 2).alias("a"), (F.col("b") * 2 + 1).alias("b")))
+    return matching.linked(*_points(spark, d), 30.0)
 
 
 @query(None)

@@ -3,7 +3,9 @@
 import math
 import random
 
-from celldex.operators import pairing
+import pytest
+
+from celldex.operators import matching, pairing
 
 
 def crowd(n, seed, spread):
@@ -45,3 +47,49 @@ def test_nearest_of_crowds(spark, monkeypatch):
     mutual = {(r["a"], r["b"]) for r in pairing.mutual_nearest(frame(spark, a), frame(spark, b), 9.0).collect()}
     assert mutual == {(i, j) for i, (_, j) in near.items() if back[j][1] == i}
     assert pairing.nearest_within(frame(spark, a), frame(spark, []), 9.0).isEmpty() and pairing.nearest_within(frame(spark, a), frame(spark, b), 0.0).isEmpty()
+
+
+def plain_components(pairs):
+    top = {}
+
+    def find(x):
+        while top.setdefault(x, x) != x:
+            x = top[x]
+        return x
+
+    for _, i, j in pairs:
+        p, q = find(2 * i), find(2 * j + 1)
+        top[max(p, q)] = min(p, q)
+    return {x: find(x) for x in list(top)}
+
+
+@pytest.mark.parametrize(("seed", "spread", "radius"), [(5, 60, 3.0), (6, 300, 6.0), (7, 12, 0.4)])
+def test_components_of_crowds(spark, seed, spread, radius):
+    a, b = crowd(400, seed, spread), crowd(300, seed + 50, spread)
+    got = {r["node"]: r["component"] for r in matching.linked(frame(spark, a), frame(spark, b), radius).collect()}
+    assert got == plain_components(plain_pairs(a, b, radius))
+    assert matching.linked(frame(spark, a), frame(spark, []), radius).isEmpty() and matching.linked(frame(spark, a), frame(spark, b), 0.0).isEmpty()
+
+
+def test_cells_that_only_a_few_places_link(spark):
+    """Two crowds whose first places are apart, and one pair of places that is in reach."""
+    a = [(i, 0.01 * i, 0.0) for i in range(40)] + [(50 + i, 2.0 + 0.01 * i, 0.1) for i in range(3)]
+    b = [(i, 0.01 * i, 0.05) for i in range(40)] + [(50 + i, 2.0 + 0.01 * i, 0.1) for i in range(3)]
+    for radius in (1.6, 1.61, 1.612, 1.65, 1.9):
+        got = {r["node"]: r["component"] for r in matching.linked(frame(spark, a), frame(spark, b), radius).collect()}
+        assert got == plain_components(plain_pairs(a, b, radius))
+
+
+def test_large_components_take_no_table_of_pairs(spark, monkeypatch):
+    a, b = [(i, i * 1e-4, 0.0) for i in range(900)], [(i, i * 1e-4, 1e-5) for i in range(800)]
+    seen = counted(monkeypatch, matching)
+    got = matching.best_matches(frame(spark, a), frame(spark, b), 5.0, most=1000).collect()
+    assert sum(seen) == 0 and {(r["a"], r["b"], r["exact"]) for r in got} == {(i, i, False) for i in range(800)}
+
+
+def test_small_components_share_batches(spark):
+    """Stars take the nearest; others the best assignment, whichever batch they come in."""
+    a = [(10 * k + i, 100.0 * k + i, 0.0) for k in range(60) for i in range(1 + k % 3)]
+    b = [(10 * k + i, 100.0 * k + i + 0.25, 0.0) for k in range(60) for i in range(1 + k % 2)]
+    got = {r["a"]: r["b"] for r in matching.best_matches(frame(spark, a), frame(spark, b), 2.0).collect()}
+    assert got == {10 * k + i: 10 * k + i for k in range(60) for i in range(min(1 + k % 3, 1 + k % 2))}
