@@ -26,8 +26,9 @@ def dense_labels(rows: DataFrame, label: str) -> DataFrame:
     place = F.row_number().over(Window.partitionBy("_range").orderBy("_old"))
     new = cut.withColumn("_at", place).join(F.broadcast(sizes.select("_range", before.alias("_before"))), "_range").select("_old", (F.col("_at") + F.col("_before")).alias("label"))
     out = rows.withColumnRenamed(label, "_was") if label == "label" else rows.withColumn("_was", F.col(label))
-    out = out.join(new, F.col("_was") == F.col("_old"), "left").drop("_old")
-    return out.withColumn("label", F.coalesce("label", F.when(F.col("_was") == 0, F.lit(0)))).drop("_was")
+    named = out.where("_was <> 0").join(new, F.col("_was") == F.col("_old")).drop("_old")
+    rest = out.where("not coalesce(_was <> 0, false)").withColumn("label", F.when(F.col("_was") == 0, F.lit(0)))  # not joined, so background is no hot key
+    return named.unionByName(rest).drop("_was")
 
 
 def agreement(a: DataFrame, a_key: str, b: DataFrame, b_key: str) -> DataFrame:

@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from celldex.operators import matching, pairing
+from celldex.operators import manifest, matching, pairing
 
 
 def crowd(n, seed, spread):
@@ -93,3 +93,10 @@ def test_small_components_share_batches(spark):
     b = [(10 * k + i, 100.0 * k + i + 0.25, 0.0) for k in range(60) for i in range(1 + k % 2)]
     got = {r["a"]: r["b"] for r in matching.best_matches(frame(spark, a), frame(spark, b), 2.0).collect()}
     assert got == {10 * k + i: 10 * k + i for k in range(60) for i in range(min(1 + k % 3, 1 + k % 2))}
+
+
+def test_dense_labels_leave_background_out_of_the_join(spark):
+    rows = spark.createDataFrame([(0, i) for i in range(50)] + [(None, 50), (7, 51), (-3, 52), (7, 53)], "label long, k long")
+    out = manifest.dense_labels(rows, "label")
+    assert {r["k"]: r["label"] for r in out.collect()} == {i: 0 for i in range(50)} | {50: None, 51: 2, 52: 1, 53: 2}
+    assert "Union" in out._jdf.queryExecution().optimizedPlan().toString()
