@@ -298,9 +298,18 @@ def downsample_factor(height: Column, width: Column, most: int) -> Column:
     """The least whole factor by which a plane's blocks are `most` at most; 1 where `most` is 0."""
     if not most:
         return F.lit(1)
-    low = F.greatest(F.floor(F.sqrt(F.floor(height * width / most))), F.lit(1)).cast("int")
-    blocks = lambda f: F.ceil(height / f) * F.ceil(width / f)
-    return F.when(height * width <= most, 1).otherwise(F.element_at(F.filter(F.sequence(low, low + 3), lambda f: blocks(f) <= most), 1))
+    h, w = height.cast("long"), width.cast("long")
+    low = F.greatest(F.floor(F.sqrt(F.floor(h * w / most))), F.lit(1)).cast("long")
+    # A factor of (h / f + 1) * (w / f + 1) <= most is enough, and so is the longest side; blocks never grow with the factor, so halves lead to the least.
+    enough = F.floor(((h + w) + F.sqrt((h + w).cast("double") * (h + w) + F.lit(4.0 * (most - 1)) * h * w)) / (2 * (most - 1))) + 1 if most > 1 else F.greatest(h, w)
+    high = F.greatest(F.least(enough.cast("long"), F.greatest(h, w)), low)
+    blocks = lambda f: F.ceil(h / f) * F.ceil(w / f)
+    middle = lambda s: F.floor((s["low"] + s["high"]) / 2)
+    halves = F.sequence(F.lit(0), F.ceil(F.log2(high - low + 1)).cast("int"))
+    step = lambda s, _: F.when(blocks(middle(s)) <= most, F.struct(s["low"].alias("low"), middle(s).alias("high"))).otherwise(F.struct((middle(s) + 1).alias("low"), s["high"].alias("high")))
+    once = lambda s, i: F.when(s["low"] < s["high"], step(s, i)).otherwise(s)
+    least = F.aggregate(halves, F.struct(low.alias("low"), high.alias("high")), once)["high"]
+    return F.when(h * w <= most, 1).otherwise(least.cast("int"))
 
 
 def decimation_factor(longest: Column, most: int) -> Column:

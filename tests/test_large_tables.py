@@ -4,10 +4,22 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from celldex.functions import scalars
 from celldex.operators import manifest, matching, pairing
 
 
+def test_downsample_factor_of_narrow_planes(spark):
+    sizes = [(120_100, 87), (100, 87), (7, 90_001), (9000, 1), (1, 1), (5_000_000, 2), (450, 1900)]
+    rows = spark.createDataFrame(sizes, "h long, w int").select("h", "w", *[scalars.downsample_factor(F.col("h"), F.col("w"), most).alias(f"f{most}") for most in (9000, 7, 1)])
+    for r in rows.collect():
+        for most in (9000, 7, 1):
+            f = r[f"f{most}"]
+            blocks = lambda f: -(-r["h"] // f) * -(-r["w"] // f)  # noqa: B023, E731
+            assert blocks(f) <= most and (f == 1 or blocks(f - 1) > most)
+
+
 def crowd(n, seed, spread):
     """Points, many in one place, some alone, one without a coordinate."""
     r = random.Random(seed)
