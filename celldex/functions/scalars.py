@@ -7,7 +7,7 @@ import json
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, DataType, DoubleType, StringType, StructType
 
 
 def nan_to_null(value: Column) -> Column:
@@ -321,3 +321,28 @@ def band_rows(width: Column, factor: int, size: int = 64 << 20) -> Column:
     """Rows of 4-byte pixels that fit a band's bytes, a multiple of factor and no less than it."""
     rows = F.greatest(F.floor(F.lit(size) / (F.greatest(width, F.lit(1)) * 4)), F.lit(factor))
     return F.greatest(F.floor(rows / factor) * factor, F.lit(factor)).cast("long")
+
+
+def number_text(value: Column) -> Column:
+    """A double as JSON writers show it: plain from 0.0001 up to 1e16, where Spark has an exponent from 1e7 and below 0.001."""
+    text, size = value.cast("string"), F.abs(value)
+    places = F.regexp_replace(F.when((size >= 1e-4) & (size < 1e16), text).cast("decimal(38,21)").cast("string"), "0+$", "")
+    plain = F.when(F.endswith(places, F.lit(".")), F.concat(places, F.lit("0"))).otherwise(places)
+    power = F.regexp_extract(text, r"E(-?\d+)$", 1)
+    sign, digits = F.when(F.startswith(power, F.lit("-")), "e-").otherwise("e+"), F.regexp_replace(power, "-", "")
+    far = F.concat(F.regexp_extract(text, r"^(.*?)(?:\.0)?E", 1), sign, F.when(F.length(digits) < 2, "0").otherwise(""), digits)
+    return F.when((size == 0) | ((size >= 1e-3) & (size < 1e7)), text).when((size >= 1e-4) & (size < 1e16), plain).otherwise(far)
+
+
+def json_text(value: Column, kind: DataType) -> Column:
+    """JSON of a column of this type as `to_json` has it, with NULL fields left out, but its doubles as `number_text`."""
+    if isinstance(kind, StructType):
+        fields = [F.concat(F.lit(json.dumps(f.name, ensure_ascii=False) + ":"), json_text(value[f.name], f.dataType)) for f in kind]
+        return F.when(value.isNotNull(), F.concat(F.lit("{"), F.concat_ws(",", *fields), F.lit("}")))
+    if isinstance(kind, ArrayType):
+        return F.concat(F.lit("["), F.array_join(F.transform(value, lambda v: json_text(v, kind.elementType)), ",", "null"), F.lit("]"))
+    quoted_ = F.to_json(F.array(value))
+    other = F.when(value.isNotNull(), F.substr(quoted_, F.lit(2), F.length(quoted_) - 2))
+    if isinstance(kind, DoubleType):
+        return F.when(~F.isnan(value) & (F.abs(value) < float("inf")), number_text(value)).otherwise(other)
+    return other

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import centre_to_corner
+from ..functions.scalars import centre_to_corner, json_text
 from .shapes import contours, feature_text, write_collection
 
 
@@ -42,7 +42,8 @@ def features(cells: DataFrame, label: str, cx: str, cy: str, markers: list[str],
     """label, feature: a GeoJSON point feature for each cell, as JSON text, made row by row in place."""
     shape = F.struct(F.lit("Point").alias("type"), F.array(F.col(cx).cast("double"), F.col(cy).cast("double")).alias("coordinates"))
     props = F.struct(F.lit("detection").alias("objectType"), measurements(F.col(label), F.col(cx), F.col(cy), markers, pixel).alias("measurements"))
-    return cells.select(label, F.to_json(F.struct(F.lit("Feature").alias("type"), F.col(label).cast("string").alias("id"), shape.alias("geometry"), props.alias("properties"))).alias("feature"))
+    one = F.struct(F.lit("Feature").alias("type"), F.col(label).cast("string").alias("id"), shape.alias("geometry"), props.alias("properties"))
+    return cells.select(label, json_text(one, cells.select(one.alias("f")).schema["f"].dataType).alias("feature"))
 
 
 def write_features(cells: DataFrame, path: str) -> None:

@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalars import json_text
+
 RINGS = "array<array<struct<x: double, y: double>>>"
 
 
@@ -87,7 +89,8 @@ def mask_features(pixels: DataFrame, tolerance: float = 1.0) -> DataFrame:
     """label, feature (GeoJSON text) of labels' outlines from pixel centres, as registration takes them."""
     ring = contours(pixels, tolerance, corner=0.0)
     shape = F.struct(F.lit("Polygon").alias("type"), F.array(F.transform("ring", lambda p: F.array(p["x"], p["y"]))).alias("coordinates"))
-    return ring.select("label", F.to_json(F.struct(F.lit("Feature").alias("type"), F.col("label").cast("string").alias("id"), shape.alias("geometry"))).alias("feature"))
+    one = F.struct(F.lit("Feature").alias("type"), F.col("label").cast("string").alias("id"), shape.alias("geometry"))
+    return ring.select("label", json_text(one, ring.select(one.alias("f")).schema["f"].dataType).alias("feature"))
 
 
 def polygons(features: DataFrame, geometry: str, feature: str) -> DataFrame:
@@ -166,7 +169,11 @@ def feature_text(cells: DataFrame, rings: DataFrame, label: str, cx: str, cy: st
     numbers = F.transform("ring", lambda p: F.array(p["x"], p["y"]))
     shape = lambda kind, c: F.struct(F.lit(kind).alias("type"), c.alias("coordinates"))
     head = [F.lit("Feature").alias("type"), F.col(label).cast("string").alias("id")]
-    as_text = lambda geometry: F.to_json(F.struct(*head, geometry.alias("geometry"), properties.alias("properties")))
+
+    def as_text(geometry: Column) -> Column:
+        one = F.struct(*head, geometry.alias("geometry"), properties.alias("properties"))
+        return json_text(one, rows.select(one.alias("f")).schema["f"].dataType)
+
     point = as_text(shape("Point", F.array(F.col(cx).cast("double"), F.col(cy).cast("double"))))
     return rows.select(label, F.when(F.size("ring") > 0, as_text(shape("Polygon", F.array(numbers)))).otherwise(point).alias("feature"))
 

@@ -1,5 +1,6 @@
 """Large keys, far coordinates, crowded places and hot labels: what once failed, differed or grew beyond the input."""
 
+import json
 import math
 import random
 
@@ -7,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from celldex.functions import scalars
-from celldex.operators import manifest, matching, pairing
+from celldex.operators import export, manifest, matching, pairing
 
 
 def test_downsample_factor_of_narrow_planes(spark):
@@ -20,6 +21,16 @@ def test_downsample_factor_of_narrow_planes(spark):
             assert blocks(f) <= most and (f == 1 or blocks(f - 1) > most)
 
 
+def test_json_numbers_are_plain(spark):
+    values = [0.0, -0.5, 1e7, 123456789.125, -9.87654321e15, 1e16, 1.5e300, 0.0012, 0.00012345, 1e-5, -2.5e-7, 1234.5678]
+    got = spark.createDataFrame([(v,) for v in values], "v double").select(F.col("v"), scalars.number_text(F.col("v")).alias("t")).collect()
+    assert [r["t"] for r in got] == [json.dumps(r["v"]) for r in got]
+    rows = spark.createDataFrame([(12_345_678, 2e7, 4.0, 1.23456, None)], "label long, cx double, cy double, `A \"x\"` double, B double")
+    text = export.features(rows, "label", "cx", "cy", ['A "x"', "B"], 0.5).head()["feature"]
+    assert '"value":12345678.0}' in text and '"coordinates":[20000000.0,4.0]' in text
+    assert [m["name"] for m in json.loads(text)["properties"]["measurements"]] == ["label", "Centroid X µm", "Centroid Y µm", 'A "x"']
+
+
 def crowd(n, seed, spread):
     """Points, many in one place, some alone, one without a coordinate."""
     r = random.Random(seed)
