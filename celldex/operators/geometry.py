@@ -123,18 +123,21 @@ def described(pixels: DataFrame) -> DataFrame:
 def ring_centroids(rings: DataFrame, feature: str, ring: str) -> DataFrame:
     """area, cx, cy by feature, from rings of structs x, y; holes (rings the other way round) subtract.
 
-    A feature without area has the mean of its corners as its centroid.
+    A feature without area has the mean of its corners as its centroid.  Products are of distances from a ring's
+    first corner, as those of coordinates lose the places of small rings that lie far out.
     """
-    n = F.size(ring)
-    at = lambda i: F.get(ring, F.pmod(i, n))
+    n, first = F.size(ring), F.get(ring, F.lit(0))
+    near = F.transform(ring, lambda p: F.struct((p["x"] - first["x"]).alias("x"), (p["y"] - first["y"]).alias("y")))
+    at = lambda i: F.get("_near", F.pmod(i, F.size("_near")))
     cross = lambda i: at(i)["x"] * at(i + 1)["y"] - at(i + 1)["x"] * at(i)["y"]
-    ids = F.sequence(F.lit(0), n - 1)
+    ids = F.sequence(F.lit(0), F.size("_near") - 1)
     total = lambda f: F.aggregate(ids, F.lit(0.0), lambda s, i: s + f(i))
-    one = rings.where(n > 0).select(
-        feature, n.alias("n"), total(cross).alias("a"),
+    one = rings.where(n > 0).select(feature, n.alias("n"), first["x"].alias("ox"), first["y"].alias("oy"), near.alias("_near")).select(
+        feature, "n", "ox", "oy", total(cross).alias("a"),
         total(lambda i: (at(i)["x"] + at(i + 1)["x"]) * cross(i)).alias("ax"), total(lambda i: (at(i)["y"] + at(i + 1)["y"]) * cross(i)).alias("ay"),
         total(lambda i: at(i)["x"]).alias("mx"), total(lambda i: at(i)["y"]).alias("my"),
     )
+    one = one.withColumns({"ax": F.col("ax") + 3 * F.col("a") * F.col("ox"), "ay": F.col("ay") + 3 * F.col("a") * F.col("oy"), "mx": F.col("mx") + F.col("n") * F.col("ox"), "my": F.col("my") + F.col("n") * F.col("oy")})
     by = one.groupBy(feature).agg(*[F.sum(c).alias(c) for c in ("n", "a", "ax", "ay", "mx", "my")])
     flat = F.abs(F.col("a")) < 1e-12
     centre = lambda s, m: F.when(flat, F.col(m) / F.col("n")).otherwise(F.col(s) / (3 * F.nullif(F.col("a"), F.lit(0.0))))

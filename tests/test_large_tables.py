@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from celldex.functions import scalars
-from celldex.operators import export, manifest, matching, pairing
+from celldex.operators import export, geometry, manifest, matching, pairing
 
 
 def test_downsample_factor_of_narrow_planes(spark):
@@ -31,6 +31,14 @@ def test_json_numbers_are_plain(spark):
     assert [m["name"] for m in json.loads(text)["properties"]["measurements"]] == ["label", "Centroid X µm", "Centroid Y µm", 'A "x"']
 
 
+def test_centroids_far_out(spark):
+    ring = lambda x, y, n: [{"x": float(x + a), "y": float(y + b)} for a, b in ((0, 0), (n, 0), (n, n), (0, n))]
+    rows = [(1, ring(360_000_000, 500, 5)), (2, ring(60_000_000, 90_000_000, 5)), (3, ring(50_000_000, 0, 9)), (3, ring(50_000_003, 3, 3)[::-1])]
+    got = {r["f"]: (r["area"], r["cx"], r["cy"]) for r in geometry.ring_centroids(spark.createDataFrame(rows, "f long, ring array<struct<x: double, y: double>>"), "f", "ring").collect()}
+    for f, want in ((1, (25, 360_000_002.5, 502.5)), (2, (25, 60_000_002.5, 90_000_002.5)), (3, (72, 50_000_004.5, 4.5))):
+        assert got[f] == pytest.approx(want, abs=2e-7)
+
+
 def crowd(n, seed, spread):
     """Points, many in one place, some alone, one without a coordinate."""
     r = random.Random(seed)
