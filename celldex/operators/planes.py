@@ -247,7 +247,7 @@ def area_closing(planes: Planes, area: int) -> Planes:
                 for off in (-1, 0, 1):
                     dy, dx = (1, off) if ey else (off, 1)
                     y, x = np.broadcast_arrays(np.arange(ys.start, ys.stop)[:, None], np.arange(xs.start, xs.stop)[None])
-                    p, q = v[y, x].ravel(), v[y + dy, x + dx].ravel()
+                    p, q = v[y, x].ravel().astype(np.int64), v[y + dy, x + dx].ravel().astype(np.int64)  # numbers of nodes are beyond 32 bits
                     ny, nx = key[1] + (y + dy > h).ravel() - (y + dy < 1).ravel(), key[2] + (x + dx > w).ravel() - (x + dx < 1).ravel()
                     ok = (p > 0) & (q > 0)
                     if ok.any():

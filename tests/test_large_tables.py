@@ -4,11 +4,12 @@ import json
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from celldex.functions import scalars
-from celldex.operators import export, geometry, manifest, matching, pairing
+from celldex.operators import export, geometry, manifest, matching, pairing, planes
 
 
 def test_downsample_factor_of_narrow_planes(spark):
@@ -21,6 +22,14 @@ def test_downsample_factor_of_narrow_planes(spark):
             assert blocks(f) <= most and (f == 1 or blocks(f - 1) > most)
 
 
+def test_area_closing_of_a_high_plane_number(spark):
+    a = np.random.default_rng(4).integers(0, 3, (20, 19))
+    rows = [(p, x, y, int(a[y, x])) for p in (0, 5000) for y in range(20) for x in range(19)]
+    got = planes.unpacked(planes.area_closing(planes.packed(spark.createDataFrame(rows, "plane long, x long, y long, v long"), 20, 19, 8), 9)).collect()
+    by = {p: {(r["x"], r["y"]): r["v"] for r in got if r["plane"] == p} for p in (0, 5000)}
+    assert len(by[0]) == 380 and by[0] == by[5000]
+
+
 def test_json_numbers_are_plain(spark):
     values = [0.0, -0.5, 1e7, 123456789.125, -9.87654321e15, 1e16, 1.5e300, 0.0012, 0.00012345, 1e-5, -2.5e-7, 1234.5678]
     got = spark.createDataFrame([(v,) for v in values], "v double").select(F.col("v"), scalars.number_text(F.col("v")).alias("t")).collect()
