@@ -114,25 +114,76 @@ def boxes(rings: DataFrame, feature: str) -> DataFrame:
     return ends.select(feature, "x0", "y0", "x1", "y1")
 
 
-def inside(ring: np.ndarray, height: int, width: int) -> np.ndarray:
-    """Which whole points (x, y) of a grid lie inside a ring, by crossings of rows."""
-    out = np.zeros((height, width), bool)
-    x0, y0 = ring.T
-    x1, y1 = np.roll(ring, -1, axis=0).T
-    for y in range(max(0, int(np.ceil(y0.min()))), min(height, int(np.floor(y0.max())) + 1)):
-        cross = (y0 <= y) != (y1 <= y)
-        at = np.sort(x0[cross] + (y - y0[cross]) * (x1[cross] - x0[cross]) / (y1[cross] - y0[cross]))
-        for a, b in zip(at[::2], at[1::2], strict=True):
-            out[y, max(0, int(np.ceil(a))) : max(0, int(np.floor(b)) + 1)] = True
+class Rings:
+    """The rings of a column (a list of rings a row) as flat arrays: x, y of corners, and of each its row, its ring and the corner after it."""
+
+    def __init__(self, column: pa.Array):
+        rings = column.flatten()
+        points = rings.flatten()
+        self.x, self.y = (points.field(c).to_numpy(zero_copy_only=False).astype(float) for c in "xy")
+        size = rings.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        self.many = column.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        self.ring = np.repeat(np.arange(len(size)), size)
+        self.row = np.repeat(np.repeat(np.arange(len(self.many)), self.many), size)
+        ends = np.cumsum(size)
+        self.after = np.arange(1, len(self.x) + 1)
+        self.after[ends[size > 0] - 1] = (ends - size)[size > 0]
+
+    def filled(self, e: np.ndarray, origin: np.ndarray, scale: int, base: np.ndarray, height: np.ndarray, width: np.ndarray, total: int) -> np.ndarray:
+        """Which whole points of rows' windows (their origin, size, and place among `total` points) lie inside any of their rings, by crossings of lines; e: the corners of these rows."""
+        row = self.row[e]
+        (x0, y0), (x1, y1) = (((self.x[c] - origin[0, row]) * scale, (self.y[c] - origin[1, row]) * scale) for c in (e, self.after[e]))
+        first = np.maximum(np.ceil(np.minimum(y0, y1)), 0).astype(np.int64)
+        n = np.maximum(np.minimum(np.ceil(np.maximum(y0, y1)).astype(np.int64), height[row]) - first, 0)  # lines that the side crosses
+        i = np.repeat(np.arange(len(e)), n)
+        line = np.repeat(first - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+        at = x0[i] + (line - y0[i]) * (x1[i] - x0[i]) / (y1[i] - y0[i])
+        order = np.lexsort((at, line, self.ring[e[i]]))
+        a, b, line, row = at[order][::2], at[order][1::2], line[order][::2], row[i[order]][::2]
+        start = np.clip(np.ceil(a).astype(np.int64), 0, width[row])
+        stop = np.clip(np.floor(b).astype(np.int64) + 1, 0, width[row])
+        some, at = stop > start, base[row] + line * width[row]
+        steps = np.bincount((at + start)[some], minlength=total + 1) - np.bincount((at + stop)[some], minlength=total + 1)
+        return np.cumsum(steps)[:total] > 0
+
+
+#: Window points that `pair_overlap` fills at once, unless one pair's window alone has more.
+POINTS = 1 << 20
+
+
+def overlaps(batch: pa.RecordBatch, scale: int, most: int) -> np.ndarray:
+    """iou of the rows of a batch with p, p_holes, q, q_holes (`pair_overlap`), NaN for none; windows of many rows are filled together."""
+    n = len(batch)
+    rings = {k: Rings(batch.column(k)) for k in ("p", "p_holes", "q", "q_holes")}
+    low, high, ok = np.full((2, n), np.inf), np.full((2, n), -np.inf), (rings["p"].many > 0) & (rings["q"].many > 0)
+    for r in rings.values():
+        np.logical_and.at(ok, r.row, np.isfinite(r.x) & np.isfinite(r.y))
+        for i, v in enumerate((r.x, r.y)):
+            np.fmin.at(low[i], r.row, v)
+            np.fmax.at(high[i], r.row, v)
+    with np.errstate(invalid="ignore", over="ignore"):
+        size = np.ceil((high - low) * scale) + 2
+        ok &= np.isfinite(size).all(0) & (size[0] * size[1] <= most)
+    width, height = np.where(ok, size, 0).astype(np.int64)
+    out, upto = np.full(n, np.nan), np.cumsum(width * height)
+    done = 0
+    while done < n:
+        taken = upto[done - 1] if done else 0
+        end = max(done + 1, int(np.searchsorted(upto, taken + POINTS, side="right")))
+        base, total = upto - width * height - taken, int(upto[end - 1] - taken)
+        masks = {}
+        for k, r in rings.items():
+            e = np.arange(*np.searchsorted(r.row, (done, end)))  # rows ascend
+            masks[k] = r.filled(e[ok[r.row[e]]], low - 1.0 / scale, scale, base, height, width, total)
+        m, k = (masks["p"] & ~masks["p_holes"]), (masks["q"] & ~masks["q_holes"])
+        rows = np.arange(done, end)[ok[done:end]]
+        if len(rows):
+            both, either = (np.add.reduceat(v.astype(np.int64), base[rows]) for v in (m & k, m | k))
+            out[rows[either > 0]] = both[either > 0] / either[either > 0]
+        done = end
     return out
 
 
-def raster(outer: list[np.ndarray], holes: list[np.ndarray], origin: np.ndarray, shape: tuple[int, int], scale: float) -> np.ndarray:
-    """A feature's grid points in a window: of any outer ring, and of no hole."""
-    fill = lambda rings: np.any([inside((r - origin) * scale, *shape) for r in rings], axis=0) if rings else np.zeros(shape, bool)
-    return fill(outer) & ~fill(holes)
-
-
 def pair_overlap(pairs: DataFrame, a: DataFrame, b: DataFrame, scale: int = 2, most: int = 4_000_000) -> DataFrame:
     """pairs (a, b) with iou: common over all grid points of two features, `scale` a pixel in a window of their own.
 
@@ -143,19 +194,8 @@ def pair_overlap(pairs: DataFrame, a: DataFrame, b: DataFrame, scale: int = 2, m
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for row in batch.to_pylist():
-                rings = {k: [np.array([(p["x"], p["y"]) for p in r], float) for r in row[k]] for k in ("p", "p_holes", "q", "q_holes")}
-                every = np.concatenate([r for k in rings.values() for r in k] or [np.full((1, 2), np.nan)])
-                iou = None
-                if np.isfinite(every).all() and rings["p"] and rings["q"]:
-                    low = every.min(0)
-                    width, height = (np.ceil((every.max(0) - low) * scale) + 2).astype(int)
-                    if width * height <= most:
-                        m, n = (raster(rings[k], rings[f"{k}_holes"], low - 1.0 / scale, (height, width), scale) for k in "pq")
-                        iou = float((m & n).sum() / (m | n).sum()) if (m | n).any() else None
-                out.append(iou)
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(out, pa.float64())], ["a", "b", "iou"])
+            iou = overlaps(batch, scale, most)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(iou, pa.float64(), mask=np.isnan(iou))], ["a", "b", "iou"])
 
     ka, kb = (pairs.schema[c].dataType.simpleString() for c in "ab")
     rows = pairs.select("a", "b").join(of(a, "a", "p"), "a", "left").join(of(b, "b", "q"), "b", "left")

@@ -5,11 +5,12 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from celldex.functions import scalars
-from celldex.operators import export, geometry, manifest, matching, pairing, planes
+from celldex.operators import export, geometry, manifest, matching, pairing, planes, shapes
 
 
 def test_downsample_factor_of_narrow_planes(spark):
@@ -140,3 +141,35 @@ def test_dense_labels_leave_background_out_of_the_join(spark):
     out = manifest.dense_labels(rows, "label")
     assert {r["k"]: r["label"] for r in out.collect()} == {i: 0 for i in range(50)} | {50: None, 51: 2, 52: 1, 53: 2}
     assert "Union" in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def plain_overlap(row, scale=2):
+    def inside(ring, origin, height, width):
+        out, q = np.zeros((height, width), bool), (ring - origin) * scale
+        for y in range(height):
+            at = sorted(x0 + (y - y0) * (x1 - x0) / (y1 - y0) for (x0, y0), (x1, y1) in zip(q, np.roll(q, -1, axis=0), strict=True) if (y0 <= y) != (y1 <= y))
+            for s, e in zip(at[::2], at[1::2], strict=True):
+                out[y, max(0, math.ceil(s)) : max(0, math.floor(e) + 1)] = True
+        return out
+
+    rings = {k: [np.array([(p["x"], p["y"]) for p in r], float) for r in v] for k, v in row.items()}
+    every = np.concatenate([r for v in rings.values() for r in v] or [np.full((1, 2), np.nan)])
+    if not (rings["p"] and rings["q"]):
+        return np.nan
+    low = every.min(0)
+    width, height = (np.ceil((every.max(0) - low) * scale) + 2).astype(int)
+    of = lambda k: np.any([inside(r, low - 1 / scale, height, width) for r in rings[k]] or [np.zeros((height, width), bool)], axis=0)
+    m, n = of("p") & ~of("p_holes"), of("q") & ~of("q_holes")
+    return (m & n).sum() / (m | n).sum() if (m | n).any() else np.nan
+
+
+def test_overlaps_of_many_rows_at_once(monkeypatch):
+    r = np.random.default_rng(1)
+    ring = lambda: [{"x": float(x), "y": float(y)} for x, y in np.round(r.normal(0, 4, (r.integers(1, 9), 2)), r.integers(0, 3))]
+    rows = [{k: [ring() for _ in range(r.integers(0, most))] for k, most in (("p", 3), ("p_holes", 2), ("q", 3), ("q_holes", 2))} for _ in range(150)]
+    kind = pa.list_(pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())])))
+    batch = pa.RecordBatch.from_pylist(rows, pa.schema([(k, kind) for k in ("p", "p_holes", "q", "q_holes")]))
+    want = [plain_overlap(row) for row in rows]
+    for points in (1 << 20, 700):
+        monkeypatch.setattr(shapes, "POINTS", points)
+        np.testing.assert_array_equal(shapes.overlaps(batch, 2, 4_000_000), want)
