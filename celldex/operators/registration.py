@@ -6,10 +6,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .measure import quantiles
+from .pairing import _kept
 from .raster import median_filter
 
 SEPARATION = 4.0
@@ -80,13 +83,13 @@ def foreground(tiles: DataFrame, tile: str, value: str, bins: int = 256) -> Data
     return ends.select(tile).join(found, tile, "left").withColumn("fraction", F.coalesce("fraction", F.lit(0.0)))
 
 
-def _blurred(a: np.ndarray, sigma: float) -> np.ndarray:
-    """Gaussian blur, four deviations wide, the edges mirrored."""
+def _blurred(a: np.ndarray, sigma: float, axes: tuple[int, ...] = (0, 1)) -> np.ndarray:
+    """Gaussian blur along axes, four deviations wide, the edges mirrored."""
     reach = int(4 * sigma + 0.5)
     k = np.exp(-0.5 * (np.arange(-reach, reach + 1) / sigma) ** 2)
     k /= k.sum()
-    for axis in (0, 1):
-        pad = [(reach, reach) if i == axis else (0, 0) for i in (0, 1)]
+    for axis in axes:
+        pad = [(reach, reach) if i == axis else (0, 0) for i in range(a.ndim)]
         a = np.apply_along_axis(np.convolve, axis, np.pad(a, pad, mode="symmetric"), k, "valid")
     return a
 
@@ -99,23 +102,122 @@ def residual(ref: np.ndarray, mov: np.ndarray, upsample: int = 10, sigma: float
     """
     if ref.size == 0 or mov.size == 0:
         return 0.0, 0.0, 0.0, float("nan")
-    taper = np.outer(*[np.hanning(n + 1)[:-1] if n > 1 else np.ones(1) for n in ref.shape])
-    f, g = (np.fft.fft2((x - _blurred(x, sigma)) * taper) for x in (ref.astype(float), mov.astype(float)))
+    f, g = (np.fft.fft2((x - _blurred(x, sigma)) * np.outer(_taper(x.shape[0]), _taper(x.shape[1]))) for x in (ref.astype(float), mov.astype(float)))
     both = f * g.conj()
     h, w = ref.shape
-    fold = lambda at, n: at - n if at > n // 2 else at
     peak = np.unravel_index(np.abs(np.fft.ifft2(both)).argmax(), ref.shape)
-    y, x = fold(peak[0], h), fold(peak[1], w)
-    fine = np.arange(-1.5, 1.5 + 0.5 / upsample, 1 / upsample)
-    fy, fx = np.fft.fftfreq(h), np.fft.fftfreq(w)
-    near = np.exp(2j * np.pi * np.outer(np.round(y * upsample) / upsample + fine, fy)) @ both @ np.exp(2j * np.pi * np.outer(fx, np.round(x * upsample) / upsample + fine))
+    at, ey, ex = _around(peak, h, w, upsample)
+    return _refined(ey @ both @ ex, at, upsample, float((np.abs(f) ** 2).sum() * (np.abs(g) ** 2).sum()))
+
+
+def _taper(n: int) -> np.ndarray:
+    return np.hanning(n + 1)[:-1] if n > 1 else np.ones(1)
+
+
+def _fine(upsample: int) -> np.ndarray:
+    return np.arange(-1.5, 1.5 + 0.5 / upsample, 1 / upsample)
+
+
+def _around(peak: tuple[int, int], h: int, w: int, upsample: int) -> tuple[tuple[int, int], np.ndarray, np.ndarray]:
+    """The shift (y, x) of a peak, and what turns products of spectra into correlations around it: from the left and from the right."""
+    y, x = (int(v) - n if v > n // 2 else int(v) for v, n in zip(peak, (h, w), strict=True))
+    fine = _fine(upsample)
+    return (y, x), np.exp(2j * np.pi * np.outer(np.round(y * upsample) / upsample + fine, np.fft.fftfreq(h))), np.exp(2j * np.pi * np.outer(np.fft.fftfreq(w), np.round(x * upsample) / upsample + fine))
+
+
+def _refined(near: np.ndarray, at: tuple[int, int], upsample: int, power: float) -> tuple[float, float, float, float]:
     i, j = np.unravel_index(np.abs(near).argmax(), near.shape)
-    dy, dx = float(y + fine[i]), float(x + fine[j])
-    power = float((np.abs(f) ** 2).sum() * (np.abs(g) ** 2).sum())
+    fine = _fine(upsample)
+    dy, dx = float(at[0] + fine[i]), float(at[1] + fine[j])
     error = float(np.sqrt(abs(1 - np.abs(near[i, j]) ** 2 / power))) if power > 0 else float("nan")
     return dx, dy, float(np.hypot(dx, dy)), error
 
 
+#: Numbers of a plane that a strip of whole rows or columns holds, unless one row or column alone has more.
+STRIP = 1 << 18
+
+
+def strip_residuals(pixels: DataFrame, h: int, w: int, upsample: int = 10, sigma: float = 3.0) -> DataFrame:
+    """plane, dx, dy, tre, error: `residual` of large planes' pixels (plane, which: ref or mov, y, x, v), those that aren't there 0.
+
+    Blurs and Fourier transforms go along rows, then along columns; a task holds a strip of whole rows or columns, and
+    strips are cut into blocks to be put together the other way.
+    """
+    tall, wide = max(1, STRIP // w), max(1, STRIP // h)
+    block = "plane long, to int, of int, body binary"
+
+    def cut(plane: int, of: int, a: np.ndarray, axis: int) -> pa.Table:
+        """A strip's blocks along its axis, each for a strip the other way."""
+        size = wide if axis == 2 else tall
+        bodies = [np.ascontiguousarray(np.take(a, range(s, min(s + size, a.shape[axis])), axis)).tobytes() for s in range(0, a.shape[axis], size)]
+        n = len(bodies)
+        return pa.table([pa.array([plane] * n, pa.int64()), pa.array(range(n), pa.int32()), pa.array([of] * n, pa.int32()), pa.array(bodies, pa.binary())], names=["plane", "to", "of", "body"])
+
+    def put(rows: pa.Table, depth: int, kind: type, axis: int) -> tuple[int, int, np.ndarray]:
+        """plane, place and numbers of the strip that blocks along an axis make."""
+        plane, to = rows["plane"][0].as_py(), rows["to"][0].as_py()
+        shape = (depth, h, min(wide, w - to * wide)) if axis == 1 else (depth, min(tall, h - to * tall), w)
+        out, size = np.zeros(shape, kind), tall if axis == 1 else wide
+        for of, body in zip(rows["of"].to_pylist(), rows["body"].to_pylist(), strict=True):
+            part = (slice(None), slice(of * size, (of + 1) * size)) if axis == 1 else (slice(None), slice(None), slice(of * size, (of + 1) * size))
+            out[part] = np.frombuffer(body, kind).reshape(out[part].shape)
+        return plane, to, out
+
+    def rows_in(rows: pa.Table) -> pa.Table:
+        plane, of = rows["plane"][0].as_py(), rows["of"][0].as_py()
+        a = np.zeros((4, min(tall, h - of * tall), w))  # both planes, and both blurred along rows
+        a[pc.equal(rows["which"], "mov").to_numpy().astype(int), rows["y"].to_numpy() - of * tall, rows["x"].to_numpy()] = rows["v"].to_numpy()
+        a[2:] = _blurred(a[:2], sigma, (2,))
+        return cut(plane, of, a, 2)
+
+    def columns_in(rows: pa.Table) -> pa.Table:
+        plane, to, a = put(rows, 4, float, 1)
+        x = a[:2] - _blurred(a[2:], sigma, (1,))
+        return cut(plane, to, np.fft.fft(x * _taper(h)[:, None] * _taper(w)[to * wide : to * wide + x.shape[2]], axis=1), 1)
+
+    def spectra(rows: pa.Table) -> pa.Table:
+        plane, to, a = put(rows, 2, complex, 2)
+        f, g = np.fft.fft(a, axis=2)
+        power = [float((np.abs(v) ** 2).sum()) for v in (f, g)]
+        return pa.table([pa.array([plane], pa.int64()), pa.array([to], pa.int32()), pa.array([(f * g.conj()).tobytes()], pa.binary()), *(pa.array([p]) for p in power)], names=["plane", "of", "body", "f", "g"])
+
+    def rows_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for plane, of, body in zip(*(batch.column(c).to_pylist() for c in ("plane", "of", "body")), strict=True):
+                yield from cut(plane, of, np.fft.ifft(np.frombuffer(body, complex).reshape(1, -1, w), axis=2), 2).to_batches()
+
+    def peaks(rows: pa.Table) -> pa.Table:
+        plane, to, a = put(rows, 1, complex, 1)
+        a = np.abs(np.fft.ifft(a[0], axis=0))
+        y, x = np.unravel_index(a.argmax(), a.shape)
+        return pa.table({"plane": pa.array([plane], pa.int64()), "height": [float(a[y, x])], "y": pa.array([int(y)], pa.int64()), "x": pa.array([int(x) + to * wide], pa.int64())})
+
+    def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[tuple[int, int, int], list] = {}
+        for batch in batches:
+            for plane, of, body, f, g, y, x in zip(*(batch.column(c).to_pylist() for c in ("plane", "of", "body", "f", "g", "y", "x")), strict=True):
+                _, ey, ex = _around((y, x), h, w, upsample)
+                both = np.frombuffer(body, complex).reshape(-1, w)
+                old = sums.get((plane, y, x), [0, 0.0, 0.0])
+                sums[plane, y, x] = [old[0] + ey[:, of * tall : of * tall + len(both)] @ both @ ex, old[1] + f, old[2] + g]
+        for (plane, y, x), (near, f, g) in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([plane], pa.int64()), pa.array([y], pa.int64()), pa.array([x], pa.int64()), pa.array([near.tobytes()], pa.binary()), pa.array([f]), pa.array([g])], ["plane", "y", "x", "near", "f", "g"])
+
+    def measure(rows: pa.Table) -> pa.Table:
+        at, ey, _ = _around((rows["y"][0].as_py(), rows["x"][0].as_py()), h, w, upsample)
+        near = sum(np.frombuffer(b, complex) for b in rows["near"].to_pylist()).reshape(len(ey), -1)
+        dx, dy, tre, error = _refined(near, at, upsample, sum(rows["f"].to_pylist()) * sum(rows["g"].to_pylist()))
+        return pa.table({"plane": [rows["plane"][0].as_py()], "dx": [dx], "dy": [dy], "tre": [tre], "error": [error]})
+
+    strips = pixels.withColumn("of", F.floor(F.col("y") / tall).cast("int")).groupBy("plane", "of").applyInArrow(rows_in, block)
+    columns = strips.groupBy("plane", "to").applyInArrow(columns_in, block)
+    both = _kept(columns.groupBy("plane", "to").applyInArrow(spectra, "plane long, of int, body binary, f double, g double"), "spectra")
+    back = both.mapInArrow(rows_back, block).groupBy("plane", "to").applyInArrow(peaks, "plane long, height double, y long, x long")
+    peak = back.groupBy("plane").agg(F.max(F.struct("height", (-F.col("y")).alias("y"), (-F.col("x")).alias("x"))).alias("p")).select("plane", (-F.col("p.y")).alias("y"), (-F.col("p.x")).alias("x"))
+    parts = both.join(F.broadcast(peak), "plane").mapInArrow(close, "plane long, y long, x long, near binary, f double, g double")
+    return parts.groupBy("plane").applyInArrow(measure, "plane long, dx double, dy double, tre double, error double")
+
+
 def tile_residuals(tiles: DataFrame, upsample: int = 10) -> DataFrame:
     """tile, dx, dy, tre, error of tiles' pixels (tile, x, y, ref, mov); a task gets a tile at a time, whose size is fixed."""
 

@@ -16,7 +16,10 @@ from pyspark.sql import functions as F
 
 from .matching import _kept
 from .planes import KEYS, Planes, _tile, with_halo
-from .registration import Mesh, control_grid, fitted, moved, residual, source
+from .registration import Mesh, control_grid, fitted, moved, residual, source, strip_residuals
+
+#: Pixels of a thumbnail that a task holds whole.
+MOST_WHOLE = 1 << 20
 
 Moves = dict[int, tuple[np.ndarray, Mesh | None]]
 
@@ -105,7 +108,7 @@ def stacked(a: Planes, b: Planes) -> Planes:
 
 def coarse_anchor(reference: Planes, moving: Planes, most: int = 256) -> DataFrame:
     """plane, dx, dy, tre, error: the shift that brings the first layer of moving onto reference's, from planes decimated by block means
-    to `most` pixels a side; a task gets one slide's two thumbnails.
+    to `most` pixels a side; a task gets one slide's two thumbnails, or strips of them where they are large (`MOST_WHOLE` pixels).
     """
     high, wide = max(reference.height, moving.height), max(reference.width, moving.width)
     factor = -(-max(high, wide) // most)
@@ -134,6 +137,9 @@ def coarse_anchor(reference: Planes, moving: Planes, most: int = 256) -> DataFra
         return pa.table({"plane": [rows["plane"][0].as_py()], "dx": [dx * factor], "dy": [dy * factor], "tre": [tre * factor], "error": [error]})
 
     both = blocks(reference, "ref").unionByName(blocks(moving, "mov"))
+    h, w = -(-high // factor), -(-wide // factor)
+    if h * w > MOST_WHOLE:
+        return strip_residuals(both, h, w).select("plane", *[(F.col(c) * factor).alias(c) for c in ("dx", "dy", "tre")], "error")
     return both.groupBy("plane").applyInArrow(measure, "plane long, dx double, dy double, tre double, error double")
 
 

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from celldex.functions import scalars
-from celldex.operators import export, geometry, manifest, matching, pairing, planes, shapes
+from celldex.operators import export, geometry, manifest, matching, pairing, planes, registration, shapes, tile_registration
 
 
 def test_downsample_factor_of_narrow_planes(spark):
@@ -173,3 +173,18 @@ def test_overlaps_of_many_rows_at_once(monkeypatch):
     for points in (1 << 20, 700):
         monkeypatch.setattr(shapes, "POINTS", points)
         np.testing.assert_array_equal(shapes.overlaps(batch, 2, 4_000_000), want)
+
+
+@pytest.mark.parametrize(("h", "w"), [(70, 41), (37, 90)])
+def test_anchor_by_strips(spark, monkeypatch, h, w):
+    r = np.random.default_rng(h)
+    a = r.normal(0, 1, (2, h + 9, w + 9))
+    both = [(p, v[4 : 4 + h, 4 : 4 + w], v[4 + dy : 4 + dy + h, 4 + dx : 4 + dx + w] + r.normal(0, 0.1, (h, w))) for p, v, dy, dx in ((0, a[0], 3, -2), (7, a[1], -4, 5))]
+    rows = [(p, x, y, float(v[y, x])) for p, *vs in both for v in vs[:1] for y in range(h) for x in range(w)], [(p, x, y, float(v[y, x])) for p, *vs in both for v in vs[1:] for y in range(h) for x in range(w)]
+    ref, mov = (planes.packed(spark.createDataFrame(k, "plane long, x long, y long, v double"), h, w, 16, kind="<f8") for k in rows)
+    monkeypatch.setattr(registration, "STRIP", 300)
+    monkeypatch.setattr(tile_registration, "MOST_WHOLE", 10)
+    monkeypatch.setattr(registration, "residual", None)  # no task has a whole plane
+    got = {r["plane"]: (r["dx"], r["dy"], r["tre"], r["error"]) for r in tile_registration.coarse_anchor(ref, mov, 1000).collect()}
+    for p, one, two in both:
+        assert got[p] == pytest.approx(tile_registration.residual(one, two))
