@@ -323,6 +323,13 @@ def band_rows(width: Column, factor: int, size: int = 64 << 20) -> Column:
     return F.greatest(F.floor(rows / factor) * factor, F.lit(factor)).cast("long")
 
 
+def round_even(value: Column, places: int) -> Column:
+    """A double to so many places: scaled, to the nearest whole, halves to the even one, and back.  What has no double when scaled stays as it is."""
+    v, scale = value.cast("double"), F.lit(10.0**places)
+    out = F.rint(v * scale) / scale
+    return F.when(F.abs(out) == float("inf"), v).otherwise(out)
+
+
 def number_text(value: Column) -> Column:
     """A double as JSON writers show it: plain from 0.0001 up to 1e16, where Spark has an exponent from 1e7 and below 0.001."""
     text, size = value.cast("string"), F.abs(value)

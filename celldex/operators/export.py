@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import centre_to_corner, json_text
+from ..functions.scalars import centre_to_corner, json_text, round_even
 from .shapes import contours, feature_text, write_collection
 
 
@@ -31,10 +31,10 @@ def measurements(label: Column, cx: Column, cy: Column, markers: list[str], pixe
     """
     one = lambda name, value: F.struct(F.lit(name).alias("name"), value.cast("double").alias("value"))
     real = lambda c: F.nullif(F.col(f"`{c}`").cast("double"), F.lit(float("nan")))
-    known = [one("label", label), one("Centroid X µm", F.bround(centre_to_corner(cx) * pixel, 3)), one("Centroid Y µm", F.bround(centre_to_corner(cy) * pixel, 3))]
-    marks = [one(m, F.bround(real(m), 4)) for m in markers]
-    area = [one("Area µm²", F.bround(real("area") * pixel * pixel, 3))] if "area" in shapes else []
-    rest = [one(name, F.bround(real(c) * pixel**power, 4)) for c, (name, power) in SHAPES.items() if c in shapes]
+    known = [one("label", label), one("Centroid X µm", round_even(centre_to_corner(cx) * pixel, 3)), one("Centroid Y µm", round_even(centre_to_corner(cy) * pixel, 3))]
+    marks = [one(m, round_even(real(m), 4)) for m in markers]
+    area = [one("Area µm²", round_even(real("area") * pixel * pixel, 3))] if "area" in shapes else []
+    rest = [one(name, round_even(real(c) * pixel**power, 4)) for c, (name, power) in SHAPES.items() if c in shapes]
     return F.filter(F.array(*known, *marks, *area, *rest), lambda m: m["value"].isNotNull())
 
 

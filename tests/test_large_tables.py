@@ -41,6 +41,16 @@ def test_json_numbers_are_plain(spark):
     assert [m["name"] for m in json.loads(text)["properties"]["measurements"]] == ["label", "Centroid X µm", "Centroid Y µm", 'A "x"']
 
 
+def test_exported_values_round_as_doubles(spark):
+    """Halves by the scaled double, a sign that stays on zero, and values of which Spark's decimals have other last digits."""
+    values = [0.00015, 0.00025, -0.00005, -2e-6, 963351482145.6399, 411684586580.0687, 6654.29655, 1e305, float("inf"), -1234.5]
+    got = spark.createDataFrame([(v,) for v in values], "v double").select("v", scalars.round_even(F.col("v"), 4).alias("r")).collect()
+    assert [str(r["r"]) for r in got] == [str(v if abs(v) > 1e300 else float(np.rint(v * 1e4) / 1e4)) for v in values]
+    rows = spark.createDataFrame([(1, 2e-6, 963351482145.6399, -2e-6)], "label long, cx double, cy double, A double")
+    assert [m["value"] for m in json.loads(export.features(rows, "label", "cx", "cy", ["A"], 0.5).head()["feature"])["properties"]["measurements"]] == [1.0, 0.25, 481675741073.07, 0.0]
+    assert '"value":-0.0}' in export.features(rows, "label", "cx", "cy", ["A"], 0.5).head()["feature"]
+
+
 def test_centroids_far_out(spark):
     ring = lambda x, y, n: [{"x": float(x + a), "y": float(y + b)} for a, b in ((0, 0), (n, 0), (n, n), (0, n))]
     rows = [(1, ring(360_000_000, 500, 5)), (2, ring(60_000_000, 90_000_000, 5)), (3, ring(50_000_000, 0, 9)), (3, ring(50_000_003, 3, 3)[::-1])]
