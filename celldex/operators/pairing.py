@@ -21,6 +21,11 @@ def _kept(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def merged(df: DataFrame) -> DataFrame:
+    """df for a join by sorting, never by a copy that the driver collects and sends: a Parquet table of points is many times its files in memory."""
+    return df.hint("merge")
+
+
 def overlap_argmax(rows: DataFrame, key: str, other: str) -> DataFrame:
     """Each key's other label of most rows, the smallest of equals, and how many rows."""
     n = rows.where(F.col(key).isNotNull() & F.col(other).isNotNull()).groupBy(key, other).agg(F.count("*").alias("n"))
@@ -46,7 +51,7 @@ def within(a: DataFrame, b: DataFrame, radius: float) -> DataFrame:
     left = left.withColumn("dx", F.explode(near)).withColumn("dy", F.explode(near)).withColumns({"cx": F.col("cx") + F.col("dx"), "cy": F.col("cy") + F.col("dy")})
     right = real(b).select(F.col("id").alias("b"), F.col("x").alias("bx"), F.col("y").alias("by"), cell("x").alias("cx"), cell("y").alias("cy"))
     d2 = (F.col("ax") - F.col("bx")) * (F.col("ax") - F.col("bx")) + (F.col("ay") - F.col("by")) * (F.col("ay") - F.col("by"))
-    return left.join(right, ["cx", "cy"]).select("a", "b", d2.alias("d2")).where(F.col("d2") <= radius * radius).where(F.lit(radius > 0))
+    return left.join(merged(right), ["cx", "cy"]).select("a", "b", d2.alias("d2")).where(F.col("d2") <= radius * radius).where(F.lit(radius > 0))
 
 
 def _nearest(pairs: DataFrame, key: str, other: str) -> DataFrame:
@@ -74,7 +79,7 @@ def nearest_within(a: DataFrame, b: DataFrame, radius: float) -> DataFrame:
         near = _nearest(within(left, places, radius / 2**k), "a", "b")
         if k:
             near = _kept(near, "near")
-            left = _kept(left.join(near.select(F.col("a").alias("id")), "id", "left_anti"), "left")
+            left = _kept(left.join(merged(near.select(F.col("a").alias("id"))), "id", "left_anti"), "left")
         found = near if found is None else found.unionByName(near)
     return found
 
@@ -82,7 +87,7 @@ def nearest_within(a: DataFrame, b: DataFrame, radius: float) -> DataFrame:
 def mutual_nearest(a: DataFrame, b: DataFrame, radius: float) -> DataFrame:
     """Pairs of which each is the other's nearest in reach."""
     back = nearest_within(b, a, radius).select(F.col("b").alias("a"), F.col("a").alias("b"))
-    return nearest_within(a, b, radius).join(back, ["a", "b"])
+    return nearest_within(a, b, radius).join(merged(back), ["a", "b"])
 
 
 def residuals_by_slide(points: DataFrame, cells: DataFrame, radius: float, slides: list[str]) -> DataFrame:

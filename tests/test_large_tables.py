@@ -7,6 +7,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from celldex.functions import scalars
@@ -131,6 +132,22 @@ def test_cells_that_only_a_few_places_link(spark):
         assert got == plain_components(plain_pairs(a, b, radius))
 
 
+@pytest.fixture
+def plans(monkeypatch):
+    """Plans of all tables written meanwhile."""
+    seen, parquet = [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *args, **more: (seen.append(self._df._jdf.queryExecution().executedPlan().toString()), parquet(self, *args, **more))[1])
+    return seen
+
+
+def test_components_of_points_pass_no_table_through_the_driver(spark, plans):
+    a, b = crowd(60, 8, 20), crowd(50, 9, 20)
+    out = matching.linked(frame(spark, a), frame(spark, b), 4.0)
+    assert {r["node"]: r["component"] for r in out.collect()} == plain_components(plain_pairs(a, b, 4.0))
+    plans.append(out._jdf.queryExecution().executedPlan().toString())
+    assert len(plans) > 5 and not [p for p in plans if "Broadcast" in p]
+
+
 def test_large_components_take_no_table_of_pairs(spark, monkeypatch):
     a, b = [(i, i * 1e-4, 0.0) for i in range(900)], [(i, i * 1e-4, 1e-5) for i in range(800)]
     seen = counted(monkeypatch, matching)
