@@ -320,7 +320,7 @@ def ngram_join(docs: DataFrame, percent: int = PERCENT, frequent: int = FREQUENT
         more = written(_compared(pairs.unionAll(direct).unionAll(few).distinct(), items, percent, False), "compared")
 
     links = compared.where("link").select("a", "b").unionAll(more.where("link").select("a", "b"))
-    found = written(components(links, written, lambda df: df).withColumnRenamed("node", "h1"), "linked")
+    found = written(components(links, written, lambda df: df, 0).withColumnRenamed("node", "h1"), "linked")
     least = classes.join(found, "h1").groupBy("component").agg(F.min("rep").alias("least"))
     to = found.join(least, "component").select("h1", "least")
     of_class = written(classes.join(to, "h1", "left").select("h1", "h2", F.coalesce("least", "rep").alias("component")), "components")

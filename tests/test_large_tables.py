@@ -155,6 +155,33 @@ def test_large_components_take_no_table_of_pairs(spark, monkeypatch):
     assert sum(seen) == 0 and {(r["a"], r["b"], r["exact"]) for r in got} == {(i, i, False) for i in range(800)}
 
 
+def test_a_component_of_any_size_is_solved_exactly(spark, plans):
+    """One chain of 5,202 points, some of them in one place, where the best pairs aren't all each other's nearest."""
+    a = [(i, 2.0 * i, 0.0) for i in range(2600)] + [(9000, 0.0, 0.0)]
+    b = [(i, 2.0 * i + 1.25, 0.0) for i in range(2600)] + [(9000, 1.25, 0.0)]
+    got = matching.best_matches(frame(spark, a), frame(spark, b), 1.5).collect()
+    assert len(got) == len({r["a"] for r in got}) == len({r["b"] for r in got}) == 2601 and all(r["exact"] for r in got)
+    assert sum(r["distance"] for r in got) == pytest.approx(1.25 * 2601)
+    assert plans and not [p for p in plans if "Broadcast" in p]
+
+
+def test_shipped_is_the_best_of_all():
+    r = random.Random(1)
+    for _ in range(300):
+        supply, room = {i: r.randint(1, 3) for i in range(r.randint(1, 5))}, {j: r.randint(1, 3) for j in range(r.randint(1, 5))}
+        length = {(i, j): float(r.choice([r.randint(1, 6), r.uniform(0, 6)])) for i in supply for j in room if r.random() < 0.6}
+        supply, room = {i: n for i, n in supply.items() if any(i == k for k, _ in length)}, {j: n for j, n in room.items() if any(j == k for _, k in length)}
+        rows, price = matching.shipped(*([*c] for c in zip(*[(i, j, d) for (i, j), d in length.items()], strict=True)), supply, room, 6.0) if length else ([], {})
+        u, v = [i for i, n in supply.items() for _ in range(n)], [j for j, n in room.items() for _ in range(n)]
+        cost = np.array([[length.get((i, j), 1e4) for j in v] for i in u]).reshape(len(u), len(v))
+        best = [x for x in (cost[np.arange(len(u)), matching.assign(cost)] if len(u) <= len(v) else cost[matching.assign(cost.T), np.arange(len(v))]) if x < 1e4] if length else []
+        assert sum(n for *_, n in rows) == len(best) and sum(d * n for _, _, d, n in rows) == pytest.approx(sum(best))
+        for k, most in ((0, supply), (1, room)):
+            assert all(sum(x[3] for x in rows if x[k] == i) <= n for i, n in most.items())
+        for i, n in supply.items():  # the price: all that is dearer can be left out
+            assert all(length[i, j] <= price[i] + 1e-9 for k, j, *_ in rows if k == i) and (price[i] > 6 or sum(x[3] for x in rows if x[0] == i) == n)
+
+
 def test_small_components_share_batches(spark):
     """Stars take the nearest; others the best assignment, whichever batch they come in."""
     a = [(10 * k + i, 100.0 * k + i, 0.0) for k in range(60) for i in range(1 + k % 3)]
