@@ -31,11 +31,12 @@ SPACES = b" \t\n\x0b\x0c\r"
 def written(df: DataFrame, what: str) -> DataFrame:
     """df as a Parquet table in the shared folder, read again: lineage ends there and survives lost executors.
 
-    Python gets batches of `BATCH` rows or `BATCH_BYTES` meanwhile, so that a partition of texts isn't one batch.
+    Python gets batches of `BATCH` rows or `BATCH_BYTES` meanwhile, so that a partition of texts isn't one batch.  Shuffles of df
+    are removed as soon as it is written; else they stay until the driver collects its garbage, however many they are.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/celldex/{what}-{uuid.uuid4().hex}"
-    with small_batches(spark, BATCH):
+    with small_batches(spark, BATCH), no_shuffles_left(spark):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -62,6 +63,18 @@ def small_batches(spark: SparkSession, rows: int = 256) -> Iterator[None]:
             spark.conf.set(name, value)
 
 
+@contextlib.contextmanager
+def no_shuffles_left(spark: SparkSession) -> Iterator[None]:
+    """What is run inside removes its shuffles when it ends."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if was is None else spark.conf.set(name, was)
+
+
 def hand_back() -> None:
     """Memory that this process has freed goes back to the system."""
     pa.default_memory_pool().release_unused()

@@ -1,5 +1,7 @@
 """What workers hold between tasks."""
 
+import time
+
 import public_tokenizers
 from tokenizers import Tokenizer
 
@@ -29,3 +31,15 @@ def test_tasks_empty_caches_unless_they_keep_them(monkeypatch):
     monkeypatch.setattr(common, "HELD", [held])
     assert list(common.lean(iter, keep=True)([1, 2])) == [1, 2] and held
     assert list(common.lean(iter)([1, 2])) == [1, 2] and not held
+
+
+def test_written_tables_leave_no_shuffles(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffles = lambda: {x.rpartition("/")[2] for x in disk.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in x}
+    was, rows = shuffles(), spark.range(1000)
+    out = common.written(rows.groupBy((rows["id"] % 7).alias("k")).count(), "counts")
+    for _ in range(50):
+        if not (left := shuffles() - was):
+            break
+        time.sleep(0.1)
+    assert not left and out.count() == 7 and spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
